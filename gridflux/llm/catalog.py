@@ -1,11 +1,17 @@
 """Queries of the training-data operators and the oracles that SQL can express."""
 
+from gridflux.llm.decontam import op1_decontam
 from gridflux.llm.langid import op5_langid
 from gridflux.llm.media import op6_media
+from gridflux.llm.packing import op3_packing
+from gridflux.llm.quality import op4_quality
 from gridflux.llm.url_filter import OP9_SQL, op9_url_filter
 from gridflux.llm.warc import OP10_SQL, op10_warc
 
 QUERIES = {
+    "op1_decontam": op1_decontam,
+    "op3_packing": op3_packing,
+    "op4_quality": op4_quality,
     "op5_langid": op5_langid,
     "op6_media": op6_media,
     "op9_url_filter": op9_url_filter,

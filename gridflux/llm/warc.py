@@ -225,7 +225,7 @@ WITH p AS (
 w AS (SELECT page_id, body, hex, max(page_id) OVER (PARTITION BY hex) AS keep FROM p)
 SELECT page_id,
        CAST(octet_length(encode(body)) AS BIGINT) AS payload_bytes,
-       list_aggregate(list_transform(range(0, 32), i ->
+       list_aggregate(list_transform(range(0, 32), lambda i:
          substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
                 CAST(((CAST(('0x' || substr(hex, CAST(5 * (i // 4) + 1 AS BIGINT), 5)) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31) + 1 AS BIGINT), 1)),
          'string_agg', '') AS payload_digest,
