@@ -5,15 +5,19 @@ from gridflux.llm.langid import op5_langid
 from gridflux.llm.media import op6_media
 from gridflux.llm.packing import op3_packing
 from gridflux.llm.quality import op4_quality
+from gridflux.llm.suffix_lm import op7_suffix_lm
+from gridflux.llm.token_count import op2_token_count
 from gridflux.llm.url_filter import OP9_SQL, op9_url_filter
 from gridflux.llm.warc import OP10_SQL, op10_warc
 
 QUERIES = {
     "op1_decontam": op1_decontam,
+    "op2_token_count": op2_token_count,
     "op3_packing": op3_packing,
     "op4_quality": op4_quality,
     "op5_langid": op5_langid,
     "op6_media": op6_media,
+    "op7_suffix_lm": op7_suffix_lm,
     "op9_url_filter": op9_url_filter,
     "op10_warc": op10_warc,
 }
