@@ -1,6 +1,7 @@
 """Queries of the training-data operators and the oracles that SQL can express."""
 
 from gridflux.llm.decontam import op1_decontam
+from gridflux.llm.jaccard import op8_jaccard
 from gridflux.llm.langid import op5_langid
 from gridflux.llm.media import op6_media
 from gridflux.llm.packing import op3_packing
@@ -18,6 +19,7 @@ QUERIES = {
     "op5_langid": op5_langid,
     "op6_media": op6_media,
     "op7_suffix_lm": op7_suffix_lm,
+    "op8_jaccard": op8_jaccard,
     "op9_url_filter": op9_url_filter,
     "op10_warc": op10_warc,
 }
