@@ -1,8 +1,14 @@
 """All queries of the engine and their DuckDB oracles."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 
-def flagship(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+from gridflux.queries import series, tables
+
+QUERIES = {**series.QUERIES, **tables.QUERIES}
+ORACLE_SQL = {**series.ORACLE_SQL, **tables.ORACLE_SQL}
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return series.causal_curve_stats(spark, sf_dir)

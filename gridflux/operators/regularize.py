@@ -4,8 +4,8 @@ Two plans with one result.  ``regularize`` is the relational form: grid rows and
 observations share one sorted window per key, so it takes one shuffle by key
 and streams through sorted partitions, never an as-of join.  ``regularize_arrays``
 folds a key's observations into arrays by one grouped aggregate and interpolates
-with higher-order functions, which avoids the row for each grid step; it is the
-form for map-scale grids (100 steps for each pixel and year).
+Arrow batches in numpy, which avoids the row for each grid step; it is the form
+for map-scale grids (100 steps for each pixel and year).
 
 Ties in time: the last tie is "previous", the first tie "next"; on a grid point
 the previous wins.  Outside the observations the nearest is held constant.  A key
@@ -14,6 +14,11 @@ with fewer than ``min_obs`` values has a null curve.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -74,44 +79,52 @@ def curve_arrays(rows: DataFrame, key: list[str]) -> DataFrame:
 
 
 def regularize_arrays(obs: DataFrame, spans: DataFrame, key: list[str], steps: int = STEPS, roll: int = ROLL, min_obs: int = MIN_OBS) -> DataFrame:
-    """(key, n_obs, curve): the same curves from one grouped aggregate."""
+    """(key, n_obs, curve): the same curves from one grouped aggregate, which
+    gathers a key's observations in order; numpy interpolates Arrow batches."""
     valid = obs.where(F.col("v").isNotNull())
     series = valid.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(F.col("t").cast("double").alias("t"), "tie", "v"))).alias("s"))
     joined = spans.where(F.col("lo") < F.col("hi")).join(series, key)
-    return joined.select(*key, F.size("s").alias("n_obs"), F.when(F.size("s") >= min_obs, _smooth(_interpolate(steps), roll)).alias("curve"))
-
-
-def _interpolate(steps: int) -> Column:
-    """Raw grid values of the sorted series ``s`` over lo..hi."""
-
-    def at(i: Column) -> Column:
-        x = grid_position(F.col("lo"), F.col("hi"), i, steps)
-        before = F.filter("s", lambda p: p["t"] <= x)
-        a = F.element_at(before, -1)
-        k = F.size(before)
-        b = F.get("s", k)
-        exact = (k > 0) & (a["t"] == x)
-        return (
-            F.when(k == 0, F.element_at("s", 1)["v"])
-            .when(exact | (k == F.size("s")), a["v"])
-            .otherwise(a["v"] + (b["v"] - a["v"]) * (x - a["t"]) / (b["t"] - a["t"]))
-        )
-
-    return F.transform(F.sequence(F.lit(0), F.lit(steps - 1)), at)
-
-
-def _smooth(curve: Column, roll: int) -> Column:
-    """Shrinking centred mean."""
+    rows = joined.select(*key, F.col("lo").cast("double"), F.col("hi").cast("double"), F.col("s.t").alias("t"), F.col("s.v").cast("array<double>").alias("v"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k = len(key)
+        for batch in batches:
+            lo, hi = batch.column(k).to_numpy(), batch.column(k + 1).to_numpy()
+            t, v = batch.column(k + 2), batch.column(k + 3)
+            times, values, at = t.flatten().to_numpy(), v.flatten().to_numpy(), np.concatenate(([0], np.cumsum(t.value_lengths().to_numpy())))
+            n = np.diff(at)
+            curves = np.zeros((batch.num_rows, steps))
+            for r in np.flatnonzero(n >= min_obs):
+                curves[r] = interpolate(times[at[r] : at[r + 1]], values[at[r] : at[r + 1]], lo[r], hi[r], steps)
+            smooth = smooth_rows(curves, roll)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * steps), pa.array(smooth.reshape(-1)))
+            few = pa.array(n < min_obs)
+            out = pc.if_else(few, pa.nulls(batch.num_rows, lists.type), lists)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(k)), pa.array(n.astype(np.int32)), out], names=[*key, "n_obs", "curve"])
+
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    return rows.mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in key) + ", n_obs int, curve array<double>")
+
+
+def interpolate(t: np.ndarray, v: np.ndarray, lo: float, hi: float, steps: int) -> np.ndarray:
+    """Grid values of one sorted series."""
+    x = lo + (hi - lo) * np.arange(steps) / (steps - 1)
+    before, after = np.searchsorted(t, x, side="right") - 1, np.searchsorted(t, x, side="left")
+    a, b = np.maximum(before, 0), np.minimum(after, len(t) - 1)
+    gap = t[b] - t[a]
+    blend = v[a] + (v[b] - v[a]) * (x - t[a]) / np.where(gap > 0, gap, 1)
+    return np.where(before < 0, v[b], np.where((after >= len(t)) | (gap <= 0), v[a], blend))
+
+
+def smooth_rows(curves: np.ndarray, roll: int) -> np.ndarray:
+    """Shrinking centred mean of each row."""
     h = half_width(roll)
     if not h:
-        return curve
-
-    def mean(_: Column, i: Column) -> Column:
-        low = F.greatest(i - h, F.lit(0))
-        part = F.slice(curve, low + 1, i + h - low + 1)
-        return F.aggregate(part, F.lit(0.0), lambda s, x: s + x) / F.size(part)
-
-    return F.transform(curve, mean)
+        return curves
+    n = curves.shape[1]
+    sums = np.concatenate((np.zeros((len(curves), 1)), np.cumsum(curves, axis=1)), axis=1)
+    low, high = np.maximum(np.arange(n) - h, 0), np.minimum(np.arange(n) + h + 1, n)
+    return (sums[:, high] - sums[:, low]) / (high - low)
 
 
 def shrinking_mean(rows: DataFrame, key: list[str], order: str, value: str, roll: int, name: str = "smooth") -> DataFrame:
