@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridflux.queries import series, tables
+from gridflux.queries import grids, series, tables
 
-QUERIES = {**series.QUERIES, **tables.QUERIES}
-ORACLE_SQL = {**series.ORACLE_SQL, **tables.ORACLE_SQL}
+QUERIES = {**series.QUERIES, **tables.QUERIES, **grids.QUERIES}
+ORACLE_SQL = {**series.ORACLE_SQL, **tables.ORACLE_SQL, **grids.ORACLE_SQL}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

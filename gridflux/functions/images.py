@@ -73,11 +73,24 @@ def hilbert(curve: Column, order: int = 3) -> Column:
     return fold(ordered(wrap_pad(curve, s * s), hilbert_order(order)), s, s)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once: inside a nested transform an
+    outer expression would be computed for each element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def per_sample(image: Column) -> Column:
     """Image scaled to [0, 1] by its own range."""
-    flat = F.flatten(image)
-    low, span = F.array_min(flat), F.greatest(F.array_max(flat) - F.array_min(flat), F.lit(FLOOR))
-    return F.transform(image, lambda row: F.transform(row, lambda v: (v - low) / span))
+
+    def scale(s: Column) -> Column:
+        return F.transform(s["image"], lambda row: F.transform(row, lambda v: (v - s["low"]) / s["span"]))
+
+    def measure(img: Column) -> Column:
+        flat = F.flatten(img)
+        low, high = F.array_min(flat), F.array_max(flat)
+        return let(F.struct(img.alias("image"), low.alias("low"), F.greatest(high - low, F.lit(FLOOR)).alias("span")), scale)
+
+    return let(image, measure)
 
 
 def ndi(curve: Column) -> Column:
@@ -87,8 +100,12 @@ def ndi(curve: Column) -> Column:
 
 def polar(curve: Column) -> Column:
     """Angles of the curve scaled to [-1, 1]."""
-    low, span = F.array_min(curve), F.greatest(F.array_max(curve) - F.array_min(curve), F.lit(FLOOR))
-    return F.transform(curve, lambda v: F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (v - low) * 2.0 / span - 1.0))))
+
+    def angles(s: Column) -> Column:
+        return F.transform(curve, lambda v: F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (v - s["low"]) * 2.0 / s["span"] - 1.0))))
+
+    low, high = F.array_min(curve), F.array_max(curve)
+    return let(F.struct(low.alias("low"), F.greatest(high - low, F.lit(FLOOR)).alias("span")), angles)
 
 
 def gaf(angles: Column) -> tuple[Column, Column]:
