@@ -8,11 +8,12 @@ of n shingles, n - ceil(t n) + 1 of them, is dealt by hash range; sets whose
 Jaccard similarity reaches t share a shingle of their prefixes.
 
 A list of one shingle's sets isn't expanded into all pairs.  First each set is
-paired with the smallest of the list that the length filter lets pass (linear
-in the lists); verified links give components.  Then only lists that still hold
-sets of different components are expanded, across components alone and through
-the length and positional filters; these pairs are verified too, behind a
-suffix filter.  Two sets with a link are hence in one component at the end: they
+paired with the hub of the list alone, its set with the most shared prefix
+shingles (linear in the lists); verified links give components.  Then only lists
+that still hold sets of different components are expanded, across components
+alone.  All pairs pass the length filter and the positional filter, which counts
+as missed both a set's shingles before the first common one and its prefix
+shingles that no other set has; they are verified once, behind a suffix filter.  Two sets with a link are hence in one component at the end: they
 share a list, and in it either had one component or were compared.
 
 Defined cases: null and empty texts have no shingles and link with nothing;
@@ -27,8 +28,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from gridflux.llm.common import byte_slices, find_words, mix64, shingle_hashes, stage, table, text_buffers
 from gridflux.llm.components import components
@@ -39,7 +41,7 @@ LOW56 = np.uint64((1 << 56) - 1)
 PER_BUCKET = 400_000
 BROADCAST_ROWS = 500_000
 FIRST = "doc_id long, n int, class long, slice int, cells binary"
-POSTING = "list long, class long, n int, rest int, anchor long"
+POSTING = "list long, class long, n int, rest int"
 
 
 def _distinct(hashes: np.ndarray) -> np.ndarray:
@@ -133,11 +135,8 @@ def _decode(code: np.ndarray) -> np.ndarray:
 
 
 def prefix_postings(docs: DataFrame, levels: np.ndarray, buckets: int, size: int, percent: int) -> DataFrame:
-    """Lists of two sets or more: (list, class, n, rest, anchor), staged.
-
-    ``rest`` is how many shingles of the set come after this one; ``anchor`` the
-    smallest set of the list within the length filter, null if it is the set.
-    """
+    """Lists of two sets or more: (list, class, n, rest), staged.  ``rest`` is how
+    many shingles of the set come after this one."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,16 +194,9 @@ def prefix_postings(docs: DataFrame, levels: np.ndarray, buckets: int, size: int
         h, c, n, rest = h[fresh], c[fresh], n[fresh], rest[fresh]
         many = _runs(h)
         h, c, n, rest = h[many], c[many], n[many], rest[many]
-        place = (np.cumsum(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, np.int64)).astype(np.float64) * 2.0**32 + n
-        group_start = place - n
-        least = np.floor(n * (percent / 100) * 0.999)
-        anchor = np.searchsorted(place, group_start + least, side="left")
-        own = np.arange(len(h))
         bucket = group.column("bucket")[0].as_py() if group.num_rows else 0
-        names = c[np.minimum(anchor, own)] if len(h) else c
         return pa.table({
             "list": pa.array((np.int64(bucket) << 32) | h.astype(np.int64)), "class": pa.array(c), "n": pa.array(n), "rest": pa.array(rest),
-            "anchor": pa.array(names, pa.int64(), mask=anchor >= own),
         })
 
     rows = docs.select("text").mapInArrow(emit, "bucket int, blob binary")
@@ -267,20 +259,42 @@ def verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, per
     return stage(both.mapInArrow(test, "a long, b long"), "jaccard-links")
 
 
-def cross_pairs(postings: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a list whose sets have different components so far, through the
-    length and positional filters (with 0.1 % slack for rounded counts)."""
-    rows = postings.join(found.withColumnRenamed("node", "class"), "class", "left")
-    rows = rows.select("list", "class", "n", "rest", F.coalesce("component", "class").alias("component"))
-    mixed = rows.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("list")
-    rows = rows.join(mixed, "list", "left_semi")
-    x = rows.select("list", *(F.col(c).alias(f"x_{c}") for c in ("class", "n", "rest", "component")))
-    y = rows.select("list", *(F.col(c).alias(f"y_{c}") for c in ("class", "n", "rest", "component")))
+def with_cost(postings: DataFrame, percent: int) -> DataFrame:
+    """Adds ``shared``, the set's number of postings, and ``cost``: if this is the
+    first shingle that another set shares with it, so many at least it misses
+    (postings before this one, and prefix shingles without a list); staged."""
+    take = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    own = Window.partitionBy("class")
+    rows = postings.withColumn("shared", F.count("*").over(own))
+    rank = F.row_number().over(own.orderBy(F.desc("rest"), "list")) - 1
+    return stage(rows.select("list", "class", "n", "shared", (take - F.col("shared") + rank).cast("int").alias("cost")), "jaccard-costs")
+
+
+def passes(x: str, y: str, percent: int) -> Column:
+    """Length and positional filters of two sets' postings in a list."""
     t = percent / 100
-    shorter, longer = F.least("x_n", "y_n"), F.greatest("x_n", "y_n")
-    near = (F.col("x_component") < F.col("y_component")) & (shorter * 1.001 >= longer * t)
-    place = (F.least("x_rest", "y_rest") + 1) * 1.001 >= (F.col("x_n") + F.col("y_n")) * (t / (1 + t))
-    return x.join(y, "list").where(near & place).select(F.col("x_class").alias("a"), F.col("y_class").alias("b"))
+    xn, yn, xc, yc = (F.col(f"{k}.{c}") for c in ("n", "cost") for k in (x, y))
+    slack = F.when(F.greatest(xn, yn) >= 32768, (xn + yn) * 0.001).otherwise(1e-9)
+    common = (xn + yn) * (t / (1 + t)) - slack
+    return (F.least(xn, yn) + slack >= F.greatest(xn, yn) * t) & (xn - xc >= common) & (yn - yc >= common)
+
+
+def hub_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Each set of a list with the list's hub."""
+    me = F.struct("class", "n", "cost")
+    hubs = rows.groupBy("list").agg(F.max_by(me, F.struct("shared", "class")).alias("hub"))
+    both = rows.select("list", me.alias("own")).join(hubs, "list")
+    return both.where((F.col("own.class") != F.col("hub.class")) & passes("own", "hub", percent)).select(F.col("own.class").alias("a"), F.col("hub.class").alias("b"))
+
+
+def cross_pairs(rows: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a list whose sets have different components so far."""
+    rows = rows.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    mixed = rows.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("list")
+    me = F.struct("class", "n", "cost", "component")
+    rows = stage(rows.join(mixed, "list", "left_semi").select("list", me.alias("x")), "jaccard-mixed")
+    both = rows.join(rows.withColumnRenamed("x", "y"), "list")
+    return both.where((F.col("x.component") < F.col("y.component")) & passes("x", "y", percent)).select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
 
 
 def join_similar(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
@@ -292,9 +306,8 @@ def join_similar(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
     total = classes.agg(F.sum("n")).first()[0] or 0
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(partitions, total * (101 - percent) // 100 // PER_BUCKET + 1)
-    postings = prefix_postings(docs, rarity(first), buckets, size, percent)
-    stars = postings.where("anchor IS NOT NULL").select(F.col("class").alias("a"), F.col("anchor").alias("b"))
-    links = verify(docs, classes, stars, size, percent)
+    postings = with_cost(prefix_postings(docs, rarity(first), buckets, size, percent), percent)
+    links = verify(docs, classes, hub_pairs(postings, percent), size, percent)
     more = verify(docs, classes, cross_pairs(postings, components(links), percent), size, percent)
     found = components(links.union(more)).withColumnRenamed("node", "class")
     named = classes.join(found, "class", "left").select("class", "rep", F.coalesce("component", "class").alias("component"))
