@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -55,6 +55,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(columns: list[str]) -> list[str]:
+    return [f"`{c}`" for c in columns]
+
+
+def tucked(docs: DataFrame, needed: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with all but the needed columns under numbered names, so that no
+    name of theirs can clash with a working column; and the way back."""
+    names = {c: c if c in needed else f"_c{i}" for i, c in enumerate(docs.columns)}
+    inner = docs.select(*(docs[q].alias(names[c]) for c, q in zip(docs.columns, quoted(docs.columns), strict=True)))
+    return inner, lambda out: out.select(*(out[names[c]].alias(c) for c in docs.columns))
+
+
 def text_buffers(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, bounds): row i's UTF-8 is bytes[bounds[i]:bounds[i+1]]; null is empty."""
     if isinstance(col, pa.ChunkedArray):

@@ -275,8 +275,7 @@ def search(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
     """Rows that contain no benchmark item; their own columns."""
-    columns = docs.columns
-    at = columns.index("text")
+    at = docs.columns.index("text")
     for index in index_blocks(benchmark, **params):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
@@ -290,7 +289,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **params) -> DataFr
                 yield batch.filter(pa.array(keep))
 
         docs = docs.mapInArrow(run, docs.schema)
-    return docs.select(*columns)
+    return docs
 
 
 def op1_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gridflux.llm.common import byte_slices, find_words, mix64, shingle_hashes, stage, table, text_buffers
+from gridflux.llm.common import byte_slices, find_words, mix64, quoted, shingle_hashes, stage, table, text_buffers
 from gridflux.llm.components import components
 
 SIZE, PERCENT = 5, 75
@@ -328,7 +328,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     grouped = join_similar(docs).where("n_shingles > 0 AND component_id IS NOT NULL")
     gone = grouped.where("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(stage(gone, "jaccard-gone"), "doc_id", "left_anti")
-    return kept.select(*columns)
+    return kept.select(*quoted(columns))
 
 
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

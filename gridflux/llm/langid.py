@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridflux.llm.common import LOWER, byte_slices, mix64, text_buffers
+from gridflux.llm.common import LOWER, byte_slices, text_buffers, tucked
 
 NGRAMS = (2, 3, 4)
 WIDTH = 1 << 14
@@ -157,9 +157,9 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> Da
 
 def keep_known(docs: DataFrame, least: float = 0.0) -> DataFrame:
     """Rows with a language that the model knows; their own columns."""
-    columns = docs.columns
-    scored = predict(docs, learn(docs))
-    return scored.where((F.col("lang_pred") != "und") & (F.col("score") > least)).select(*columns)
+    inner, back = tucked(docs, ["doc_id", "text", "lang"])
+    scored = predict(inner, learn(inner))
+    return back(scored.where((F.col("lang_pred") != "und") & (F.col("score") > least)))
 
 
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,5 +169,3 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False))
     return scored.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
-
-__all__ = ["LanguageModel", "keep_known", "learn", "mix64", "op5_langid", "predict", "presence"]

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridflux.llm.common import byte_slices, find_words, stage, table, text_buffers
+from gridflux.llm.common import byte_slices, find_words, stage, table, text_buffers, tucked
 
 SHAPE = 14
 
@@ -193,8 +193,10 @@ def site_posteriors(scored: DataFrame, labels: DataFrame) -> DataFrame:
     is one partial row a task.
     """
     marks = labelled(scored, labels)
-    share = marks.agg(F.avg("good")).first()[0]
-    share = min(0.99, max(0.01, 0.5 if share is None else share))
+    share, low, high = marks.agg(F.avg("good"), F.min("good"), F.max("good")).first()
+    if low == high:  # nothing to tell good from bad by
+        return scored.select("source", "lang", F.lit(0.5).alias("path_mean")).distinct()
+    share = min(0.99, max(0.01, share))
     prior = float(np.log(share / (1 - share)))
     p = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("evidence") + prior))))
     rows = scored.select("doc_id", "source", "lang", p.alias("p")).join(marks, "doc_id", "left")
@@ -237,9 +239,10 @@ def judge(scored: DataFrame, sites: DataFrame, threshold: float = 0.5) -> DataFr
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Accepted rows; their own columns.  The evidence is written once with the
     rows; the sites' statistics read only its narrow columns."""
-    scored = stage(with_evidence(docs, fit_evidence(docs, labels)), "quality")
+    inner, back = tucked(docs, ["doc_id", "text", "source", "lang"])
+    scored = stage(with_evidence(inner, fit_evidence(inner, labels)), "quality")
     sites = stage(site_posteriors(scored, labels), "sites")
-    return judge(scored, sites).where("accepted").select(*docs.columns)
+    return back(judge(scored, sites).where("accepted"))
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
