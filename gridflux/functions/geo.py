@@ -108,3 +108,9 @@ def cell_centres(row: Column, col: Column, west: float, south: float, east: floa
 def affine_cell(x: Column, y: Column, west: float, north: float, size: float) -> tuple[Column, Column]:
     """(row, col) of the cell that holds a point."""
     return F.floor((F.lit(north) - y) / size).cast("int"), F.floor((x - west) / size).cast("int")
+
+
+def nearest_cell(value: Column, first: float, step: float, n: int) -> Column:
+    """Index of the nearest of n regular positions; a tie goes to the first."""
+    at = F.ceil((value - first) / step - 0.5)
+    return F.greatest(F.lit(0), F.least(F.lit(n - 1), at)).cast("int")

@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from gridflux.functions.semantics import doy_label
+
 STEPS, ROLL, MIN_OBS = 52, 5, 5
 
 
@@ -71,6 +73,18 @@ def regularize(obs: DataFrame, spans: DataFrame, key: list[str], steps: int = ST
     return rows.withColumn("value", F.when(F.col("n_obs") >= min_obs, value))
 
 
+def raw_series(obs: DataFrame, key: list[str], group: list[str], steps: int = STEPS, roll: int = 3, min_obs: int = MIN_OBS) -> DataFrame:
+    """Curves of keys pinned to their group's first and last acquisition, clear or
+    not, with a day-of-year label for each step.  ``key`` includes ``group``."""
+    spans = obs.groupBy(*group).agg(F.min("t").alias("lo"), F.max("t").alias("hi"))
+    keys = obs.where(F.col("v").isNotNull()).select(*key).distinct().join(spans, group) if group else None
+    if keys is None:  # one group: its span is a single row
+        keys = obs.where(F.col("v").isNotNull()).select(*key).distinct().crossJoin(F.broadcast(spans))
+    rows = regularize(obs, keys, key, steps, roll, min_obs)
+    first = F.min("x").over(Window.partitionBy(*key))
+    return rows.withColumn("doy", doy_label(F.col("x"), first))
+
+
 def curve_arrays(rows: DataFrame, key: list[str]) -> DataFrame:
     """Steps of ``regularize`` as one array a key, null under the floor."""
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("i", "value"))), lambda s: s["value"])

@@ -16,6 +16,7 @@ from gridflux.operators.nn import forward, random_weights
 from gridflux.operators.stats import patch_stats
 from gridflux.operators.targets import fit_scalers, oof_residuals, winsor_bounds
 from gridflux.plans import map_inference
+from gridflux.plans.topography import extract_topography
 from gridflux.queries.inputs import CURVE, GRID, curves, elevation_grid, observations, read, rounded
 from gridflux.functions.indices import kndvi, ndvi, reflectance, with_clear
 
@@ -199,6 +200,26 @@ SELECT s.row * 100 + s.col AS site_id, round(max(n.elevation) FILTER (n.row = s.
 FROM g s JOIN g n ON abs(n.row - s.row) <= 2 AND abs(n.col - s.col) <= 2 WHERE (s.row * 40 + s.col) % 10 = 0 GROUP BY s.row, s.col"""
 
 
+def site_topography(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All layers and their 5 x 5 statistics at customers' cells, but for those done."""
+    sites = read(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("site_id"), F.lit(0).alias("tile_id"), F.floor(F.col("c_custkey") % 2000 / 40).cast("int").alias("row"),
+        (F.col("c_custkey") % 40).cast("int").alias("col"), F.lit(-33.5).alias("lat"),
+    )
+    done = sites.where("site_id % 2 = 0").select("site_id")
+    return rounded(extract_topography(elevation_grid(spark, sf_dir), sites, 30.0, done).select("site_id", "elevation", "elevation_mean", "slope", "slope_mean", "northness_std", "curvature"), 5)
+
+
+def _topography_sql() -> str:
+    return f"""
+WITH layers AS ({_terrain_sql().replace(', 6)', ', 13)')}),
+s AS (SELECT c_custkey AS site_id, CAST((c_custkey % 2000) // 40 AS INT) AS r, CAST((c_custkey % 2000) % 40 AS INT) AS q FROM customer WHERE c_custkey % 2 <> 0),
+n AS (SELECT site_id, l.*, l.row = r AND l.col = q AS here FROM s JOIN layers l ON l.tile_id = 0 AND abs(l.row - r) <= 2 AND abs(l.col - q) <= 2)
+SELECT site_id, round(max(elevation) FILTER (here), 5) AS elevation, round(avg(elevation), 5) AS elevation_mean, round(max(slope) FILTER (here), 5) AS slope,
+       round(avg(slope), 5) AS slope_mean, round(stddev_pop(northness), 5) AS northness_std, round(max(curvature) FILTER (here), 5) AS curvature
+FROM n GROUP BY site_id"""
+
+
 def stand_in_ensemble(side: int, context: tuple[str, ...], seeds: int = 5) -> predict.Ensemble:
     """Deterministic weights in the place of trained ones."""
     names = ("first", "second", "third")
@@ -273,12 +294,12 @@ FROM d GROUP BY d.day, event_type, newest HAVING d.day + INTERVAL 1 DAY <= newes
 QUERIES = {
     "reshape_image": reshape_image, "serpentine_image": serpentine_image, "hilbert_image": hilbert_image, "wrapped_image": wrapped_image,
     "ndi_field": ndi_field, "gaf_field": gaf_field, "mtf_field": mtf_field, "cwt_image": cwt_image, "cos2d_image": cos2d_image,
-    "spectrogram_image": spectrogram_image, "terrain_derivatives": terrain_derivatives, "terrain_patches": terrain_patches,
+    "spectrogram_image": spectrogram_image, "terrain_derivatives": terrain_derivatives, "terrain_patches": terrain_patches, "site_topography": site_topography,
     "cnn_ensemble": cnn_ensemble, "map_pipeline": map_pipeline, "rf_regression": rf_regression, "fit_yeo_johnson": fit_yeo_johnson,
     "streaming_windows": streaming_windows,
 }
 ORACLE_SQL = {
     "reshape_image": RESHAPE_SQL, "serpentine_image": SERPENTINE_SQL, "hilbert_image": HILBERT_SQL, "wrapped_image": WRAPPED_SQL,
     "ndi_field": NDI_SQL, "gaf_field": GAF_SQL, "mtf_field": MTF_SQL, "cos2d_image": _cos2d_sql(), "spectrogram_image": _spectrogram_sql(),
-    "terrain_derivatives": _terrain_sql(), "terrain_patches": PATCH_SQL, "streaming_windows": STREAM_SQL,
+    "terrain_derivatives": _terrain_sql(), "terrain_patches": PATCH_SQL, "site_topography": _topography_sql(), "streaming_windows": STREAM_SQL,
 }

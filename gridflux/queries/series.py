@@ -134,6 +134,20 @@ REGULAR_SQL = _regular_sql(
 )
 
 
+def raw_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users pinned to the span of their block of ten, roll 3, with day labels."""
+    obs = event_series(spark, sf_dir).withColumn("block", F.floor(F.col("key") / 10).cast("int"))
+    rows = regularize.raw_series(obs, ["block", "key"], ["block"], STEPS)
+    return rounded(rows.select("block", "key", "i", "value", "doy"))
+
+
+RAW_SQL = _regular_sql(
+    "b", "block, key", "SELECT k.block, k.key, w.lo, w.hi FROM (SELECT DISTINCT block, key FROM o) k JOIN (SELECT block, min(t) AS lo, max(t) AS hi FROM b GROUP BY block) w USING (block)",
+    "SELECT block, key, CAST(i AS INT) AS i, round(value, 6) AS value, round((x - min(x) OVER (PARTITION BY block, key)) % 365.25::DOUBLE + 1, 6) AS doy FROM s",
+    EVENT + ", b AS (SELECT *, CAST(key // 10 AS INT) AS block FROM event_series)",
+).replace("ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING", "ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING")
+
+
 def regularize_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The array form, unfolded for comparison."""
     obs = event_series(spark, sf_dir)
@@ -276,13 +290,13 @@ FROM part WINDOW w AS (PARTITION BY p_brand ORDER BY p_partkey)"""
 
 QUERIES = {
     "index_projection": index_projection, "qa_clear_filter": qa_clear_filter, "sensor_union": sensor_union, "sensor_years": sensor_years,
-    "solar_days": solar_days, "causal_window_counts": causal_window_counts, "regularize_series": regularize_series, "regularize_curves": regularize_curves,
+    "solar_days": solar_days, "causal_window_counts": causal_window_counts, "regularize_series": regularize_series, "regularize_curves": regularize_curves, "raw_series": raw_series,
     "causal_curve_stats": causal_curve_stats, "causal_curve_arrays": causal_curve_arrays, "shrinking_mean": shrinking_mean, "fill_series": fill_series,
     "observation_gaps": observation_gaps, "contrast_block": contrast, "circular_doy": circular_doy, "json_props": json_props, "chunk_assignment": chunk_assignment,
 }
 ORACLE_SQL = {
     "index_projection": INDEX_SQL, "qa_clear_filter": QA_SQL, "sensor_union": UNION_SQL, "sensor_years": SENSOR_SQL, "solar_days": SOLAR_SQL,
-    "causal_window_counts": WINDOW_SQL, "regularize_series": REGULAR_SQL, "regularize_curves": CURVES_SQL, "causal_curve_stats": CAUSAL_SQL,
+    "causal_window_counts": WINDOW_SQL, "regularize_series": REGULAR_SQL, "regularize_curves": CURVES_SQL, "raw_series": RAW_SQL, "causal_curve_stats": CAUSAL_SQL,
     "causal_curve_arrays": CAUSAL_SQL, "shrinking_mean": SHRINK_SQL, "fill_series": FILL_SQL, "observation_gaps": GAPS_SQL, "contrast_block": _contrast_sql(),
     "circular_doy": DOY_SQL, "json_props": JSON_SQL, "chunk_assignment": CHUNK_SQL,
 }
