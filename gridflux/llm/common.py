@@ -18,7 +18,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES, SLICE_ROWS = 1 << 20, 4096
+
+# Arrow's own allocator keeps what it frees; Python workers live long and share
+# an executor's memory with its heap.
+pa.set_memory_pool(pa.system_memory_pool())
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -82,11 +86,12 @@ def text_buffers(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarra
 
 
 def byte_slices(bounds: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most ``limit`` bytes each, but of one row at least."""
+    """Row ranges of at most ``limit`` bytes and SLICE_ROWS rows each, but of one row
+    at least."""
     i, n = 0, len(bounds) - 1
     while i < n:
         j = int(np.searchsorted(bounds, bounds[i] + limit, side="right")) - 1
-        j = min(max(j, i + 1), n)
+        j = min(max(j, i + 1), i + SLICE_ROWS, n)
         yield i, j
         i = j
 

@@ -105,7 +105,7 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return known.groupBy("doc_id").agg(F.min(good.cast("int")).alias("good"))
 
 
-def fit_evidence(docs: DataFrame, labels: DataFrame, sample: int = 6000, words: int = 400, steps: int = 300, ridge: float = 1e-3) -> Evidence | None:
+def fit_evidence(docs: DataFrame, labels: DataFrame, sample: int = 4000, words: int = 400, steps: int = 300, ridge: float = 1e-3) -> Evidence | None:
     marks = labelled(docs, labels)
     total = marks.count()
     pick = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample / max(1, total))))
