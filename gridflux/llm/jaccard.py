@@ -13,7 +13,8 @@ shingles (linear in the lists); verified links give components.  Then only lists
 that still hold sets of different components are expanded, across components
 alone.  All pairs pass the length filter and the positional filter, which counts
 as missed both a set's shingles before the first common one and its prefix
-shingles that no other set has; they are verified once, behind a suffix filter.  Two sets with a link are hence in one component at the end: they
+shingles that no other set of a fitting length has; they are verified once,
+behind a suffix filter.  Two sets with a link are hence in one component at the end: they
 share a list, and in it either had one component or were compared.
 
 Defined cases: null and empty texts have no shingles and link with nothing;
@@ -86,7 +87,7 @@ def first_pass(docs: DataFrame, size: int) -> DataFrame:
                 n[row], names_of[row] = len(s), _class(s) if len(s) else 0
                 pending.append((s >> np.uint64(56 - CELL_BITS)).astype(np.int32))
                 held += len(s)
-                if held > 1 << 22:
+                if held > 1 << 21:
                     add()
             empty = pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(names_of), *empty], names=names)
@@ -135,8 +136,8 @@ def _decode(code: np.ndarray) -> np.ndarray:
 
 
 def prefix_postings(docs: DataFrame, levels: np.ndarray, buckets: int, size: int, percent: int) -> DataFrame:
-    """Lists of two sets or more: (list, class, n, rest), staged.  ``rest`` is how
-    many shingles of the set come after this one."""
+    """(list, class, n, rest) of sets that share the shingle with another set within
+    the length filter, staged.  ``rest`` counts the set's shingles after this one."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,8 +193,8 @@ def prefix_postings(docs: DataFrame, levels: np.ndarray, buckets: int, size: int
         fresh = np.ones(len(h), bool)
         fresh[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
         h, c, n, rest = h[fresh], c[fresh], n[fresh], rest[fresh]
-        many = _runs(h)
-        h, c, n, rest = h[many], c[many], n[many], rest[many]
+        near = _neighbours(h, n, percent)
+        h, c, n, rest = h[near], c[near], n[near], rest[near]
         bucket = group.column("bucket")[0].as_py() if group.num_rows else 0
         return pa.table({
             "list": pa.array((np.int64(bucket) << 32) | h.astype(np.int64)), "class": pa.array(c), "n": pa.array(n), "rest": pa.array(rest),
@@ -210,6 +211,14 @@ def _runs(ordered: np.ndarray) -> np.ndarray:
     return same[1:] | same[:-1]
 
 
+def _neighbours(lists: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows, ordered by list and n, have another within the length filter."""
+    pair = (lists[1:] == lists[:-1]) & (n[:-1] >= np.floor(n[1:] * (percent / 100) * 0.999))
+    ok = np.zeros(len(lists) + 1, bool)
+    ok[1:-1] = pair
+    return ok[1:] | ok[:-1]
+
+
 def most_overlap(x: np.ndarray, y: np.ndarray, depth: int = 3) -> int:
     """Suffix filter: a bound on the overlap of two ordered sets from splits at
     the middle of the first."""
@@ -262,7 +271,7 @@ def verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, per
 def with_cost(postings: DataFrame, percent: int) -> DataFrame:
     """Adds ``shared``, the set's number of postings, and ``cost``: if this is the
     first shingle that another set shares with it, so many at least it misses
-    (postings before this one, and prefix shingles without a list); staged."""
+    (postings before this one, and prefix shingles without a posting); staged."""
     take = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     own = Window.partitionBy("class")
     rows = postings.withColumn("shared", F.count("*").over(own))
