@@ -201,29 +201,29 @@ def site_posteriors(scored: DataFrame, labels: DataFrame) -> DataFrame:
     p = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("evidence") + prior))))
     rows = scored.select("doc_id", "source", "lang", p.alias("p")).join(marks, "doc_id", "left")
     value = F.coalesce(F.col("good").cast("double"), "p")
-    paths = rows.groupBy("source", "lang").agg(F.sum(value).alias("k"), F.count("*").alias("n"))
-    hosts = paths.groupBy("source").agg(F.sum("k").alias("host_k"), F.sum("n").alias("host_n"))
-
-    def strength(m: Column, mean: Column, n: Column, groups: Column) -> Column:
-        """Prior weight by the method of moments: mean (1 - mean) / variance - 1."""
-        between = F.greatest(m - mean * (1 - mean) * groups / n, F.lit(1e-4))
-        return F.greatest(F.lit(1.0), F.least(F.lit(1e4), mean * (1 - mean) / between - 1))
-
-    top = hosts.agg(F.sum("host_k").alias("all_k"), F.sum("host_n").alias("all_n"), F.count("*").alias("hosts"))
-    hosts = hosts.crossJoin(F.broadcast(top.withColumn("all_mean", (F.col("all_k") + 1) / (F.col("all_n") + 2))))  # one row
-    spread = hosts.agg(F.avg(F.pow(F.col("host_k") / F.col("host_n") - F.col("all_mean"), 2)).alias("host_var"))
-    hosts = hosts.crossJoin(F.broadcast(spread))
-    s_host = strength(F.col("host_var"), F.col("all_mean"), F.col("all_n"), F.col("hosts"))
-    hosts = hosts.withColumn("host_mean", (F.col("host_k") + s_host * F.col("all_mean")) / (F.col("host_n") + s_host))
-    joined = paths.join(hosts.select(F.col("source").alias("host"), "host_mean"), F.col("source").eqNullSafe(F.col("host")))
-    within = joined.agg(
-        F.avg(F.pow(F.col("k") / F.col("n") - F.col("host_mean"), 2)).alias("path_var"),
-        F.avg("host_mean").alias("m"), F.sum("n").alias("total"), F.count("*").alias("paths"),
-    )
-    joined = joined.crossJoin(F.broadcast(within))
-    s_path = strength(F.col("path_var"), F.col("m"), F.col("total"), F.col("paths"))
-    mean = (F.col("k") + s_path * F.col("host_mean")) / (F.col("n") + s_path)
-    return joined.select("source", "lang", F.greatest(F.lit(0.01), F.least(F.lit(0.99), mean)).alias("path_mean"))
+    paths = stage(rows.groupBy("source", "lang").agg(F.sum(value).alias("k"), F.count("*").alias("n")), "paths")
+    hosts = paths.groupBy("source").agg(F.sum("k").alias("k"), F.sum("n").alias("n"))
+    k, n, groups = hosts.agg(F.sum("k"), F.sum("n"), F.count("*")).first()
+    if not groups:
+        return paths.select("source", "lang", F.lit(0.5).alias("path_mean"))
+    mean = (k + 1) / (n + 2)
+    spread = hosts.agg(F.avg(F.pow(F.col("k") / F.col("n") - mean, 2))).first()[0]
+    s_host = prior_weight(spread, mean, n, groups)
+    hosts = hosts.select(F.col("source").alias("host"), ((F.col("k") + s_host * mean) / (F.col("n") + s_host)).alias("host_mean"))
+    joined = paths.join(hosts, F.col("source").eqNullSafe(F.col("host")))
+    spread, mean, n, groups = joined.agg(
+        F.avg(F.pow(F.col("k") / F.col("n") - F.col("host_mean"), 2)), F.avg("host_mean"), F.sum("n"), F.count("*")
+    ).first()
+    s_path = prior_weight(spread, mean, n, groups)
+    posterior = (F.col("k") + s_path * F.col("host_mean")) / (F.col("n") + s_path)
+    return joined.select("source", "lang", F.greatest(F.lit(0.01), F.least(F.lit(0.99), posterior)).alias("path_mean"))
+
+
+def prior_weight(spread: float, mean: float, n: int, groups: int) -> float:
+    """Beta prior's weight by the method of moments, mean (1 - mean) / variance - 1,
+    of the variance between groups without that of their counts."""
+    between = max(spread - mean * (1 - mean) * groups / n, 1e-4)
+    return max(1.0, min(1e4, mean * (1 - mean) / between - 1))
 
 
 def judge(scored: DataFrame, sites: DataFrame, threshold: float = 0.5) -> DataFrame:
