@@ -12,8 +12,7 @@ paired with the hub of the list alone, its set with the most shared prefix
 shingles (linear in the lists); verified links give components.  Then only lists
 that still hold sets of different components are expanded, across components
 alone.  All pairs pass the length filter and the positional filter, which counts
-as missed both a set's shingles before the first common one and its prefix
-shingles that no other set of a fitting length has; they are verified once,
+as missed a set's shingles before the first common one; they are verified once,
 behind a suffix filter.  Two sets with a link are hence in one component at the end: they
 share a list, and in it either had one component or were compared.
 
@@ -268,15 +267,13 @@ def verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, per
     return stage(both.mapInArrow(test, "a long, b long"), "jaccard-links")
 
 
-def with_cost(postings: DataFrame, percent: int) -> DataFrame:
+def with_cost(postings: DataFrame) -> DataFrame:
     """Adds ``shared``, the set's number of postings, and ``cost``: if this is the
-    first shingle that another set shares with it, so many at least it misses
-    (postings before this one, and prefix shingles without a posting); staged."""
-    take = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    own = Window.partitionBy("class")
-    rows = postings.withColumn("shared", F.count("*").over(own))
-    rank = F.row_number().over(own.orderBy(F.desc("rest"), "list")) - 1
-    return stage(rows.select("list", "class", "n", "shared", (take - F.col("shared") + rank).cast("int").alias("cost")), "jaccard-costs")
+    first shingle that another set shares with it, so many it misses, those before
+    this one in the order.  Later prefix shingles without a posting don't count:
+    the other set can hold them beyond its own prefix; staged."""
+    rows = postings.withColumn("shared", F.count("*").over(Window.partitionBy("class")))
+    return stage(rows.select("list", "class", "n", "shared", (F.col("n") - 1 - F.col("rest")).alias("cost")), "jaccard-costs")
 
 
 def passes(x: str, y: str, percent: int) -> Column:
@@ -315,7 +312,7 @@ def join_similar(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
     total = classes.agg(F.sum("n")).first()[0] or 0
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(partitions, total * (101 - percent) // 100 // PER_BUCKET + 1)
-    postings = with_cost(prefix_postings(docs, rarity(first), buckets, size, percent), percent)
+    postings = with_cost(prefix_postings(docs, rarity(first), buckets, size, percent))
     links = verify(docs, classes, hub_pairs(postings, percent), size, percent)
     more = verify(docs, classes, cross_pairs(postings, components(links), percent), size, percent)
     found = components(links.union(more)).withColumnRenamed("node", "class")

@@ -407,6 +407,23 @@ def test_jaccard(spark, documents, edge, empty):
     assert jaccard.join_similar(empty).count() == 0
 
 
+def test_jaccard_containment(spark):
+    """A set and the same with more shingles at one or both sides, with copies:
+    the longer set's own rare shingles push the common ones out of its prefix."""
+    rng = random.Random(11)
+    texts, fresh = {}, iter(range(10**9))
+    for k in range(10, 29):
+        for before in (0, k // 2, k):
+            base = [f"b{next(fresh)}" for _ in range(84)]
+            more = [f"m{next(fresh)}" for _ in range(k)]
+            both = [" ".join(base), " ".join([*more[:before], *base, *more[before:]])]
+            for t in both + both[: rng.randrange(3)]:
+                texts[len(texts)] = t
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join_similar(docs).collect()}
+    assert got == brute_components(texts)
+
+
 def test_components(spark):
     rng = random.Random(1)
     pairs = [(i, i + 1) for i in range(60)] + [(rng.randrange(100, 160), rng.randrange(100, 160)) for _ in range(50)] + [(5, 5), (0, 1)]
