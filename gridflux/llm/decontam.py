@@ -3,17 +3,19 @@
 A CGK random walk reads a window word by word and repeats or advances by a
 random bit of the word and the step, so that windows at a small edit distance
 become sequences at a small Hamming distance.  Tables sample a few steps of a
-walk as keys (bit-sampling LSH).  Windows of benchmark items (sized 8, 16 or 32
-words by the item's length, at the item's first word offsets up to the stride) are
-the keys that are looked up; documents give one window for each stride of
-words, so an occurrence always has a window that starts at one of the item's
-offsets.  Walks with new random bits are added until simulated edits at
-``design_rate`` are found with the target recall.  A hit is then verified: the
+walk as keys (bit-sampling LSH).  Windows of benchmark items (sized 4 to 32 words
+by the item's length, at each word from which one fits) are the keys that are
+looked up; documents give one window for each stride of words.  A size is used
+for items so long that one run of edited words, ``max_edit`` of the item, leaves a
+part on one side that holds a window of the document.  For each size walks with
+new random bits are added until simulated edits, single words at the greater of
+``design_rate`` and ``max_edit`` and one run at ``max_edit``, are each found with
+the target recall; a size that misses it at the most walks gives a warning.  A hit is then verified: the
 edit distance (characters, case and white space aside) of the whole item to the
 best fitting part of the document around it must be at most ``max_edit`` of the
 item's length.
 
-The benchmark is worked through in blocks of a bounded number of items, each
+The benchmark is worked through in blocks of a bounded number of words, each
 block broadcast and held against all documents in one map-only pass.
 
 Defined cases: null and empty texts hit nothing; items of fewer than 4 words
@@ -24,6 +26,8 @@ reported; an empty benchmark or document table gives no rows.
 
 from __future__ import annotations
 
+import warnings
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -36,14 +40,20 @@ from gridflux.llm.common import byte_slices, find_words, mix64, table, text_buff
 
 #: Words of a window and the stride of windows in documents; steps sampled by a
 #: table, and tables of a walk.
-SIZES, SAMPLES, TABLES = {32: 16, 16: 8, 8: 4, 4: 1}, 4, 5
-LONGEST = max(SIZES)
+SIZES, SAMPLES, TABLES = {32: 16, 16: 8, 8: 2, 4: 1}, 4, 5
+LONGEST, MOST_WALKS = max(SIZES), 8
 HITS = "doc_id long, item_id long, edit_distance int, item_chars int, similarity double, word_start int"
 
 
 def window_size(n_words: int) -> int:
     """Words of the window by which an item is sought; 0: too short."""
-    return next((w for w, stride in SIZES.items() if n_words >= w + stride - 1), 0)
+    long = next((w for w, stride in SIZES.items() if 2 * n_words >= 5 * (w + stride - 1)), 0)
+    return long or (min(SIZES) if n_words >= min(SIZES) else 0)
+
+
+def window_starts(n_words: int) -> np.ndarray:
+    """Words of an item at which its windows start."""
+    return np.arange(n_words - window_size(n_words) + 1)
 
 
 def _steps(size: int) -> int:
@@ -96,28 +106,41 @@ def _padded(words: np.ndarray) -> np.ndarray:
     return np.concatenate((words, np.zeros(_steps(LONGEST) + 1, np.uint64)))
 
 
-def recall_at(walks: Walks, items: list[np.ndarray], rate: float, trials: int = 200, seed: int = 3) -> float:
-    """Share of items that are found after random word edits at ``rate``."""
+def with_edits(item: np.ndarray, rate: float, rng: np.random.Generator) -> np.ndarray:
+    """An item after random word edits at ``rate``: removed, replaced, added."""
+    out = []
+    for word in item:
+        kind = rng.random()
+        if kind < rate / 3:
+            continue
+        out.append(np.uint64(rng.integers(1, 1 << 62)) if kind < 2 * rate / 3 else word)
+        if kind > 1 - rate / 3:
+            out.append(np.uint64(rng.integers(1, 1 << 62)))
+    return np.array(out, np.uint64)
+
+
+def with_run(item: np.ndarray, rate: float, rng: np.random.Generator) -> np.ndarray:
+    """An item with ``rate`` of its words, all in one run, replaced."""
+    out, k = item.copy(), int(rate * len(item))
+    at = int(rng.integers(len(item) - k + 1))
+    out[at : at + k] = rng.integers(1, 1 << 62, k, dtype=np.uint64)
+    return out
+
+
+def walks_to_find(items: list[np.ndarray], edit, rate: float, trials: int = 200, seed: int = 3) -> np.ndarray:
+    """How many walks find each of some edited items; MOST_WALKS + 1: none does."""
     rng = np.random.default_rng(seed)
-    found = done = 0
-    for _ in range(trials):
+    walks, out = Walks(MOST_WALKS), np.full(trials, MOST_WALKS + 1)
+    for trial in range(trials):
         item = items[int(rng.integers(len(items)))]
         w = window_size(len(item))
-        stride = SIZES[w]
-        edited = []
-        for word in item:
-            kind = rng.random()
-            if kind < rate / 3:
-                continue
-            edited.append(np.uint64(rng.integers(1, 1 << 62)) if kind < 2 * rate / 3 else word)
-            if kind > 1 - rate / 3:
-                edited.append(np.uint64(rng.integers(1, 1 << 62)))
-        text = _padded(np.concatenate((np.zeros(int(rng.integers(stride)), np.uint64), np.array(edited, np.uint64))))
-        mine = {k: keys[telling(x)] for k, keys, x in walks.keys(_padded(item), np.arange(min(stride, len(item))), [w])}
-        theirs = {k: keys for k, keys, _ in walks.keys(text, np.arange(0, max(1, len(edited)), stride), [w])}
-        found += any(np.isin(theirs[k], mine[k]).any() for k in mine)
-        done += 1
-    return found / max(1, done)
+        edited = np.concatenate((np.zeros(int(rng.integers(SIZES[w])), np.uint64), edit(item, rate, rng)))
+        theirs = walks.keys(_padded(edited), np.arange(0, max(1, len(edited)), SIZES[w]), [w])
+        for (k, keys, samples), (_, there, _) in zip(walks.keys(_padded(item), window_starts(len(item)), [w]), theirs, strict=True):
+            if np.isin(there, keys[telling(samples)]).any():
+                out[trial] = k[0] + 1
+                break
+    return out
 
 
 class Index:
@@ -131,10 +154,16 @@ class Index:
         self.ids, self.words = [ids[i] for i in keep], [words[i] for i in keep]
         self.plain = [plain(texts[i]) for i in keep]
         self.sizes = sorted({window_size(len(w)) for w in self.words}, reverse=True)
-        repeats = 1
-        while self.words and repeats < 8 and recall_at(Walks(repeats), self.words, design_rate) < target_recall:
-            repeats += 1
-        self.walks = Walks(repeats)
+        self.walks: dict[int, Walks] = {}
+        self.recall: dict[int, float] = {}  # as simulated, of the worse kind of edits
+        for w in self.sizes:
+            own = [x for x in self.words if window_size(len(x)) == w]
+            needed = np.stack([walks_to_find(own, with_edits, max(design_rate, max_edit)), walks_to_find(own, with_run, max_edit)])
+            shares = [float((needed <= r).mean(axis=1).min()) for r in range(1, MOST_WALKS + 1)]
+            repeats = next((r for r, x in enumerate(shares, 1) if x >= target_recall), MOST_WALKS)
+            self.walks[w], self.recall[w] = Walks(repeats), shares[repeats - 1]
+            if self.recall[w] < target_recall:
+                warnings.warn(f"windows of {w} words: {repeats} walks find {self.recall[w]:.3f} of edited items, not {target_recall}", stacklevel=2)
         self.tables: dict[tuple[int, int, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         if not self.words:
             return
@@ -143,9 +172,9 @@ class Index:
         begins = np.cumsum([0, *lengths[:-1]])
         for w in self.sizes:
             own = [i for i in range(len(self.words)) if window_size(len(self.words[i])) == w]
-            offsets = range(SIZES[w])
-            entry = np.array([(i, o) for i in own for o in offsets], np.int64)
-            for k, keys, samples in self.walks.keys(joined, begins[entry[:, 0]] + entry[:, 1], [w]):
+            starts = [window_starts(len(self.words[i])) for i in own]
+            entry = np.stack((np.repeat(own, [len(x) for x in starts]), np.concatenate(starts)), axis=1).astype(np.int32)
+            for k, keys, samples in self.walks[w].keys(joined, begins[entry[:, 0]] + entry[:, 1], [w]):
                 good = np.flatnonzero(telling(samples))
                 good = good[np.argsort(keys[good], kind="stable")]
                 some = np.zeros(1 << 18, bool)
@@ -160,10 +189,11 @@ class Index:
         of_row = np.repeat(words.first[:-1], np.diff(words.first))
         index = np.arange(len(words.hash))
         padded = _padded(words.hash)
+        firsts = words.first.tolist()
         found: set[tuple[int, int, int]] = set()
         for size in self.sizes:
             starts = index[(index - of_row) % SIZES[size] == 0]
-            for k, keys, _ in self.walks.keys(padded, starts, [size]):
+            for k, keys, _ in self.walks[size].keys(padded, starts, [size]):
                 sorted_keys, entry, some = self.tables[k]
                 near = np.flatnonzero(some[keys >> np.uint64(46)])
                 mine = keys[near]
@@ -171,18 +201,17 @@ class Index:
                 last = np.searchsorted(sorted_keys, mine, side="right")
                 for at in np.flatnonzero(last > first):
                     for item, offset in entry[first[at] : last[at]]:
-                        found.add((int(starts[near[at]]), int(offset), int(item)))
+                        window = int(starts[near[at]])
+                        found.add((bisect_right(firsts, window) - 1, window - int(offset), int(item)))
         best: dict[tuple[int, int], tuple[int, int]] = {}
         lo = int(bounds[0])
-        for window, offset, item in sorted(found):
-            row = int(np.searchsorted(words.first, window, side="right")) - 1
-            start = window - offset
+        for row, start, item in sorted(found):
             a0, b0 = int(words.first[row]), int(words.first[row + 1])
             n = len(self.words[item])
             if start >= a0 and start + n <= b0 and np.array_equal(words.hash[start : start + n], self.words[item]):
                 distance = 0
             else:
-                slack = int(self.max_edit * n) + 2
+                slack = int(self.max_edit * max(n, len(self.plain[item]) / 2)) + 2  # a word more or less is two edits at least
                 a, b = max(a0, start - slack), min(b0, start + n + slack)
                 if a >= b:
                     continue
@@ -238,10 +267,12 @@ def fit_distance(pattern: str, text: str) -> int:
     return least
 
 
-def index_blocks(benchmark: DataFrame, block: int = 20_000, **params) -> Iterator[Index]:
-    """Indexes of blocks of at most about ``block`` items."""
+def index_blocks(benchmark: DataFrame, block: int = 300_000, **params) -> Iterator[Index]:
+    """Indexes of blocks of items with at most about ``block`` words, each of which
+    can start a window."""
     items = benchmark.where("text IS NOT NULL").select("item_id", "text")
-    blocks = max(1, -(-items.count() // block))
+    total = items.agg(F.sum(F.size(F.split("text", "\\s+")))).first()[0] or 0
+    blocks = max(1, -(-total // block))
     for b in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else items
         rows = sorted(part.collect(), key=lambda r: (r["item_id"] or 0, r["text"]))

@@ -122,6 +122,28 @@ def test_decontamination(spark, documents):
     assert kept == set(text) - {d for d, _ in got}
 
 
+def test_decontamination_of_clustered_edits():
+    """One run of edited words anywhere in an item: within a fifth of its characters, found."""
+    rng = random.Random(6)
+    lengths = [12, 20, 24, 40, 59, 59, 100, 100, 100, 160]
+    items = [[f"w{rng.randrange(10**5, 10**6)}" for _ in range(n)] for n in lengths]
+    index = decontam.Index(list(range(len(items))), [" ".join(x) for x in items])
+    assert set(index.recall) == set(index.sizes) and min(index.recall.values()) >= 0.95
+    texts, wanted = [], []
+    for k, item in enumerate(items):
+        run = len(item) * 16 // 100
+        for at in range(0, len(item) - run + 1, max(1, len(item) // 25)):
+            new = [f"z{rng.randrange(10**5, 10**6)}" for _ in range(run)]
+            before = [f"n{rng.randrange(10**6)}" for _ in range(rng.randrange(40))]
+            texts.append(" ".join([*before, *item[:at], *new, *item[at + run :], "end"]).encode())
+            wanted.append(k)
+    hits = index.hits(np.frombuffer(b"".join(texts), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in texts]))))
+    got = {(row, item) for row, item, *_ in hits}
+    for k in range(len(items)):
+        mine = [r for r, x in enumerate(wanted) if x == k]
+        assert sum((r, k) in got for r in mine) >= 0.9 * len(mine), lengths[k]
+
+
 def test_decontamination_edges(spark, edge, empty):
     bench = spark.createDataFrame([(1, TEXTS[6]), (2, None), (3, "one"), (1, TEXTS[6])], "item_id long, text string")
     hits = decontam.search(edge, bench).collect()
