@@ -115,19 +115,36 @@ def fit_power(values: np.ndarray, tolerance: float = 1e-6) -> Power:
     return Power(lam, float(z.mean()), float(z.std()) or 1.0)
 
 
-def fit_scalers(df: DataFrame, names: list[str], bound: int = 100_000) -> dict[str, Power]:
-    """Scalers of median-filled columns.  Field plots are some thousands; beyond
-    ``bound`` rows a hashed sample of that size is taken."""
-    total = df.count()
+def fit_scalers(df: DataFrame, names: list[str], tolerance: float = 1e-6) -> dict[str, Power]:
+    """Scalers of median-filled columns, by maximum likelihood over all rows: one
+    aggregate has the likelihoods of a grid of lambdas, further ones those of finer
+    grids around the best; only sums reach the driver."""
     medians = df.agg(*(F.percentile(t, F.lit(0.5)).alias(t) for t in names)).first()
     empty = [t for t in names if medians[t] is None]
     if empty:
         raise ValueError(f"no values: {empty}")
     filled = df.select(*(F.coalesce(F.col(t).cast("double"), F.lit(medians[t])).alias(t) for t in names))
-    if total > bound:
-        filled = filled.where(F.pmod(F.xxhash64(*names), F.lit(total)) < bound)
-    table = filled.toPandas()
-    return {t: fit_power(table[t].to_numpy()) for t in names}
+
+    def moments(lams: dict[str, np.ndarray]) -> dict[str, list[tuple[float, float]]]:
+        """(mean, standard deviation) of each column by each of its lambdas."""
+        aggs = []
+        for i, t in enumerate(names):
+            for k, lam in enumerate(lams[t]):
+                z = scaled(F.col(t), Power(float(lam), 0.0, 1.0))
+                aggs += [F.avg(z).alias(f"m{i}_{k}"), F.stddev_pop(z).alias(f"s{i}_{k}")]
+        r = filled.agg(*aggs).first()
+        return {t: [(r[f"m{i}_{k}"], r[f"s{i}_{k}"]) for k in range(len(lams[t]))] for i, t in enumerate(names)}
+
+    logs = filled.agg(*(F.avg(F.signum(t) * F.log1p(F.abs(t))).alias(t) for t in names)).first()
+    grids = {t: np.linspace(-5, 5, 41) for t in names}
+    while True:
+        found, best = moments(grids), {}
+        for t in names:
+            losses = [np.log(s) - (lam - 1) * logs[t] if s and np.isfinite(s) else np.inf for lam, (_, s) in zip(grids[t], found[t], strict=True)]
+            best[t] = int(np.argmin(losses))
+        if all(grids[t][1] - grids[t][0] <= tolerance for t in names):
+            return {t: Power(float(grids[t][best[t]]), found[t][best[t]][0], found[t][best[t]][1] or 1.0) for t in names}
+        grids = {t: np.linspace(grids[t][max(0, best[t] - 1)], grids[t][min(len(grids[t]) - 1, best[t] + 1)], 21) for t in names}
 
 
 def scale(df: DataFrame, scalers: dict[str, Power], keep: list[str]) -> DataFrame:

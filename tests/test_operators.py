@@ -288,3 +288,14 @@ def test_forest_floor(spark):
 def test_scaler_gate(spark):
     df = spark.createDataFrame([(float(i),) for i in range(-20, 60)], "a double")
     assert verify.round_trip(df, {"a": Power(0.4, 0.0, 1.0)}).first().error < 1e-6
+
+
+def test_scalers_of_many_rows_with_a_hot_value(spark):
+    """All rows count, beyond 100,000 too, where a third of them are equal."""
+    x = F.when(F.col("id") % 3 == 0, 40.0).otherwise(F.exp(F.pmod(F.xxhash64("id"), F.lit(1000)) / 400.0))
+    df = spark.range(120_000).select(x.alias("x"), F.when(F.col("id") % 3 == 0, -2.0).when(F.col("id") % 7 > 0, F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1000)) / 250.0 - 2).alias("y"))
+    values = df.toPandas()
+    got = targets.fit_scalers(df, ["x", "y"])
+    for t in ("x", "y"):
+        want = targets.fit_power(values[t].fillna(values[t].median()).to_numpy())
+        assert np.allclose([got[t].lam, got[t].mean, got[t].scale], [want.lam, want.mean, want.scale], rtol=1e-4, atol=1e-4)
