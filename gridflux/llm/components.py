@@ -4,6 +4,11 @@ Each round links the larger neighbours of a node to the least node around it,
 then the smaller ones; the table of a round is staged in the shared folder, so
 lineage stays short and a lost executor costs one round at most.  Hot nodes
 only meet in grouped minima and joins, which Spark pre-aggregates and splits.
+
+Defined cases: nodes are of any one type that Spark can order; loops, repeated
+and reversed links are allowed; links with a null end are dropped; nodes without
+links have no row; an empty table gives an empty table; links that don't settle
+in the given rounds raise an error.
 """
 
 from __future__ import annotations
@@ -19,11 +24,7 @@ def _mark(edges: DataFrame) -> tuple:
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """(node, component): the least node of each linked node's component.
-
-    ``links`` has columns a and b; loops and repeats are allowed, nulls are
-    dropped.  Nodes without links have no row.
-    """
+    """(node, component) of ``links`` (a, b): the least node of each linked node's component."""
     a, b = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     edges = stage(links.where("a <> b").select(a, b).distinct(), "cc")
     mark = _mark(edges)

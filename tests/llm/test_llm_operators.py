@@ -425,8 +425,54 @@ def test_jaccard(spark, documents, edge, empty):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == brute_components(ids)
     assert next(r.component_id for r in got if r.doc_id is None) == 6
     kept = [r.doc_id for r in jaccard.keep_one(edge).collect()]
-    assert 7 not in kept and kept.count(6) == 2 and 0 in kept
-    assert jaccard.join_similar(empty).count() == 0
+    assert 7 not in kept and kept.count(6) == 2 and 0 in kept and None not in kept
+    assert jaccard.keep_one(edge).columns == edge.columns
+    assert jaccard.join_similar(empty).count() == 0 and jaccard.keep_one(empty).count() == 0
+    # Hot lists dealt by class give the same.
+    spread = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.join_similar(docs, hot=2).collect()}
+    assert spread == {(k, *v) for k, v in brute_components(texts).items()}
+
+
+def test_parity_filter_is_a_bound():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        n, m, both = (int(rng.integers(1, 400)) for _ in range(3))
+        common = rng.integers(0, 1 << 56, both, dtype=np.uint64)
+        x, y = (np.unique(np.concatenate((common, rng.integers(0, 1 << 56, k, dtype=np.uint64)))) for k in (n, m))
+        assert jaccard.least_difference(jaccard.parity(x), jaccard.parity(y)) <= len(np.setxor1d(x, y))
+    x, y = (np.unique(rng.integers(0, 1 << 56, 500, dtype=np.uint64)) for _ in range(2))
+    assert jaccard.least_difference(jaccard.parity(x), jaccard.parity(y)) > 200
+
+
+def test_sketch_is_added_up_in_levels(spark, documents, monkeypatch):
+    first = jaccard.first_pass(documents.repartition(9), 5)
+    whole = jaccard.rarity(first)
+    monkeypatch.setattr(jaccard, "FAN_IN", 2)
+    assert np.array_equal(jaccard.rarity(first), whole) and whole.any()
+
+
+def test_repeated_rows_are_verified_once(spark, monkeypatch):
+    """Repeats of two near copies, with and without ids, are one pair; a pair that
+    failed with a hub isn't tried again."""
+    a = " ".join(f"w{i}" for i in range(100))
+    rows = [(i % 2 or None, a) for i in range(60)] + [(5, a + " end") for _ in range(60)]
+    tried = []
+    verify = jaccard.verify
+    monkeypatch.setattr(jaccard, "verify", lambda d, c, pairs, *x: (tried.append(pairs.collect()), verify(d, c, pairs, *x))[1])
+    got = jaccard.join_similar(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert len(got) == 120 and {r.component_id for r in got} == {1}
+    assert [len(t) for t in tried] == [1, 0]
+    tried.clear()
+    jaccard.join_similar(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).count()
+    first, second = ([(r.a, r.b) for r in t] for t in tried)
+    assert first and not set(first) & set(second) and len(set(first)) == len(first) and len(set(second)) == len(second)
+
+
+def test_one_of_a_group_stays_though_ids_clash(spark):
+    a = " ".join(f"w{i}" for i in range(100))
+    other = " ".join(f"v{i}" for i in range(50))
+    docs = spark.createDataFrame([(5, a, "x"), (5, other, "y"), (3, a + " end", "z"), (None, a, "n"), (None, "lone one", "m")], "doc_id long, text string, class string")
+    assert sorted(r["class"] for r in jaccard.keep_one(docs).collect()) == ["m", "y", "z"]
 
 
 def test_jaccard_containment(spark):
