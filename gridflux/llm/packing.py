@@ -1,17 +1,22 @@
 """Best-fit packing of documents into sequences by bin completion.
 
 Documents are cut into pieces of at most ``capacity`` tokens.  Packing needs
-only how many pieces have each length, so the search runs on a histogram of at
-most ``capacity`` numbers: for the largest length left it enumerates
-undominated fillings of the rest of its sequence, takes the one with the least
-waste, and applies it as often as the counts allow.  Best-fit decreasing gives
-the first incumbent, waste prunes the alternatives, and the search ends when it
-meets the bound ceil(tokens / capacity) or its node limit.  The result, a list
-of (filling, times), is turned into places: pieces of one length are numbered
-over the cluster (rank inside small (length, bucket) groups plus group
-offsets), and a number says which filling, which copy and which offset.
-
-Defined cases: a null or empty text is the single id 0; repeated rows are
+only how many pieces have each length, so the branch and bound runs on a
+histogram of at most ``capacity`` numbers, whatever the number of documents.  A
+node takes the largest length left and enumerates the undominated fillings of
+the rest of its sequence (a bounded subset-sum table over the lengths left leads
+to those with the least waste first) and how often to apply one.  Best-fit
+decreasing gives the first incumbent; a branch is cut where its waste exceeds
+what a plan with one sequence less than the incumbent may waste.  The search
+backtracks with a growing number of choices that aren't the first (limited
+discrepancies), until it meets the lower bound, has tried all branches, or has
+done ``work`` steps.  The result, a list of (filling, times), is turned into
+places: pieces of one length are numbered over the cluster (rank inside small
+(length, bucket) groups plus group offsets), and a number says which filling,
+which copy and which offset.
+
+Defined cases: a null or empty text is the single id 0; a special string in a
+text is its special id, as in the ``tokenizers`` library; repeated rows are
 packed as often as they come; ties are dealt by (doc_id, piece); an empty table
 gives an empty table; columns beyond the id and the text are ignored.
 """
@@ -20,6 +25,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +36,7 @@ from pyspark.sql.window import Window
 from gridflux.llm.common import stage
 from gridflux.llm.tokens import encoder, read_vocabulary
 
-CAPACITY = 2048
+CAPACITY, NODE = 2048, 400
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -92,41 +98,99 @@ def _best_fit(counts: np.ndarray, room: int) -> tuple[int, ...]:
     return tuple(out)
 
 
-def fillings(counts: np.ndarray, room: int, most: int = 3) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room``, least waste first: of one, two and three
-    pieces, and best fit after each first piece.  A pair whose sum is itself
-    there as one piece is dominated by it."""
-    have = counts[: room + 1] > 0
-    have[0] = False
-    lengths = np.flatnonzero(have)[::-1]
-    if not len(lengths):
+def _bits(reach: int, at: int) -> bool:
+    return at >= 0 and bool(reach >> at & 1)
+
+
+def _sums(lengths: list[int], counts: np.ndarray, room: int) -> list[int]:
+    """Bit k of the i-th number: whether pieces of ``lengths[i:]`` can add up to k."""
+    mask = (1 << (room + 1)) - 1
+    out = [1] * (len(lengths) + 1)
+    for i in range(len(lengths) - 1, -1, -1):
+        reach, n = out[i + 1], lengths[i]
+        left, step = min(int(counts[n]), room // n), 1
+        while left > 0:
+            step = min(step, left)
+            reach |= (reach << (n * step)) & mask
+            left -= step
+            step *= 2
+        out[i] = reach
+    return out
+
+
+def _with_sum(lengths: list[int], counts: np.ndarray, sums: list[int], at: int, goal: int) -> Iterator[tuple[int, ...]]:
+    """Fillings of ``lengths[at:]`` with a given sum, large pieces first."""
+    if goal == 0:
+        yield ()
+        return
+    for i in range(at, len(lengths)):
+        n = lengths[i]
+        if n > goal:
+            continue
+        for k in range(min(int(counts[n]), goal // n), 0, -1):
+            if _bits(sums[i + 1], goal - n * k):
+                for rest in _with_sum(lengths, counts, sums, i + 1, goal - n * k):
+                    yield (n,) * k + rest
+
+
+def dominates(one: tuple[int, ...], other: tuple[int, ...]) -> bool:
+    """Whether the pieces of ``other`` fit into room as large as those of ``one``."""
+    if sum(other) > sum(one):
+        return False
+    if len(other) > 8 or len(one) > 8:
+        return False  # not worth the search
+
+    def put(k: int, room: list[int]) -> bool:
+        if k == len(other):
+            return True
+        for i in range(len(room)):
+            if room[i] >= other[k] and room[i] not in room[:i]:
+                room[i] -= other[k]
+                if put(k + 1, room):
+                    return True
+                room[i] += other[k]
+        return False
+
+    return put(0, list(one))
+
+
+def fillings(counts: np.ndarray, room: int, most_waste: int, most: int) -> list[tuple[int, ...]]:
+    """Undominated fillings of ``room``, least waste first, ``most`` at most."""
+    lengths = (np.flatnonzero(counts[1 : room + 1])[::-1] + 1).tolist()
+    if not lengths:
         return [()]
     if lengths[0] == room:
         return [(room,)]  # dominates every other filling
-    found: dict[tuple[int, ...], int] = {(int(lengths[0]),): room - int(lengths[0])}
-    exact = lengths[have[room - lengths]]
-    exact = exact[(exact > room - exact) | ((exact == room - exact) & (counts[exact] > 1))]
-    for a in exact[:most]:
-        found[(int(a), room - int(a))] = 0
-    if not len(exact):
-        for a in lengths[:64]:
-            rest = room - int(a)
-            mine = counts.copy()
-            mine[a] -= 1
-            left = np.flatnonzero(mine[: rest + 1])
-            left = left[left > 0]
-            two = left[(mine[rest - left] > 0) & (left >= rest - left)]
-            two = two[(two > rest - two) | (mine[two] > 1)]
-            if len(two):
-                b, c = int(two[-1]), rest - int(two[-1])
-                found[tuple(sorted((int(a), b, c), reverse=True))] = 0
-                break
-            more = _best_fit(mine, rest)
-            filling = tuple(sorted((int(a), *more), reverse=True))
-            found[filling] = rest - sum(more)
-            if not found[filling]:
-                break
-    return sorted(found, key=lambda f: (found[f], len(f)))[:most]
+    sums = _sums(lengths, counts, room)
+    out: list[tuple[int, ...]] = []
+    tried, goal = 0, sums[0].bit_length() - 1
+    while goal > 0 and room - goal <= most_waste and len(out) < most and tried < 4 * most:
+        if _bits(sums[0], goal):
+            for filling in _with_sum(lengths, counts, sums, 0, goal):
+                tried += 1
+                fits = next((n for n in reversed(lengths) if counts[n] > filling.count(n)), room + 1) <= room - goal
+                if not fits and not any(dominates(f, filling) for f in out):
+                    out.append(filling)
+                if len(out) == most or tried >= 4 * most:
+                    break
+        goal -= 1
+    return out
+
+
+def lower_bound(counts: np.ndarray, capacity: int) -> int:
+    """No packing has fewer sequences: pieces over half a sequence never share one,
+    and the others must fit beside them."""
+    n = np.arange(capacity + 1)
+    best = -(-int((counts * n).sum()) // capacity)
+    pieces, tokens = np.concatenate(([0], np.cumsum(counts))), np.concatenate(([0], np.cumsum(counts * n)))
+    half = capacity // 2
+    for k in range(1, half + 1):
+        alone = int(pieces[-1] - pieces[capacity - k + 1])
+        large = int(pieces[capacity - k + 1] - pieces[half + 1])
+        free = large * capacity - int(tokens[capacity - k + 1] - tokens[half + 1])
+        small = int(tokens[half + 1] - tokens[k])
+        best = max(best, alone + large + max(0, -(-(small - free) // capacity)))
+    return best
 
 
 def _descend(counts: np.ndarray, capacity: int, choose) -> tuple[list[tuple[tuple[int, ...], int]], int]:
@@ -146,32 +210,95 @@ def _descend(counts: np.ndarray, capacity: int, choose) -> tuple[list[tuple[tupl
         bins += times
 
 
-def complete_bins(histogram: dict[int, int], capacity: int = CAPACITY, node_limit: int = 8) -> list[tuple[tuple[int, ...], int]]:
+@dataclass
+class _Node:
+    """Options (filling, times) of a node; which is applied, and what the branch wasted before."""
+
+    options: list[tuple[tuple[int, ...], int]]
+    waste: int
+    spare: int  # choices other than the first that this branch may still take
+    at: int = -1
+
+
+class _Search:
+    def __init__(self, counts: np.ndarray, capacity: int, plan: list, bins: int, work: int, most: int):
+        self.counts, self.capacity, self.best, self.bins, self.work, self.most = counts, capacity, plan, bins, work, most
+        self.tokens = int((counts * np.arange(capacity + 1)).sum())
+        self.cut = False  # whether a branch was left out for its discrepancies
+
+    def may_waste(self) -> int:
+        return (self.bins - 1) * self.capacity - self.tokens
+
+    def node(self, waste: int, spare: int) -> _Node | None:
+        left = np.flatnonzero(self.counts)
+        if not len(left):
+            return None
+        self.work -= len(left) + NODE
+        top = int(left[-1])
+        self.counts[top] -= 1
+        some = fillings(self.counts, self.capacity - top, self.may_waste() - waste, self.most)
+        self.counts[top] += 1
+        options = []
+        for f in some:
+            filling = (top, *f)
+            lengths, need = np.unique(filling, return_counts=True)
+            times = int((self.counts[lengths] // need).min())
+            alone = len(some) == 1 and (not f or sum(filling) == self.capacity and len(f) == 1)
+            for rank, t in enumerate([times] if alone else dict.fromkeys((times, -(-times // 2), 1))):
+                options.append((rank, len(options), filling, t))
+        return _Node([(f, t) for *_, f, t in sorted(options)], waste, spare)
+
+    def apply(self, filling: tuple[int, ...], times: int) -> None:
+        np.subtract.at(self.counts, list(filling), times)
+
+    def descend(self, spare: int, bound: int) -> None:
+        """All branches with at most ``spare`` choices that aren't the first."""
+        first = self.node(0, spare)
+        stack = [first] if first else []
+        while stack and self.work > 0 and self.bins > bound:
+            node = stack[-1]
+            if node.at >= 0:
+                self.apply(node.options[node.at][0], -node.options[node.at][1])
+            node.at += 1
+            if node.at == len(node.options) or (node.at and not node.spare):
+                self.cut |= node.at < len(node.options)
+                stack.pop()
+                continue
+            filling, times = node.options[node.at]
+            self.apply(filling, times)
+            waste = node.waste + times * (self.capacity - sum(filling))
+            if waste > self.may_waste():
+                continue
+            below = self.node(waste, node.spare - (node.at > 0))
+            if below:
+                stack.append(below)
+            else:
+                self.best = [n.options[n.at] for n in stack]
+                self.bins = sum(t for _, t in self.best)
+        for node in stack:
+            if node.at >= 0:
+                self.apply(node.options[node.at][0], -node.options[node.at][1])
+
+
+def complete_bins(histogram: dict[int, int], capacity: int = CAPACITY, work: int = 3_000_000, most: int = 12) -> list[tuple[tuple[int, ...], int]]:
     """(filling, times) that hold every piece of the histogram, in few sequences.
 
-    Descents are nodes of the search: the first is best-fit decreasing (the
-    incumbent), the second takes the least waste at each step, and further ones
-    take the second-best filling at one step each, while the bound isn't met.
+    ``work`` bounds the search: a node costs NODE and the number of lengths left,
+    about a microsecond each; ``most`` bounds the fillings of a node.
     """
     counts = np.zeros(capacity + 1, np.int64)
     for n, c in histogram.items():
         counts[n] = c
-    bound = -(-int((counts * np.arange(capacity + 1)).sum()) // capacity)
-    best, bins = _descend(counts, capacity, _best_fit)
-    for node in range(node_limit):
-        if bins <= bound:
-            break
-        step = [0]
-
-        def choose(c: np.ndarray, room: int, node=node, step=step) -> tuple[int, ...]:
-            options = fillings(c, room)
-            step[0] += 1
-            return options[min(1, len(options) - 1)] if node and step[0] == 8 * node else options[0]
-
-        found, n = _descend(counts, capacity, choose)
-        if n < bins:
-            best, bins = found, n
-    return best
+    bound = lower_bound(counts, capacity)
+    plan, bins = _descend(counts, capacity, _best_fit)
+    search, spare = _Search(counts, capacity, plan, bins, work, most), 0
+    while search.bins > bound and search.work > 0:
+        search.cut = False
+        search.descend(spare, bound)
+        if not search.cut:
+            break  # all branches were tried
+        spare = 2 * spare + 1
+    return search.best
 
 
 def places(plan: list[tuple[tuple[int, ...], int]], capacity: int = CAPACITY) -> dict[int, np.ndarray]:
