@@ -11,9 +11,11 @@ plain rows, which Spark aggregates and joins with skewed keys split.
 
 A list of one shingle's sets isn't expanded into all pairs.  First each set is
 paired with the hub of the list alone, its first class (linear in the lists; the
-lists of near copies hence mostly have the same hub); verified links give components.  Then only lists
-that still hold sets of different components are expanded, by bands of fitting
-lengths, across components alone and without the pairs of the first step.  All
+lists of near copies hence mostly have the same hub); verified links give
+components.  Lists that still hold sets of different components then take other
+hubs for a few rounds, by a hash of list and class, which joins the rest of large
+groups in linear work.  What is mixed after that is expanded, by bands of fitting
+lengths, across components alone.  No pair is tried twice.  All
 pairs pass the length filter and the positional filter, which counts as missed a
 set's shingles before the first common one; distinct pairs then pass a parity
 filter (sets that differ in d shingles have bitmaps of parities that differ in d
@@ -49,6 +51,8 @@ FIRST = "doc_id long, n int, class long, parity binary, slice int, task int, cel
 POSTING = "list long, class long, n int, cost int"
 #: Blobs of a sketch slice that one group adds up.
 FAN_IN = 256
+#: Rounds with some hubs of its own for each list before lists are expanded.
+HUB_ROUNDS, HUBS = 2, 12
 
 
 def _distinct(hashes: np.ndarray) -> np.ndarray:
@@ -363,27 +367,36 @@ def _pairs(both: DataFrame, x: str, y: str) -> DataFrame:
     return both.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
-def hub_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Each set of a list with the list's hub, the set that comes first in its list."""
-    me = F.struct("class", "n", "cost")
-    hubs = rows.groupBy("list").agg(F.min(me).alias("hub"))
+ME = ("class", "n", "cost", "component")
+
+
+def hub_pairs(rows: DataFrame, orders: list[Column], percent: int) -> DataFrame:
+    """Each set of a list with the list's hubs, its first sets by each of ``orders``,
+    unless both have one component."""
+    me = F.struct(*(c for c in ME if c in rows.columns))
+    hubs = rows.groupBy("list").agg(*(F.min_by(me, o).alias(f"hub{k}") for k, o in enumerate(orders)))
+    hubs = hubs.select("list", F.explode(F.array_distinct(F.array(*(f"hub{k}" for k in range(len(orders)))))).alias("hub"))
     both = rows.select("list", me.alias("own")).join(hubs, "list")
-    return stage(_pairs(both.where((F.col("own.class") != F.col("hub.class")) & passes("own", "hub", percent)), "own", "hub"), "jaccard-hubs")
+    apart = F.col("own.component") != F.col("hub.component") if "component" in rows.columns else F.lit(True)
+    return _pairs(both.where((F.col("own.class") != F.col("hub.class")) & apart & passes("own", "hub", percent)), "own", "hub")
 
 
-def cross_pairs(rows: DataFrame, found: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a list whose sets have different components so far, but for tested
-    ones.  Sets meet only in bands of lengths that the length filter can pass."""
-    rows = rows.join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
+def mixed_lists(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Postings of lists that hold different components so far; staged."""
+    rows = rows.drop("component").join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
     mixed = rows.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("list")
+    return stage(rows.join(mixed, "list", "left_semi").select("list", *ME), "jaccard-mixed")
+
+
+def cross_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a list whose sets have different components.  Sets meet only in bands
+    of lengths that the length filter can pass."""
     band = F.floor(F.log("n") / float(np.log(100.1 / percent))).cast("int")
-    me = F.struct("class", "n", "cost", "component")
-    rows = stage(rows.join(mixed, "list", "left_semi").select("list", band.alias("band"), me.alias("x")), "jaccard-mixed")
+    rows = rows.select("list", band.alias("band"), F.struct(*ME).alias("x"))
     theirs = rows.select("list", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"), F.col("x").alias("y"), F.col("band").alias("own"))
     both = rows.join(theirs, ["list", "band"])
     once = (F.col("own") < F.col("band")) | (F.col("x.class") < F.col("y.class"))
-    both = both.where((F.col("x.component") != F.col("y.component")) & once & passes("x", "y", percent))
-    return stage(_pairs(both, "x", "y").join(tested, ["a", "b"], "left_anti"), "jaccard-cross")
+    return _pairs(both.where((F.col("x.component") != F.col("y.component")) & once & passes("x", "y", percent)), "x", "y")
 
 
 def _node() -> Column:
@@ -420,10 +433,18 @@ def join_similar(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, hot:
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(partitions, total * (101 - percent) // 100 // PER_BUCKET + 1)
     postings = stage(prefix_postings(docs, rarity(first), buckets, size, percent, hot), "jaccard-lists")
-    hubs = hub_pairs(postings, percent)
-    links = verify(docs, classes, hubs, size, percent)
-    more = verify(docs, classes, cross_pairs(postings, _by_class(components(_labelled(links, classes))), hubs, percent), size, percent)
-    named = stage(_named(classes, components(_labelled(links.union(more), classes))), "jaccard-components")
+    tested = stage(hub_pairs(postings, [F.col("class")], percent), "jaccard-pairs")
+    links = verify(docs, classes, tested, size, percent)
+    mixed = postings
+    for step in range(HUB_ROUNDS + 1):
+        mixed = mixed_lists(mixed, _by_class(components(_labelled(links, classes))))
+        if mixed.isEmpty():
+            break
+        orders = [F.xxhash64("class", "list", F.lit(HUBS * step + k)) for k in range(HUBS)]
+        pairs = hub_pairs(mixed, orders, percent) if step < HUB_ROUNDS else cross_pairs(mixed, percent)
+        pairs = stage(pairs.join(tested, ["a", "b"], "left_anti"), "jaccard-pairs")
+        links, tested = links.union(verify(docs, classes, pairs, size, percent)), tested.union(pairs)
+    named = stage(_named(classes, components(_labelled(links, classes))), "jaccard-components")
     joined = of_doc.join(named, "class", "left")
     alone = F.col("n") == 0
     return joined.select(
