@@ -85,13 +85,12 @@ def text_buffers(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarra
     return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), bounds
 
 
-def byte_slices(bounds: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most ``limit`` bytes and SLICE_ROWS rows each, but of one row
-    at least."""
+def byte_slices(bounds: np.ndarray, limit: int = SLICE_BYTES, rows: int = SLICE_ROWS) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most ``limit`` bytes and ``rows`` rows each, but of one row at least."""
     i, n = 0, len(bounds) - 1
     while i < n:
         j = int(np.searchsorted(bounds, bounds[i] + limit, side="right")) - 1
-        j = min(max(j, i + 1), i + SLICE_ROWS, n)
+        j = min(max(j, i + 1), i + rows, n)
         yield i, j
         i = j
 
