@@ -15,11 +15,16 @@ edit distance (characters, case and white space aside) of the whole item to the
 best fitting part of the document around it must be at most ``max_edit`` of the
 item's length.
 
+Items of few different words (``poor``) have no keys that tell much.  They are
+sought without keys: where so many of the item's words as ``max_edit`` must leave
+whole stand within as many words as it has, the text around is verified.
+
 The benchmark is worked through in blocks of a bounded number of words, each
 block broadcast and held against all documents in one map-only pass.
 
 Defined cases: null and empty texts hit nothing; items of fewer than 4 words
-are no evidence and are ignored; repeated documents and items give their rows
+are no evidence and are ignored; items of few or one word again and again are
+found by their own path; repeated documents and items give their rows
 each; of several places of one item in a document the best and then first is
 reported; an empty benchmark or document table gives no rows.
 """
@@ -36,12 +41,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridflux.llm.common import byte_slices, find_words, mix64, table, text_buffers
+from gridflux.llm.common import Words, byte_slices, find_words, mix64, table, text_buffers
 
 #: Words of a window and the stride of windows in documents; steps sampled by a
 #: table, and tables of a walk.
 SIZES, SAMPLES, TABLES = {32: 16, 16: 8, 8: 2, 4: 1}, 4, 5
-LONGEST, MOST_WALKS = max(SIZES), 8
+LONGEST, MOST_WALKS = max(SIZES), 16
 HITS = "doc_id long, item_id long, edit_distance int, item_chars int, similarity double, word_start int"
 
 
@@ -102,6 +107,16 @@ def telling(samples: list[np.ndarray], least: int = 3) -> np.ndarray:
     return 1 + (s[1:] != s[:-1]).sum(axis=0) >= least
 
 
+def poor(words: np.ndarray) -> bool:
+    """Whether fewer than half of an item's windows hold words enough for telling
+    keys: a third of their size and three at least."""
+    size = window_size(len(words))
+    least = max(3, size // 3)
+    windows = np.sort(np.lib.stride_tricks.sliding_window_view(words, size), axis=1)
+    distinct = 1 + (windows[:, 1:] != windows[:, :-1]).sum(axis=1)
+    return bool((distinct >= least).mean() < 0.5)
+
+
 def _padded(words: np.ndarray) -> np.ndarray:
     return np.concatenate((words, np.zeros(_steps(LONGEST) + 1, np.uint64)))
 
@@ -153,11 +168,13 @@ class Index:
         keep = [i for i, w in enumerate(words) if window_size(len(w))]
         self.ids, self.words = [ids[i] for i in keep], [words[i] for i in keep]
         self.plain = [plain(texts[i]) for i in keep]
-        self.sizes = sorted({window_size(len(w)) for w in self.words}, reverse=True)
+        self.poor = [i for i, w in enumerate(self.words) if poor(w)]
+        keyed = sorted(set(range(len(self.words))) - set(self.poor))
+        self.sizes = sorted({window_size(len(self.words[i])) for i in keyed}, reverse=True)
         self.walks: dict[int, Walks] = {}
         self.recall: dict[int, float] = {}  # as simulated, of the worse kind of edits
         for w in self.sizes:
-            own = [x for x in self.words if window_size(len(x)) == w]
+            own = [self.words[i] for i in keyed if window_size(len(self.words[i])) == w]
             needed = np.stack([walks_to_find(own, with_edits, max(design_rate, max_edit)), walks_to_find(own, with_run, max_edit)])
             shares = [float((needed <= r).mean(axis=1).min()) for r in range(1, MOST_WALKS + 1)]
             repeats = next((r for r, x in enumerate(shares, 1) if x >= target_recall), MOST_WALKS)
@@ -171,7 +188,7 @@ class Index:
         joined = np.concatenate([_padded(w) for w in self.words])
         begins = np.cumsum([0, *lengths[:-1]])
         for w in self.sizes:
-            own = [i for i in range(len(self.words)) if window_size(len(self.words[i])) == w]
+            own = [i for i in keyed if window_size(len(self.words[i])) == w]
             starts = [window_starts(len(self.words[i])) for i in own]
             entry = np.stack((np.repeat(own, [len(x) for x in starts]), np.concatenate(starts)), axis=1).astype(np.int32)
             for k, keys, samples in self.walks[w].keys(joined, begins[entry[:, 0]] + entry[:, 1], [w]):
@@ -184,7 +201,7 @@ class Index:
     def hits(self, data: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(row, item, edit distance, word) for rows of UTF-8 texts."""
         words = find_words(data, bounds)
-        if not self.tables or not len(words.hash):
+        if not len(words.hash):
             return []
         of_row = np.repeat(words.first[:-1], np.diff(words.first))
         index = np.arange(len(words.hash))
@@ -203,8 +220,8 @@ class Index:
                     for item, offset in entry[first[at] : last[at]]:
                         window = int(starts[near[at]])
                         found.add((bisect_right(firsts, window) - 1, window - int(offset), int(item)))
-        best: dict[tuple[int, int], tuple[int, int]] = {}
         lo = int(bounds[0])
+        best = self._dense(data, lo, words) if self.poor else {}
         for row, start, item in sorted(found):
             a0, b0 = int(words.first[row]), int(words.first[row + 1])
             n = len(self.words[item])
@@ -222,6 +239,24 @@ class Index:
                 best[key] = min(best.get(key, value), value)
         return [(row, item, d, w) for (row, item), (d, w) in sorted(best.items())]
 
+    def _dense(self, data: np.ndarray, lo: int, words: Words) -> dict[tuple[int, int], tuple[int, int]]:
+        """Hits of poor items: best (edit distance, word) by (row, item)."""
+        best: dict[tuple[int, int], tuple[int, int]] = {}
+        for item in self.poor:
+            own, n, most = self.words[item], len(self.words[item]), int(self.max_edit * len(self.plain[item]))
+            there = np.isin(words.hash, own)
+            total = np.concatenate(([0], np.cumsum(there)))
+            for row in np.unique(np.searchsorted(words.first, np.flatnonzero(there), side="right") - 1):
+                a0, b0 = int(words.first[row]), int(words.first[row + 1])
+                starts = np.arange(a0, max(a0, b0 - n) + 1)
+                dense = starts[total[np.minimum(starts + n, b0)] - total[starts] >= max(1, n - most)]
+                for run in np.split(dense, np.flatnonzero(np.diff(dense) > n + 2 * most) + 1) if len(dense) else ():
+                    a, b = max(a0, int(run[0]) - most - 1), min(b0, int(run[-1]) + n + most + 1)
+                    part = data[lo + int(words.start[a]) : lo + int(words.end[b - 1])].tobytes()
+                    value = fit_distance(self.plain[item], plain(part.decode())), int(run[0]) - a0
+                    if value[0] <= most:
+                        best[int(row), item] = min(best.get((int(row), item), value), value)
+        return best
 
     def _distance(self, item: int, text: str) -> int:
         """Edit distance, or the pattern's length if too few q-grams are shared:
