@@ -7,10 +7,14 @@ Landmarks are learning texts; the Nystroem map takes kernel values against them
 to features, one-versus-rest ridge regression is solved on these, and texts are
 scored in batches by two matrix products (presence x landmarks x weights).
 
-Learning uses a sample of at most ``per_lang`` texts of each language (a
-documented bound); every whole text is scored.
+Learning uses a sample of about ``per_lang`` texts of each language (a documented
+bound; rows that repeat an id and text are one); every whole text is scored.
 
-Defined cases: a text that is null or has no letter is ``und`` with score 0;
+``keep_known`` rejects texts that look like none of the languages: those whose best
+ridge score stays far below what nearly all learning texts outside the sample
+reach, by classes of length, since short texts say less.
+
+Defined cases: a text that is null or has no letter (Unicode category L) is ``und`` with score 0;
 with no learning rows every text is; ties go to the language first in
 alphabetical order; repeated rows are all kept; rows with a null id are scored
 as any other and count as not held out (their remainder is null).
@@ -18,12 +22,12 @@ as any other and count as not held out (their remainder is null).
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +35,7 @@ from gridflux.llm.common import LOWER, byte_slices, text_buffers, tucked
 
 NGRAMS = (2, 3, 4)
 WIDTH = 1 << 14
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 def remainder(id_col: str, divisor: int) -> Column:
@@ -73,19 +77,20 @@ class LanguageModel:
         return (cells.astype(np.float32) @ self.weights) / own[:, None] + self.bias
 
 
-def learning_rows(docs: DataFrame, per_lang: int) -> DataFrame:
+def learning_rows(docs: DataFrame, per_lang: int, most: float = 1.0, after: bool = False) -> DataFrame:
     """A deterministic sample of labelled rows: for each language the rows with
-    the smallest hashes, about ``per_lang`` by an estimated threshold."""
+    the smallest hashes of id and text, about ``per_lang`` by an estimated threshold
+    and a share of ``most`` of them; or what follows these, four times as many at
+    most.  Repeated rows are one."""
     rows = docs.where("lang IS NOT NULL AND text IS NOT NULL").where(F.coalesce(remainder("doc_id", 3), F.lit(0)) != 1)
-    totals = rows.groupBy("lang").count().collect()
-    share = F.lit(0.0)
-    for r in totals:  # one row for each language
-        share = F.when(F.col("lang") == r["lang"], min(1.0, per_lang / r["count"])).otherwise(share)
-    spread = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1 << 30)) / float(1 << 30)
-    return rows.where(spread < share).select("doc_id", "lang", "text")
+    rows = rows.select("doc_id", "lang", "text")
+    shares = rows.groupBy("lang").agg(F.least(F.lit(float(per_lang)) / F.count("*"), F.lit(most)).alias("share"))
+    low, high = (F.col("share"), F.col("share") * 5) if after else (F.lit(0.0), F.col("share"))
+    spread = F.pmod(F.xxhash64("doc_id", "lang", "text"), F.lit(1 << 30)) / float(1 << 30)
+    return rows.join(shares, "lang").where((spread >= low) & (spread < high)).select("doc_id", "lang", "text").dropDuplicates()
 
 
-def learn(docs: DataFrame, per_lang: int = 500, landmarks_per_lang: int = 64, ridge: float = 1e-3) -> LanguageModel:
+def learn(docs: DataFrame, per_lang: int = 500, landmarks_per_lang: int = 64, ridge: float = 1e-3, most: float = 1.0) -> LanguageModel:
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, bounds = text_buffers(batch.column(1))
@@ -96,14 +101,20 @@ def learn(docs: DataFrame, per_lang: int = 500, landmarks_per_lang: int = 64, ri
                     names=["lang", "cells", "doc_id"],
                 )
 
-    sample = learning_rows(docs, per_lang).select("lang", "text", "doc_id").mapInArrow(cells, "lang string, cells binary, doc_id long")
+    sample = learning_rows(docs, per_lang, most).select("lang", "text", "doc_id").mapInArrow(cells, "lang string, cells binary, doc_id long")
     rows = sorted(sample.collect(), key=lambda r: (r["lang"], r["cells"], r["doc_id"] or 0))  # bounded by per_lang
-    langs = sorted({r["lang"] for r in rows})
+    cells_of = np.unpackbits(np.frombuffer(b"".join(r["cells"] for r in rows), np.uint8).reshape(len(rows), WIDTH // 8), axis=1)
+    return fit(cells_of, [r["lang"] for r in rows], landmarks_per_lang, ridge)
+
+
+def fit(cells: np.ndarray, lang_of: list[str], landmarks_per_lang: int = 64, ridge: float = 1e-3) -> LanguageModel:
+    """Ridge regression on the Nystroem features of presence rows."""
+    langs = sorted(set(lang_of))
     if not langs:
         return LanguageModel([], np.zeros((WIDTH, 0), np.float32), np.zeros(0, np.float32))
-    x = np.unpackbits(np.array([np.frombuffer(r["cells"], np.uint8) for r in rows]), axis=1).astype(np.float32)
-    x = x[:, :WIDTH] / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
-    y = np.array([langs.index(r["lang"]) for r in rows])
+    x = cells.astype(np.float32)
+    x /= np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
+    y = np.array([langs.index(k) for k in lang_of])
     pick: list[int] = []
     for k in range(len(langs)):
         own = np.flatnonzero(y == k)
@@ -122,8 +133,9 @@ def learn(docs: DataFrame, per_lang: int = 500, landmarks_per_lang: int = 64, ri
 
 
 def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` (softmax share of the best language)."""
-    keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    """``docs`` with ``lang_pred``, ``score`` (softmax share of the best language) and
+    ``raw`` (its ridge score: about 1 for its texts, 0 for others)."""
+    keep = [c for c in docs.columns if c not in ("lang_pred", "score", "raw")]
     at = keep.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -131,7 +143,7 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> Da
         m = shared.value
         for batch in batches:
             data, bounds = text_buffers(batch.column(at))
-            pred, score = [], []
+            pred, score, raw = [], [], []
             for i, j in byte_slices(bounds, 1 << 18):
                 letters = [LETTER.search(str(data[a:b].tobytes(), "utf-8")) is not None for a, b in zip(bounds[i:j], bounds[i + 1 : j + 1], strict=True)]
                 for a in range(i, j, 64):  # rows of a presence matrix
@@ -139,6 +151,7 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> Da
                     if not m.langs:
                         pred += ["und"] * (b - a)
                         score += [0.0] * (b - a)
+                        raw += [0.0] * (b - a)
                         continue
                     s = m.score(presence(data, bounds[a : b + 1])).astype(np.float64)
                     best = s.argmax(axis=1)
@@ -147,19 +160,42 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> Da
                         seen = letters[a - i + k]
                         pred.append(m.langs[best[k]] if seen else "und")
                         score.append(float(1 / e[k].sum()) if seen else 0.0)
+                        raw.append(float(s[k, best[k]]) if seen else 0.0)
             kept = [batch.column(k) for k in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=[*keep, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(raw, pa.float64())], names=[*keep, "lang_pred", "score", "raw"])
 
     fields = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    schema = ", ".join(f"`{c}` {fields[c]}" for c in keep) + ", lang_pred string, score double"
+    schema = ", ".join(f"`{c}` {fields[c]}" for c in keep) + ", lang_pred string, score double, raw double"
     return docs.select(*keep).mapInArrow(run, schema)
 
 
-def keep_known(docs: DataFrame, least: float = 0.0) -> DataFrame:
+def length_class(n: Column) -> Column:
+    """Powers of two of a text's length, 32 and fewer characters in one class, 4,096 and
+    more in one."""
+    return F.least(F.greatest(F.floor(F.log2(n + 1.0)), F.lit(5)), F.lit(12)).cast("int")
+
+
+def least_scores(docs: DataFrame, model: LanguageModel, per_lang: int, most: float, low: float = 0.01, share: float = 0.3) -> dict[int, float]:
+    """By class of length the ridge score that a text of a known language reaches.  It
+    lies ``share`` of the way from what a text scores that has nothing of any language
+    to the ``low`` quantile over a sample of learning texts.  A class of fewer
+    than 20 of these, or whose quantile is less than 0.2 above, asks for nothing:
+    such texts are too short to tell."""
+    scored = predict(learning_rows(docs, per_lang, most, after=True), model).select("raw", length_class(F.length("text")).alias("size"))
+    rows = scored.groupBy("size").agg(F.count("*").alias("n"), F.percentile("raw", F.lit(low)).alias("q")).collect()  # eight classes
+    base = float(model.bias.max()) if len(model.bias) else 0.0
+    return {r["size"]: base + share * (r["q"] - base) for r in rows if r["n"] >= 20 and r["q"] >= base + 0.2}
+
+
+def keep_known(docs: DataFrame, per_lang: int = 500, most: float = 0.75, **params) -> DataFrame:
     """Rows with a language that the model knows; their own columns."""
     inner, back = tucked(docs, ["doc_id", "text", "lang"])
-    scored = predict(inner, learn(inner))
-    return back(scored.where((F.col("lang_pred") != "und") & (F.col("score") > least)))
+    model = learn(inner, per_lang, most=most)
+    least = least_scores(inner, model, per_lang, most, **params)
+    asked = F.lit(float("-inf"))
+    for size, score in least.items():
+        asked = F.when(length_class(F.length("text")) == size, score).otherwise(asked)
+    return back(predict(inner, model).where((F.col("lang_pred") != "und") & (F.col("raw") >= asked)))
 
 
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
