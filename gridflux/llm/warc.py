@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from gridflux.llm.common import shared_dir, stage
 
 DATE = "2026-01-01T00:00:00Z"
+#: Bits of the map of repeated digests: 2 MB.
+MAP_BITS = 1 << 24
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = "page_id long, url string, digest string, record_type string, refers_to long, file string, offset long, length long"
 RECORD = "page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long"
@@ -40,9 +42,12 @@ def base32_sha1(payload: bytes) -> str:
 
 
 def mark_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Adds ``sha1``, ``record_type`` and ``refers_to``.  Only digests that
-    occur more than once are joined back, so payloads are not shuffled while
-    these are few (Spark sees the written table's size and broadcasts it)."""
+    """Adds ``sha1``, ``record_type`` and ``refers_to``.
+
+    Digests that occur more than once are found on narrow rows and written.  Their
+    hashes set bits of a map of fixed size, which is broadcast; only payloads
+    whose bit is set join the digests (Spark broadcasts these while they are few),
+    so the others, which surely occur once, are never shuffled."""
     keyed = pages.withColumn("payload", F.encode(F.coalesce("html", F.lit("")), "UTF-8"))
     keyed = keyed.withColumn("sha1", F.sha1("payload"))
     repeated = (
@@ -52,7 +57,14 @@ def mark_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
         .where("copies > 1")
         .select("sha1", "keep")
     )
-    marked = keyed.join(stage(repeated, "warc-repeats"), "sha1", "left")
+    repeated = stage(repeated, "warc-repeats")
+    slot = F.pmod(F.xxhash64("sha1"), F.lit(MAP_BITS))
+    word, bit = F.floor(slot / 64).cast("int"), F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))
+    bits = repeated.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))  # MAP_BITS / 64 rows at most
+    looked = keyed.withColumns({"word": word, "bit": bit}).join(F.broadcast(bits), "word", "left")
+    set_ = F.coalesce(F.col("bits").bitwiseAND(F.col("bit")) != 0, F.lit(False))
+    alone = looked.where(~set_).withColumn("keep", F.lit(None).cast("long"))
+    marked = looked.where(set_).join(repeated, "sha1", "left").unionByName(alone)
     old = F.col("keep").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("keep"))
     return marked.select(
         "page_id", "url", "payload", "sha1",
