@@ -1,18 +1,21 @@
 """Edit-aware token counts: per-document segment trees over pre-token runs.
 
 A document is split into leaves, runs of whole pre-tokens of about
-``LEAF_BYTES`` bytes.  A leaf ends only before a space that has no white space
-on either side: there every byte-level pre-tokenizer of this kind starts a new
-pre-token, whatever stands to the left, so token counts of leaves add up to the
-count of the text.  A segment tree holds the leaves' byte lengths and token
-counts.  An edit (replace bytes [start, start + length) by other text) finds
-its leaves by descending the tree, re-encodes these and the leaf to the right
-where the old boundary may no longer hold, and updates the sums above them.
+``LEAF_CHARS`` characters.  A leaf ends only where every byte-level pre-tokenizer
+of this kind starts a new pre-token, whatever stands to the left: before white
+space that follows something else, between a letter and a number, and before
+most punctuation after a letter.  So token counts of leaves add up to the count
+of the text, and text without spaces has leaves too (but a run of letters is one
+pre-token, hence one leaf).  A segment tree holds the leaves' lengths in
+characters and token counts.  An edit (replace characters [start, end) by other
+text) finds its leaves by descending the tree, re-encodes these and the
+neighbours to which the old boundary no longer holds, and updates the sums above
+them.
 
 Defined cases: a null or empty text has no leaf and count 0; edits apply in the
 order of their starts and refer to the text before any of them, those that
-overlap an earlier one or lie outside are skipped; edits are moved to character
-bounds; repeated rows each have their own tree; an empty table gives an empty
+overlap an earlier one or lie outside are skipped; special strings count as
+their special ids; repeated rows each have their own tree; an empty table gives an empty
 table.
 """
 
@@ -23,19 +26,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from gridflux.llm.common import table
 from gridflux.llm.tokens import Encoder, encoder, read_vocabulary
 
-LEAF_BYTES = 512
-#: A single space between characters that aren't white space.
-BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
+LEAF_CHARS = 512
+#: Two characters between which a pre-token starts.  Contractions start with ', and
+#: special strings hold marks between < and >, so these bound no leaf.
+SAFE = regex.compile(r"\S\s|\p{L}[^\s\p{L}'|<>]|\p{N}\p{L}")
+BOUNDARY = regex.compile(r"(?<=\S)(?=\s)|(?<=\p{L})(?=[^\s\p{L}'|<>])|(?<=\p{N})(?=\p{L})")
 #: Personal data that the default edits redact: mail addresses, long numbers and phone numbers.
 PERSONAL = re.compile(r"[\w.+-]+@[\w-]+\.[\w.]+|\+?\(?\d[\d ()./-]{6,}\d")
 
 
-def split_leaves(text: str, size: int = LEAF_BYTES) -> list[str]:
+def split_leaves(text: str, size: int = LEAF_CHARS) -> list[str]:
     """Parts of ``text`` that end at safe boundaries, of at least about ``size`` characters."""
     out, at = [], 0
     while len(text) - at > size:
@@ -97,7 +103,7 @@ def build(text: str, enc: Encoder) -> SegmentTree:
 
 def _safe(left: str, right: str) -> bool:
     """Whether a boundary between two texts is still one of pre-tokens."""
-    return not left or not right or (right[0] == " " and len(right) > 1 and not right[1].isspace() and not left[-1].isspace())
+    return not left or not right or SAFE.match(left[-1] + right[0]) is not None
 
 
 def apply_edit(tree: SegmentTree, start: int, end: int, new: str, enc: Encoder) -> int:
