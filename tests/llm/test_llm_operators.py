@@ -144,6 +144,47 @@ def test_decontamination_of_clustered_edits():
         assert sum((r, k) in got for r in mine) >= 0.9 * len(mine), lengths[k]
 
 
+def test_decontamination_of_items_of_few_words(spark):
+    """Items that repeat one, two or four words: exact and with an edit, alone and inside text."""
+    items = {1: "yes no yes no yes no yes no yes no", 2: " ".join("ab"[i % 2] for i in range(32)), 3: "x x x x x x x x", 4: "to be or not"}
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    noise = " ".join(f"n{i}" for i in range(40))
+    rows = [(i, text) for i, text in items.items()] + [(10 + i, f"{noise} {text} {noise}") for i, text in items.items()]
+    rows += [(21, noise + " yes no yes no nope no yes no yes no " + noise), (23, noise + " x x x x y x x x " + noise)]
+    rows += [(31, noise), (32, "yes no " + noise + " x x " + noise + " a b a b"), (33, "yes")]
+    got = {(h.doc_id, h.item_id): h.edit_distance for h in decontam.search(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    exact = {(k + i, i) for i in items for k in (0, 10)}
+    assert {k for k, d in got.items() if d == 0} == exact and set(got) - exact == {(21, 1), (23, 3)}
+
+
+def test_decontamination_recall_of_short_items():
+    """Each size class reports the recall that its walks reach, short ones too."""
+    rng = random.Random(8)
+    for n in (4, 5, 7, 9, 14):
+        words_of = [[f"w{rng.randrange(10**6)}" for _ in range(n)] for _ in range(60)]
+        index = decontam.Index(list(range(60)), [" ".join(x) for x in words_of])
+        (recall,) = index.recall.values()
+        assert recall >= (0.85 if n == 4 else 0.95)
+        exact = [" ".join(["n1", "n2", "n3", *x, "n4"]).encode() for x in words_of]
+        hits = index.hits(np.frombuffer(b"".join(exact), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in exact]))))
+        assert {(r, i) for r, i, *_ in hits} >= {(i, i) for i in range(60)}
+
+
+def test_decontamination_equals_all_pairs(spark):
+    """All documents against all items by edit distance, edited passages among them."""
+    rng = random.Random(12)
+    docs = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(40).collect()]
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").limit(12)
+    items = {r.item_id: decontam.plain(r.text) for r in bench.collect()}
+    for k, text in enumerate(items.values()):
+        v = text.split()
+        v[rng.randrange(len(v))] = "zzz"
+        docs.append((10**6 + k, "before " * 9 + " ".join(v) + " after" * 9))
+    want = {(d, i) for d, t in docs for i, p in items.items() if len(p.split()) >= 4 and decontam.fit_distance(p, decontam.plain(t)) <= 0.2 * len(p)}
+    got = {(h.doc_id, h.item_id) for h in decontam.search(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert got <= want and len(got) >= 0.95 * len(want) and len(want) >= 12
+
+
 def test_decontamination_edges(spark, edge, empty):
     bench = spark.createDataFrame([(1, TEXTS[6]), (2, None), (3, "one"), (1, TEXTS[6])], "item_id long, text string")
     hits = decontam.search(edge, bench).collect()
@@ -159,9 +200,10 @@ def test_decontamination_edges(spark, edge, empty):
 def test_segment_trees():
     enc = encoder(read_vocabulary())
     rng = random.Random(5)
-    parts = ["a", "b ", " c", "  ", "\n", "x y z ", "'s", "12", "é", "!? ", " "]
-    for _ in range(150):
-        text = "".join(rng.choice(parts) for _ in range(rng.randrange(0, 900)))
+    parts = ["a", "b ", " c", "  ", "\n", "x y z ", "'s", "12", "é", "!? ", " ", "漢字", "。", "<|endoftext|>", "|>"]
+    for k in range(150):
+        some = parts if k % 3 else [p for p in parts if not re.search(r"\s", p)]  # nor white space in each third text
+        text = "".join(rng.choice(some) for _ in range(rng.randrange(0, 900)))
         tree = token_count.build(text, enc)
         assert tree.total == len(enc.slow_ids(text))
         for _ in range(3):
@@ -316,6 +358,49 @@ def test_sparse_sites_shrink(spark):
     assert means["big"] < means["small"] < means["fine"]
 
 
+def test_quality_equals_its_definition(spark):
+    """Posteriors and verdicts recomputed with numpy from the evidence alone."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    rows = quality.op4_quality(spark, "/root/testdata/sf0.01").collect()
+    assert len(rows) == docs.count()
+    mark = {r.doc_id: int(r.quality == 1 and r.toxic == 0) for r in labels.collect()}
+    share = min(0.99, max(0.01, np.mean(list(mark.values()))))
+    value = {r.doc_id: mark.get(r.doc_id, 1 / (1 + math.exp(-max(-30, min(30, r.evidence + math.log(share / (1 - share))))))) for r in rows}
+    paths = {}
+    for r in rows:
+        paths.setdefault((r.source, r.lang), []).append(value[r.doc_id])
+    hosts = {}
+    for (source, _), v in paths.items():
+        hosts.setdefault(source, []).extend(v)
+
+    def weight(spread, mean, n, groups):
+        return max(1.0, min(1e4, mean * (1 - mean) / max(spread - mean * (1 - mean) * groups / n, 1e-4) - 1))
+
+    n = len(rows)
+    mean = (sum(value.values()) + 1) / (n + 2)
+    s = weight(np.mean([(np.mean(v) - mean) ** 2 for v in hosts.values()]), mean, n, len(hosts))
+    of_host = {h: (sum(v) + s * mean) / (len(v) + s) for h, v in hosts.items()}
+    s = weight(np.mean([(np.mean(v) - of_host[h]) ** 2 for (h, _), v in paths.items()]), np.mean([of_host[h] for h, _ in paths]), n, len(paths))
+    text = {r.doc_id: r.text for r in docs.collect()}
+    for r in rows:
+        v = paths[r.source, r.lang]
+        site = max(0.01, min(0.99, (sum(v) + s * of_host[r.source]) / (len(v) + s)))
+        total = max(-30, min(30, r.evidence + math.log(site / (1 - site))))
+        p = 1 / (1 + math.exp(-total)) if words(text[r.doc_id]) else 0.0
+        assert math.isclose(r.site_mean, site, rel_tol=1e-6) and math.isclose(r.quality_score, p, rel_tol=1e-6, abs_tol=1e-9)
+        assert r.accepted == (p >= 0.5)
+
+
+def test_quality_of_repeated_label_ids(spark):
+    """One labelled id with many rows and texts is one example."""
+    rows = [(1, f"some words of text {i}", "s", "en") for i in range(300)] + [(i, "other words here", "s", "en") for i in range(2, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 40)] + [(1, 1, 0)] * 5, "doc_id long, quality int, toxic int")
+    assert quality.keep_good(docs, labels).count() <= docs.count()
+    assert quality.fit_evidence(docs, labels, sample=10**6) is not None
+
+
 # 5 language ID
 
 
@@ -342,6 +427,47 @@ def test_langid(spark, edge, empty):
     assert {r.score for r in kept.collect()} == {0.0, 1.5}  # the table's own column
 
 
+def test_langid_is_kernel_ridge():
+    """With each learning text a landmark the map is exact: scores of kernel ridge
+    regression in its dual form on n-gram sets."""
+    rng = random.Random(9)
+    syllables = {"aa": ["ba", "co", "di"], "bb": ["ze", "xu", "di"], "cc": ["mo", "li", "ba"]}
+    texts = [(lang, " ".join(rng.choice(s) + rng.choice(s) for _ in range(12))) for lang, s in syllables.items() for _ in range(15)]
+    new = ["baco dico", "zexu", "moli bali mo", "qqqq", "Baba XUZE"]
+
+    def cells(some):
+        return langid.presence(np.frombuffer("".join(some).encode(), np.uint8), np.cumsum([0, *(len(t.encode()) for t in some)])).astype(float)
+
+    def kernel(a, b):
+        x, y = cells(a), cells(b)
+        return x @ y.T / np.sqrt(np.outer(x.sum(axis=1), y.sum(axis=1)))
+
+    own = [t for _, t in texts]
+    langs = sorted(syllables)
+    y = np.array([[lang == k for k in langs] for lang, _ in texts], float)
+    n = len(own)
+    centre = np.eye(n) - 1 / n
+    k = kernel(own, own)
+    dual = np.linalg.solve(centre @ k @ centre + 1e-3 * n * np.eye(n), y - y.mean(axis=0))
+    want = (kernel(new, own) - k.mean(axis=0)) @ centre @ dual + y.mean(axis=0)
+    model = langid.fit(cells(own), [lang for lang, _ in texts], landmarks_per_lang=99, ridge=1e-3)
+    assert model.langs == langs and np.allclose(model.score(cells(new)), want, atol=2e-3)
+
+
+def test_langid_letters_and_unknown_languages(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rng = random.Random(3)
+    junk = ["²", "½ ①", "_ 12 _", "漢字" * 200, *("".join(rng.choice("bcdfgjkqvwxzBCDFGQXZ0123456789+/") for _ in range(600)) for _ in range(20))]
+    junk += [" ".join("".join(rng.choice("qzxwkvj") for _ in range(rng.randrange(2, 9))) for _ in range(90)) for _ in range(20)]
+    more = spark.createDataFrame([(10**7 + i, t, None) for i, t in enumerate(junk)], docs.schema)
+    scored = {r.doc_id: r.lang_pred for r in langid.predict(more, langid.learn(docs)).collect()}
+    assert [scored[10**7 + i] for i in range(3)] == ["und"] * 3 and scored[10**7 + 3] != "und"
+    kept = {r.doc_id for r in langid.keep_known(docs.union(more)).collect()}
+    assert len([d for d in kept if d >= 10**7]) <= 0.1 * len(junk) and len(kept) >= 0.97 * docs.count()
+    rows = docs.limit(1).select(F.lit(None).cast("long").alias("doc_id"), "text", F.lit("en").alias("lang"))
+    assert langid.learning_rows(rows.crossJoin(spark.range(500).select()), 10**6).count() <= 1  # repeats are one row
+
+
 # 6 media
 
 
@@ -356,6 +482,87 @@ def test_jpeg_round_trip():
         media.decode_jpeg(b"no image")
 
 
+def slow_decode(data):
+    """Coefficients of a one-component baseline JPEG, bit by bit."""
+    at, tables, interval = 2, {}, 0
+    while True:
+        marker, size = data[at + 1], int.from_bytes(data[at + 2 : at + 4], "big")
+        body = data[at + 4 : at + 2 + size]
+        at += 2 + size
+        if marker == 0xC0:
+            height, width = int.from_bytes(body[1:3], "big"), int.from_bytes(body[3:5], "big")
+        elif marker == 0xC4:
+            code, k, book = 0, 17, {}
+            for length in range(1, 17):
+                for _ in range(body[length]):
+                    book[length, code] = body[k]
+                    code, k = code + 1, k + 1
+                code *= 2
+            tables[body[0]] = book
+        elif marker == 0xDD:
+            interval = int.from_bytes(body, "big")
+        elif marker == 0xDA:
+            break
+    segments, part = [], bytearray()
+    while data[at : at + 2] != b"\xff\xd9":
+        if data[at] == 255 and 0xD0 <= data[at + 1] <= 0xD7:
+            segments.append(bytes(part))
+            part = bytearray()
+            at += 2
+        elif data[at] == 255:
+            assert data[at + 1] == 0
+            part.append(255)
+            at += 2
+        else:
+            part.append(data[at])
+            at += 1
+    segments.append(bytes(part))
+    total = -(-width // 8) * -(-height // 8)
+    out = []
+    for s, segment in enumerate(segments):
+        bits = "".join(f"{b:08b}" for b in segment)
+        pos = previous = 0
+
+        def symbol(book):
+            nonlocal pos
+            for n in range(1, 17):
+                if (n, int(bits[pos : pos + n], 2)) in book:
+                    pos += n
+                    return book[n, int(bits[pos - n : pos], 2)]
+
+        def number(n):
+            nonlocal pos
+            v = int(bits[pos : pos + n], 2) if n else 0
+            pos += n
+            return v if not n or v >> (n - 1) else v - (1 << n) + 1
+
+        for _ in range(min(interval or total, total - s * interval)):
+            block = [0] * 64
+            previous += number(symbol(tables[0]))
+            block[0], k = previous, 1
+            while k < 64:
+                rs = symbol(tables[16])
+                if rs == 0:
+                    break
+                k += rs >> 4
+                if rs & 15:
+                    block[k] = number(rs & 15)
+                k += 1
+            out += block
+    return out
+
+
+def test_jpeg_by_another_decoder():
+    rng = np.random.default_rng(2)
+    for text in [b"", b"plain words of a text " * 9, b"\xff" * 130, b"a" + bytes(300) + b"z", rng.bytes(700)]:
+        payload = media.pad_payload(text)
+        stored = media.encode_jpeg(payload)
+        assert bytes(slow_decode(stored)[: len(payload)]) == payload
+        assert slow_decode(stored) == media.decode_jpeg(stored).blocks.reshape(-1).tolist()
+        pixels = media.thumbnail(media.decode_jpeg(stored)).reshape(-1)
+        assert pixels.tolist() == [max(0, min(255, v // 8 + 128)) for v in slow_decode(stored)[::64]]
+
+
 def test_media(spark, edge, empty):
     rows = media.media_features(media.store_media(edge), ["doc_id", "n_bytes"]).collect()
     assert len(rows) == edge.count()
@@ -386,29 +593,118 @@ def brute_base(texts, held):
     return out
 
 
+def brute_tree(texts, held, least_divergence=suffix_lm.LEAST_DIVERGENCE):
+    """Scores by the definition, over dictionaries of the whole corpus; the byte model
+    sees the distinct words of one block."""
+    rows = {k: [*words(t), None] for k, t in texts.items()}
+    learn = [r for k, r in rows.items() if not held[k]]
+    c1, c2, c3, nexts = {}, {}, {}, {}
+    for r in learn:
+        for i, w in enumerate(r):
+            c1[w] = c1.get(w, 0) + 1
+            if i:
+                c2[r[i - 1], w] = c2.get((r[i - 1], w), 0) + 1
+            if i > 1:
+                c3[r[i - 2], r[i - 1], w] = c3.get((r[i - 2], r[i - 1], w), 0) + 1
+                nexts.setdefault((r[i - 2], r[i - 1]), set()).add(w)
+    n = sum(c1.values())
+    unseen = min(0.5, (sum(c == 1 for c in c1.values()) + 1) / (n + 2))
+    b2, b1, two, one, zero = {}, {}, {}, {}, {}
+    grams = lambda w: [((*[256] * 2, *w.encode(), 256)[i : i + 3]) for i in range(len(w.encode()) + 1)]
+    for w in c1:
+        for x, y, z in grams(w) if w is not None else ():
+            for table, key in ((b2, (x, y, z)), (two, (x, y)), (b1, (y, z)), (one, y), (zero, z)):
+                table[key] = table.get(key, 0) + 1
+    total = sum(zero.values())
+    frequent = {k for k, v in two.items() if v >= 1e-5 * total}
+    mu = suffix_lm.MU_BYTE
+
+    def spell(w):
+        out = 0.0
+        for x, y, z in grams(w):
+            p = (zero.get(z, 0) + 1) / (total + 257)
+            p = (b1.get((y, z), 0) + mu * p) / (one.get(y, 0) + mu)
+            good = (x, y) in frequent
+            out += math.log10(((b2.get((x, y, z), 0) if good else 0) + mu * p) / ((two[x, y] if good else 0) + mu))
+        return out
+
+    def root(w):
+        return math.log10(1 - unseen) + math.log10(c1[w] / n) if w in c1 else math.log10(unseen) + spell(w)
+
+    def short(v, w):
+        if c1.get(v, 0) < suffix_lm.LEAST:
+            return root(w)
+        return math.log10((c2.get((v, w), 0) + suffix_lm.MU_ONE * 10 ** root(w)) / (c1[v] + suffix_lm.MU_ONE))
+
+    mu2, kept = suffix_lm.MU_TWO, set()
+    for (u, v), ws in nexts.items():
+        m = c2[u, v]
+        if m >= suffix_lm.LEAST:
+            gain = sum(c3[u, v, w] * math.log((c3[u, v, w] - 1 + mu2 * 10 ** short(v, w)) / ((m - 1 + mu2) * 10 ** short(v, w))) for w in ws)
+            if gain >= least_divergence * m:
+                kept.add((u, v))
+    out = {}
+    for k, r in rows.items():
+        score, states = 0.0, 0
+        for i, w in enumerate(r):
+            lower = short(r[i - 1], w) if i else root(w)
+            if i > 1 and (r[i - 2], r[i - 1]) in kept:
+                m, states = c2[r[i - 2], r[i - 1]], states + 1
+                lower = math.log10((c3.get((r[i - 2], r[i - 1], w), 0) + mu2 * 10**lower) / (m + mu2))
+            score += lower
+        out[k] = (score, states)
+    return out, kept
+
+
 def test_suffix_lm(spark, documents, edge, empty):
-    rows = suffix_lm.score_texts(documents).collect()
+    rows = suffix_lm.score_texts(documents.coalesce(1)).collect()
     texts = {r.doc_id: r.text for r in documents.collect()}
     held = {k: zlib.crc32(str(k).encode()) % 7 == 2 for k in texts}
     want = brute_base(texts, held)
+    tree, kept = brute_tree(texts, held)
+    assert kept
+    off = 0
     for r in rows:
         assert r.held_out == held[r.doc_id] and (r.n_tokens, r.n_known, r.train_tokens) == want[r.doc_id][:3]
-        assert math.isclose(r.base_score, want[r.doc_id][3], rel_tol=1e-9) and r.score < 0
-    assert sum(r.score for r in rows if r.held_out) > sum(r.base_score for r in rows if r.held_out)
+        assert math.isclose(r.base_score, want[r.doc_id][3], rel_tol=1e-9)
+        score, states = tree[r.doc_id]
+        off += r.n_long != states  # a context at the threshold, by the steps of the probabilities
+        assert math.isclose(r.score, score, abs_tol=1e-6 + 5e-4 * r.n_long + 0.3 * (r.n_long != states))
+    assert off <= 0.02 * len(rows) + 1 and sum(r.n_long for r in rows) > 100
     got = suffix_lm.score_texts(edge).collect()
     assert len(got) == edge.count() and {r.n_tokens for r in got if r.doc_id in (0, 1, 2)} == {1}
+    assert all(math.isfinite(r.score) for r in got)
     assert suffix_lm.score_texts(empty).count() == 0
+    none = suffix_lm.score_texts(spark.createDataFrame([(i, "some words") for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2], "doc_id long, text string")).collect()
+    assert none and all(r.held_out and r.n_known == 0 and r.score < -5 for r in none)
+
+
+def test_suffix_lm_beats_words_alone(spark):
+    """On held-out documents of a larger corpus, though it spells each unseen word."""
+    out = suffix_lm.op7_suffix_lm(spark, "/root/testdata/sf0.1").where("held_out").agg(F.sum("score").alias("score"), F.sum("base_score").alias("base")).first()
+    assert out.score > out.base
+
+
+def test_suffix_lm_of_hot_contexts_and_blocks(spark, documents, monkeypatch):
+    """Hot contexts dealt by their next words, and other blocks, change nothing (but the
+    byte model, which sees the distinct words of blocks)."""
+    plain = {r.doc_id: r for r in suffix_lm.score_texts(documents.coalesce(1), least_divergence=-1e9).collect()}
+    for docs, hot in ((documents.coalesce(1), 5), (documents.repartition(5), suffix_lm.HOT)):
+        got = [r for r in suffix_lm.score_texts(docs, least_divergence=-1e9, hot=hot).collect() if hot == 5 or r.n_known == r.n_tokens]
+        assert got and all(math.isclose(r.score, plain[r.doc_id].score, abs_tol=1e-6 + 5e-4 * r.n_long) and r.n_long == plain[r.doc_id].n_long for r in got)
 
 
-def test_suffix_tree_is_a_distribution():
-    """Shares of all symbols sum to 1 in each state, and the walk takes the longest context."""
-    nodes = [{"depth": 1, "context": 97, "next": 98, "n": 8}, {"depth": 1, "context": 98, "next": 97, "n": 6}, {"depth": 1, "context": 98, "next": 256, "n": 2}, {"depth": 2, "context": 97 << 9 | 98, "next": 97, "n": 6}]
-    tree = suffix_lm.build_tree(nodes, 16)
-    seen = np.flatnonzero(tree.columns < tree.logp.shape[1] - 1)
-    p = 10.0 ** tree.logp.astype(float)
-    assert np.allclose(p[:, :-1].sum(axis=1) + p[:, -1] * (suffix_lm.SYMBOLS - len(seen)), 1)
-    s = np.array([256] * 5 + [97, 98, 97, 99], np.uint16)
-    assert tree.states(s, np.array([5, 6, 7, 8])).tolist() == [0, 1, 3, 1]
+def test_spelling_is_a_distribution():
+    """Probabilities of the next byte sum to 1 in each context; blobs come back."""
+    data = np.frombuffer(b"ab abc b", np.uint8)
+    codes, first = suffix_lm.spelled(data, np.array([0, 3, 7]), np.array([2, 6, 8]))
+    assert first.tolist() == [0, 3, 7, 9] and codes[0] == (256 * 257 + 256) * 257 + 97 and codes[2] == (97 * 257 + 98) * 257 + 256
+    one = np.full((257, 257), 1 / 257)
+    model = suffix_lm.Spelling(np.array([1000, 1001]), np.array([3, 2]), np.array([1000 // 257]), np.array([5]), one)
+    for context in (3, 7, 40):
+        assert math.isclose(np.exp(model.log(context * 257 + np.arange(257))).sum(), 1)
+    arrays = [np.array([1, 2**40], np.uint64), np.zeros(0, np.uint32), np.array([-5], np.int16), np.array([0.5, -1.25])]
+    assert all(np.array_equal(a, b) and a.dtype == b.dtype for a, b in zip(arrays, suffix_lm.unpack(suffix_lm.pack(*arrays)), strict=True))
 
 
 # 8 Jaccard join
@@ -576,6 +872,8 @@ def test_warc(spark):
         (5, 18000, sha("é" * 9000), "response", None), (5, 18000, sha("é" * 9000), "response", None), (None, 4, sha("body"), "revisit", 2), (None, 5, sha("alone"), "response", None),
     ], key=str)
     assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got), key=str) == want
+    none = warc.write_archives(warc.mark_revisits(pages.where("false")), folder + "-empty")
+    assert none.count() == 0 and warc.resolve_revisits(warc.read_records(none, folder + "-empty")).count() == 0
     part = index.where("page_id = 5")
     assert warc.read_records(part, folder).count() == 2
     assert warc.read_records(index.where("false"), folder).count() == 0
