@@ -8,12 +8,14 @@ and spectrogram images need a linear-algebra library: numpy on Arrow batches.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, DoubleType
 
 FLOOR = 1e-8
@@ -116,62 +118,102 @@ def gaf(angles: Column) -> tuple[Column, Column]:
 
 
 def _array_udf(make: Callable[[np.ndarray], np.ndarray]):
-    @pandas_udf(ArrayType(ArrayType(DoubleType())))
-    def run(curves: pd.Series) -> pd.Series:
-        return curves.map(lambda c: None if c is None or not np.isfinite(np.asarray(c, float)).all() else make(np.asarray(c, float)).tolist())
+    """A UDF of Arrow arrays: ``make`` takes the whole curves of one length at once, as
+    (curves, steps), and gives (curves, height, width)."""
+
+    @arrow_udf(ArrayType(ArrayType(DoubleType())))
+    def run(curves: pa.Array) -> pa.Array:
+        size = pc.fill_null(pc.list_value_length(curves), -1).to_numpy(zero_copy_only=False)
+        images: list[np.ndarray] = []
+        place = np.full(len(curves), -1, np.int64)
+        done = 0
+        for n in np.unique(size[size > 0]):
+            rows = np.flatnonzero(size == n)
+            x = curves.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, n)
+            good = np.isfinite(x).all(axis=1)
+            if good.any():
+                made = make(x[good])
+                images.append(made)
+                place[rows[good]] = done + np.arange(len(made))
+                done += len(made)
+        return _nested(images, place)
 
     return run
 
 
+def _nested(images: list[np.ndarray], place: np.ndarray) -> pa.Array:
+    """Images as lists of lists; a row without one (place -1) is null."""
+    kind = pa.list_(pa.list_(pa.float64()))
+    if not images:
+        return pa.nulls(len(place), kind)
+    parts = []
+    for x in images:
+        n, height, width = x.shape
+        lines = pa.ListArray.from_arrays(pa.array(np.arange(n * height + 1, dtype=np.int32) * width), pa.array(x.reshape(-1)))
+        parts.append(pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * height), lines))
+    return pa.concat_arrays(parts).take(pa.array(place, mask=place < 0))
+
+
 def np_mtf(x: np.ndarray, bins: int = 5) -> np.ndarray:
-    """Markov transition field over quantile bins; a state that nothing follows gives 0."""
-    edges = np.unique(np.quantile(x, np.arange(1, bins) / bins))
-    if not len(edges):
-        return np.zeros((len(x), len(x)))
-    state = np.searchsorted(edges, x, side="right")
-    n = int(state.max()) + 1
-    moves = np.bincount(state[:-1] * n + state[1:], minlength=n * n).reshape(n, n).astype(float)
-    share = moves / np.maximum(moves.sum(axis=1, keepdims=True), 1)
-    return share[np.ix_(state, state)]
+    """Markov transition fields of curves over their quantile bins; a state that nothing
+    follows gives 0."""
+    count, n = x.shape
+    edges = np.sort(np.quantile(x, np.arange(1, bins) / bins, axis=1).T, axis=1)
+    fresh = np.ones(edges.shape, bool)
+    fresh[:, 1:] = edges[:, 1:] != edges[:, :-1]  # equal edges are one
+    state = ((x[:, :, None] >= edges[:, None, :]) & fresh[:, None, :]).sum(axis=2)
+    moves = np.zeros((count, bins, bins))
+    np.add.at(moves, (np.arange(count)[:, None], state[:, :-1], state[:, 1:]), 1.0)
+    share = moves / np.maximum(moves.sum(axis=2, keepdims=True), 1)
+    return share[np.arange(count)[:, None, None], state[:, :, None], state[:, None, :]]
 
 
 def np_cwt(x: np.ndarray, scales: int = 24, points: int = 1024) -> np.ndarray:
-    """Magnitudes of a continuous Morlet transform by the integrated wavelet:
-    psi = exp(-t^2/2) cos(5t) on [-8, 8], scales 1 to ``scales``."""
+    """Magnitudes of continuous Morlet transforms by the integrated wavelet:
+    psi = exp(-t^2/2) cos(5t) on [-8, 8], scales 1 to ``scales``.  A scale is one
+    matrix product with all curves."""
+    n = x.shape[1]
+    return np.stack([np.abs(x @ m) for m in cwt_matrices(n, scales, points)], axis=1)
+
+
+@lru_cache(maxsize=8)
+def cwt_matrices(n: int, scales: int = 24, points: int = 1024) -> tuple[np.ndarray, ...]:
+    """For each scale the (n, n) matrix that takes a curve to its coefficients: the
+    difference of its convolution with the integrated wavelet, cut to the middle."""
     t = np.linspace(-8, 8, points)
     step = t[1] - t[0]
     integral = np.cumsum(np.exp(-(t**2) / 2) * np.cos(5 * t)) * step
-    rows = []
+    out = []
     for scale in range(1, scales + 1):
         at = (np.arange(scale * (t[-1] - t[0]) + 1) / (scale * step)).astype(int)
-        kernel = integral[at[at < points]][::-1]
-        full = -np.sqrt(scale) * np.diff(np.convolve(x, kernel))
-        cut = (len(full) - len(x)) / 2
-        rows.append(np.abs(full[int(np.floor(cut)) : len(full) - int(np.ceil(cut))]) if cut > 0 else np.abs(full[: len(x)]))
-    return np.stack(rows)
+        kernel = -np.sqrt(scale) * np.diff(integral[at[at < points]][::-1], prepend=0, append=0)
+        cut = max(0, (len(kernel) - 3) // 2)
+        lag = np.arange(n)[None, :] + cut + 1 - np.arange(n)[:, None]  # of the kernel, by curve and coefficient
+        out.append(np.where((lag >= 0) & (lag < len(kernel)), kernel[np.clip(lag, 0, len(kernel) - 1)], 0.0))
+    return tuple(out)
 
 
 def np_cos2d(x: np.ndarray, segments: int = 10) -> np.ndarray:
-    """Synchronous field over the asynchronous one (Hilbert-Noda), stacked by rows."""
-    size = max(2, len(x) // segments)
-    rows = np.lib.stride_tricks.sliding_window_view(x, size)[:: max(1, size // 2)]
-    d = rows - rows.mean(axis=0)
-    m = len(d)
+    """Synchronous fields over the asynchronous ones (Hilbert-Noda), stacked by rows."""
+    size = max(2, x.shape[1] // segments)
+    rows = np.lib.stride_tricks.sliding_window_view(x, size, axis=1)[:, :: max(1, size // 2)]
+    d = rows - rows.mean(axis=1, keepdims=True)
+    m = d.shape[1]
     gap = np.subtract.outer(np.arange(m), np.arange(m)).astype(float)
     noda = np.divide(1 / np.pi, gap, out=np.zeros_like(gap), where=gap != 0)
-    scale = max(m - 1, 1)
-    return np.vstack((d.T @ d / scale, d.T @ noda @ d / scale))
+    turned = np.swapaxes(d, 1, 2) / max(m - 1, 1)
+    return np.concatenate((turned @ d, turned @ (noda @ d)), axis=1)
 
 
 def np_spectrogram(x: np.ndarray, size: int = 16, overlap: int = 12) -> np.ndarray:
-    """Magnitudes of a short-time Fourier transform: periodic Hann window, zero
+    """Magnitudes of short-time Fourier transforms: periodic Hann window, zero
     extension at both ends, 'spectrum' scaling."""
     hop = size - overlap
     window = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(size) / size)
-    padded = np.concatenate((np.zeros(size // 2), x, np.zeros(size // 2)))
-    padded = np.concatenate((padded, np.zeros(-(len(padded) - size) % hop)))
-    frames = np.lib.stride_tricks.sliding_window_view(padded, size)[::hop]
-    return np.abs(np.fft.rfft(frames * window, axis=1)).T / window.sum()
+    ahead = size // 2 + -x.shape[1] % hop if (x.shape[1] + size) % hop else size // 2
+    padded = np.pad(x, ((0, 0), (size // 2, ahead)))
+    frames = np.lib.stride_tricks.sliding_window_view(padded, size, axis=1)[:, ::hop]
+    return np.swapaxes(np.abs(np.fft.rfft(frames * window, axis=2)), 1, 2) / window.sum()
 
 
 mtf, cwt, cos2d, spectrogram = (_array_udf(f) for f in (np_mtf, np_cwt, np_cos2d, np_spectrogram))
@@ -192,7 +234,7 @@ TRANSFORMS: dict[str, Callable[[Column, int], Column]] = {
 def image_shape(name: str, n: int) -> tuple[int, ...]:
     """(height, width) or (height, width, channels) of an image of n steps."""
     s, seg = side_of(n), max(2, n // 10)
-    frames = len(np_spectrogram(np.zeros(n))[0]) if n else 0
+    frames = np_spectrogram(np.zeros((1, n))).shape[2] if n else 0
     return {
         "reshape": (s, s), "serpentine": (s, s), "hilbert": (8, 8), "gaf": (n, n, 2), "mtf": (n, n), "ndi": (n, n),
         "cwt": (24, n), "cos2d": (seg, seg, 2), "spectrogram": (9, frames),

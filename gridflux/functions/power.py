@@ -19,24 +19,21 @@ class Power:
     scale: float
 
 
-def yeo_johnson(x: Column, lam: float) -> Column:
-    up = F.log1p(x) if abs(lam) < 1e-12 else (F.pow(x + 1, F.lit(lam)) - 1) / lam
-    down = -F.log1p(-x) if abs(lam - 2) < 1e-12 else (F.pow(1 - x, F.lit(2 - lam)) - 1) / (lam - 2)
-    return F.when(x >= 0, up).when(x < 0, down)
+def yeo_johnson(x: Column, lam: float | Column) -> Column:
+    """By expm1 and log1p, so that values next to 0 keep their digits at lambdas of
+    thousands."""
+    power = lam if isinstance(lam, Column) else F.lit(float(lam))
+
+    def curve(log: Column, p: Column) -> Column:
+        return F.when(F.abs(p) < 1e-12, log).otherwise(F.expm1(log * p) / p)
+
+    return F.when(x >= 0, curve(F.log1p(x), power)).when(x < 0, -curve(F.log1p(-x), F.lit(2.0) - power))
 
 
 def inverse_yeo_johnson(z: Column, lam: float) -> Column:
     """Null where the power has a base that isn't positive."""
-    if abs(lam) < 1e-12:
-        up = F.exp(z) - 1
-    else:
-        base = z * lam + 1
-        up = F.when(base > 0, F.pow(base, F.lit(1 / lam)) - 1)
-    if abs(lam - 2) < 1e-12:
-        down = 1 - F.exp(-z)
-    else:
-        base = z * (lam - 2) + 1
-        down = F.when(base > 0, 1 - F.pow(base, F.lit(1 / (2 - lam))))
+    up = F.expm1(z) if abs(lam) < 1e-12 else F.when(z * lam > -1, F.expm1(F.log1p(z * lam) / lam))
+    down = -F.expm1(-z) if abs(lam - 2) < 1e-12 else F.when(z * (lam - 2) > -1, -F.expm1(F.log1p(z * (lam - 2)) / (2 - lam)))
     return F.when(z >= 0, up).when(z < 0, down)
 
 
@@ -51,8 +48,10 @@ def unscaled(z: Column, p: Power) -> Column:
 def np_yeo_johnson(x: np.ndarray, lam: float) -> np.ndarray:
     out = np.empty_like(x, dtype=np.float64)
     up = x >= 0
-    out[up] = np.log1p(x[up]) if abs(lam) < 1e-12 else (np.power(x[up] + 1, lam) - 1) / lam
-    out[~up] = -np.log1p(-x[~up]) if abs(lam - 2) < 1e-12 else -(np.power(1 - x[~up], 2 - lam) - 1) / (2 - lam)
+    a, b = np.log1p(x[up]), np.log1p(-x[~up])
+    with np.errstate(over="ignore"):
+        out[up] = a if abs(lam) < 1e-12 else np.expm1(a * lam) / lam
+        out[~up] = -b if abs(lam - 2) < 1e-12 else np.expm1(b * (2 - lam)) / (lam - 2)
     return out
 
 
@@ -60,6 +59,6 @@ def np_inverse(z: np.ndarray, lam: float) -> np.ndarray:
     out = np.empty_like(z, dtype=np.float64)
     up = z >= 0
     with np.errstate(invalid="ignore"):
-        out[up] = np.expm1(z[up]) if abs(lam) < 1e-12 else np.power(z[up] * lam + 1, 1 / lam) - 1
-        out[~up] = -np.expm1(-z[~up]) if abs(lam - 2) < 1e-12 else 1 - np.power(-(2 - lam) * z[~up] + 1, 1 / (2 - lam))
+        out[up] = np.expm1(z[up]) if abs(lam) < 1e-12 else np.expm1(np.log1p(z[up] * lam) / lam)
+        out[~up] = -np.expm1(-z[~up]) if abs(lam - 2) < 1e-12 else -np.expm1(np.log1p(z[~up] * (lam - 2)) / (2 - lam))
     return out

@@ -69,6 +69,18 @@ def contiguous_chunks(df: DataFrame, order: list[str], n: int, total: int, parti
     return df.withColumn("chunk", F.floor((F.row_number().over(w) - 1) / size).cast("int"))
 
 
+def first_tiles(tiles: DataFrame, n: int, order: list[str]) -> DataFrame:
+    """The first n tiles of a list in its order (a trial run's limit)."""
+    return tiles.orderBy(*order).limit(n)
+
+
+def median_predicted(manifest: DataFrame) -> DataFrame:
+    """(tile_id, n_years, n_pred): years that are ok and their median of predicted
+    pixels, cut to a whole number."""
+    ok = manifest.where("status = 'ok'")
+    return ok.groupBy("tile_id").agg(F.count("*").alias("n_years"), F.percentile("n_pred", F.lit(0.5)).cast("long").alias("n_pred"))
+
+
 def progress(manifest: DataFrame, planned: int) -> DataFrame:
     """Pairs by last status and their share of the plan."""
     return manifest.groupBy("status").agg(F.count("*").alias("n"), (F.countDistinct("tile_id", "year") * 100.0 / planned).alias("pct"))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import IO
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,13 +46,56 @@ class Ensemble:
         return np.stack([forward(Net(dict(m.weights)), "C2D", images, len(self.targets), self.width, ctx) for m in self.members])
 
 
+def read_checkpoint(file: str | IO[bytes], width: str = "B") -> Ensemble:
+    """An ensemble from an ``.npz`` file or an open binary one: for each seed k arrays
+    ``k/<weight>``, and ``targets``, ``context``, ``side``, and by seed and target
+    ``lambda``, ``mean``, ``scale``.  Raises where a weight is missing or misshapen."""
+    with np.load(file) as f:
+        targets, context, side = tuple(f["targets"].tolist()), tuple(f["context"].tolist()), int(f["side"])
+        members = []
+        for k in range(len(f["lambda"])):
+            weights = {name.partition("/")[2]: f[name] for name in f.files if name.startswith(f"{k}/")}
+            scalers = {t: Power(*(float(f[p][k, i]) for p in ("lambda", "mean", "scale"))) for i, t in enumerate(targets)}
+            members.append(Member(weights, scalers))
+    model = Ensemble(targets, context, side, tuple(members), width)
+    model.check()
+    probe = Net()
+    forward(probe, "C2D", np.zeros((1, 1, side, side)), len(targets), width, np.zeros((1, len(context))))
+    for k, m in enumerate(members):
+        wrong = sorted(n for n, shape in probe.shapes.items() if n not in m.weights or m.weights[n].shape != shape)
+        if wrong:
+            raise ValueError(f"seed {k} lacks weights or has them in another shape: {wrong[:5]}")
+    return model
+
+
+def write_checkpoint(model: Ensemble, file: str | IO[bytes]) -> None:
+    parts = {f"{k}/{n}": w for k, m in enumerate(model.members) for n, w in m.weights.items()}
+    for p, get in (("lambda", "lam"), ("mean", "mean"), ("scale", "scale")):
+        parts[p] = np.array([[getattr(m.scalers[t], get) for t in model.targets] for m in model.members])
+    np.savez(file, targets=np.array(model.targets), context=np.array(model.context), side=model.side, **parts)
+
+
+def scaled_names(model: Ensemble) -> list[str]:
+    return [f"{t}__{seed}" for seed in range(len(model.members)) for t in model.targets]
+
+
+def _images(column: pa.Array, size: int) -> np.ndarray:
+    """(rows, size) of a list column from its flat values; NaN where a row has no whole image."""
+    out = np.full((len(column), size), np.nan)
+    whole = np.flatnonzero(pc.equal(pc.fill_null(pc.list_value_length(column), -1), size).to_numpy(zero_copy_only=False))
+    if len(whole):
+        out[whole] = column.take(pa.array(whole)).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, size)
+    return out
+
+
 def predict(rows: DataFrame, model: Ensemble, keep: list[str], image: str = "image") -> DataFrame:
-    """(keep, seed, targets) per member; rows with a missing image or context
-    value give nulls.  ``image`` is the flat image, context columns are named by
-    the model.  The weights, some hundred kilobytes, are broadcast."""
+    """``keep`` and a column for each target and member (``scaled_names``), on the
+    transformed scale; null where the image or a context value is missing.  ``image``
+    is the flat image, context columns are named by the model.  The weights, some
+    hundred kilobytes, are broadcast."""
     model.check()
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    size = model.side**2
+    size, names = model.side**2, scaled_names(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -59,38 +104,34 @@ def predict(rows: DataFrame, model: Ensemble, keep: list[str], image: str = "ima
             for at in range(0, whole.num_rows, BATCH):
                 batch = whole.slice(at, BATCH)
                 n = batch.num_rows
-                flat = np.full((n, size), np.nan)
-                for k, v in enumerate(batch.column(n_keep).to_pylist()):
-                    if v is not None and len(v) == size:
-                        flat[k] = [np.nan if x is None else x for x in v]
+                flat = _images(batch.column(n_keep), size)
                 ctx = np.column_stack([batch.column(n_keep + 1 + k).to_numpy(zero_copy_only=False).astype(float) for k in range(len(m.context))]) if m.context else np.zeros((n, 0))
                 good = np.isfinite(flat).all(axis=1) & np.isfinite(ctx).all(axis=1)
                 out = np.full((len(m.members), n, len(m.targets)), np.nan)
                 if good.any():
                     out[:, good] = m.run(flat[good].reshape(-1, 1, m.side, m.side), ctx[good])
-                for seed in range(len(m.members)):
-                    cols = [batch.column(k) for k in range(n_keep)] + [pa.array(np.full(n, seed, np.int32))]
-                    cols += [pa.array(out[seed, :, k], pa.float64(), mask=np.isnan(out[seed, :, k])) for k in range(len(m.targets))]
-                    yield pa.RecordBatch.from_arrays(cols, names=[*keep, "seed", *m.targets])
+                cols = [batch.column(k) for k in range(n_keep)]
+                cols += [pa.array(out[s, :, k], pa.float64(), mask=np.isnan(out[s, :, k])) for s in range(len(m.members)) for k in range(len(m.targets))]
+                yield pa.RecordBatch.from_arrays(cols, names=[*keep, *names])
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    schema = ", ".join([*(f"{c} {kinds[c]}" for c in keep), "seed int", *(f"{t} double" for t in model.targets)])
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), *(f"`{n}` double" for n in names)])
     return rows.select(*keep, image, *model.context).mapInArrow(run, schema)
 
 
 def back_transform(preds: DataFrame, model: Ensemble, keep: list[str], draws: list[dict[str, list[float]]] | None = None,
                    bounds: list[dict] | None = None, limits: dict | None = None) -> DataFrame:
     """Inverse per seed (smeared by the seed's draws, inside its bounds), then the
-    mean over seeds, inside the training range."""
+    mean over seeds that have a value, inside the training range: one projection."""
 
-    def one(t: str):
-        out = F.lit(None).cast("double")
+    def mean(t: str):
+        seeds = []
         for seed, m in enumerate(model.members):
             d = draws[seed].get(t) if draws else None
             b = bounds[seed][t] if bounds else None
-            out = F.when(F.col("seed") == seed, smeared(F.col(t), m.scalers[t], d, b, limits[t] if limits else None)).otherwise(out)
-        return out
+            seeds.append(smeared(F.col(f"{t}__{seed}"), m.scalers[t], d, b, limits[t] if limits else None))
+        there = F.array_compact(F.array(*seeds))
+        out = F.when(F.size(there) > 0, F.aggregate(there, F.lit(0.0), lambda s, x: s + x) / F.size(there))
+        return clip(out, *limits[t]) if limits else out
 
-    rows = preds.select(*keep, "seed", *(one(t).alias(t) for t in model.targets))
-    mean = rows.groupBy(*keep).agg(*(F.avg(t).alias(t) for t in model.targets))
-    return mean.select(*keep, *((clip(F.col(t), *limits[t]) if limits else F.col(t)).alias(t) for t in model.targets))
+    return preds.select(*keep, *(mean(t).alias(t) for t in model.targets))

@@ -98,26 +98,61 @@ def regularize_arrays(obs: DataFrame, spans: DataFrame, key: list[str], steps: i
     valid = obs.where(F.col("v").isNotNull())
     series = valid.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(F.col("t").cast("double").alias("t"), "tie", "v"))).alias("s"))
     joined = spans.where(F.col("lo") < F.col("hi")).join(series, key)
-    rows = joined.select(*key, F.col("lo").cast("double"), F.col("hi").cast("double"), F.col("s.t").alias("t"), F.col("s.v").cast("array<double>").alias("v"))
+    return interpolated(joined.select(*key, "lo", "hi", "s"), key, steps, roll, min_obs).select(*key, "n_obs", "curve")
+
+
+def interpolated(rows: DataFrame, key: list[str], steps: int = STEPS, roll: int = ROLL, min_obs: int = MIN_OBS) -> DataFrame:
+    """(key, lo, hi, n_obs, curve) of rows with a span and a sorted series ``s`` of (t, v);
+    without lo < hi the curve is null, unless many values have one time."""
+    rows = rows.select(*key, F.col("lo").cast("double"), F.col("hi").cast("double"), F.col("s.t").alias("t"), F.col("s.v").cast("array<double>").alias("v"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = len(key)
         for batch in batches:
-            lo, hi = batch.column(k).to_numpy(), batch.column(k + 1).to_numpy()
+            lo, hi = (batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in (k, k + 1))
             t, v = batch.column(k + 2), batch.column(k + 3)
             times, values, at = t.flatten().to_numpy(), v.flatten().to_numpy(), np.concatenate(([0], np.cumsum(t.value_lengths().to_numpy())))
             n = np.diff(at)
+            few = (n < min_obs) | ~(lo <= hi)  # a null span is NaN here
+            enough = np.flatnonzero(~few)
             curves = np.zeros((batch.num_rows, steps))
-            for r in np.flatnonzero(n >= min_obs):
-                curves[r] = interpolate(times[at[r] : at[r + 1]], values[at[r] : at[r + 1]], lo[r], hi[r], steps)
+            curves[enough] = interpolate_all(times, values, at[:-1][enough], n[enough], lo[enough], hi[enough], steps)
             smooth = smooth_rows(curves, roll)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * steps), pa.array(smooth.reshape(-1)))
-            few = pa.array(n < min_obs)
-            out = pc.if_else(few, pa.nulls(batch.num_rows, lists.type), lists)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(k)), pa.array(n.astype(np.int32)), out], names=[*key, "n_obs", "curve"])
+            out = pc.if_else(pa.array(few), pa.nulls(batch.num_rows, lists.type), lists)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(k + 2)), pa.array(n.astype(np.int32)), out], names=[*key, "lo", "hi", "n_obs", "curve"])
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    return rows.mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in key) + ", n_obs int, curve array<double>")
+    return rows.mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in key) + ", lo double, hi double, n_obs int, curve array<double>")
+
+
+def interpolate_all(t: np.ndarray, v: np.ndarray, first: np.ndarray, n: np.ndarray, lo: np.ndarray, hi: np.ndarray, steps: int) -> np.ndarray:
+    """Grid values of many sorted series at once: series r is [first[r], first[r] + n[r]).
+    How many observations are at or before a grid point, and before it, comes from one
+    sort of all series and grids by series, time and kind."""
+    rows = len(n)
+    if not rows:
+        return np.zeros((0, steps))
+    x = lo[:, None] + (hi - lo)[:, None] * np.arange(steps) / (steps - 1)
+    own = np.repeat(np.arange(rows), n)
+    where = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
+    times, grid = t[where], x.reshape(-1)
+    series = np.concatenate((own, np.repeat(np.arange(rows), steps)))
+    is_grid = np.concatenate((np.zeros(len(own), np.int8), np.ones(len(grid), np.int8)))
+
+    def counted(kind: np.ndarray) -> np.ndarray:
+        """Observations of its series that sort before each grid point."""
+        order = np.lexsort((kind, np.concatenate((times, grid)), series))
+        seen = np.cumsum(is_grid[order] == 0)
+        out = np.empty(len(order), np.int64)
+        out[order] = seen
+        return out[len(own) :].reshape(rows, steps) - (np.cumsum(n) - n)[:, None]
+
+    before, after = counted(is_grid) - 1, counted(1 - is_grid)
+    a, b = first[:, None] + np.maximum(before, 0), first[:, None] + np.minimum(after, n[:, None] - 1)
+    gap = t[b] - t[a]
+    blend = v[a] + (v[b] - v[a]) * (x - t[a]) / np.where(gap > 0, gap, 1)
+    return np.where(before < 0, v[b], np.where((after >= n[:, None]) | (gap <= 0), v[a], blend))
 
 
 def interpolate(t: np.ndarray, v: np.ndarray, lo: float, hi: float, steps: int) -> np.ndarray:
@@ -132,13 +167,11 @@ def interpolate(t: np.ndarray, v: np.ndarray, lo: float, hi: float, steps: int)
 
 def smooth_rows(curves: np.ndarray, roll: int) -> np.ndarray:
     """Shrinking centred mean of each row."""
-    h = half_width(roll)
+    h, n = half_width(roll), curves.shape[1]
     if not h:
         return curves
-    n = curves.shape[1]
-    sums = np.concatenate((np.zeros((len(curves), 1)), np.cumsum(curves, axis=1)), axis=1)
-    low, high = np.maximum(np.arange(n) - h, 0), np.minimum(np.arange(n) + h + 1, n)
-    return (sums[:, high] - sums[:, low]) / (high - low)
+    near = np.abs(np.subtract.outer(np.arange(n), np.arange(n))) <= h
+    return curves @ (near / near.sum(axis=0))
 
 
 def shrinking_mean(rows: DataFrame, key: list[str], order: str, value: str, roll: int, name: str = "smooth") -> DataFrame:

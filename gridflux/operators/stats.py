@@ -14,7 +14,8 @@ TINY_MEAN, TINY_LEVEL = 1e-9, 1e-6
 
 def curve_stats(rows: DataFrame, key: list[str], value: str = "value") -> DataFrame:
     """Twelve statistics over the non-null values of each key: sample deviation,
-    exact linear percentiles, cv null where the mean is next to nothing."""
+    exact linear percentiles; cv is the deviation over the mean's absolute value, null
+    where that is next to nothing."""
     p = F.percentile(value, F.array(*[F.lit(q) for q in (0.1, 0.25, 0.5, 0.75, 0.9)]))
     base = rows.groupBy(*key).agg(
         F.avg(value).alias("mean"), F.stddev_samp(value).alias("sd"), p.alias("p"), F.min(value).alias("min"), F.max(value).alias("max")
@@ -23,7 +24,7 @@ def curve_stats(rows: DataFrame, key: list[str], value: str = "value") -> DataFr
     out = base.select(
         *key, "mean", "sd", *(c.alias(n) for n, c in q.items()), "min", "max",
         (F.col("max") - F.col("min")).alias("range"), (q["p75"] - q["p25"]).alias("iqr"),
-        F.when(F.abs("mean") > TINY_MEAN, F.col("sd") / F.col("mean")).alias("cv"),
+        F.when(F.abs("mean") > TINY_MEAN, F.col("sd") / F.abs("mean")).alias("cv"),
     )
     return out
 
@@ -38,17 +39,19 @@ def composite_block(curves: DataFrame, key: list[str], prefix: str = "comp_") ->
 
 
 def contrast_block(stats: DataFrame, key: list[str], index: str, names: list[str]) -> DataFrame:
-    """Level difference, ratio and cv difference of each pair of indices."""
+    """Contrasts of each pair of indices."""
     wide = stats.groupBy(*key).pivot(index, names).agg(F.first("mean").alias("mean"), F.first("cv").alias("cv"))
-    out: list[Column] = []
-    for a, b in combinations(names, 2):
-        ma, mb = F.col(f"{a}_mean"), F.col(f"{b}_mean")
-        out += [
-            (ma - mb).alias(f"con_{a}_{b}_diff"),
-            F.when(F.abs(mb) > TINY_LEVEL, ma / mb).alias(f"con_{a}_{b}_ratio"),
-            (F.col(f"{a}_cv") - F.col(f"{b}_cv")).alias(f"con_{a}_{b}_cv"),
-        ]
-    return wide.select(*key, *out)
+    of = lambda i: (F.col(f"{i}_mean"), F.col(f"{i}_cv"))
+    return wide.select(*key, *(c.alias(n) for a, b in combinations(names, 2) for n, c in contrasts(a, b, of(a), of(b))))
+
+
+def contrasts(a: str, b: str, x: tuple[Column, Column], y: tuple[Column, Column]) -> list[tuple[str, Column]]:
+    """Level difference, ratio and cv difference of two indices, given (mean, cv) of each."""
+    return [
+        (f"ctr_{a}_{b}_diff", x[0] - y[0]),
+        (f"ctr_{a}_{b}_ratio", F.when(F.abs(y[0]) > TINY_LEVEL, x[0] / y[0])),
+        (f"ctr_{a}_{b}_cvdiff", x[1] - y[1]),
+    ]
 
 
 def observation_stats(obs: DataFrame, key: list[str], ts: str = "ts", value: str = "v") -> DataFrame:
@@ -72,15 +75,17 @@ def tile_counts(pixels: DataFrame, group: list[str]) -> DataFrame:
     )
 
 
+def _near(sites: DataFrame, half: int) -> DataFrame:
+    """(site_id, dr, dc, row, col) of the cells around each site."""
+    step = F.explode(F.sequence(F.lit(-half), F.lit(half)))
+    near = sites.select("site_id", F.col("row").alias("r0"), F.col("col").alias("c0"), step.alias("dr")).select("*", step.alias("dc"))
+    return near.select("site_id", "dr", "dc", (F.col("r0") + F.col("dr")).alias("row"), (F.col("c0") + F.col("dc")).alias("col"))
+
+
 def patch_stats(grid: DataFrame, sites: DataFrame, names: list[str], half: int = 2) -> DataFrame:
     """Centre value, mean and population deviation over a square around each
     site's cell, cut at the grid's edge.  Sites bring (site_id, row, col)."""
-    offsets = F.explode(F.sequence(F.lit(-half), F.lit(half)))
-    near = sites.select("site_id", F.col("row").alias("r0"), F.col("col").alias("c0"), offsets.alias("dr")).select(
-        "*", F.explode(F.sequence(F.lit(-half), F.lit(half))).alias("dc")
-    )
-    near = near.select("site_id", "dr", "dc", (F.col("r0") + F.col("dr")).alias("row"), (F.col("c0") + F.col("dc")).alias("col"))
-    joined = near.join(grid, ["row", "col"])
+    joined = _near(sites, half).join(grid, ["row", "col"])
     centre = (F.col("dr") == 0) & (F.col("dc") == 0)
     aggs = []
     for n in names:
@@ -88,6 +93,24 @@ def patch_stats(grid: DataFrame, sites: DataFrame, names: list[str], half: int =
     return joined.groupBy("site_id").agg(*aggs)
 
 
+def patch_arrays(grid: DataFrame, sites: DataFrame, names: list[str], half: int = 2) -> DataFrame:
+    """(site_id, height, width, an array a layer): the square around each site's cell,
+    row by row, cut at the grid's edge."""
+    cells = _near(sites, half).join(grid, ["row", "col"])
+    ordered = F.array_sort(F.collect_list(F.struct("row", "col", *(F.col(n).alias(n) for n in names))))  # a patch has 25 cells
+    out = cells.groupBy("site_id").agg(ordered.alias("p"), F.countDistinct("row").cast("int").alias("height"), F.countDistinct("col").cast("int").alias("width"))
+    return out.select("site_id", "height", "width", *(F.col(f"p.{n}").alias(n) for n in names))
+
+
+def describe(df: DataFrame, names: list[str], digits: int = 2) -> DataFrame:
+    """(column, count, mean, std, min, p25, p50, p75, max) of columns, rounded."""
+    rows = df.select(F.explode(F.array(*(F.struct(F.lit(n).alias("column"), F.col(n).cast("double").alias("x")) for n in names))).alias("s")).select("s.*")
+    q = F.percentile("x", F.array(*map(F.lit, (0.25, 0.5, 0.75))))
+    out = rows.groupBy("column").agg(F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("min"), q.alias("q"), F.max("x").alias("max"))
+    values = {"mean": F.col("mean"), "std": F.col("std"), "min": F.col("min"), "p25": F.col("q")[0], "p50": F.col("q")[1], "p75": F.col("q")[2], "max": F.col("max")}
+    return out.select("column", "count", *(F.round(c, digits).alias(n) for n, c in values.items()))
+
+
 def seed_mean(preds: DataFrame, key: list[str], targets: list[str]) -> DataFrame:
     """Mean over an ensemble's seeds, skipping nulls."""
     return preds.groupBy(*key).agg(*(F.avg(t).alias(t) for t in targets))

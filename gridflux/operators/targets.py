@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridflux.functions.power import Power, np_yeo_johnson, scaled, unscaled
+from gridflux.functions.power import Power, np_yeo_johnson, scaled, unscaled, yeo_johnson
 from gridflux.functions.semantics import clip
 
 # Target names by family, and names that must not be fitted.
@@ -67,6 +67,8 @@ FACETS = {
     "lcbd_count_pg": COUNT_LCBD, "pd_inext_pg": PD_INEXT, "td_inext_pg": TD_INEXT,
 }
 DRAWS, TRIM, LEAST_RESIDUALS = 128, (0.025, 0.975), 20
+#: Lambdas that a fit starts from, and beyond which it doesn't look.
+FIRST_GRID, FARTHEST = np.linspace(-5, 5, 41), 1e6
 
 
 def resolve(names: str | list[str]) -> list[str]:
@@ -93,58 +95,77 @@ def observed_mask(df: DataFrame, names: list[str], keep: list[str]) -> DataFrame
     return df.select(*keep, *(F.col(t).isNotNull().cast("float").alias(t) for t in names))
 
 
+def _wider(grid: np.ndarray, best: int) -> np.ndarray | None:
+    """The next grid of lambdas where the best one is at an end: further out that way."""
+    if 0 < best < len(grid) - 1 or abs(grid[best]) > FARTHEST:
+        return None
+    return np.sort(np.linspace(grid[best] / 4, grid[best] * 4, 21))
+
+
+def _finer(grid: np.ndarray, best: int) -> np.ndarray:
+    return np.linspace(grid[max(0, best - 1)], grid[min(len(grid) - 1, best + 1)], 21)
+
+
+def _close(grid: np.ndarray, tolerance: float) -> bool:
+    return grid[1] - grid[0] <= tolerance * max(1.0, float(np.abs(grid).max()))
+
+
 def fit_power(values: np.ndarray, tolerance: float = 1e-6) -> Power:
-    """Yeo-Johnson by maximum likelihood: golden-section search over lambda."""
+    """Yeo-Johnson by maximum likelihood over lambda, whatever its size: a grid moves
+    outwards while its end is best, then becomes finer around the best."""
+    logs = float((np.sign(values) * np.log1p(np.abs(values))).mean())
 
     def loss(lam: float) -> float:
-        z = np_yeo_johnson(values, lam)
-        v = z.var()
-        if not np.isfinite(v) or v <= 0:
-            return np.inf
-        return len(values) / 2 * np.log(v) - (lam - 1) * float((np.sign(values) * np.log1p(np.abs(values))).sum())
-
-    grid = np.linspace(-5, 5, 41)
-    k = int(np.argmin([loss(x) for x in grid]))
-    a, b = grid[max(0, k - 1)], grid[min(len(grid) - 1, k + 1)]
-    g = (np.sqrt(5) - 1) / 2
-    while b - a > tolerance:
-        c, d = b - g * (b - a), a + g * (b - a)
-        a, b = (a, d) if loss(c) < loss(d) else (c, b)
-    lam = float((a + b) / 2)
+        with np.errstate(over="ignore", invalid="ignore"):
+            s = np_yeo_johnson(values, lam).std()
+        return np.log(s) - (lam - 1) * logs if np.isfinite(s) and s > 0 else np.inf
+
+    grid = FIRST_GRID
+    while True:
+        best = int(np.argmin([loss(x) for x in grid]))
+        outwards = _wider(grid, best) if not _close(grid, tolerance) else None
+        if outwards is None and _close(grid, tolerance):
+            break
+        grid = outwards if outwards is not None else _finer(grid, best)
+    lam = float(grid[best])
     z = np_yeo_johnson(values, lam)
     return Power(lam, float(z.mean()), float(z.std()) or 1.0)
 
 
 def fit_scalers(df: DataFrame, names: list[str], tolerance: float = 1e-6) -> dict[str, Power]:
     """Scalers of median-filled columns, by maximum likelihood over all rows: one
-    aggregate has the likelihoods of a grid of lambdas, further ones those of finer
-    grids around the best; only sums reach the driver."""
+    aggregate has the likelihoods of a grid of lambdas, further ones those of grids
+    further out or finer; only sums reach the driver."""
     medians = df.agg(*(F.percentile(t, F.lit(0.5)).alias(t) for t in names)).first()
     empty = [t for t in names if medians[t] is None]
     if empty:
         raise ValueError(f"no values: {empty}")
     filled = df.select(*(F.coalesce(F.col(t).cast("double"), F.lit(medians[t])).alias(t) for t in names))
 
+    rows = filled.select(F.explode(F.array(*(F.struct(F.lit(t).alias("target"), F.col(t).alias("x")) for t in names))).alias("s")).select("s.*")
+
     def moments(lams: dict[str, np.ndarray]) -> dict[str, list[tuple[float, float]]]:
         """(mean, standard deviation) of each column by each of its lambdas."""
-        aggs = []
-        for i, t in enumerate(names):
-            for k, lam in enumerate(lams[t]):
-                z = scaled(F.col(t), Power(float(lam), 0.0, 1.0))
-                aggs += [F.avg(z).alias(f"m{i}_{k}"), F.stddev_pop(z).alias(f"s{i}_{k}")]
-        r = filled.agg(*aggs).first()
-        return {t: [(r[f"m{i}_{k}"], r[f"s{i}_{k}"]) for k in range(len(lams[t]))] for i, t in enumerate(names)}
+        tried = df.sparkSession.createDataFrame([(t, k, float(x)) for t, grid in lams.items() for k, x in enumerate(grid)], "target string, k int, lam double")
+        z = yeo_johnson(F.col("x"), F.col("lam"))
+        got = rows.join(F.broadcast(tried), "target").groupBy("target", "k").agg(F.avg(z).alias("m"), F.stddev_pop(z).alias("s"))  # a grid a target
+        found = {(r["target"], r["k"]): (r["m"], r["s"]) for r in got.collect()}
+        return {t: [found[t, k] for k in range(len(grid))] for t, grid in lams.items()}
 
     logs = filled.agg(*(F.avg(F.signum(t) * F.log1p(F.abs(t))).alias(t) for t in names)).first()
-    grids = {t: np.linspace(-5, 5, 41) for t in names}
-    while True:
-        found, best = moments(grids), {}
-        for t in names:
-            losses = [np.log(s) - (lam - 1) * logs[t] if s and np.isfinite(s) else np.inf for lam, (_, s) in zip(grids[t], found[t], strict=True)]
-            best[t] = int(np.argmin(losses))
-        if all(grids[t][1] - grids[t][0] <= tolerance for t in names):
-            return {t: Power(float(grids[t][best[t]]), found[t][best[t]][0], found[t][best[t]][1] or 1.0) for t in names}
-        grids = {t: np.linspace(grids[t][max(0, best[t] - 1)], grids[t][min(len(grids[t]) - 1, best[t] + 1)], 21) for t in names}
+    grids, done = dict.fromkeys(names, FIRST_GRID), {}
+    while grids:
+        found, following = moments(grids), {}
+        for t, grid in grids.items():
+            losses = [np.log(s) - (lam - 1) * logs[t] if s and np.isfinite(s) else np.inf for lam, (_, s) in zip(grid, found[t], strict=True)]
+            best = int(np.argmin(losses))
+            if _close(grid, tolerance):
+                done[t] = Power(float(grid[best]), found[t][best][0], found[t][best][1] or 1.0)
+                continue
+            outwards = _wider(grid, best)
+            following[t] = outwards if outwards is not None else _finer(grid, best)
+        grids = following
+    return {t: done[t] for t in names}
 
 
 def scale(df: DataFrame, scalers: dict[str, Power], keep: list[str]) -> DataFrame:

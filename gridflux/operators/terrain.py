@@ -3,7 +3,7 @@
 Neighbourhoods are windows along rows and along columns (``lag``/``lead`` and
 moving means), so a tile's grid is sorted twice and never joined with itself;
 diagonal neighbours are a vertical step of a horizontal one.  Halos are rows of
-the same grid that are filtered afterwards.
+the same grid that are filtered afterwards (``crop``).
 """
 
 from __future__ import annotations
@@ -67,40 +67,68 @@ def aspect(dz_drow: Column, dz_dcol: Column, slope_deg: Column) -> Column:
 
 
 def heat_load(lat_deg: Column, slope_deg: Column, aspect_deg: Column) -> Column:
-    """McCune and Keon's index, folded about the north-west to south-east line."""
-    lat, s = F.radians(lat_deg), F.radians(slope_deg)
+    """McCune and Keon's index, folded about the north-west to south-east line; of the
+    distance from the equator, so that both hemispheres agree."""
+    lat, s = F.radians(F.abs(lat_deg)), F.radians(slope_deg)
     folded = F.radians(F.abs(F.lit(180.0) - F.abs(aspect_deg - 315.0)))
     return (
         F.lit(0.339) + F.cos(lat) * F.cos(s) * 0.808 - F.sin(lat) * F.sin(s) * 0.196 - F.cos(folded) * F.sin(s) * 0.482
     )
 
 
-def terrain_layers(grid: DataFrame, res: float, lat_deg: Column | float, tile: str = "tile_id", radius: int = TPI_RADIUS) -> DataFrame:
-    """All layers; tpi, tri and curvature are null within their radius of an edge."""
+def _beside(value: str, w: Window, step: int, edges: str) -> Column:
+    """The value one step along a line; beyond its end that of the other end ("wrap"),
+    its own ("reflect") or null."""
+    shift = F.lag if step < 0 else F.lead
+    beyond = {"wrap": (F.last if step < 0 else F.first)(value).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), "reflect": F.col(value)}
+    if edges == "null":
+        return shift(value).over(w)
+    return F.when(shift(F.lit(1)).over(w).isNull(), beyond[edges]).otherwise(shift(value).over(w))
+
+
+def _box_mean(value: str, w: Window, radius: int) -> Column:
+    """Mean along a line over ``radius`` cells to both sides; cells beyond an end count
+    as the end's."""
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    place, size = F.row_number().over(w), F.count(F.lit(1)).over(whole)
+    before, after = F.greatest(F.lit(0), radius + 1 - place), F.greatest(F.lit(0), radius - (size - place))
+    total = F.sum(value).over(w.rowsBetween(-radius, radius)) + before * F.first(value).over(whole) + after * F.last(value).over(whole)
+    return total / (2 * radius + 1)
+
+
+def terrain_layers(grid: DataFrame, res: float, lat_deg: Column | float, tile: str = "tile_id", radius: int = TPI_RADIUS, edges: str = "published") -> DataFrame:
+    """All layers.  At the edges of a tile, ``edges="published"`` repeats the edge for
+    tpi, takes tri's neighbours from the other side and mirrors curvature; "null"
+    leaves these three null within their radius."""
     lat = lat_deg if isinstance(lat_deg, Column) else F.lit(float(lat_deg))
+    wrap, mirror = ("null", "null") if edges == "null" else ("wrap", "reflect")
     g = gradient(grid, res, tile)
     r, c = _along_row(tile), _along_col(tile)
+    near = F.avg("elevation").over(r.rowsBetween(-radius, radius)) if edges == "null" else _box_mean("elevation", r, radius)
     g = g.withColumns({
         "slope": slope(F.col("dz_drow"), F.col("dz_dcol")),
-        "_w": F.lag("elevation").over(r), "_e": F.lead("elevation").over(r),
-        "_m": F.avg("elevation").over(r.rowsBetween(-radius, radius)), "_k": F.count("elevation").over(r.rowsBetween(-radius, radius)),
+        "_w": _beside("elevation", r, -1, wrap), "_e": _beside("elevation", r, 1, wrap),
+        "_mw": _beside("elevation", r, -1, mirror), "_me": _beside("elevation", r, 1, mirror),
+        "_m": near, "_k": F.count("elevation").over(r.rowsBetween(-radius, radius)),
     })
+    box = F.avg("_m").over(c.rowsBetween(-radius, radius)) if edges == "null" else _box_mean("_m", c, radius)
     g = g.withColumns({
         "aspect": aspect(F.col("dz_drow"), F.col("dz_dcol"), F.col("slope")),
-        "_n": F.lag("elevation").over(c), "_s": F.lead("elevation").over(c),
-        "_nw": F.lag("_w").over(c), "_ne": F.lag("_e").over(c), "_sw": F.lead("_w").over(c), "_se": F.lead("_e").over(c),
-        "_mean": F.avg("_m").over(c.rowsBetween(-radius, radius)), "_full": F.sum("_k").over(c.rowsBetween(-radius, radius)),
+        "_n": _beside("elevation", c, -1, wrap), "_s": _beside("elevation", c, 1, wrap),
+        "_mn": _beside("elevation", c, -1, mirror), "_ms": _beside("elevation", c, 1, mirror),
+        "_nw": _beside("_w", c, -1, wrap), "_ne": _beside("_e", c, -1, wrap), "_sw": _beside("_w", c, 1, wrap), "_se": _beside("_e", c, 1, wrap),
+        "_mean": box, "_full": F.sum("_k").over(c.rowsBetween(-radius, radius)),
     })
     e = F.col("elevation")
     around = [F.col(n) for n in ("_nw", "_n", "_ne", "_w", "_e", "_sw", "_s", "_se")]
     squares = sum((F.pow(x - e, F.lit(2)) for x in around[1:]), F.pow(around[0] - e, F.lit(2)))
-    full = (2 * radius + 1) ** 2
+    inside = F.col("_full") == (2 * radius + 1) ** 2 if edges == "null" else F.lit(True)
     return g.select(
         tile, "row", "col", "elevation", "slope", "aspect",
         F.cos(F.radians("aspect")).alias("northness"), F.sin(F.radians("aspect")).alias("eastness"),
         heat_load(lat, F.col("slope"), F.col("aspect")).alias("heat_load"),
-        F.when(F.col("_full") == full, e - F.col("_mean")).alias("tpi"), F.sqrt(squares).alias("tri"),
-        ((F.col("_n") + F.col("_s") + F.col("_w") + F.col("_e") - e * 4) / (res * res)).alias("curvature"),
+        F.when(inside, e - F.col("_mean")).alias("tpi"), F.sqrt(squares).alias("tri"),
+        ((F.col("_mn") + F.col("_ms") + F.col("_mw") + F.col("_me") - e * 4) / (res * res)).alias("curvature"),
     )
 
 
@@ -117,9 +145,9 @@ def context_frame(layers: DataFrame, columns: list[str], area_m2: float, stratum
     if stratum not in strata:
         raise ValueError(f"unknown stratum {stratum}")
     made = {f"topo_{c}": F.col(c).cast("double") for c in layers.columns if c not in keep}
-    made["topo_flat"] = F.col("heat_load").isNull().cast("double")
-    made["log10_area"] = F.lit(log10(area_m2))
-    made |= {f"stratum_{s}": F.lit(1.0 if s == stratum else 0.0) for s in strata[1:]}
+    made["topo_topo_flat"] = F.col("heat_load").isNull().cast("double")
+    made["area_log10"] = F.lit(log10(area_m2))
+    made |= {f"area_stratum_{s}": F.lit(1.0 if s == stratum else 0.0) for s in strata[1:]}
     lost = [c for c in columns if c not in made]
     if lost:
         raise ValueError(f"context columns that aren't made here: {lost}")

@@ -28,11 +28,11 @@ def window_spans(windowed: DataFrame, group: list[str], t: str = "t", v: str = "
     null with fewer than two clear slices."""
     one = F.struct(*slices)
     clear = F.col(v).isNotNull()
-    out = windowed.groupBy(*group).agg(
-        F.countDistinct(F.when(clear, one)).alias("n_clear"),
-        F.countDistinct(one).alias("n_dates_window"),
-        F.min(F.when(clear, F.col(t))).alias("lo"),
-        F.max(F.when(clear, F.col(t))).alias("hi"),
+    by_slice = windowed.groupBy(*group, one.alias("slice")).agg(  # few slices a group: small after the partial aggregate
+        F.bool_or(clear).alias("clear"), F.min(F.when(clear, F.col(t))).alias("lo"), F.max(F.when(clear, F.col(t))).alias("hi")
+    )
+    out = by_slice.groupBy(*group).agg(
+        F.count_if("clear").alias("n_clear"), F.count("*").alias("n_dates_window"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
     )
     enough = F.col("n_clear") >= 2
     return out.withColumn("lo", F.when(enough, F.col("lo"))).withColumn("hi", F.when(enough, F.col("hi")))

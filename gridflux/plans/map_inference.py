@@ -1,9 +1,12 @@
 """Map inference: observations to back-transformed layers for each tile and year.
 
-One lazy plan over all tiles and years: the archive is scanned once, each
-observation goes to the windows that hold it, a pixel's series becomes a curve
-array by one grouped aggregate, and only native pixels with a whole curve reach
-the model.  Waves of tiles bound what a failure can cost.
+One lazy plan over all tiles and years: the archive is scanned once, for the years
+that the windows need; each observation goes to the windows that hold it, and one
+grouped aggregate has the series of each pixel and window.  The spans of tiles come
+from a second aggregate of that aggregate (its exchange is reused, so nothing is read
+again), curves and predictions are columns beside a pixel's row: only native pixels
+with a whole curve bring an image to the networks.  Waves of tiles bound what a
+failure can cost.
 """
 
 from __future__ import annotations
@@ -19,8 +22,9 @@ from gridflux.functions.semantics import days_since_epoch
 from gridflux.operators.joins import backlog, done_pairs, status_rows
 from gridflux.operators.landcover import is_native
 from gridflux.operators.predict import Ensemble, back_transform, predict
-from gridflux.operators.regularize import regularize_arrays
-from gridflux.operators.windows import explode_target_years, window_spans
+from gridflux.operators.regularize import interpolated
+from gridflux.operators.windows import SPAN, explode_target_years, window_spans
+from gridflux.sources.observations import in_years
 
 TILE_YEAR = ["tile_id", "year"]
 
@@ -34,15 +38,31 @@ class Config:
     wave: int = 250
 
 
+KEY = [*TILE_YEAR, "px"]
+
+
+def pixel_series(obs: DataFrame, config: Config) -> DataFrame:
+    """(tile_id, year, px, s): all observations of each pixel and window, as (t, ts,
+    sensor, v) in no order."""
+    wanted = in_years(F.col("ts"), min(config.years) - SPAN + 1, max(config.years))
+    windowed = explode_target_years(obs.where(wanted), list(config.years), name="year").withColumn("t", days_since_epoch(F.col("ts")))
+    return windowed.groupBy(*KEY).agg(F.collect_list(F.struct(F.col("t").cast("double").alias("t"), "ts", "sensor", "v")).alias("s"))
+
+
+def series_spans(series: DataFrame) -> DataFrame:
+    """(tile_id, year, lo, hi, n_dates_window): first and last clear slice, null with fewer
+    than two, and all slices."""
+    slices = series.select(*TILE_YEAR, F.explode("s").alias("o")).select(*TILE_YEAR, "o.*")
+    return window_spans(slices, TILE_YEAR).drop("n_clear")
+
+
 def year_curves(obs: DataFrame, config: Config) -> DataFrame:
     """(tile_id, year, px, n_obs, lo, hi, n_dates_window, curve) for each pixel of each window."""
-    windowed = explode_target_years(obs, list(config.years), name="year").withColumn("t", days_since_epoch(F.col("ts")))
-    spans = window_spans(windowed, TILE_YEAR)
-    pixels = windowed.where("v IS NOT NULL").select(*TILE_YEAR, "px").distinct()
-    spans_px = pixels.join(spans, TILE_YEAR)  # a row for each tile and year: broadcast by its size
-    key = [*TILE_YEAR, "px"]
-    curves = regularize_arrays(windowed.withColumn("tie", F.struct("sensor", "ts")), spans_px.select(*key, "lo", "hi"), key, config.steps, config.roll, config.min_obs)
-    return curves.join(spans, TILE_YEAR)
+    series = pixel_series(obs, config)
+    clear = F.array_sort(F.transform(F.filter("s", lambda o: o["v"].isNotNull()), lambda o: F.struct(o["t"].alias("t"), o["sensor"].alias("sensor"), o["ts"].alias("ts"), o["v"].alias("v"))))
+    rows = series.join(series_spans(series), TILE_YEAR)  # a row for each tile and year: broadcast by its size
+    rows = rows.select(*KEY, "lo", "hi", "n_dates_window", clear.alias("s")).where(F.size("s") > 0)
+    return interpolated(rows, [*KEY, "n_dates_window"], config.steps, config.roll, config.min_obs)
 
 
 def map_layers(obs: DataFrame, cells: DataFrame, context: DataFrame, cover: DataFrame, model: Ensemble, config: Config,
@@ -52,21 +72,24 @@ def map_layers(obs: DataFrame, cells: DataFrame, context: DataFrame, cover: Data
     ``cells``: tile_id, px, row, col.  ``context``: tile_id, px and the model's
     context columns.  ``cover``: tile_id, px, year, class.
     """
-    key = [*TILE_YEAR, "px"]
-    curves = year_curves(obs, config)
-    frame = cells.crossJoin(F.broadcast(cells.sparkSession.createDataFrame([(y,) for y in config.years], "year int")))  # the years asked for
-    native = cover.select(*key, is_native(F.col("class")).alias("native"))
-    grid = frame.join(native, key, "left").withColumn("native", F.coalesce("native", F.lit(False)))
-    rows = grid.join(curves, key, "left")
-    ready = rows.where(F.col("native") & F.col("curve").isNotNull()).join(context, ["tile_id", "px"])
-    image = ordered(wrap_pad(F.col("curve"), model.side**2), serpentine_order(model.side))
-    preds = predict(ready.withColumn("image", image), model, key)
-    final = back_transform(preds, model, key, draws, bounds, limits)
-    out = rows.join(final, key, "left")
-    return out.select(
-        "tile_id", "year", "px", "row", "col", *model.targets, F.col("n_obs").cast("double").alias("n_obs"),
-        (F.col("hi") - F.col("lo")).alias("span_days"), F.col("native").cast("double").alias("native"),
-        "lo", "hi", "n_dates_window",
+    rows = map_rows(obs, cells, cover, config).join(context.select("tile_id", "px", *model.context), ["tile_id", "px"], "left")
+    image = F.when(F.col("ready"), ordered(wrap_pad(F.col("curve"), model.side**2), serpentine_order(model.side)))
+    keep = [*KEY, "row", "col", "n_obs", "span_days", "native", "lo", "hi", "n_dates_window"]
+    preds = predict(rows.withColumn("image", image), model, keep)
+    out = back_transform(preds, model, keep, draws, bounds, limits)
+    return out.select(*KEY, "row", "col", *model.targets, "n_obs", "span_days", "native", "lo", "hi", "n_dates_window")
+
+
+def map_rows(obs: DataFrame, cells: DataFrame, cover: DataFrame, config: Config) -> DataFrame:
+    """What the networks are asked for: a row for each cell and year, with its curve;
+    ``ready`` if it is native and has one."""
+    years = F.explode(F.array(*map(F.lit, config.years))).alias("year")
+    native = cover.select(*KEY, is_native(F.col("class")).alias("native"))
+    grid = cells.select("*", years).join(native, KEY, "left").withColumn("native", F.coalesce("native", F.lit(False)))
+    rows = grid.join(year_curves(obs, config), KEY, "left")
+    return rows.select(
+        *KEY, "row", "col", F.col("n_obs").cast("double").alias("n_obs"), (F.col("hi") - F.col("lo")).alias("span_days"), F.col("native").cast("double").alias("native"),
+        "lo", "hi", "n_dates_window", "curve", (F.col("native") & F.col("curve").isNotNull()).alias("ready"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridflux.operators.stats import patch_stats
+from gridflux.operators.stats import patch_arrays, patch_stats
 from gridflux.operators.terrain import LAYERS, fill_holes, terrain_layers, valid_elevation
 
 
@@ -20,18 +20,27 @@ def extract_topography(dem: DataFrame, sites: DataFrame, res: float, done: DataF
     ``dem``: tile_id, row, col, elevation with a halo.  ``sites``: site_id,
     tile_id, row, col, lat.
     """
-    if done is not None:
-        sites = sites.join(done.select("site_id").distinct(), "site_id", "left_anti")
-    lats = sites.groupBy("tile_id").agg(F.avg("lat").alias("lat"))
-    grid = dem.join(lats, "tile_id").withColumn("elevation", valid_elevation(F.col("elevation")))
-    filled = fill_holes(grid, biased=biased_fill)
-    layers = terrain_layers(filled, res, F.col("lat"))
-    return _by_tile(layers, sites)
+    return patch_stats(*_placed(dem, sites, res, done, biased_fill), list(LAYERS))
+
+
+def extract_patches(dem: DataFrame, sites: DataFrame, res: float, done: DataFrame | None = None, biased_fill: bool = True) -> DataFrame:
+    """(site_id, height, width, an array a layer): the layers of 5 x 5 cells around each site."""
+    return patch_arrays(*_placed(dem, sites, res, done, biased_fill), list(LAYERS))
 
 
-def _by_tile(layers: DataFrame, sites: DataFrame) -> DataFrame:
-    """Patches inside a tile: rows are keyed by tile through a wide row number."""
+def failed_sites(dem: DataFrame, sites: DataFrame) -> DataFrame:
+    """(site_id, tile_id, error) of sites whose tile has no elevation at all: they are
+    left out, the others go on."""
+    there = dem.where(valid_elevation(F.col("elevation")).isNotNull()).select("tile_id").distinct()
+    return sites.join(there, "tile_id", "left_anti").select("site_id", "tile_id", F.lit("empty elevation").alias("error"))
+
+
+def _placed(dem: DataFrame, sites: DataFrame, res: float, done: DataFrame | None, biased_fill: bool) -> tuple[DataFrame, DataFrame]:
+    """Layers of the tiles that hold sites, and the sites, with rows that differ by tile."""
+    lats = sites.groupBy("tile_id").agg(F.avg("lat").alias("lat"))  # of all sites of a tile, done or not
+    if done is not None:
+        sites = sites.join(done.select("site_id").distinct(), "site_id", "left_anti")
+    grid = dem.join(lats.join(sites.select("tile_id").distinct(), "tile_id", "left_semi"), "tile_id").withColumn("elevation", valid_elevation(F.col("elevation")))
+    layers = terrain_layers(fill_holes(grid, biased=biased_fill), res, F.col("lat"))
     key = F.pmod(F.xxhash64("tile_id"), F.lit(1 << 40)) * (1 << 20)
-    grid = layers.withColumn("row", key + F.col("row"))
-    placed = sites.withColumn("row", key + F.col("row"))
-    return patch_stats(grid, placed, list(LAYERS))
+    return layers.withColumn("row", key + F.col("row")), sites.withColumn("row", key + F.col("row"))

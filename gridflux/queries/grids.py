@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -13,11 +14,11 @@ from gridflux.functions import images
 from gridflux.functions.power import Power
 from gridflux.operators import forest, predict, terrain
 from gridflux.operators.nn import forward, random_weights
-from gridflux.operators.stats import patch_stats
+from gridflux.operators.stats import describe, patch_stats
 from gridflux.operators.targets import fit_scalers, oof_residuals, winsor_bounds
 from gridflux.plans import map_inference
-from gridflux.plans.topography import extract_topography
-from gridflux.queries.inputs import CURVE, GRID, curves, elevation_grid, observations, read, rounded
+from gridflux.plans.topography import extract_patches, extract_topography, site_cells
+from gridflux.queries.inputs import CURVE, GRID, GRID_COLS, OBS, TILE_PARTS, YEARS, curves, elevation_grid, observations, read, rounded
 from gridflux.functions.indices import kndvi, ndvi, reflectance, with_clear
 
 STEPS = 64
@@ -90,9 +91,9 @@ SELECT id, CAST(i AS INT) AS row, round(sum(x), 6) AS total, round(max(x), 6) AS
 def gaf_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = curves(spark, sf_dir).select("id", images.polar(F.col("curve")).alias("angles"))
     plus, minus = images.gaf(F.col("angles"))
-    a = _line_sums(rows, plus).withColumnsRenamed({"total": "plus_total", "top": "plus_top"})
-    b = _line_sums(rows, minus).withColumnsRenamed({"total": "minus_total", "top": "minus_top"})
-    return a.join(b, ["id", "row"])
+    lines = rows.select("id", F.posexplode(F.arrays_zip(plus.alias("plus"), minus.alias("minus"))).alias("row", "line"))
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda s, x: s + x)
+    return rounded(lines.select("id", "row", *(c for k in ("plus", "minus") for c in (total(f"line.{k}").alias(f"{k}_total"), F.array_max(f"line.{k}").alias(f"{k}_top")))))
 
 
 GAF_SQL = f"""
@@ -121,6 +122,24 @@ def cwt_image(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _line_sums(curves(spark, sf_dir), images.cwt(F.col("curve")))
 
 
+def _cwt_sql() -> str:
+    """The transform from its definition: for a scale, differences of the sums of curve
+    values times the integrated wavelet at scaled places, cut to the middle."""
+    step = "((-8.0::DOUBLE + 16.0::DOUBLE / 1023) + 8.0::DOUBLE)"  # rounded as a difference of places
+    return f"""
+WITH {CURVE},
+w AS (SELECT k, -8 + k * (16.0::DOUBLE / 1023) AS t FROM range(0, 1024) r(k)),
+g AS (SELECT k, sum(exp(-t * t / 2) * cos(5 * t)) OVER (ORDER BY k) * {step} AS v FROM w),
+p AS (SELECT CAST(s AS BIGINT) AS s, j, CAST(floor(j / (s * {step})) AS BIGINT) AS k FROM range(1, 25) a(s), range(0, 24 * 16 + 1) b(j) WHERE j <= 16 * s),
+f AS (SELECT s, j, v FROM p JOIN g USING (k)),
+m AS (SELECT s, max(j) AS last, count(*) AS n FROM f GROUP BY s),
+kern AS (SELECT f.s, m.last - j AS j, v, m.n FROM f JOIN m USING (s)),
+step AS (SELECT coalesce(a.s, b.s) AS s, coalesce(a.j, b.j + 1) AS j, coalesce(a.n, b.n) AS n, coalesce(a.v, 0) - coalesce(b.v, 0) AS d
+         FROM kern a FULL JOIN kern b ON a.s = b.s AND a.j = b.j + 1),
+o AS (SELECT c.id, s, c.i + j - 1 - (n - 2) // 2 AS x, sum(c.v * d) AS v FROM curve c JOIN step ON true GROUP BY c.id, s, x)
+SELECT id, CAST(s - 1 AS INT) AS row, round(sum(abs(sqrt(s) * v)), 6) AS total, round(max(abs(sqrt(s) * v)), 6) AS top FROM o WHERE x BETWEEN 0 AND 63 GROUP BY id, s"""
+
+
 def cos2d_image(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cells(curves(spark, sf_dir), images.cos2d(F.col("curve")))
 
@@ -154,7 +173,7 @@ SELECT id, CAST(r AS INT) AS row, round(sum(v), 6) AS total, round(max(v), 6) AS
 
 def terrain_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = elevation_grid(spark, sf_dir).withColumn("elevation", terrain.valid_elevation(F.col("elevation")))
-    layers = terrain.terrain_layers(terrain.fill_holes(g), 30.0, -33.5)
+    layers = terrain.terrain_layers(terrain.fill_holes(g), 30.0, (F.col("row") - 25) * 1.5)  # latitudes of both signs
     return rounded(layers, 6)
 
 
@@ -164,32 +183,43 @@ around AS (SELECT v.tile_id, v.row, v.col, v.elevation, sum(coalesce(n.elevation
 filled AS (SELECT tile_id, row, col, coalesce(elevation, mean) AS e FROM around)"""
 
 
-def _terrain_sql() -> str:
-    names = {"n": (-1, 0), "s": (1, 0), "w": (0, -1), "e": (0, 1), "nw": (-1, -1), "ne": (-1, 1), "sw": (1, -1), "se": (1, 1)}
+def _terrain_sql(lat: str = "(row - 25) * 1.5") -> str:
+    """Edges as published: central differences one-sided, tpi with the edge repeated, tri
+    with neighbours from the other side, curvature with the edge mirrored."""
+    names = {"n": (-1, 0), "s": (1, 0), "w": (0, -1), "e": (0, 1)}
     joins = " ".join(f"LEFT JOIN filled {k} ON {k}.tile_id = c.tile_id AND {k}.row = c.row + {r} AND {k}.col = c.col + {q}" for k, (r, q) in names.items())
     cols = ", ".join(f"{k}.e AS z{k}" for k in names)
-    squares = " + ".join(f"pow(z{k} - z, 2)" for k in names)
     return f"""
 WITH {FILLED},
-m AS (SELECT a.tile_id, a.row, a.col, avg(b.e) AS mean, count(*) AS k FROM filled a JOIN filled b
-      ON a.tile_id = b.tile_id AND abs(a.row - b.row) <= 3 AND abs(a.col - b.col) <= 3 GROUP BY ALL),
+lim AS (SELECT *, min(col) OVER r AS c0, max(col) OVER r AS c1, min(row) OVER c AS r0, max(row) OVER c AS r1 FROM filled
+        WINDOW r AS (PARTITION BY tile_id, row), c AS (PARTITION BY tile_id, col)),
+h AS (SELECT a.tile_id, a.row, a.col, a.r0, a.r1, avg(b.e) AS m FROM lim a, range(-3, 4) k(d) JOIN filled b ON b.tile_id = a.tile_id AND b.row = a.row AND b.col = least(a.c1, greatest(a.c0, a.col + d)) GROUP BY ALL),
+m AS (SELECT a.tile_id, a.row, a.col, avg(b.m) AS mean FROM h a, range(-3, 4) k(d) JOIN h b ON b.tile_id = a.tile_id AND b.col = a.col AND b.row = least(a.r1, greatest(a.r0, a.row + d)) GROUP BY ALL),
+side AS (SELECT a.tile_id, a.row, a.col, a.e, a.r0, a.r1, w.e AS ww, e.e AS we FROM lim a
+         JOIN filled w ON w.tile_id = a.tile_id AND w.row = a.row AND w.col = CASE WHEN a.col = a.c0 THEN a.c1 ELSE a.col - 1 END
+         JOIN filled e ON e.tile_id = a.tile_id AND e.row = a.row AND e.col = CASE WHEN a.col = a.c1 THEN a.c0 ELSE a.col + 1 END),
+tri AS (SELECT a.tile_id, a.row, a.col, sqrt(pow(a.ww - a.e, 2) + pow(a.we - a.e, 2) + pow(n.e - a.e, 2) + pow(n.ww - a.e, 2) + pow(n.we - a.e, 2)
+               + pow(s.e - a.e, 2) + pow(s.ww - a.e, 2) + pow(s.we - a.e, 2)) AS tri FROM side a
+        JOIN side n ON n.tile_id = a.tile_id AND n.col = a.col AND n.row = CASE WHEN a.row = a.r0 THEN a.r1 ELSE a.row - 1 END
+        JOIN side s ON s.tile_id = a.tile_id AND s.col = a.col AND s.row = CASE WHEN a.row = a.r1 THEN a.r0 ELSE a.row + 1 END),
 x AS (SELECT c.tile_id, c.row, c.col, c.e AS z, {cols} FROM filled c {joins}),
 g AS (SELECT *, CASE WHEN zs IS NOT NULL AND zn IS NOT NULL THEN (zs - zn) / 60 WHEN zs IS NOT NULL THEN (zs - z) / 30 ELSE (z - zn) / 30 END AS dr,
              CASE WHEN ze IS NOT NULL AND zw IS NOT NULL THEN (ze - zw) / 60 WHEN ze IS NOT NULL THEN (ze - z) / 30 ELSE (z - zw) / 30 END AS dc FROM x),
 s AS (SELECT *, degrees(atan(sqrt(dr * dr + dc * dc))) AS slope FROM g),
-a AS (SELECT *, CASE WHEN slope >= 0.5 THEN ((90 - degrees(atan2(dr, -dc))) % 360 + 360) % 360 END AS aspect FROM s)
+a AS (SELECT *, CASE WHEN slope >= 0.5 THEN ((90 - degrees(atan2(dr, -dc))) % 360 + 360) % 360 END AS aspect, radians(abs({lat})) AS north FROM s)
 SELECT tile_id, row, col, round(z, 6) AS elevation, round(slope, 6) AS slope, round(aspect, 6) AS aspect, round(cos(radians(aspect)), 6) AS northness, round(sin(radians(aspect)), 6) AS eastness,
-       round(0.339::DOUBLE + 0.808::DOUBLE * cos(radians(-33.5::DOUBLE)) * cos(radians(slope)) - 0.196::DOUBLE * sin(radians(-33.5::DOUBLE)) * sin(radians(slope))
+       round(0.339::DOUBLE + 0.808::DOUBLE * cos(north) * cos(radians(slope)) - 0.196::DOUBLE * sin(north) * sin(radians(slope))
              - 0.482::DOUBLE * cos(radians(abs(180 - abs(aspect - 315)))) * sin(radians(slope)), 6) AS heat_load,
-       round(CASE WHEN k = 49 THEN z - mean END, 6) AS tpi, round(sqrt({squares}), 6) AS tri, round((zn + zs + zw + ze - 4 * z) / 900, 6) AS curvature
-FROM a JOIN m USING (tile_id, row, col)"""
+       round(z - mean, 6) AS tpi, round(tri, 6) AS tri,
+       round((coalesce(zn, z) + coalesce(zs, z) + coalesce(zw, z) + coalesce(ze, z) - 4 * z) / 900, 6) AS curvature
+FROM a JOIN m USING (tile_id, row, col) JOIN tri USING (tile_id, row, col)"""
 
 
 def terrain_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Elevation over 5 x 5 cells around each tenth part, cut at the edge."""
+    """Elevation over 5 x 5 cells around each part, cut at the edge."""
     g = elevation_grid(spark, sf_dir).withColumn("elevation", terrain.valid_elevation(F.col("elevation")))
     g = g.withColumn("row", F.col("tile_id") * 1000 + F.col("row"))
-    sites = g.where((F.col("row") * 40 + F.col("col")) % 10 == 0).select((F.col("row") * 100 + F.col("col")).alias("site_id"), "row", "col")
+    sites = g.select((F.col("row") * 100 + F.col("col")).alias("site_id"), "row", "col")
     return rounded(patch_stats(g, sites, ["elevation"]))
 
 
@@ -197,29 +227,85 @@ PATCH_SQL = f"""
 WITH {GRID}, g AS (SELECT tile_id * 1000 + row AS row, col, elevation FROM valid)
 SELECT s.row * 100 + s.col AS site_id, round(max(n.elevation) FILTER (n.row = s.row AND n.col = s.col), 6) AS elevation,
        round(avg(n.elevation), 6) AS elevation_mean, round(stddev_pop(n.elevation), 6) AS elevation_std
-FROM g s JOIN g n ON abs(n.row - s.row) <= 2 AND abs(n.col - s.col) <= 2 WHERE (s.row * 40 + s.col) % 10 = 0 GROUP BY s.row, s.col"""
+FROM g s JOIN g n ON abs(n.row - s.row) <= 2 AND abs(n.col - s.col) <= 2 GROUP BY s.row, s.col"""
+
+
+def _sites(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Customers at parts of all tiles, north and south of the equator; done are those
+    with an urgent order."""
+    c, parts = read(spark, sf_dir, "customer"), read(spark, sf_dir, "part").count()
+    at = F.pmod(F.col("c_custkey") * 13, F.lit(parts)) + 1
+    sites = c.select(
+        F.col("c_custkey").alias("site_id"), F.floor(at / TILE_PARTS).cast("int").alias("tile_id"), F.floor(at % TILE_PARTS / GRID_COLS).cast("int").alias("row"),
+        (at % TILE_PARTS % GRID_COLS).cast("int").alias("col"), ((F.col("c_nationkey") - 9) * 2.0).alias("lat"),
+    )
+    done = read(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("site_id"))
+    return sites, done
+
+
+SITES = f"""spot AS (SELECT c_custkey AS site_id, (c_nationkey - 9) * 2.0::DOUBLE AS lat, c_custkey * 13 % (SELECT count(*) FROM part) + 1 AS p FROM customer),
+sites AS (SELECT site_id, lat, CAST(p // {TILE_PARTS} AS INT) AS tile_id, CAST(p % {TILE_PARTS} // {GRID_COLS} AS INT) AS r, CAST(p % {TILE_PARTS} % {GRID_COLS} AS INT) AS q FROM spot),
+todo AS (SELECT * FROM sites WHERE site_id NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'))"""
 
 
 def site_topography(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All layers and their 5 x 5 statistics at customers' cells, but for those done."""
-    sites = read(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("site_id"), F.lit(0).alias("tile_id"), F.floor(F.col("c_custkey") % 2000 / 40).cast("int").alias("row"),
-        (F.col("c_custkey") % 40).cast("int").alias("col"), F.lit(-33.5).alias("lat"),
-    )
-    done = sites.where("site_id % 2 = 0").select("site_id")
-    return rounded(extract_topography(elevation_grid(spark, sf_dir), sites, 30.0, done).select("site_id", "elevation", "elevation_mean", "slope", "slope_mean", "northness_std", "curvature"), 5)
+    sites, done = _sites(spark, sf_dir)
+    out = extract_topography(elevation_grid(spark, sf_dir), sites, 30.0, done)
+    return rounded(out.select("site_id", "elevation", "elevation_mean", "slope", "slope_mean", "northness_std", "heat_load", "heat_load_mean", "tpi", "tri_mean", "curvature"), 5)
 
 
-def _topography_sql() -> str:
+def _site_layers_sql() -> str:
+    layers = _terrain_sql("(SELECT avg(lat) FROM sites WHERE sites.tile_id = s.tile_id)").replace(", 6)", ", 13)").replace("WITH ", f"WITH {SITES}, ", 1)
     return f"""
-WITH layers AS ({_terrain_sql().replace(', 6)', ', 13)')}),
-s AS (SELECT c_custkey AS site_id, CAST((c_custkey % 2000) // 40 AS INT) AS r, CAST((c_custkey % 2000) % 40 AS INT) AS q FROM customer WHERE c_custkey % 2 <> 0),
-n AS (SELECT site_id, l.*, l.row = r AND l.col = q AS here FROM s JOIN layers l ON l.tile_id = 0 AND abs(l.row - r) <= 2 AND abs(l.col - q) <= 2)
+WITH layers AS ({layers}), {SITES},
+n AS (SELECT site_id, l.*, l.row = r AND l.col = q AS here, l.row - r AS dr, l.col - q AS dc FROM todo t JOIN layers l ON l.tile_id = t.tile_id AND abs(l.row - r) <= 2 AND abs(l.col - q) <= 2)"""
+
+
+def _topography_sql() -> str:
+    return f"""{_site_layers_sql()}
 SELECT site_id, round(max(elevation) FILTER (here), 5) AS elevation, round(avg(elevation), 5) AS elevation_mean, round(max(slope) FILTER (here), 5) AS slope,
-       round(avg(slope), 5) AS slope_mean, round(stddev_pop(northness), 5) AS northness_std, round(max(curvature) FILTER (here), 5) AS curvature
+       round(avg(slope), 5) AS slope_mean, round(stddev_pop(northness), 5) AS northness_std, round(max(heat_load) FILTER (here), 5) AS heat_load, round(avg(heat_load), 5) AS heat_load_mean,
+       round(max(tpi) FILTER (here), 5) AS tpi, round(avg(tri), 5) AS tri_mean, round(max(curvature) FILTER (here), 5) AS curvature
 FROM n GROUP BY site_id"""
 
 
+def site_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patches of the layers as arrays: their shape, first and last slope, and sums."""
+    sites, done = _sites(spark, sf_dir)
+    p = extract_patches(elevation_grid(spark, sf_dir), sites, 30.0, done)
+    total = F.aggregate("elevation", F.lit(0.0), lambda s, x: s + x)
+    return rounded(p.select("site_id", "height", "width", F.get("slope", F.lit(0)).alias("first_slope"), F.element_at("slope", -1).alias("last_slope"), total.alias("elevation_sum")), 5)
+
+
+def _site_patches_sql() -> str:
+    return f"""{_site_layers_sql()}
+SELECT site_id, CAST(count(DISTINCT row) AS INT) AS height, CAST(count(DISTINCT col) AS INT) AS width, round(arg_min(slope, (row, col)), 5) AS first_slope,
+       round(arg_max(slope, (row, col)), 5) AS last_slope, round(sum(elevation), 5) AS elevation_sum FROM n GROUP BY site_id"""
+
+
+def topography_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summary of four layers at all customers' cells."""
+    sites, _ = _sites(spark, sf_dir)
+    return describe(extract_topography(elevation_grid(spark, sf_dir), sites, 30.0), ["elevation", "slope", "heat_load", "tpi"], 4)
+
+
+def _summary_sql() -> str:
+    q = ", ".join(f"round(quantile_cont(x, {p}), 4) AS {n}" for p, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")))
+    return f"""{_site_layers_sql().replace("FROM todo t", "FROM sites t")},
+u AS (UNPIVOT (SELECT elevation, slope, heat_load, tpi FROM n WHERE here) ON elevation, slope, heat_load, tpi INTO NAME "column" VALUE x)
+SELECT "column", count(x) AS count, round(avg(x), 4) AS mean, round(stddev_samp(x), 4) AS std, round(min(x), 4) AS min, {q}, round(max(x), 4) AS max FROM u GROUP BY "column" """
+
+
+def site_extents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extent and mean latitude of each tile that holds customers."""
+    sites, _ = _sites(spark, sf_dir)
+    return rounded(site_cells(sites.select(F.col("tile_id").alias("cell"), F.col("col").alias("x"), F.col("row").alias("y"), "lat")))
+
+
+EXTENT_SQL = f"WITH {SITES} SELECT tile_id AS cell, min(q) AS xmin, max(q) AS xmax, min(r) AS ymin, max(r) AS ymax, round(avg(lat), 6) AS lat FROM sites GROUP BY tile_id"
+
+
 def stand_in_ensemble(side: int, context: tuple[str, ...], seeds: int = 5) -> predict.Ensemble:
     """Deterministic weights in the place of trained ones."""
     names = ("first", "second", "third")
@@ -237,8 +323,8 @@ def cnn_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(predict.back_transform(preds, model, ["id"], limits={t: (-1.0, 50.0) for t in model.targets}))
 
 
-def map_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Map layers of all tiles, parts and two target years from the observations."""
+def _map_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Observations with kNDVI, cells, context and land cover of all parts and years."""
     obs = with_clear(observations(spark, sf_dir))
     v = kndvi(ndvi(reflectance(F.col("nir"), F.col("clear")), reflectance(F.col("red"), F.col("clear"))))
     obs = obs.select("tile_id", "px", "ts", "sensor", v.alias("v"))
@@ -247,59 +333,145 @@ def map_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = part.select(tile.alias("tile_id"), F.col("p_partkey").alias("px"), F.floor(F.col("p_partkey") % 2000 / 40).cast("int").alias("row"), (F.col("p_partkey") % 40).cast("int").alias("col"))
     context = part.select(tile.alias("tile_id"), F.col("p_partkey").alias("px"), F.log("p_retailprice").alias("price"), (F.col("p_size") / 50).alias("size"))
     code = F.when(F.col("p_size") % 3 == 0, 3).when(F.col("p_size") % 3 == 1, 12).otherwise(21)
-    years = (1999, 2000)
-    cover = part.select(tile.alias("tile_id"), F.col("p_partkey").alias("px"), code.alias("class"), F.explode(F.array(*map(F.lit, years))).alias("year"))
-    model = stand_in_ensemble(5, ("price", "size"))
-    layers = map_inference.map_layers(obs, cells, context, cover, model, map_inference.Config(years, steps=25))
+    cover = part.select(tile.alias("tile_id"), F.col("p_partkey").alias("px"), code.alias("class"), F.explode(F.array(*map(F.lit, YEARS))).alias("year"))
+    return obs, cells, context, cover
+
+
+MAP = map_inference.Config(YEARS, steps=25)
+
+
+def map_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Map layers of all tiles, parts and target years from the observations."""
+    obs, cells, context, cover = _map_inputs(spark, sf_dir)
+    layers = map_inference.map_layers(obs, cells, context, cover, stand_in_ensemble(5, ("price", "size")), MAP)
     return rounded(layers.drop("lo", "hi"))
 
 
+def map_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same up to the networks: what each pixel and year brings to them."""
+    obs, cells, _, cover = _map_inputs(spark, sf_dir)
+    rows = map_inference.map_rows(obs, cells, cover, MAP)
+    mean = F.aggregate("curve", F.lit(0.0), lambda s, x: s + x) / F.size("curve")
+    return rounded(rows.select("tile_id", "year", "px", "row", "col", "n_obs", "span_days", "native", "n_dates_window", "ready", mean.alias("curve_mean"), F.get("curve", F.lit(7)).alias("curve_7")))
+
+
+def _map_sql() -> str:
+    refl = lambda b: f"CASE WHEN clear AND {b} > 0 THEN {b} * 0.0000275::DOUBLE + -0.2::DOUBLE END"
+    return f"""
+WITH {OBS},
+b AS (SELECT tile_id, px, ts, sensor, CAST(datediff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS DOUBLE) AS t, {refl('red')} AS r, {refl('nir')} AS n FROM clear),
+k AS (SELECT *, CASE WHEN n + r <> 0 THEN (n - r) / (n + r) WHEN n - r > 0 THEN 9e9 WHEN n - r < 0 THEN -9e9 END AS q FROM b),
+w AS (SELECT tile_id, y.year, px, t, ts, sensor, CASE WHEN q IS NOT NULL THEN tanh(pow(greatest(-1.0, least(1.0, q)), 2)) END AS v
+      FROM k JOIN (SELECT unnest({list(YEARS)}) AS year) y ON year(ts) BETWEEN y.year - 2 AND y.year),
+spans AS (SELECT tile_id, year, min(t) FILTER (v IS NOT NULL) AS lo, max(t) FILTER (v IS NOT NULL) AS hi, count(DISTINCT (ts, sensor)) AS n_dates_window,
+                 count(DISTINCT (ts, sensor)) FILTER (v IS NOT NULL) AS n_clear FROM w GROUP BY ALL),
+o AS (SELECT w.*, CASE WHEN n_clear > 1 THEN lo END AS lo, CASE WHEN n_clear > 1 THEN hi END AS hi, n_dates_window FROM w JOIN spans USING (tile_id, year) WHERE v IS NOT NULL),
+p AS (SELECT tile_id, year, px, count(*) AS n_obs, any_value(lo) AS lo, any_value(hi) AS hi, any_value(n_dates_window) AS n_dates_window FROM o GROUP BY ALL),
+g AS (SELECT tile_id, year, px, i, lo + (hi - lo) * i / 24 AS x FROM p, range(0, 25) r(i) WHERE n_obs >= 5 AND lo <= hi),
+n AS (SELECT g.tile_id, g.year, g.px, g.i, g.x, max({{'t': o.t, 'sensor': o.sensor, 'v': o.v}}) FILTER (o.t <= g.x) AS a, min({{'t': o.t, 'sensor': o.sensor, 'v': o.v}}) FILTER (o.t >= g.x) AS b
+      FROM g JOIN o ON o.tile_id = g.tile_id AND o.year = g.year AND o.px = g.px GROUP BY ALL),
+r AS (SELECT *, CASE WHEN a IS NULL THEN b.v WHEN b IS NULL OR b.t <= a.t THEN a.v ELSE a.v + (b.v - a.v) * (x - a.t) / (b.t - a.t) END AS raw FROM n),
+s AS (SELECT *, avg(raw) OVER (PARTITION BY tile_id, year, px ORDER BY i ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS value FROM r),
+c AS (SELECT tile_id, year, px, avg(value) AS m, max(value) FILTER (i = 7) AS seventh FROM s GROUP BY ALL)
+SELECT 't' || CAST(p_partkey // 2000 AS VARCHAR) AS tile_id, CAST(y.year AS INT) AS year, p_partkey AS px, CAST(p_partkey % 2000 // 40 AS INT) AS row, CAST(p_partkey % 40 AS INT) AS col,
+       CAST(n_obs AS DOUBLE) AS n_obs, hi - lo AS span_days, CAST(p_size % 3 < 2 AS DOUBLE) AS native, n_dates_window, p_size % 3 < 2 AND m IS NOT NULL AS ready,
+       round(m, 6) AS curve_mean, round(seventh, 6) AS curve_7
+FROM part CROSS JOIN (SELECT unnest({list(YEARS)}) AS year) y LEFT JOIN p ON p.px = p_partkey AND p.year = y.year LEFT JOIN c ON c.px = p_partkey AND c.year = y.year"""
+
+
 def rf_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forest of order prices on keys of their customer; predictions of all orders."""
     o = read(spark, sf_dir, "orders").select("o_orderkey", F.dayofyear("o_orderdate").cast("double").alias("doy"), F.year("o_orderdate").cast("double").alias("year"), (F.col("o_custkey") % 25).cast("double").alias("group"), F.log("o_totalprice").alias("price"))
     features = ["doy", "year", "group"]
-    model = forest.fit_forest(o, features, "price", trees=20, depth=6)
+    model = forest.fit_forest(o, features, "price")
     return rounded(forest.predict_forest(model, o, features, "price").select("o_orderkey", "price_pred"))
 
 
+def _skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balances, squares, and values of a narrow range next to 0, whose lambda is thousands below 0."""
+    bal = (F.col("c_acctbal") + 1000) / 11000
+    return read(spark, sf_dir, "customer").select((F.col("c_acctbal") / 1000.0).alias("bal"), F.pow(F.col("c_nationkey") + 1.0, F.lit(2.0)).alias("nat"), (F.pow(bal, F.lit(3.0)) * 1e-4 + 3.4e-4).alias("lcbd"))
+
+
 def fit_yeo_johnson(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fitted scalers of two customer columns, and winsorised residual bounds."""
-    c = read(spark, sf_dir, "customer").select((F.col("c_acctbal") / 1000.0).alias("bal"), F.pow(F.col("c_nationkey") + 1.0, F.lit(2.0)).alias("nat"))
-    scalers = fit_scalers(c, ["bal", "nat"])
-    oof = c.select(*(x for t in scalers for x in (F.col(t).alias(f"{t}_obs"), (F.col(t) * 0.9 + 0.3).alias(f"{t}_pred"))))
+    """Fitted scalers of three columns (lambda as digits and power of ten), and the
+    winsorised residual bounds of the smallest seed's predictions."""
+    c = _skewed(spark, sf_dir)
+    scalers = fit_scalers(c, ["bal", "nat", "lcbd"])
+    both = [x for t in scalers for x in (F.col(t).alias(f"{t}_obs"), (F.col(t) * 0.9 + (0.3e-4 if t == "lcbd" else 0.3)).alias(f"{t}_pred"))]
+    oof = c.select(F.explode(F.array(F.lit(3), F.lit(8))).alias("seed"), "*").select("seed", *both)
+    oof = oof.select("seed", *(F.when(F.col("seed") == 3, F.col(x)).otherwise(0.0).alias(x) for x in oof.columns[1:]))
     bounds = winsor_bounds(oof_residuals(oof, scalers), list(scalers))
-    fits = spark.createDataFrame([(t, p.lam, p.mean, p.scale) for t, p in scalers.items()], "target string, lam double, mean double, scale double")
-    return rounded(bounds.join(fits, "target"), 4)
+    rows = []
+    for t, p in scalers.items():
+        power = math.floor(math.log10(abs(p.lam)))
+        rows.append((t, p.lam / 10.0**power, power, p.mean, p.scale))
+    fits = spark.createDataFrame(rows, "target string, digits double, power int, mean double, scale double")
+    return rounded(bounds.join(fits, "target"), 3)
+
+
+def _fit_sql(levels: int = 8) -> str:
+    """Profile likelihood on a grid of lambdas, then on finer ones around the best."""
+    loss = "ln(stddev_pop(CASE WHEN x >= 0 THEN CASE WHEN lam = 0 THEN l ELSE (exp(lam * l) - 1) / lam END ELSE CASE WHEN lam = 2 THEN l ELSE (exp((2 - lam) * -l) - 1) / (lam - 2) END END)) - (lam - 1) * avg(l)"
+    steps = ["b0 AS (SELECT target, arg_min(lam, loss) AS best, abs(arg_min(lam, loss)) * 0.4 + 0.2 AS span FROM (SELECT target, lam, " + loss + " AS loss FROM g0 JOIN x USING (target) GROUP BY target, lam) GROUP BY target)"]
+    for k in range(1, levels + 1):
+        steps.append(f"g{k} AS (SELECT target, best + span * (i - 10) / 10 AS lam, span / 10 AS step FROM b{k - 1}, range(0, 21) r(i))")
+        steps.append(f"b{k} AS (SELECT target, arg_min(lam, loss) AS best, any_value(step) AS span FROM (SELECT target, lam, any_value(step) AS step, {loss} AS loss FROM g{k} JOIN x USING (target) GROUP BY target, lam) GROUP BY target)")
+    z = "CASE WHEN {x} >= 0 THEN (exp(best * ln(1 + {x})) - 1) / best ELSE (exp((2 - best) * ln(1 - {x})) - 1) / (best - 2) END"
+    pred = "(x * 0.9 + CASE WHEN target = 'lcbd' THEN 0.3e-4 ELSE 0.3 END)"
+    return f"""
+WITH c AS (SELECT c_acctbal / 1000.0::DOUBLE AS bal, pow(c_nationkey + 1.0::DOUBLE, 2) AS nat, pow((c_acctbal + 1000) / 11000, 3) * 1e-4::DOUBLE + 3.4e-4::DOUBLE AS lcbd FROM customer),
+x AS (SELECT target, x, sign(x) * ln(1 + abs(x)) AS l FROM (SELECT 'bal' AS target, bal AS x FROM c UNION ALL SELECT 'nat', nat FROM c UNION ALL SELECT 'lcbd', lcbd FROM c)),
+most AS (SELECT target, max(abs(l)) AS m FROM x GROUP BY target),
+g0 AS (SELECT target, s * pow(10, i / 8.0) AS lam FROM most, (SELECT unnest([-1.0::DOUBLE, 1.0::DOUBLE]) AS s), range(-8, 40) r(i) WHERE pow(10, i / 8.0) * m < 200),
+{', '.join(steps)},
+f AS (SELECT target, best, avg({z.format(x='x')}) AS mean, stddev_pop({z.format(x='x')}) AS scale FROM x JOIN b{levels} USING (target) GROUP BY ALL),
+r AS (SELECT target, (({z.format(x='x')}) - ({z.format(x=pred)})) / scale AS r FROM x JOIN f USING (target)),
+q AS (SELECT target, count(*) AS n, quantile_cont(r, 0.025) AS lo, quantile_cont(r, 0.975) AS hi FROM r GROUP BY target)
+SELECT target, n, round(lo, 3) AS lo, round(hi, 3) AS hi, round(best / pow(10, floor(log10(abs(best)))), 3) AS digits, CAST(floor(log10(abs(best))) AS INT) AS power,
+       round(mean, 3) AS mean, round(scale, 3) AS scale FROM q JOIN f USING (target)"""
 
 
 def streaming_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as a stream through daily windows until all is read (extension);
-    the sink writes only windows that the watermark has closed."""
+    """Events as a stream through daily windows until all is read (extension).  A row of
+    each type far in the future closes all windows, so that all are written."""
     from gridflux.streaming.events import read_events, windowed_stats
 
-    schema = read(spark, sf_dir, "events").schema
-    stats = windowed_stats(read_events(spark, sf_dir, schema, "events.parquet"))
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="gridflux-")
+    events = read(spark, sf_dir, "events")
+    base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder(spark)
     out = f"{base}/stream-{uuid.uuid4().hex}"
+    last = events.groupBy("event_type").agg(F.max("ts").alias("ts")).select("event_type", (F.col("ts") + F.expr("INTERVAL 30 DAYS")).alias("ts"))
+    last.unionByName(last.withColumn("ts", F.col("ts") + F.expr("INTERVAL 30 DAYS"))).select(*(F.col(c) if c in ("event_type", "ts") else F.lit(None).cast(k).alias(c) for c, k in events.dtypes)).coalesce(1).write.parquet(f"{out}/last")
+    stream = read_events(spark, sf_dir, events.schema, "events.parquet").unionByName(read_events(spark, f"{out}/last", events.schema))
+    stats = windowed_stats(stream)
     query = stats.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start()
     query.awaitTermination()
-    return rounded(spark.read.schema(stats.schema).parquet(f"{out}/rows").select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n", "mean", "low", "high"))
+    rows = spark.read.schema(stats.schema).parquet(f"{out}/rows").where("mean IS NOT NULL")
+    return rounded(rows.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n", "mean", "low", "high"))
+
+
+def _local_folder(spark: SparkSession) -> str:
+    """A temporary folder, in plain local mode only: on a cluster nobody else reads it."""
+    master = spark.sparkContext.master
+    if master.startswith("local-cluster") or not master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="gridflux-")
 
 
 STREAM_SQL = """
-WITH d AS (SELECT CAST(ts AS DATE) AS day, event_type, value, max(ts) OVER () AS newest FROM events)
-SELECT strftime(day, '%Y-%m-%d') AS day, event_type, count(*) AS n, round(avg(value), 6) AS mean, min(value) AS low, max(value) AS high
-FROM d GROUP BY d.day, event_type, newest HAVING d.day + INTERVAL 1 DAY <= newest - INTERVAL 2 DAY"""
+SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, event_type, count(*) AS n, round(avg(value), 6) AS mean, min(value) AS low, max(value) AS high
+FROM events GROUP BY CAST(ts AS DATE), event_type"""
 
 QUERIES = {
     "reshape_image": reshape_image, "serpentine_image": serpentine_image, "hilbert_image": hilbert_image, "wrapped_image": wrapped_image,
     "ndi_field": ndi_field, "gaf_field": gaf_field, "mtf_field": mtf_field, "cwt_image": cwt_image, "cos2d_image": cos2d_image,
     "spectrogram_image": spectrogram_image, "terrain_derivatives": terrain_derivatives, "terrain_patches": terrain_patches, "site_topography": site_topography,
     "cnn_ensemble": cnn_ensemble, "map_pipeline": map_pipeline, "rf_regression": rf_regression, "fit_yeo_johnson": fit_yeo_johnson,
-    "streaming_windows": streaming_windows,
+    "streaming_windows": streaming_windows, "map_rows": map_rows, "site_patches": site_patches, "topography_summary": topography_summary, "site_extents": site_extents,
 }
 ORACLE_SQL = {
     "reshape_image": RESHAPE_SQL, "serpentine_image": SERPENTINE_SQL, "hilbert_image": HILBERT_SQL, "wrapped_image": WRAPPED_SQL,
     "ndi_field": NDI_SQL, "gaf_field": GAF_SQL, "mtf_field": MTF_SQL, "cos2d_image": _cos2d_sql(), "spectrogram_image": _spectrogram_sql(),
     "terrain_derivatives": _terrain_sql(), "terrain_patches": PATCH_SQL, "site_topography": _topography_sql(), "streaming_windows": STREAM_SQL,
+    "cwt_image": _cwt_sql(), "map_rows": _map_sql(), "fit_yeo_johnson": _fit_sql(), "site_patches": _site_patches_sql(), "topography_summary": _summary_sql(), "site_extents": EXTENT_SQL,
 }

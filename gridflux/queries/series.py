@@ -11,7 +11,7 @@ from gridflux.operators import joins, regularize, stats, windows
 from gridflux.queries.inputs import (
     EVENT, EVENT_TYPES, OBS, PART, YEARS, event_series, observations, part_series, read, rounded,
 )
-from gridflux.sources.observations import operating, sensor_dimension, solar_day, unite_sensors
+from gridflux.sources.observations import in_years, operating, sensor_dimension, solar_day, unite_sensors
 
 STEPS = 20
 
@@ -83,7 +83,8 @@ QUALIFY row_number() OVER (PARTITION BY px, sensor, solar_day ORDER BY ts, event
 
 
 def _windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return windows.explode_target_years(part_series(spark, sf_dir), list(YEARS), name="year")
+    rows = part_series(spark, sf_dir)
+    return windows.explode_target_years(rows.where(in_years(F.col("ts"), min(YEARS) - windows.SPAN + 1, max(YEARS))), list(YEARS), name="year")
 
 
 def causal_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,7 +179,7 @@ def _stats_sql(source: str, key: str, digits: int = 6, where: str = "value IS NO
         f"SELECT {key}, {r('avg(value)', 'mean')}, {r('stddev_samp(value)', 'sd')}, "
         + ", ".join(r(v, f"p{p}") for p, v in q.items())
         + f", {r('min(value)', 'min')}, {r('max(value)', 'max')}, {r('max(value) - min(value)', 'range')}, {r(q[75] + ' - ' + q[25], 'iqr')}, "
-        + f"round(CASE WHEN abs(avg(value)) > 1e-9 THEN stddev_samp(value) / avg(value) END, {digits}) AS cv FROM {source} WHERE {where} GROUP BY {key}"
+        + f"round(CASE WHEN abs(avg(value)) > 1e-9 THEN stddev_samp(value) / abs(avg(value)) END, {digits}) AS cv FROM {source} WHERE {where} GROUP BY {key}"
     )
 
 
@@ -190,11 +191,13 @@ CAUSAL_SQL = _regular_sql(
 
 
 def causal_curve_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same curves by the array form."""
+    """The same curves by the array form: one aggregate has each series, the windows'
+    spans come from it, and a window of two slices or more is a row."""
     rows = _windowed(spark, sf_dir)
-    spans = windows.window_spans(rows, ["year"]).select("year", "lo", "hi")
-    keys = rows.select("year", "px").distinct().join(spans, "year")
-    curves = regularize.regularize_arrays(rows, keys, ["year", "px"], STEPS).where("curve IS NOT NULL")
+    series = rows.groupBy("year", "px").agg(F.array_sort(F.collect_list(F.struct("t", "tie", "v", "sensor", "ts"))).alias("s"))
+    slices = series.select("year", F.explode("s").alias("o")).select("year", "o.*")
+    spans = windows.window_spans(slices, ["year"]).select("year", "lo", "hi")
+    curves = regularize.interpolated(series.join(spans, "year"), ["year", "px"], STEPS).where("curve IS NOT NULL")
     return rounded(stats.array_stats(curves, ["year", "px"]), 6)
 
 
@@ -237,8 +240,8 @@ FROM share LEFT JOIN a USING (px) LEFT JOIN y USING (px)"""
 
 
 def contrast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contrasts of five series for each user."""
-    e = read(spark, sf_dir, "events").select(F.col("user_id").alias("id"), F.col("event_type").alias("index"), "value")
+    """Contrasts of five series for each user, whose means have both signs."""
+    e = read(spark, sf_dir, "events").select(F.col("user_id").alias("id"), F.col("event_type").alias("index"), (F.col("value") - 50).alias("value"))
     return rounded(stats.contrast_block(stats.curve_stats(e, ["id", "index"]), ["id"], "index", EVENT_TYPES), 8)
 
 
@@ -247,9 +250,9 @@ def _contrast_sql() -> str:
     for k, a in enumerate(EVENT_TYPES):
         for b in EVENT_TYPES[k + 1 :]:
             ma, mb, ca, cb = (f"max({c}) FILTER (event_type = '{n}')" for c, n in (("m", a), ("m", b), ("c", a), ("c", b)))
-            cols += [f"round({ma} - {mb}, 8) AS con_{a}_{b}_diff", f"round(CASE WHEN abs({mb}) > 1e-6 THEN {ma} / {mb} END, 8) AS con_{a}_{b}_ratio", f"round({ca} - {cb}, 8) AS con_{a}_{b}_cv"]
+            cols += [f"round({ma} - {mb}, 8) AS ctr_{a}_{b}_diff", f"round(CASE WHEN abs({mb}) > 1e-6 THEN {ma} / {mb} END, 8) AS ctr_{a}_{b}_ratio", f"round({ca} - {cb}, 8) AS ctr_{a}_{b}_cvdiff"]
     return (
-        "WITH s AS (SELECT user_id, event_type, avg(value) AS m, CASE WHEN abs(avg(value)) > 1e-9 THEN stddev_samp(value) / avg(value) END AS c FROM events GROUP BY ALL) "
+        "WITH e AS (SELECT user_id, event_type, value - 50 AS value FROM events), s AS (SELECT user_id, event_type, avg(value) AS m, CASE WHEN abs(avg(value)) > 1e-9 THEN stddev_samp(value) / abs(avg(value)) END AS c FROM e GROUP BY ALL) "
         f"SELECT user_id AS id, {', '.join(cols)} FROM s GROUP BY user_id"
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridflux.functions import geo
 from gridflux.functions.power import Power
-from gridflux.operators import design, joins, landcover, preprocess, stats, targets, verify
+from gridflux.operators import design, joins, landcover, preprocess, stats, targets, terrain, verify
 from gridflux.queries.inputs import TILE_PARTS, YEARS, curves, read, rounded
 
 NATIVE_SQL = "(3, 59, 60, 61, 11, 12, 63, 66)"
@@ -189,6 +189,7 @@ def _tables(spark: SparkSession, sf_dir: str) -> design.Tables:
 
 
 def design_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An id without topography is flat, as one without a heat load."""
     return rounded(design.build_design(_tables(spark, sf_dir), "topo+area+coords+year"))
 
 
@@ -198,32 +199,123 @@ def _design_sql() -> str:
         mean = "CASE WHEN c_custkey % 5 <> 0 THEN c_acctbal / 7.0 END" if v == "heat_load" else f"c_acctbal / {i}.0"
         cols += [f"round(CASE WHEN t THEN {mean} END, 6) AS topo_{v}_mean", f"round(CASE WHEN t THEN c_acctbal / {i * 10}.0 END, 6) AS topo_{v}_std"]
     segments = dict(zip(design.STRATA[1:], ("MACHINERY", "FURNITURE", "HOUSEHOLD"), strict=True))
-    cols += [f"CASE WHEN c_mktsegment = '{seg}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS stratum_{s}" for s, seg in segments.items()]
+    cols += [f"CASE WHEN c_mktsegment = '{seg}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS area_stratum_{s}" for s, seg in segments.items()]
     return f"""
 WITH c AS (SELECT *, c_custkey % 3 <> 0 AS t FROM customer)
-SELECT c_custkey AS id, {', '.join(cols)}, CASE WHEN t THEN CASE WHEN c_custkey % 5 = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END END AS topo_flat,
-       round(CASE WHEN c_acctbal > 0 THEN log10(c_acctbal) END, 6) AS log10_area, CAST(c_custkey % 90 * -1.0 AS DOUBLE) AS lon, CAST(c_nationkey * -1.5 AS DOUBLE) AS lat,
-       round(CASE WHEN t THEN c_acctbal / 2.0 END, 6) AS coord_elevation, CAST(c_custkey % 30 + 1990 AS DOUBLE) AS plot_year FROM c"""
+SELECT c_custkey AS id, {', '.join(cols)}, CASE WHEN t AND c_custkey % 5 <> 0 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS topo_topo_flat,
+       round(CASE WHEN c_acctbal > 0 THEN log10(c_acctbal) END, 6) AS area_log10, CAST(c_custkey % 90 * -1.0 AS DOUBLE) AS geo_lon, CAST(c_nationkey * -1.5 AS DOUBLE) AS geo_lat,
+       round(CASE WHEN t THEN c_acctbal / 2.0 END, 6) AS geo_elevation, CAST(c_custkey % 30 + 1990 AS DOUBLE) AS year FROM c"""
 
 
 def composite_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Curve and composite blocks of embeddings for their label's index."""
-    rows = curves(spark, sf_dir).select("id", F.concat(F.lit("i"), F.col("label").cast("string")).alias("index"), F.lit("center").alias("px"), "curve")
-    t = design.Tables(plots=rows.select("id"), curves=rows, options={"steps": 4})
+    rows = curves(spark, sf_dir).select("id", F.concat(F.lit("i"), F.col("label").cast("string")).alias("index"), F.lit("mean5x5").alias("px"), "curve")
+    rows = rows.unionByName(rows.withColumn("px", F.lit("center")).withColumn("curve", F.transform("curve", lambda v: v + 100)))
+    t = design.Tables(plots=read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id")), curves=rows, options={"steps": 4})
     return rounded(design.build_design(t, "curve+composite", "i3"))
 
 
 def _composite_sql() -> str:
     q = {10: 0.1, 25: 0.25, 50: 0.5, 75: 0.75, 90: 0.9}
     stats_sql = {"mean": "avg(v)", "sd": "stddev_samp(v)", **{f"p{p}": f"quantile_cont(v, {x})" for p, x in q.items()}, "min": "min(v)", "max": "max(v)", "range": "max(v) - min(v)"}
-    stats_sql |= {"iqr": "quantile_cont(v, 0.75) - quantile_cont(v, 0.25)", "cv": "CASE WHEN abs(avg(v)) > 1e-9 THEN stddev_samp(v) / avg(v) END"}
-    steps = ", ".join(f"round(max(v) FILTER (i = {k}), 6) AS s{k:02d}" for k in range(4))
+    stats_sql |= {"iqr": "quantile_cont(v, 0.75) - quantile_cont(v, 0.25)", "cv": "CASE WHEN abs(avg(v)) > 1e-9 THEN stddev_samp(v) / abs(avg(v)) END"}
+    steps = ", ".join(f"round(max(v) FILTER (i = {k}), 6) AS curve_s{k:02d}" for k in range(4))
     return f"""
 WITH c AS (SELECT vec_id AS id, unnest(range(0, len(embedding))) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings WHERE label = 3),
 s AS (SELECT id, {steps}, {', '.join(f'round({x}, 6) AS comp_{n}' for n, x in stats_sql.items())} FROM c GROUP BY id)
 SELECT vec_id AS id, s.* EXCLUDE (id) FROM embeddings LEFT JOIN s ON s.id = vec_id"""
 
 
+def _measured(spark: SparkSession, sf_dir: str) -> design.Tables:
+    """Customers with phenology for two indices, cube predictors and climate; a fourth lacks each."""
+    c = read(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "id")
+    x = F.col("c_acctbal")
+    one = [(F.pmod(x * (k + 1), F.lit(365.0)).alias(f"{m}_mean5x5"), F.pmod(x * (k + 2), F.lit(365.0)).alias(m)) for k, m in enumerate(design.LSP_METRICS)]
+    kinds = F.element_at(F.array(*map(F.lit, ("winter_peaking", "summer_peaking", "winter"))), (F.col("id") % 3 + 1).cast("int"))
+    qc = [(x / (k + 3)).alias(q) for k, q in enumerate(design.QC_METRICS)] + [(F.col("id") % 2 == 0).alias("order_coherent"), F.when(F.col("id") % 7 > 0, kinds).alias("phase_group")]
+    lsp = c.where("id % 4 <> 0").select("id", F.explode(F.array(F.lit("ndvi"), F.lit("evi"))).alias("index"), "c_acctbal")
+    lsp = lsp.withColumn("c_acctbal", F.when(F.col("index") == "evi", x + 17).otherwise(x))
+    lsp = lsp.select("id", "index", *(col for pair in one for col in pair), *qc)
+    cube = [f"{n}_{a}" for n in ("gm_red", "obs_ndvi_p50", "obs_evi_p50", "seas_ndvi_amp", "seas_evi_amp") for a in ("median", "mean", "sd", "cv")]
+    climate = c.where("id % 4 <> 2").select("id", (x / 100).alias("bio01"), (x / 10).alias("bio12"))
+    return design.Tables(
+        plots=c.select("id"), lsp=lsp, climate=climate,
+        cube=c.where("id % 4 <> 1").select("id", *((x / (k + 2)).alias(n) for k, n in enumerate(cube))), options={"circular": True},
+    )
+
+
+def feature_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phenology, quality flags, cube families, their spread, and climate."""
+    return rounded(design.build_design(_measured(spark, sf_dir), "lsp+qc+gm+obscomp+seas_all+clim+svh", "evi"))
+
+
+def centre_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Centre-pixel phenology, and all indices side by side (three have no rows)."""
+    out = design.build_design(_measured(spark, sf_dir), "lsp_ctr+lsp_all", "ndvi")
+    return rounded(out.select("id", *(c for c in out.columns if c.startswith(("lsp_sos", "lsp_mos", "ndvi_lsp_pos", "evi_lsp_los", "savi_lsp_eos")))))
+
+
+def _feature_sql() -> str:
+    y = "CASE WHEN l THEN c_acctbal + 17 END"
+    wrap = lambda v, k: f"(({v} * {k} % 365 + 365) % 365)"
+    cols = [f"round({wrap(y, k + 1)}, 6) AS lsp_{m}_mean5x5" for k, m in enumerate(design.LSP_METRICS)]
+    for k, m in enumerate(design.LSP_METRICS):
+        if m in design.DOY_METRICS:
+            cols += [f"round({f}(2 * pi() * {wrap(y, k + 1)} / 365), 6) AS lsp_{m}_{f}" for f in ("sin", "cos")]
+    cols += [f"round({y} / {k + 3}, 6) AS qc_{q}" for k, q in enumerate(design.QC_METRICS)]
+    cols += ["CASE WHEN l THEN CAST(id % 2 = 0 AS DOUBLE) END AS qc_order_coherent", "CASE WHEN l AND id % 7 > 0 AND id % 3 = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS qc_is_winter_peaking"]
+    names = [(n, a) for n in ("gm_red", "obs_ndvi_p50", "obs_evi_p50", "seas_ndvi_amp", "seas_evi_amp") for a in ("median", "mean", "sd", "cv")]
+    value = {(n, a): f"round(CASE WHEN u THEN c_acctbal / {k + 2} END, 6)" for k, (n, a) in enumerate(names)}
+    cols += [f"{value[n, 'median']} AS {p}{n}" for n, p in (("gm_red", "gmA_"), ("obs_evi_p50", "oc_"), ("seas_ndvi_amp", "sea_"), ("seas_evi_amp", "sea_"))]
+    cols += [f"{v} AS svh_{n}_{a}" for (n, a), v in value.items() if a in ("sd", "cv")]
+    cols += ["round(CASE WHEN id % 4 <> 2 THEN c_acctbal / 100 END, 6) AS bio01", "round(CASE WHEN id % 4 <> 2 THEN c_acctbal / 10 END, 6) AS bio12"]
+    return f"WITH c AS (SELECT *, c_custkey AS id, c_custkey % 4 <> 0 AS l, c_custkey % 4 <> 1 AS u FROM customer) SELECT id, {', '.join(cols)} FROM c"
+
+
+def _centre_sql() -> str:
+    place = {m: k for k, m in enumerate(design.LSP_METRICS)}
+    wrap = lambda v, k: f"((({v}) * {k} % 365 + 365) % 365)"
+    out = []
+    for prefix, shift, end, plus, names in (("", "0", "", 2, ("sos", "mos")), ("ndvi_", "0", "_mean5x5", 1, ("pos",)), ("evi_", "17", "_mean5x5", 1, ("los",)), ("savi_", None, "_mean5x5", 1, ("eos",))):
+        for m in names:
+            v = wrap(f"CASE WHEN l THEN c_acctbal + {shift} END" if shift else "CAST(NULL AS DOUBLE)", place[m] + plus)
+            out.append(f"round({v}, 6) AS {prefix}lsp_{m}{end}")
+            if m in design.DOY_METRICS:
+                out += [f"round({f}(2 * pi() * {v} / 365), 6) AS {prefix}lsp_{m}_{f}" for f in ("sin", "cos")]
+    return f"WITH c AS (SELECT *, c_custkey AS id, c_custkey % 4 <> 0 AS l FROM customer) SELECT id, {', '.join(out)} FROM c"
+
+
+def context_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Context of each customer's terrain in the order that a model expects."""
+    layers = _tables(spark, sf_dir).need("topo").select(F.col("id").alias("site"), *(F.col(f"{v}_mean").alias(v) for v in design.TOPO_VARS))
+    columns = ["topo_topo_flat", *(f"topo_{v}" for v in design.TOPO_VARS), "area_log10", *(f"area_stratum_{s}" for s in design.STRATA[1:])]
+    return rounded(terrain.context_frame(layers, columns, 250.0, "presence", design.STRATA, ["site"]))
+
+
+def _context_sql() -> str:
+    cols = [f"round({'CASE WHEN c_custkey % 5 <> 0 THEN c_acctbal / 7.0 END' if v == 'heat_load' else f'c_acctbal / {i}.0'}, 6) AS topo_{v}" for i, v in enumerate(design.TOPO_VARS, 2)]
+    cols += [f"{1.0 if s == 'presence' else 0.0}::DOUBLE AS area_stratum_{s}" for s in design.STRATA[1:]]
+    return f"SELECT c_custkey AS site, {', '.join(cols)}, round(log10(250.0::DOUBLE), 6) AS area_log10, CAST(c_custkey % 5 = 0 AS DOUBLE) AS topo_topo_flat FROM customer WHERE c_custkey % 3 <> 0"
+
+
+def median_predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Median of predicted pixels over the ok years of each tile."""
+    o = read(spark, sf_dir, "orders")
+    status = F.when(F.col("o_orderstatus") == "F", "ok").otherwise("error")
+    return joins.median_predicted(o.select((F.col("o_custkey") % 300).alias("tile_id"), status.alias("status"), F.floor("o_totalprice").alias("n_pred")))
+
+
+MEDIAN_SQL = "SELECT o_custkey % 300 AS tile_id, count(*) AS n_years, CAST(trunc(median(CAST(floor(o_totalprice) AS BIGINT))) AS BIGINT) AS n_pred FROM orders WHERE o_orderstatus = 'F' GROUP BY 1"
+
+
+def first_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first ten parts of the tile list, by size and key (a trial run)."""
+    return joins.first_tiles(read(spark, sf_dir, "part").select("p_size", "p_partkey"), 10, ["p_size", "p_partkey"])
+
+
+FIRST_SQL = "SELECT p_size, p_partkey FROM part ORDER BY p_size, p_partkey LIMIT 10"
+
+
 def target_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sparse targets of two tables for all documents, and their masks."""
     docs = read(spark, sf_dir, "documents")
@@ -387,7 +479,8 @@ QUERIES = {
     "manifest_progress": manifest_progress, "design_matrix": design_matrix, "composite_block": composite_block, "target_join": target_join,
     "impute_standardise": impute_standardise, "yeo_johnson": yeo_johnson, "scaler_round_trip": scaler_round_trip, "winsor_bounds": winsor_bounds,
     "smear_inverse": smear_inverse, "valid_fraction": valid_fraction, "seed_ensemble_mean": seed_ensemble_mean, "facet_report": facet_report,
-    "tile_counts": tile_counts, "target_ranges": range_of_targets,
+    "tile_counts": tile_counts, "target_ranges": range_of_targets, "feature_blocks": feature_blocks, "centre_blocks": centre_blocks, "context_rows": context_rows,
+    "median_predicted": median_predicted, "first_tiles": first_tiles,
 }
 ORACLE_SQL = {
     "nearest_year": NEAREST_SQL, "window_and_mask": MASK_SQL, "cover_window": COVER_SQL, "cover_samples": SAMPLE_SQL, "utm_projection": _utm_sql(),
@@ -395,5 +488,6 @@ ORACLE_SQL = {
     "manifest_progress": PROGRESS_SQL, "design_matrix": _design_sql(), "composite_block": _composite_sql(), "target_join": TARGET_SQL,
     "impute_standardise": IMPUTE_SQL, "yeo_johnson": POWER_SQL, "scaler_round_trip": TRIP_SQL, "winsor_bounds": WINSOR_SQL,
     "smear_inverse": _smear_sql(), "valid_fraction": VALID_SQL, "seed_ensemble_mean": SEED_SQL, "facet_report": FACET_SQL,
-    "tile_counts": COUNTS_SQL, "target_ranges": RANGE_SQL,
+    "tile_counts": COUNTS_SQL, "target_ranges": RANGE_SQL, "feature_blocks": _feature_sql(), "centre_blocks": _centre_sql(), "context_rows": _context_sql(),
+    "median_predicted": MEDIAN_SQL, "first_tiles": FIRST_SQL,
 }

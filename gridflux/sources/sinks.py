@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from gridflux.sources.tables import MANIFEST
 
 
+#: What readers of the maps must know; part of each run's tags.
+CAVEAT = "predictions are means over an ensemble; they are valid for native vegetation and inside the training range only"
+
+
 def write_tile_years(layers: DataFrame, path: str) -> None:
     """Float layers partitioned by year and tile; a run replaces only the
     partitions that it made, and Spark's commit protocol makes each appear whole."""
@@ -28,6 +32,11 @@ def append_manifest(rows: DataFrame, path: str) -> None:
     manifest_frame(rows).coalesce(1).write.mode("append").option("header", True).csv(path)  # a row for each tile and year
 
 
+def compact_manifest(spark: SparkSession, path: str, to: str) -> None:
+    """The files of many appends as one, under another path (readers switch to it)."""
+    manifest_frame(spark.read.csv(path, header=True, schema=MANIFEST)).coalesce(1).write.mode("errorifexists").option("header", True).csv(to)
+
+
 def merge_manifests(parts: list[DataFrame]) -> DataFrame:
     out = manifest_frame(parts[0])
     for p in parts[1:]:
@@ -37,6 +46,7 @@ def merge_manifests(parts: list[DataFrame]) -> DataFrame:
 
 def write_run(spark: SparkSession, path: str, meta: dict) -> None:
     """Run metadata as one JSON line, with its tags as a map of strings."""
+    meta = {"caveat": CAVEAT, **meta}
     row = {"run_id": str(meta.get("run_id", "")), "tags": {k: str(v) for k, v in meta.items()}, "body": json.dumps(meta, sort_keys=True, default=str)}
     spark.createDataFrame([row], "run_id string, tags map<string,string>, body string").coalesce(1).write.mode("overwrite").json(path)
 

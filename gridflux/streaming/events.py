@@ -24,17 +24,12 @@ def windowed_stats(events: DataFrame, size: str = "1 day", late: str = "2 days",
 
 
 def resume_sink(path: str, key: list[str]):
-    """A foreachBatch function that appends only rows whose key isn't there yet,
-    so a batch that is replayed writes nothing twice."""
-
-    def write(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        try:
-            done = spark.read.parquet(path).select(*key).distinct()
-            batch = batch.join(done, key, "left_anti")
-        except Exception as e:  # the first batch: there is no table yet
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-        batch.dropDuplicates(key).write.mode("append").parquet(path)
+    """A foreachBatch function that writes each batch, without rows that repeat a key in
+    it, to the partition of its number: a batch that is replayed replaces itself, and
+    nothing that was written before is read."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        rows = batch.dropDuplicates(key).withColumn("batch", F.lit(number).cast("long"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
 
     return write

@@ -108,7 +108,7 @@ def test_cv_and_ratio_guards(spark):
     r = stats.curve_stats(rows, ["id"]).first()
     assert r.cv is None and r.p50 == 0.0 and r.range == 2.0
     con = stats.contrast_block(spark.createDataFrame([(1, "a", 1.0, None), (1, "b", 0.0, 0.5)], "id int, index string, mean double, cv double"), ["id"], "index", ["a", "b"]).first()
-    assert con.con_a_b_diff == 1.0 and con.con_a_b_ratio is None and con.con_a_b_cv is None
+    assert con.ctr_a_b_diff == 1.0 and con.ctr_a_b_ratio is None and con.ctr_a_b_cvdiff is None
 
 
 def test_images():
@@ -119,11 +119,11 @@ def test_images():
         at = np.array(images.hilbert_order(order)).reshape(side, side)
         where = {int(v): np.array(p) for p, v in np.ndenumerate(at)}
         assert all(np.abs(where[i] - where[i + 1]).sum() == 1 for i in range(side * side - 1))
-    assert np.array_equal(images.np_mtf(np.full(6, 2.0)), np.ones((6, 6)))
-    x = np.sin(np.arange(64) / 5)
-    assert images.np_cwt(x).shape == (24, 64) and images.image_shape("gaf", 52) == (52, 52, 2)
-    assert images.np_spectrogram(x).shape == images.image_shape("spectrogram", 64)[:2]
-    assert images.np_cwt(x)[9].mean() > images.np_cwt(x)[0].mean()
+    assert np.array_equal(images.np_mtf(np.full((1, 6), 2.0)), np.ones((1, 6, 6)))
+    x = np.sin(np.arange(64) / 5)[None]
+    assert images.np_cwt(x).shape == (1, 24, 64) and images.image_shape("gaf", 52) == (52, 52, 2)
+    assert images.np_spectrogram(x).shape[1:] == images.image_shape("spectrogram", 64)[:2]
+    assert images.np_cwt(x)[0, 9].mean() > images.np_cwt(x)[0, 0].mean()
 
 
 def test_wrap_pad(spark):
@@ -234,11 +234,12 @@ def test_manifest_and_run(spark, tmp_path):
 
 
 def test_resumable_stream_sink(spark, tmp_path):
+    """A replayed batch replaces itself; a later batch may bring a key again."""
     write = resume_sink(f"{tmp_path}/s", ["k"])
     batch = spark.createDataFrame([(1,), (2,), (2,)], "k int")
-    write(batch, 0)
-    write(batch.union(spark.createDataFrame([(3,)], "k int")), 1)
-    assert sorted(r.k for r in spark.read.parquet(f"{tmp_path}/s").collect()) == [1, 2, 3]
+    for number in (0, 0, 1, 1):
+        write(batch if number == 0 else spark.createDataFrame([(3,), (1,)], "k int"), number)
+    assert sorted((r.batch, r.k) for r in spark.read.parquet(f"{tmp_path}/s").collect()) == [(0, 1), (0, 2), (1, 1), (1, 3)]
 
 
 def slow_conv(x, w, stride, circular):
@@ -285,6 +286,159 @@ def test_forest_floor(spark):
     assert pred.count() == 40 and forest.fit_all(full, ["x"], ["y"], trees=3)["y"] is not None
 
 
+def test_checkpoint_round_trip(spark, tmp_path):
+    """An ensemble comes back from its file and predicts the same; a weight of another
+    shape, and members that disagree, are errors."""
+    from gridflux.operators.predict import back_transform, predict, read_checkpoint, write_checkpoint
+
+    model = stand_in_ensemble(2, ("c",), seeds=2)
+    write_checkpoint(model, f"{tmp_path}/m.npz")
+    again = read_checkpoint(f"{tmp_path}/m.npz", "A")
+    assert again.targets == model.targets and again.members[1].scalers == model.members[1].scalers
+    rows = spark.createDataFrame([(1, [0.1, 0.2, 0.3, 0.4], 1.0)], "id int, image array<double>, c double")
+    a, b = (back_transform(predict(rows, m, ["id"]), m, ["id"]).first() for m in (model, again))
+    assert np.allclose(a[1:], b[1:])
+    with open(f"{tmp_path}/m.npz", "rb") as f:
+        assert read_checkpoint(f, "A").context == ("c",)
+    with pytest.raises(ValueError, match="shape"):
+        read_checkpoint(f"{tmp_path}/m.npz", "B")
+
+
+def test_film_and_smoothing_by_definition():
+    rng = np.random.default_rng(4)
+    net = nn.Net()
+    net.film("f", np.zeros((2, 3)), (4, 2))
+    for name, shape in net.shapes.items():
+        net.weights[name] = rng.normal(size=shape)
+    ctx = rng.normal(size=(2, 3))
+    raw = net.linear("f.b", nn.gelu(net.linear("f.a", ctx, 32)), 12)
+    (g1, b1), (g2, b2) = net.film("f", ctx, (4, 2))
+    assert np.allclose(g1[:, :, 0, 0], 1 + raw[:, :4]) and np.allclose(b1[:, :, 0, 0], raw[:, 4:8])
+    assert np.allclose(g2[:, :, 0, 0], 1 + raw[:, 8:10]) and np.allclose(b2[:, :, 0, 0], raw[:, 10:])
+    x = rng.normal(size=(3, 9))
+    want = [[np.mean(row[max(0, i - 2) : i + 3]) for i in range(9)] for row in x]
+    assert np.allclose(regularize.smooth_rows(x, 4), want) and np.array_equal(regularize.smooth_rows(x, 1), x)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.integers(0, 20), st.floats(-5, 5)), min_size=1, max_size=12), min_size=1, max_size=5))
+def test_interpolation_of_many_series(series):
+    series = [sorted(s, key=lambda p: p[0]) for s in series]
+    n = np.array([len(s) for s in series])
+    t, v = (np.array([p[k] for s in series for p in s], float) for k in (0, 1))
+    lo, hi = np.array([s[0][0] - 1.0 for s in series]), np.array([s[-1][0] + 2.0 for s in series])
+    first = np.cumsum(n) - n
+    got = regularize.interpolate_all(t, v, first, n, lo, hi, 7)
+    for r, s in enumerate(series):
+        assert np.allclose(got[r], regularize.interpolate(t[first[r] : first[r] + n[r]], v[first[r] : first[r] + n[r]], lo[r], hi[r], 7))
+
+
+def test_heat_load_of_both_hemispheres(spark):
+    got = one(spark, **{f"h{k}": terrain.heat_load(F.lit(lat), F.lit(20.0), F.lit(100.0)) for k, lat in enumerate((-33.5, 33.5))})
+    assert got["h0"] == got["h1"]
+    south = 0.339 + 0.808 * math.cos(math.radians(33.5)) * math.cos(math.radians(20)) - 0.196 * math.sin(math.radians(33.5)) * math.sin(math.radians(20))
+    assert math.isclose(got["h0"], south - 0.482 * math.cos(math.radians(abs(180 - 215))) * math.sin(math.radians(20)))
+
+
+def test_cv_of_a_negative_mean(spark):
+    rows = spark.createDataFrame([(1, -1.0), (1, -3.0)], "id int, value double")
+    assert math.isclose(stats.curve_stats(rows, ["id"]).first().cv, math.sqrt(2) / 2)
+
+
+def test_lambda_of_thousands():
+    """Values of a narrow range next to 0, as site contributions have."""
+    x = 3.4e-4 + 1e-4 * np.linspace(0, 1, 400) ** 3
+    got = targets.fit_power(x)
+    assert got.lam < -1000 and np.allclose(np_inverse(np_yeo_johnson(x, got.lam), got.lam), x, rtol=1e-9)
+
+    def loss(lam):
+        return np.log(np_yeo_johnson(x, lam).std()) - (lam - 1) * np.log1p(x).mean()
+
+    assert loss(got.lam) <= min(loss(got.lam * 0.99), loss(got.lam * 1.01))
+
+
+def test_map_plan_reads_the_archive_once(spark, tmp_path):
+    """One scan of the observations, with bounds of time at the reader."""
+    obs = spark.createDataFrame([("t0", 1, dt.datetime(1995 + i % 8, 3, 1 + i % 20), "L5", 0.1 * i) for i in range(60)], "tile_id string, px long, ts timestamp_ntz, sensor string, v double")
+    obs.write.parquet(f"{tmp_path}/obs")
+    cells = spark.createDataFrame([("t0", 1, 0, 0), ("t0", 2, 0, 1)], "tile_id string, px long, row int, col int")
+    cover = spark.createDataFrame([("t0", p, 2000, 3) for p in (1, 2)], "tile_id string, px long, year int, class int")
+    rows = map_inference.map_rows(spark.read.parquet(f"{tmp_path}/obs"), cells, cover, map_inference.Config((2000,), steps=9))
+    got = {r.px: r for r in rows.collect()}
+    assert got[1].ready and got[1].n_obs == 22 and not got[2].ready and got[2].n_obs is None
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1 and "ReusedExchange" in final
+    assert "GreaterThanOrEqual(ts,1998-01-01T00:00)" in final and "LessThan(ts,2001-01-01T00:00)" in final
+
+
+def test_readers_of_tables(spark, tmp_path):
+    """Feature, target, prediction and land-cover files of a layout."""
+    root = str(tmp_path)
+    ids = [1, 2, 3]
+    spark.createDataFrame([(i, 100.0 * i, "cover", 1.0, 2.0, 2000, "living_trees" if i < 3 else "plots") for i in ids], "id long, area_m2 double, stratum string, lon double, lat double, year int, source string").write.parquet(f"{root}/plots.parquet")
+    curves = spark.createDataFrame([(i, "ndvi", "mean5x5", [float("nan") if k == 1 else 0.1 * k for k in range(4)]) for i in ids], "id long, index string, px string, curve array<double>")
+    curves.write.parquet(f"{root}/curves.parquet")
+    topo = spark.createDataFrame([(i, *[float(i)] * 16) for i in ids], "id long, " + ", ".join(f"{v}_{s} double" for v in design.TOPO_VARS for s in ("mean", "std")))
+    topo.write.parquet(f"{root}/topography.parquet")
+    got = design.build_design(tables.load_tables(spark, tables.Layout(root)), "area+topo+year").orderBy("id").collect()
+    assert [r.id for r in got] == ids and got[0].topo_topo_flat == 0.0 and math.isclose(got[1].area_log10, math.log10(200))
+    curves.where("id > 1").write.parquet(f"{root}/fewer.parquet")
+    with pytest.raises(ValueError, match="lacks ids"):
+        tables.load_tables(spark, tables.Layout(root, curves="fewer.parquet"))
+    with pytest.raises(FileNotFoundError, match="extract"):
+        tables.read_optional(spark, f"{root}/none.parquet", "extract it first")
+    spark.createDataFrame([(i, 0.5 * i, float("nan")) for i in ids], "id long, mpd double, mntd double").write.parquet(f"{root}/phylo_responses.parquet")
+    y = tables.read_targets(spark, root, ["mpd", "mntd"], spark.createDataFrame([(i,) for i in ids], "id long")).orderBy("id").collect()
+    assert [r.mpd for r in y] == [0.5, 1.0, 1.5] and {r.mntd for r in y} == {None}
+    with open(f"{root}/oof.csv", "w") as f:
+        f.write("seed,a_obs,a_pred\n5,1.0,0.5\n2,2.0,1.0\n2,3.0,\n")
+    res = targets.oof_residuals(tables.read_oof(spark, f"{root}/oof.csv", ["a"]), {"a": Power(1.0, 0.0, 1.0)}).collect()
+    assert sorted((r.a is None, r.a and round(r.a, 9)) for r in res) == [(False, 1.0), (True, None)]
+    for year in (2003, 2004):
+        spark.createDataFrame([(0, 0, 3), (0, 1, year % 100)], "row int, col int, class int").coalesce(1).toPandas().to_parquet(f"{root}/cover_{year}_v1.parquet")
+    cover = spark.read.parquet(f"{root}/cover_2003_v1.parquet")
+    assert cover.count() == 2
+    with open(f"{root}/legend.csv", "w") as f:
+        f.write("code,name\n3,forest\n")
+    assert tables.read_legend(spark, f"{root}/legend.csv").first().name == "forest"
+
+
+def test_manifest_compaction_and_caveat(spark, tmp_path):
+    rows = spark.createDataFrame([("t0_0", 2000, "ok")], "tile_id string, year int, status string")
+    for _ in range(3):
+        sinks.append_manifest(rows, f"{tmp_path}/m")
+    sinks.compact_manifest(spark, f"{tmp_path}/m", f"{tmp_path}/m2")
+    assert tables.read_manifest(spark, f"{tmp_path}/m2").count() == 3
+    assert len([p for p in (tmp_path / "m2").iterdir() if p.name.startswith("part")]) == 1
+    sinks.write_run(spark, f"{tmp_path}/run", {"run_id": "r"})
+    assert "native" in sinks.read_run(spark, f"{tmp_path}/run").first().tags["caveat"]
+
+
+def test_sites_of_empty_tiles(spark):
+    from gridflux.plans.topography import failed_sites
+
+    dem = spark.createDataFrame([(0, 0, 0, 10.0), (1, 0, 0, -9999.0)], "tile_id int, row int, col int, elevation double")
+    sites = spark.createDataFrame([(7, 0), (8, 1), (9, 2)], "site_id int, tile_id int")
+    assert sorted((r.site_id, r.error) for r in failed_sites(dem, sites).collect()) == [(8, "empty elevation"), (9, "empty elevation")]
+
+
+def test_terrain_edges(spark):
+    """Edges by the published rules, against numpy; or null."""
+    rng = np.random.default_rng(3)
+    e = rng.uniform(0, 100, (6, 8))
+    grid = spark.createDataFrame([(0, r, c, float(e[r, c])) for r in range(6) for c in range(8)], "tile_id int, row int, col int, elevation double")
+    got = {(r.row, r.col): r for r in terrain.terrain_layers(grid, 30.0, -33.0).collect()}
+    near, mirror = np.pad(e, 3, mode="edge"), np.pad(e, 1, mode="symmetric")
+    squares = sum((e - np.roll(e, (a, b), (0, 1))) ** 2 for a in (-1, 0, 1) for b in (-1, 0, 1))
+    for (r, c), row in got.items():
+        assert math.isclose(row.tpi, e[r, c] - near[r : r + 7, c : c + 7].mean(), abs_tol=1e-9) and math.isclose(row.tri, math.sqrt(squares[r, c]), rel_tol=1e-9)
+        around = mirror[r, c + 1] + mirror[r + 2, c + 1] + mirror[r + 1, c] + mirror[r + 1, c + 2]
+        assert math.isclose(row.curvature, (around - 4 * e[r, c]) / 900, abs_tol=1e-12)
+    none = {(r.row, r.col): r for r in terrain.terrain_layers(grid, 30.0, -33.0, edges="null").collect()}
+    assert none[0, 0].tpi is None and none[0, 3].tri is None and none[2, 0].curvature is None and none[2, 3].tri is not None
+
+
 def test_scaler_gate(spark):
     df = spark.createDataFrame([(float(i),) for i in range(-20, 60)], "a double")
     assert verify.round_trip(df, {"a": Power(0.4, 0.0, 1.0)}).first().error < 1e-6
