@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridflux.functions.geo import affine_cell
+from gridflux.functions.geo import affine_cell, to_lonlat
 
 # Classes that count as native vegetation.
 NATIVE = (3, 59, 60, 61, 11, 12, 63, 66)
@@ -40,6 +40,14 @@ def sample_at(points: DataFrame, cover: DataFrame, west: float, north: float, si
     return joined.withColumn("class", F.coalesce("class", F.lit(0)))
 
 
+def reproject_nearest(cells: DataFrame, cover: DataFrame, west: float, north: float, size: float, x: str = "x", y: str = "y") -> DataFrame:
+    """Class of the nearest raster cell at each projected cell centre (``x``, ``y`` in
+    metres, with a ``year``); outside the raster class 0."""
+    lon, lat = to_lonlat(F.col(x), F.col(y))
+    placed = cells.withColumns({"_lon": lon, "_lat": lat})
+    return sample_at(placed, cover, west, north, size, "_lon", "_lat").drop("_lon", "_lat", "row", "col")
+
+
 def class_names(codes: DataFrame, legend: DataFrame, code: str = "class") -> DataFrame:
     """Legend names; a code without one is UNKNOWN_<code>.  The legend is a short
     dimension table, which Spark broadcasts by its size."""

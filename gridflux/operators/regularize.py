@@ -87,7 +87,7 @@ def raw_series(obs: DataFrame, key: list[str], group: list[str], steps: int = ST
 
 def curve_arrays(rows: DataFrame, key: list[str]) -> DataFrame:
     """Steps of ``regularize`` as one array a key, null under the floor."""
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("i", "value"))), lambda s: s["value"])
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("i", "value"))), lambda s: s["value"])
     out = rows.groupBy(*key).agg(ordered.alias("curve"), F.first("n_obs").alias("n_obs"))
     return out.withColumn("curve", F.when(F.forall("curve", lambda x: x.isNotNull()), F.col("curve")))
 
@@ -96,7 +96,7 @@ def regularize_arrays(obs: DataFrame, spans: DataFrame, key: list[str], steps: i
     """(key, n_obs, curve): the same curves from one grouped aggregate, which
     gathers a key's observations in order; numpy interpolates Arrow batches."""
     valid = obs.where(F.col("v").isNotNull())
-    series = valid.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(F.col("t").cast("double").alias("t"), "tie", "v"))).alias("s"))
+    series = valid.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct(F.col("t").cast("double").alias("t"), "tie", "v"))).alias("s"))
     joined = spans.where(F.col("lo") < F.col("hi")).join(series, key)
     return interpolated(joined.select(*key, "lo", "hi", "s"), key, steps, roll, min_obs).select(*key, "n_obs", "curve")
 

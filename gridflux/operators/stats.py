@@ -63,7 +63,7 @@ def observation_stats(obs: DataFrame, key: list[str], ts: str = "ts", value: str
     order = Window.partitionBy(*key).orderBy("doy")
     gaps = days.withColumn("gap", F.col("doy") - F.lag("doy").over(order))
     by_year = days.groupBy(*key, "year").agg(F.count("*").alias("n"))
-    years = by_year.groupBy(*key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("year", "n")))).alias("n_per_year"))
+    years = by_year.groupBy(*key).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("year", "n")))).alias("n_per_year"))
     total = gaps.groupBy(*key).agg(F.count("*").alias("n_obs"), F.max("gap").alias("max_gap"), F.avg("gap").alias("mean_gap"))
     return share.join(total, key, "left").join(years, key, "left").withColumn("n_obs", F.coalesce("n_obs", F.lit(0).cast("long")))
 
@@ -97,7 +97,7 @@ def patch_arrays(grid: DataFrame, sites: DataFrame, names: list[str], half: int
     """(site_id, height, width, an array a layer): the square around each site's cell,
     row by row, cut at the grid's edge."""
     cells = _near(sites, half).join(grid, ["row", "col"])
-    ordered = F.array_sort(F.collect_list(F.struct("row", "col", *(F.col(n).alias(n) for n in names))))  # a patch has 25 cells
+    ordered = F.sort_array(F.collect_list(F.struct("row", "col", *(F.col(n).alias(n) for n in names))))  # a patch has 25 cells
     out = cells.groupBy("site_id").agg(ordered.alias("p"), F.countDistinct("row").cast("int").alias("height"), F.countDistinct("col").cast("int").alias("width"))
     return out.select("site_id", "height", "width", *(F.col(f"p.{n}").alias(n) for n in names))
 

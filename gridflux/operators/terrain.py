@@ -20,6 +20,16 @@ def valid_elevation(e: Column) -> Column:
     return F.when(e > NODATA, e)
 
 
+def scan_elevation(dem: DataFrame, tile: str, rows: tuple[int, int], cols: tuple[int, int], halo: int = HALO) -> DataFrame:
+    """Valid elevations of a rectangle (bounds included) of a tile with a halo around it,
+    numbered from the halo's corner; an error if there are none."""
+    inside = (F.col("tile_id") == tile) & F.col("row").between(rows[0] - halo, rows[1] + halo) & F.col("col").between(cols[0] - halo, cols[1] + halo)
+    part = dem.where(inside).withColumn("elevation", valid_elevation(F.col("elevation")))
+    if part.where("elevation IS NOT NULL").isEmpty():
+        raise ValueError(f"empty elevation in tile {tile}")
+    return part.withColumn("row", F.col("row") - (rows[0] - halo)).withColumn("col", F.col("col") - (cols[0] - halo))
+
+
 def _along_row(tile: str) -> Window:
     return Window.partitionBy(tile, "row").orderBy("col")
 

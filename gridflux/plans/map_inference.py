@@ -59,7 +59,7 @@ def series_spans(series: DataFrame) -> DataFrame:
 def year_curves(obs: DataFrame, config: Config) -> DataFrame:
     """(tile_id, year, px, n_obs, lo, hi, n_dates_window, curve) for each pixel of each window."""
     series = pixel_series(obs, config)
-    clear = F.array_sort(F.transform(F.filter("s", lambda o: o["v"].isNotNull()), lambda o: F.struct(o["t"].alias("t"), o["sensor"].alias("sensor"), o["ts"].alias("ts"), o["v"].alias("v"))))
+    clear = F.sort_array(F.transform(F.filter("s", lambda o: o["v"].isNotNull()), lambda o: F.struct(o["t"].alias("t"), o["sensor"].alias("sensor"), o["ts"].alias("ts"), o["v"].alias("v"))))
     rows = series.join(series_spans(series), TILE_YEAR)  # a row for each tile and year: broadcast by its size
     rows = rows.select(*KEY, "lo", "hi", "n_dates_window", clear.alias("s")).where(F.size("s") > 0)
     return interpolated(rows, [*KEY, "n_dates_window"], config.steps, config.roll, config.min_obs)

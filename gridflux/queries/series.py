@@ -194,7 +194,7 @@ def causal_curve_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same curves by the array form: one aggregate has each series, the windows'
     spans come from it, and a window of two slices or more is a row."""
     rows = _windowed(spark, sf_dir)
-    series = rows.groupBy("year", "px").agg(F.array_sort(F.collect_list(F.struct("t", "tie", "v", "sensor", "ts"))).alias("s"))
+    series = rows.groupBy("year", "px").agg(F.sort_array(F.collect_list(F.struct("t", "tie", "v", "sensor", "ts"))).alias("s"))
     slices = series.select("year", F.explode("s").alias("o")).select("year", "o.*")
     spans = windows.window_spans(slices, ["year"]).select("year", "lo", "hi")
     curves = regularize.interpolated(series.join(spans, "year"), ["year", "px"], STEPS).where("curve IS NOT NULL")

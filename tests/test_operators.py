@@ -333,6 +333,60 @@ def test_interpolation_of_many_series(series):
         assert np.allclose(got[r], regularize.interpolate(t[first[r] : first[r] + n[r]], v[first[r] : first[r] + n[r]], lo[r], hi[r], 7))
 
 
+def test_elevation_scan_and_reprojection(spark):
+    from gridflux.operators import landcover
+
+    dem = spark.createDataFrame([("a", r, c, float(r * 10 + c)) for r in range(8) for c in range(8)] + [("b", 0, 0, -9999.0)], "tile_id string, row int, col int, elevation double")
+    part = terrain.scan_elevation(dem, "a", (3, 4), (3, 4), 2)
+    assert part.count() == 36 and part.agg(F.min("row"), F.max("col")).first() == (0, 5)
+    inner = terrain.crop(part, 2, 2, 2)
+    assert sorted(r.elevation for r in inner.collect()) == [33.0, 34.0, 43.0, 44.0]
+    with pytest.raises(ValueError, match="empty"):
+        terrain.scan_elevation(dem, "b", (0, 0), (0, 0))
+    cover = spark.createDataFrame([(2000, r, c, 10 * r + c) for r in range(4) for c in range(4)], "year int, row int, col int, class int")
+    lon, lat = F.lit(-70.0) + (F.col("c") + 0.3) * 0.01, F.lit(-33.0) - (F.col("r") + 0.7) * 0.01
+    x, y = geo.to_utm(lon, lat)
+    cells = cover.select(F.col("row").alias("r"), F.col("col").alias("c"), "year").withColumns({"x": x, "y": y})
+    got = landcover.reproject_nearest(cells, cover, -70.0, -33.0, 0.01).collect()
+    assert len(got) == 16 and all(g["class"] == 10 * g.r + g.c for g in got)
+    far = landcover.reproject_nearest(cells.withColumn("x", F.col("x") + 90000), cover, -70.0, -33.0, 0.01)
+    assert {r["class"] for r in far.collect()} == {0}
+
+
+def test_geometry_helpers(spark):
+    lon, lat = geo.cell_centres(F.lit(1), F.lit(2), 10.0, -4.0, 18.0, 0.0, 4, 8)
+    got = one(spark, lon=lon, lat=lat, n=geo.nearest_cell(F.lit(2.5), 0.0, 1.0, 9), low=geo.nearest_cell(F.lit(-7.0), 0.0, 1.0, 9))
+    assert got == {"lon": 12.5, "lat": -1.5, "n": 2, "low": 0}
+    assert tables.prefixed_ids(spark.createDataFrame([(7,)], "id long"), "LT_").first().id == "LT_7"
+
+
+def test_scans_of_files(spark, tmp_path):
+    """Archive by years and box, land cover by file name, outputs by object name, forests on disk."""
+    from gridflux.sources import observations
+
+    root = str(tmp_path)
+    rows = [("t0", i, i, 0, dt.datetime(1999 + i, 6, 1), s, 8000, 9000, 0) for i in range(6) for s in ("L5", "L8")]
+    spark.createDataFrame(rows, "tile_id string, px long, row int, col int, ts timestamp_ntz, sensor string, red int, nir int, qa int").write.parquet(f"{root}/obs")
+    got = observations.load_kndvi(spark, f"{root}/obs", 2000, 2002, (0, 2, 0, 0)).collect()
+    assert sorted(r.px for r in got) == [1, 2] and {r.sensor for r in got} == {"L5"} and all(0 < r.v < 1 for r in got)
+    assert observations.load_window(spark, f"{root}/obs", 1970, 1975) is None
+    for year in (2003, 2004):
+        path = f"{root}/cover/cover_{year}_v1.parquet"
+        (tmp_path / "cover").mkdir(exist_ok=True)
+        spark.createDataFrame([(0, 0, year % 100)], "row int, col int, class int").toPandas().to_parquet(path)
+    assert sorted((r.year, r["class"]) for r in tables.read_landcover(spark, f"{root}/cover").collect()) == [(2003, 3), (2004, 4)]
+    assert sorted(r.map_year for r in tables.available_years(spark, f"{root}/cover").collect()) == [2003, 2004]
+    (tmp_path / "out").mkdir()
+    for name in ("t-3_17_2004.tif", "t1_0_2005.tif", "note.txt"):
+        (tmp_path / "out" / name).write_bytes(b"x")
+    assert sorted(tuple(r) for r in tables.listed_outputs(spark, f"{root}/out").collect()) == [("t-3_17", 2004), ("t1_0", 2005)]
+    df = spark.createDataFrame([(float(i % 5), float(i % 5) * 2) for i in range(40)], "x double, y double")
+    model = forest.fit_forest(df, ["x"], "y", trees=3)
+    forest.save_forest(model, f"{root}/rf")
+    a, b = (forest.predict_forest(m, df, ["x"], "y").agg(F.sum("y_pred")).first()[0] for m in (model, forest.load_forest(f"{root}/rf")))
+    assert a == b and forest.importances(model, ["x"])[0][0] == "x"
+
+
 def test_heat_load_of_both_hemispheres(spark):
     got = one(spark, **{f"h{k}": terrain.heat_load(F.lit(lat), F.lit(20.0), F.lit(100.0)) for k, lat in enumerate((-33.5, 33.5))})
     assert got["h0"] == got["h1"]
