@@ -161,7 +161,7 @@ def walks_to_find(items: list[np.ndarray], edit, rate: float, trials: int = 200,
 class Index:
     """Keys of a block of benchmark items, and the items for verification."""
 
-    def __init__(self, ids: list[int], texts: list[str], target_recall: float = 0.95, design_rate: float = 0.1, max_edit: float = 0.2):
+    def __init__(self, ids: list[int], texts: list[str], target_recall: float = 0.99, design_rate: float = 0.1, max_edit: float = 0.2):
         self.max_edit = max_edit
         raw = [t.encode() for t in texts]
         words = [find_words(np.frombuffer(b, np.uint8), np.array([0, len(b)])).hash for b in raw]
