@@ -133,15 +133,17 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Words:
-    """Words of consecutive rows: ``hash[first[i]:first[i+1]]`` are row i's."""
+    """Words of consecutive rows: ``hash[first[i]:first[i+1]]`` are row i's; ``prefix``
+    is the hash of the first bytes of longer words, else 0, where asked for."""
 
     start: np.ndarray
     end: np.ndarray
     hash: np.ndarray
     first: np.ndarray
+    prefix: np.ndarray | None = None
 
 
-def find_words(data: np.ndarray, bounds: np.ndarray) -> Words:
+def find_words(data: np.ndarray, bounds: np.ndarray, prefix: int = 0) -> Words:
     """Words ``[^\\x20\\x09-\\x0D]+`` of rows, A-Z lower-cased, with 64-bit hashes."""
     lo = int(bounds[0])
     buf = data[lo : int(bounds[-1])]
@@ -149,7 +151,7 @@ def find_words(data: np.ndarray, bounds: np.ndarray) -> Words:
     n = len(buf)
     if n == 0:
         none = np.zeros(0, np.int64)
-        return Words(none, none, none.astype(np.uint64), np.zeros(len(bounds), np.int64))
+        return Words(none, none, none.astype(np.uint64), np.zeros(len(bounds), np.int64), none.astype(np.uint64) if prefix else None)
     inside = np.zeros(n + 2, bool)
     inside[1:-1] = ~SPACE[buf]
     edge = np.zeros(n + 1, bool)
@@ -162,7 +164,11 @@ def find_words(data: np.ndarray, bounds: np.ndarray) -> Words:
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_CODE[buf] * up, dtype=np.uint64, out=sums[1:])
     h = mix64((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
-    return Words(start, end, h, np.searchsorted(start, rel))
+    short = None
+    if prefix:
+        cut = np.minimum(start + prefix, end)
+        short = np.where(cut < end, mix64((sums[cut] - sums[start]) * down[start] + np.uint64(prefix)), np.uint64(0))
+    return Words(start, end, h, np.searchsorted(start, rel), short)
 
 
 def shingle_hashes(words: Words, row: int, size: int = 5) -> np.ndarray:

@@ -1,7 +1,8 @@
 """Quality classifier: document evidence with host and path posteriors.
 
 A logistic classifier on whole texts (shares of character classes, word
-statistics, presence of telling words) gives each document a log-likelihood
+statistics, presence of telling words and beginnings of words, which languages with
+many endings need) gives each document a log-likelihood
 ratio.  Sites are a hierarchy: all documents, hosts (``source``), paths
 (``source`` and ``lang``).  A site's count of good documents is the sum of its
 documents' probabilities, labelled ones counting as their label; Beta priors
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from gridflux.llm.common import byte_slices, find_words, stage, table, text_buffers, tucked
 
-SHAPE = 14
+SHAPE, PREFIX = 14, 4
 
 
 def _classes() -> np.ndarray:
@@ -67,7 +68,7 @@ class Evidence:
 def features(data: np.ndarray, bounds: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
     """Shape features, then for each word of the vocabulary whether the text has it."""
     n = len(bounds) - 1
-    words = find_words(data, bounds)
+    words = find_words(data, bounds, PREFIX)
     rel = bounds - bounds[0]
     row = np.repeat(np.arange(n), np.diff(rel))
     kinds = np.bincount(row * 7 + CLASSES[data[int(bounds[0]) : int(bounds[-1])]], minlength=7 * n).reshape(n, 7)
@@ -91,9 +92,9 @@ def features(data: np.ndarray, bounds: np.ndarray, vocabulary: np.ndarray) -> np
     shape = np.column_stack((kinds / size, np.log1p(count), mean, spread, distinct, again, short, count == 0)).astype(np.float64)
     out = np.zeros((n, SHAPE + len(vocabulary)))
     out[:, :SHAPE] = shape
-    if len(vocabulary) and len(words.hash):
-        at = np.minimum(np.searchsorted(vocabulary, words.hash), len(vocabulary) - 1)
-        hit = vocabulary[at] == words.hash
+    for some in (words.hash, words.prefix) if len(vocabulary) else ():
+        at = np.minimum(np.searchsorted(vocabulary, some), len(vocabulary) - 1)
+        hit = vocabulary[at] == some
         out[of[hit], SHAPE + at[hit]] = 1.0
     return out
 
@@ -105,7 +106,7 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return known.groupBy("doc_id").agg(F.min(good.cast("int")).alias("good"))
 
 
-def fit_evidence(docs: DataFrame, labels: DataFrame, sample: int = 4000, words: int = 400, steps: int = 300, ridge: float = 1e-3) -> Evidence | None:
+def fit_evidence(docs: DataFrame, labels: DataFrame, sample: int = 4000, words: int = 600, steps: int = 300, ridge: float = 1e-3) -> Evidence | None:
     marks = labelled(docs, labels)
     total = marks.count()
     pick = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample / max(1, total))))
@@ -115,15 +116,16 @@ def fit_evidence(docs: DataFrame, labels: DataFrame, sample: int = 4000, words:
     rows = rows.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.max("good").alias("good"))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Distinct word hashes of each text and its shape."""
+        """Distinct hashes of words and their beginnings of each text, and its shape."""
         for batch in batches:
             data, bounds = text_buffers(batch.column(1))
             shapes, vocab = [], []
             for i, j in byte_slices(bounds):
                 shapes += [x.tobytes() for x in features(data, bounds[i : j + 1], np.zeros(0, np.uint64))]
-                w = find_words(data, bounds[i : j + 1])
+                w = find_words(data, bounds[i : j + 1], PREFIX)
                 for a, b in zip(w.first[:-1], w.first[1:], strict=True):
-                    vocab.append(np.unique(w.hash[a:b]).tobytes())
+                    both = np.unique(np.concatenate((w.hash[a:b], w.prefix[a:b])))
+                    vocab.append(both[both != 0].tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shapes, pa.binary()), pa.array(vocab, pa.binary()), batch.column(2)], names=["doc_id", "shape", "vocab", "good"])
 
     got = sorted(rows.mapInArrow(gather, "doc_id long, shape binary, vocab binary, good int").collect(), key=lambda r: (r["doc_id"], r["vocab"]))
