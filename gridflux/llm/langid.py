@@ -31,10 +31,12 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridflux.llm.common import LOWER, byte_slices, text_buffers, tucked
+from gridflux.llm.common import LOWER, byte_slices, stage, text_buffers, tucked
 
 NGRAMS = (2, 3, 4)
 WIDTH = 1 << 14
+#: Languages whose shares are broadcast.
+MOST_LANGS = 100_000
 LETTER = regex.compile(r"\p{L}")
 
 
@@ -84,7 +86,9 @@ def learning_rows(docs: DataFrame, per_lang: int, most: float = 1.0, after: bool
     most.  Repeated rows are one."""
     rows = docs.where("lang IS NOT NULL AND text IS NOT NULL").where(F.coalesce(remainder("doc_id", 3), F.lit(0)) != 1)
     rows = rows.select("doc_id", "lang", "text")
-    shares = rows.groupBy("lang").agg(F.least(F.lit(float(per_lang)) / F.count("*"), F.lit(most)).alias("share"))
+    shares = stage(rows.groupBy("lang").agg(F.least(F.lit(float(per_lang)) / F.count("*"), F.lit(most)).alias("share")), "languages")
+    if shares.count() <= MOST_LANGS:  # a row a language; beyond that Spark shuffles
+        shares = F.broadcast(shares)
     low, high = (F.col("share"), F.col("share") * 5) if after else (F.lit(0.0), F.col("share"))
     spread = F.pmod(F.xxhash64("doc_id", "lang", "text"), F.lit(1 << 30)) / float(1 << 30)
     return rows.join(shares, "lang").where((spread >= low) & (spread < high)).select("doc_id", "lang", "text").dropDuplicates()
@@ -112,18 +116,19 @@ def fit(cells: np.ndarray, lang_of: list[str], landmarks_per_lang: int = 64, rid
     langs = sorted(set(lang_of))
     if not langs:
         return LanguageModel([], np.zeros((WIDTH, 0), np.float32), np.zeros(0, np.float32))
-    x = cells.astype(np.float32)
-    x /= np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
+    size = np.sqrt(np.maximum(cells.sum(axis=1, dtype=np.float32), 1))[:, None]
     y = np.array([langs.index(k) for k in lang_of])
     pick: list[int] = []
     for k in range(len(langs)):
         own = np.flatnonzero(y == k)
         pick += own[np.linspace(0, len(own) - 1, min(len(own), landmarks_per_lang)).astype(int)].tolist()
-    land = x[pick]
+    land = cells[pick].astype(np.float32) / size[pick]
     values, vectors = np.linalg.eigh((land @ land.T).astype(np.float64))
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])  # K_mm^-1/2 on its range
-    features = (x @ land.T).astype(np.float64) @ root
+    parts = range(0, len(cells), 256)  # a block of rows at a time: the driver's memory is small
+    kernel = np.concatenate([cells[i : i + 256].astype(np.float32) / size[i : i + 256] @ land.T for i in parts])
+    features = kernel.astype(np.float64) @ root
     targets = np.where(y[:, None] == np.arange(len(langs)), 1.0, 0.0)
     centre, mean = features.mean(axis=0), targets.mean(axis=0)
     f = features - centre
