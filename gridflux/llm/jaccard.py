@@ -51,8 +51,8 @@ FIRST = "doc_id long, n int, class long, parity binary, slice int, task int, cel
 POSTING = "list long, class long, n int, cost int"
 #: Blobs of a sketch slice that one group adds up.
 FAN_IN = 256
-#: Rounds with some hubs of its own for each list before lists are expanded.
-HUB_ROUNDS, HUBS = 2, 12
+#: Rounds in which each list has so many hubs of its own before lists are expanded.
+HUB_ROUNDS, HUBS = 1, 16
 
 
 def _distinct(hashes: np.ndarray) -> np.ndarray:
@@ -472,6 +472,8 @@ def keep_one(docs: DataFrame, size: int = SIZE) -> DataFrame:
     grouped = join_similar(docs, size).where("n_shingles > 0")
     gone = grouped.where("class <> least_class OR NOT (doc_id <=> component_id)")
     gone = stage(gone.select("doc_id", "class").distinct(), "jaccard-gone")
+    if gone.count() <= BROADCAST_ROWS:  # 16 bytes a row
+        gone = F.broadcast(gone)
     named = inner.mapInArrow(name, ", ".join(f"_c{i} {k}" for i, k in enumerate(kinds)) + ", _class long")
     lost = F.col(f"_c{docs.columns.index('doc_id')}").eqNullSafe(F.col("doc_id")) & (F.col("_class") == F.col("class"))
     kept = named.join(gone, lost, "left_anti").drop("_class")
