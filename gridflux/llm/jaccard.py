@@ -12,8 +12,8 @@ plain rows, which Spark aggregates and joins with skewed keys split.
 A list of one shingle's sets isn't expanded into all pairs.  First each set is
 paired with the hub of the list alone, its first class (linear in the lists; the
 lists of near copies hence mostly have the same hub); verified links give
-components.  Lists that still hold sets of different components then take other
-hubs for a few rounds, by a hash of list and class, which joins the rest of large
+components.  Lists that still hold sets of different components then take some
+hubs of their own, by a hash of list and class, which joins the rest of large
 groups in linear work.  What is mixed after that is expanded, by bands of fitting
 lengths, across components alone.  No pair is tried twice.  All
 pairs pass the length filter and the positional filter, which counts as missed a
@@ -370,12 +370,12 @@ def _pairs(both: DataFrame, x: str, y: str) -> DataFrame:
 ME = ("class", "n", "cost", "component")
 
 
-def hub_pairs(rows: DataFrame, orders: list[Column], percent: int) -> DataFrame:
-    """Each set of a list with the list's hubs, its first sets by each of ``orders``,
-    unless both have one component."""
+def hub_pairs(rows: DataFrame, hubs: int, percent: int) -> DataFrame:
+    """Each set of a list with the list's hubs, the first class of each of ``hubs`` hash
+    slots, unless both have one component."""
     me = F.struct(*(c for c in ME if c in rows.columns))
-    hubs = rows.groupBy("list").agg(*(F.min_by(me, o).alias(f"hub{k}") for k, o in enumerate(orders)))
-    hubs = hubs.select("list", F.explode(F.array_distinct(F.array(*(f"hub{k}" for k in range(len(orders)))))).alias("hub"))
+    slot = F.pmod(F.xxhash64("class", "list"), F.lit(hubs))
+    hubs = rows.groupBy("list", slot.alias("slot")).agg(F.min(me).alias("hub")).drop("slot")
     both = rows.select("list", me.alias("own")).join(hubs, "list")
     apart = F.col("own.component") != F.col("hub.component") if "component" in rows.columns else F.lit(True)
     return _pairs(both.where((F.col("own.class") != F.col("hub.class")) & apart & passes("own", "hub", percent)), "own", "hub")
@@ -433,15 +433,14 @@ def join_similar(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, hot:
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(partitions, total * (101 - percent) // 100 // PER_BUCKET + 1)
     postings = stage(prefix_postings(docs, rarity(first), buckets, size, percent, hot), "jaccard-lists")
-    tested = stage(hub_pairs(postings, [F.col("class")], percent), "jaccard-pairs")
+    tested = stage(hub_pairs(postings, 1, percent), "jaccard-pairs")
     links = verify(docs, classes, tested, size, percent)
     mixed = postings
     for step in range(HUB_ROUNDS + 1):
         mixed = mixed_lists(mixed, _by_class(components(_labelled(links, classes))))
         if mixed.isEmpty():
             break
-        orders = [F.xxhash64("class", "list", F.lit(HUBS * step + k)) for k in range(HUBS)]
-        pairs = hub_pairs(mixed, orders, percent) if step < HUB_ROUNDS else cross_pairs(mixed, percent)
+        pairs = hub_pairs(mixed, HUBS << step, percent) if step < HUB_ROUNDS else cross_pairs(mixed, percent)
         pairs = stage(pairs.join(tested, ["a", "b"], "left_anti"), "jaccard-pairs")
         links, tested = links.union(verify(docs, classes, pairs, size, percent)), tested.union(pairs)
     named = stage(_named(classes, components(_labelled(links, classes))), "jaccard-components")
