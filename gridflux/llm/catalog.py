@@ -9,6 +9,7 @@ from gridflux.llm.packing import op3_packing
 from gridflux.llm.quality import op4_quality
 from gridflux.llm.suffix_lm import op7_suffix_lm
 from gridflux.llm.token_count import op2_token_count
+from gridflux.llm.toxicity import op12_toxicity
 from gridflux.llm.url_filter import OP9_SQL, op9_url_filter
 from gridflux.llm.warc import OP10_SQL, op10_warc
 from gridflux.llm.whitening import op11_whitening
@@ -25,6 +26,7 @@ QUERIES = {
     "op9_url_filter": op9_url_filter,
     "op10_warc": op10_warc,
     "op11_whitening": op11_whitening,
+    "op12_toxicity": op12_toxicity,
     "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLE_SQL = {"op9_url_filter": OP9_SQL, "op10_warc": OP10_SQL}
