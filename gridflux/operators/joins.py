@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from gridflux.operators.ranks import place
 
 
 def nearest_year(wanted: DataFrame, available: DataFrame, year: str = "year", at: str = "map_year") -> DataFrame:
@@ -58,15 +59,15 @@ def status_rows(planned: DataFrame, produced: DataFrame, errors: DataFrame) -> D
 
 def round_robin(df: DataFrame, order: list[str], n: int, partition: list[str] | None = None) -> DataFrame:
     """Every n-th row of an order goes to one job."""
-    w = Window.partitionBy(*(partition or [])).orderBy(*order)
-    return df.withColumn("job", F.pmod(F.row_number().over(w) - 1, F.lit(n)))
+    rows, at = place(df, order, partition)
+    return rows.withColumn("job", F.pmod(at, F.lit(n)).cast("int")).select(*df.columns, "job")
 
 
 def contiguous_chunks(df: DataFrame, order: list[str], n: int, total: int, partition: list[str] | None = None) -> DataFrame:
     """n chunks of ceil(total / n) rows of an order."""
     size = max(1, -(-total // n))
-    w = Window.partitionBy(*(partition or [])).orderBy(*order)
-    return df.withColumn("chunk", F.floor((F.row_number().over(w) - 1) / size).cast("int"))
+    rows, at = place(df, order, partition)
+    return rows.withColumn("chunk", F.floor(at / size).cast("int")).select(*df.columns, "chunk")
 
 
 def first_tiles(tiles: DataFrame, n: int, order: list[str]) -> DataFrame:

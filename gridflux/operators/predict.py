@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import IO
 
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 
 from gridflux.functions.power import Power
 from gridflux.functions.semantics import clip
+from gridflux.operators.isolation import map_isolated
 from gridflux.operators.nn import Net, forward
 from gridflux.operators.targets import smeared
 
@@ -88,35 +88,36 @@ def _images(column: pa.Array, size: int) -> np.ndarray:
     return out
 
 
-def predict(rows: DataFrame, model: Ensemble, keep: list[str], image: str = "image") -> DataFrame:
+def predict(rows: DataFrame, model: Ensemble, keep: list[str], image: str = "image", isolate: list[str] | None = None) -> DataFrame:
     """``keep`` and a column for each target and member (``scaled_names``), on the
     transformed scale; null where the image or a context value is missing.  ``image``
     is the flat image, context columns are named by the model.  The weights, some
-    hundred kilobytes, are broadcast."""
+    hundred kilobytes, are broadcast.  With ``isolate``, a key of ``keep``, rows of a key
+    whose networks fail have nulls and the message in a further column ``error``."""
     model.check()
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    size, names = model.side**2, scaled_names(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        n_keep = len(keep)
-        for whole in batches:
-            for at in range(0, whole.num_rows, BATCH):
-                batch = whole.slice(at, BATCH)
-                n = batch.num_rows
-                flat = _images(batch.column(n_keep), size)
-                ctx = np.column_stack([batch.column(n_keep + 1 + k).to_numpy(zero_copy_only=False).astype(float) for k in range(len(m.context))]) if m.context else np.zeros((n, 0))
-                good = np.isfinite(flat).all(axis=1) & np.isfinite(ctx).all(axis=1)
-                out = np.full((len(m.members), n, len(m.targets)), np.nan)
-                if good.any():
-                    out[:, good] = m.run(flat[good].reshape(-1, 1, m.side, m.side), ctx[good])
-                cols = [batch.column(k) for k in range(n_keep)]
-                cols += [pa.array(out[s, :, k], pa.float64(), mask=np.isnan(out[s, :, k])) for s in range(len(m.members)) for k in range(len(m.targets))]
-                yield pa.RecordBatch.from_arrays(cols, names=[*keep, *names])
+    size, names, n_keep = model.side**2, scaled_names(model), len(keep)
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        m, n = shared.value, batch.num_rows
+        out = np.full((len(m.members), n, len(m.targets)), np.nan)
+        for at in range(0, n, BATCH):
+            part = batch.slice(at, BATCH)
+            flat = _images(part.column(n_keep), size)
+            ctx = np.column_stack([part.column(n_keep + 1 + k).to_numpy(zero_copy_only=False).astype(float) for k in range(len(m.context))]) if m.context else np.zeros((part.num_rows, 0))
+            good = np.flatnonzero(np.isfinite(flat).all(axis=1) & np.isfinite(ctx).all(axis=1))
+            if len(good):
+                out[:, at + good] = m.run(flat[good].reshape(-1, 1, m.side, m.side), ctx[good])
+        cols = [batch.column(k) for k in range(n_keep)]
+        cols += [pa.array(out[s, :, k], pa.float64(), mask=np.isnan(out[s, :, k])) for s in range(len(m.members)) for k in range(len(m.targets))]
+        return pa.RecordBatch.from_arrays(cols, names=[*keep, *names])
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), *(f"`{n}` double" for n in names)])
-    return rows.select(*keep, image, *model.context).mapInArrow(run, schema)
+    asked = rows.select(*keep, image, *model.context)
+    if isolate:
+        return map_isolated(asked, work, schema, isolate)
+    return asked.mapInArrow(lambda batches: map(work, batches), schema)
 
 
 def back_transform(preds: DataFrame, model: Ensemble, keep: list[str], draws: list[dict[str, list[float]]] | None = None,

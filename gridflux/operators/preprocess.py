@@ -1,8 +1,7 @@
 """Fold-safe imputation and standardisation.
 
-Parameters are a few numbers a column, taken by two aggregates: which columns
-have gaps over all rows, and medians, means and population deviations over the
-fit rows.  The transform is one projection.
+Parameters are a few numbers a column: which columns have gaps over all rows, and
+medians (by histogram passes), means and population deviations over the fit rows.  The transform is one projection.
 """
 
 from __future__ import annotations
@@ -12,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridflux.operators.ranks import percentiles
+
 
 @dataclass(frozen=True)
 class ColumnFit:
@@ -25,12 +26,10 @@ class ColumnFit:
 def fit(full: DataFrame, fold: Column, names: list[str]) -> list[ColumnFit]:
     """Parameters from the rows where ``fold`` holds; a column without a value
     there takes the median of all rows, then 0; a constant column has sd 1."""
-    firsts = full.agg(
-        *(F.percentile(F.when(fold, F.col(c)), F.lit(0.5)).alias(f"m_{c}") for c in names),
-        *(F.percentile(c, F.lit(0.5)).alias(f"a_{c}") for c in names),
-        *(F.max(F.col(c).isNull()).alias(f"g_{c}") for c in names),
-    ).first()
-    medians = {c: next((v for v in (firsts[f"m_{c}"], firsts[f"a_{c}"]) if v is not None), 0.0) for c in names}
+    gaps = full.agg(*(F.max(F.col(c).isNull()).alias(c) for c in names)).first()
+    both = {f"m_{c}": F.when(fold, F.col(c)) for c in names} | {f"a_{c}": F.col(c) for c in names}
+    found = percentiles(full, both, [0.5])
+    medians = {c: next((v[0] for v in (found[f"m_{c}"], found[f"a_{c}"]) if v), 0.0) for c in names}
     filled = [F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in names]
     seconds = full.where(fold).agg(
         *(F.avg(x).alias(f"u_{c}") for c, x in zip(names, filled, strict=True)),
@@ -39,7 +38,7 @@ def fit(full: DataFrame, fold: Column, names: list[str]) -> list[ColumnFit]:
     out = []
     for c in names:
         sd = seconds[f"s_{c}"] or 0.0
-        out.append(ColumnFit(c, medians[c], seconds[f"u_{c}"] or 0.0, sd if sd > 1e-12 else 1.0, bool(firsts[f"g_{c}"])))
+        out.append(ColumnFit(c, medians[c], seconds[f"u_{c}"] or 0.0, sd if sd > 1e-12 else 1.0, bool(gaps[c])))
     return out
 
 

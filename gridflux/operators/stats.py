@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from gridflux.operators.ranks import percentiles
+from gridflux.operators.staging import fixed
+
 STATS = ("mean", "sd", "p10", "p25", "p50", "p75", "p90", "min", "max", "range", "iqr", "cv")
 TINY_MEAN, TINY_LEVEL = 1e-9, 1e-6
 
@@ -103,12 +106,15 @@ def patch_arrays(grid: DataFrame, sites: DataFrame, names: list[str], half: int
 
 
 def describe(df: DataFrame, names: list[str], digits: int = 2) -> DataFrame:
-    """(column, count, mean, std, min, p25, p50, p75, max) of columns, rounded."""
-    rows = df.select(F.explode(F.array(*(F.struct(F.lit(n).alias("column"), F.col(n).cast("double").alias("x")) for n in names))).alias("s")).select("s.*")
-    q = F.percentile("x", F.array(*map(F.lit, (0.25, 0.5, 0.75))))
-    out = rows.groupBy("column").agg(F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("min"), q.alias("q"), F.max("x").alias("max"))
-    values = {"mean": F.col("mean"), "std": F.col("std"), "min": F.col("min"), "p25": F.col("q")[0], "p50": F.col("q")[1], "p75": F.col("q")[2], "max": F.col("max")}
-    return out.select("column", "count", *(F.round(c, digits).alias(n) for n, c in values.items()))
+    """(column, count, mean, std, min, p25, p50, p75, max) of columns, rounded.  The columns
+    are fixed first: several passes read them."""
+    kept = fixed(df.select(*(F.col(n).cast("double").alias(n) for n in names)))
+    whole = kept.agg(*(f(n).alias(f"{k}_{n}") for n in names for k, f in (("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max)))).first()
+    found = percentiles(kept, {n: F.col(n) for n in names}, [0.25, 0.5, 0.75])
+    kinds = ("mean", "std", "min", "p25", "p50", "p75", "max")
+    rows = [(n, whole[f"count_{n}"], *(whole[f"{k}_{n}"] for k in kinds[:3]), *(found[n] or (None,) * 3), whole[f"max_{n}"]) for n in names]
+    out = df.sparkSession.createDataFrame(rows, f"column string, count long, {', '.join(f'{k} double' for k in kinds)}")
+    return out.select("column", "count", *(F.round(k, digits).alias(k) for k in kinds))
 
 
 def seed_mean(preds: DataFrame, key: list[str], targets: list[str]) -> DataFrame:

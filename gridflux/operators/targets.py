@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridflux.functions.power import Power, np_yeo_johnson, scaled, unscaled, yeo_johnson
+from gridflux.functions.power import Power, np_yeo_johnson, scaled, unscaled
 from gridflux.functions.semantics import clip
+from gridflux.operators.ranks import percentiles
+from gridflux.operators.staging import fixed
 
 # Target names by family, and names that must not be fitted.
 MAIN = "hill_q0 hill_q1 hill_q2 lcbd_pa pcoa1_pa pcoa2_pa".split()
@@ -132,25 +137,48 @@ def fit_power(values: np.ndarray, tolerance: float = 1e-6) -> Power:
     return Power(lam, float(z.mean()), float(z.std()) or 1.0)
 
 
+def _joined(a: tuple[int, float, float], b: tuple[int, float, float]) -> tuple[int, float, float]:
+    """Count, mean and sum of squared deviations of two parts together."""
+    n, gap = a[0] + b[0], b[1] - a[1]
+    return n, a[1] + gap * b[0] / n, a[2] + b[2] + gap * gap * a[0] * b[0] / n
+
+
 def fit_scalers(df: DataFrame, names: list[str], tolerance: float = 1e-6) -> dict[str, Power]:
     """Scalers of median-filled columns, by maximum likelihood over all rows: one
     aggregate has the likelihoods of a grid of lambdas, further ones those of grids
     further out or finer; only sums reach the driver."""
-    medians = df.agg(*(F.percentile(t, F.lit(0.5)).alias(t) for t in names)).first()
+    medians = {t: v[0] if v else None for t, v in percentiles(df, {t: F.col(t) for t in names}, [0.5]).items()}
     empty = [t for t in names if medians[t] is None]
     if empty:
         raise ValueError(f"no values: {empty}")
     filled = df.select(*(F.coalesce(F.col(t).cast("double"), F.lit(medians[t])).alias(t) for t in names))
 
-    rows = filled.select(F.explode(F.array(*(F.struct(F.lit(t).alias("target"), F.col(t).alias("x")) for t in names))).alias("s")).select("s.*")
-
     def moments(lams: dict[str, np.ndarray]) -> dict[str, list[tuple[float, float]]]:
-        """(mean, standard deviation) of each column by each of its lambdas."""
-        tried = df.sparkSession.createDataFrame([(t, k, float(x)) for t, grid in lams.items() for k, x in enumerate(grid)], "target string, k int, lam double")
-        z = yeo_johnson(F.col("x"), F.col("lam"))
-        got = rows.join(F.broadcast(tried), "target").groupBy("target", "k").agg(F.avg(z).alias("m"), F.stddev_pop(z).alias("s"))  # a grid a target
-        found = {(r["target"], r["k"]): (r["m"], r["s"]) for r in got.collect()}
-        return {t: [found[t, k] for k in range(len(grid))] for t, grid in lams.items()}
+        """(mean, standard deviation) of each column by each of its lambdas: one pass in
+        which each task adds up batches of rows and sends three numbers a lambda."""
+        wanted, kind = list(lams), "target int, k int, n long, mean double, m2 double"
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = {(i, k): (0, 0.0, 0.0) for i, t in enumerate(wanted) for k in range(len(lams[t]))}
+            for batch in batches:
+                for i, t in enumerate(wanted):
+                    x = batch.column(i).to_numpy(zero_copy_only=False)
+                    for k, lam in enumerate(lams[t]) if len(x) else ():
+                        with np.errstate(over="ignore", invalid="ignore"):
+                            z = np_yeo_johnson(x, float(lam))
+                            mean = float(z.mean())
+                            sums[i, k] = _joined(sums[i, k], (len(z), mean, float(((z - mean) ** 2).sum())))
+            rows = [(i, k, *s) for (i, k), s in sums.items() if s[0]]
+            columns = [pa.array(c, a) for c, a in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.float64()), strict=True)] if rows else None
+            if columns:
+                yield pa.RecordBatch.from_arrays(columns, names=["target", "k", "n", "mean", "m2"])
+
+        parts = filled.select(*wanted).mapInArrow(run, kind)
+        n, mean = F.sum("n"), F.sum(F.col("n") * F.col("mean")) / F.sum("n")
+        totals = parts.groupBy("target", "k").agg(n.alias("n"), mean.alias("mean"), F.sum("m2").alias("inner"), F.collect_list(F.struct("n", "mean")).alias("each"))
+        got = totals.select("target", "k", "n", "mean", (F.col("inner") + F.aggregate("each", F.lit(0.0), lambda a, e: a + e["n"] * F.pow(e["mean"] - F.col("mean"), 2))).alias("m2")).collect()
+        found = {(r["target"], r["k"]): (r["mean"], math.sqrt(r["m2"] / r["n"])) for r in got}
+        return {t: [found[i, k] for k in range(len(lams[t]))] for i, t in enumerate(wanted)}
 
     logs = filled.agg(*(F.avg(F.signum(t) * F.log1p(F.abs(t))).alias(t) for t in names)).first()
     grids, done = dict.fromkeys(names, FIRST_GRID), {}
@@ -196,10 +224,11 @@ def oof_residuals(oof: DataFrame, scalers: dict[str, Power]) -> DataFrame:
 
 def winsor_bounds(residuals: DataFrame, names: list[str]) -> DataFrame:
     """(target, n, lo, hi): bounds of residuals; null with fewer than 20."""
-    rows = residuals.select(F.explode(F.array(*(F.struct(F.lit(t).alias("target"), F.col(t).alias("r")) for t in names))).alias("s")).select("s.*")
-    stats = rows.groupBy("target").agg(F.count("r").alias("n"), F.percentile("r", F.array(*map(F.lit, TRIM))).alias("q"))
-    enough = F.col("n") >= LEAST_RESIDUALS
-    return stats.select("target", "n", F.when(enough, F.col("q")[0]).alias("lo"), F.when(enough, F.col("q")[1]).alias("hi"))
+    kept = fixed(residuals.select(*(F.col(t).cast("double").alias(t) for t in names)))
+    counts = kept.agg(*(F.count(t).alias(t) for t in names)).first()
+    found = percentiles(kept, {t: F.col(t) for t in names}, list(TRIM))
+    rows = [(t, counts[t], *(found[t] if counts[t] >= LEAST_RESIDUALS else (None, None))) for t in names]
+    return residuals.sparkSession.createDataFrame(rows, "target string, n long, lo double, hi double")
 
 
 def smearing_draws(residuals: dict[str, np.ndarray], seed: int, n: int = DRAWS) -> dict[str, list[float]]:

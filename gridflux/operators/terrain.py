@@ -3,7 +3,8 @@
 Neighbourhoods are windows along rows and along columns (``lag``/``lead`` and
 moving means), so a tile's grid is sorted twice and never joined with itself;
 diagonal neighbours are a vertical step of a horizontal one.  Halos are rows of
-the same grid that are filtered afterwards (``crop``).
+the same grid that are filtered afterwards (``crop``); ``with_halo`` brings a tile
+those of its up to eight neighbours.
 """
 
 from __future__ import annotations
@@ -30,6 +31,36 @@ def scan_elevation(dem: DataFrame, tile: str, rows: tuple[int, int], cols: tuple
     return part.withColumn("row", F.col("row") - (rows[0] - halo)).withColumn("col", F.col("col") - (cols[0] - halo))
 
 
+def with_halo(grid: DataFrame, shape: tuple[int, int], halo: int = HALO, tiles: DataFrame | None = None) -> DataFrame:
+    """Each tile's cells with those of its neighbours at most ``halo`` cells away.
+
+    ``grid``: tile_row, tile_col, row, col (within the tile, from 0) and other columns; a
+    tile has ``shape`` rows and columns, fewer where the grid ends.  A copied cell has
+    the place it would have in the neighbour's numbering, so rows and columns run from
+    -halo to size + halo - 1.  Only cells near a border are copied, and only for tiles of
+    ``tiles`` (tile_row, tile_col; all that are there if not given).  The halo may be wider
+    than a tile.
+    """
+    (ny, nx), (ry, rx) = shape, (-(-halo // n) for n in shape)
+    places = [(i, j) for i in range(-ry, ry + 1) for j in range(-rx, rx + 1)]
+    near = F.filter(
+        F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in places)),
+        lambda p: (F.col("row") - p["i"] * ny).between(-halo, ny + halo - 1) & (F.col("col") - p["j"] * nx).between(-halo, nx + halo - 1),
+    )
+    rest = [c for c in grid.columns if c not in ("tile_row", "tile_col", "row", "col")]
+    copied = grid.select("*", F.explode(near).alias("_p")).select(
+        (F.col("tile_row") + F.col("_p.i")).alias("tile_row"), (F.col("tile_col") + F.col("_p.j")).alias("tile_col"),
+        (F.col("row") - F.col("_p.i") * ny).alias("row"), (F.col("col") - F.col("_p.j") * nx).alias("col"), *rest,
+    )
+    wanted = (tiles if tiles is not None else grid).select("tile_row", "tile_col").distinct()
+    return copied.join(wanted, ["tile_row", "tile_col"], "left_semi")
+
+
+def without_halo(layers: DataFrame, shape: tuple[int, int], margin: int = 0) -> DataFrame:
+    """A tile's own cells, with ``margin`` cells around them."""
+    return layers.where(F.col("row").between(-margin, shape[0] - 1 + margin) & F.col("col").between(-margin, shape[1] - 1 + margin))
+
+
 def _along_row(tile: str) -> Window:
     return Window.partitionBy(tile, "row").orderBy("col")
 

@@ -7,12 +7,15 @@ import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridflux.functions import images
 from gridflux.functions.power import Power
 from gridflux.operators import forest, predict, terrain
+from gridflux.operators.isolation import map_isolated, split_failures
+from gridflux.operators.joins import status_rows
 from gridflux.operators.nn import forward, random_weights
 from gridflux.operators.stats import describe, patch_stats
 from gridflux.operators.targets import fit_scalers, oof_residuals, winsor_bounds
@@ -215,6 +218,76 @@ SELECT tile_id, row, col, round(z, 6) AS elevation, round(slope, 6) AS slope, ro
 FROM a JOIN m USING (tile_id, row, col) JOIN tri USING (tile_id, row, col)"""
 
 
+def _blocks_of_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All parts as one grid of 40 columns, cut into tiles of 16 x 8 cells."""
+    p = elevation_grid(spark, sf_dir)
+    row = F.col("tile_id") * (TILE_PARTS // GRID_COLS) + F.col("row")
+    return p.select(
+        F.floor(row / SHAPE[0]).cast("int").alias("tile_row"), F.floor(F.col("col") / SHAPE[1]).cast("int").alias("tile_col"),
+        (row % SHAPE[0]).cast("int").alias("row"), (F.col("col") % SHAPE[1]).cast("int").alias("col"), "elevation",
+    )
+
+
+SHAPE = (16, 8)
+
+
+def tiled_terrain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Layers of a grid in tiles that take their halo from each other: those of the uncut one."""
+    g = terrain.with_halo(_blocks_of_grid(spark, sf_dir).withColumn("elevation", terrain.valid_elevation(F.col("elevation"))), SHAPE, 5)
+    g = g.withColumn("tile_id", F.struct("tile_row", "tile_col"))
+    layers = terrain.terrain_layers(terrain.fill_holes(g), 30.0, (F.col("tile_id.tile_row") * SHAPE[0] + F.col("row") - 25) * 1.5, edges="null")
+    layers = terrain.without_halo(layers, SHAPE)
+    return rounded(layers.withColumn("row", F.col("tile_id.tile_row") * SHAPE[0] + F.col("row")).withColumn("col", F.col("tile_id.tile_col") * SHAPE[1] + F.col("col")).drop("tile_id"), 6)
+
+
+UNCUT = f"""
+grid AS (SELECT CAST(p_partkey // {GRID_COLS} AS INT) AS row, CAST(p_partkey % {GRID_COLS} AS INT) AS col,
+                CASE WHEN p_partkey % 97 <> 5 THEN p_retailprice + p_size * 10.0 END AS elevation FROM part),
+filled AS (SELECT a.row, a.col, coalesce(a.elevation, sum(coalesce(n.elevation, 0)) / count(*)) AS e
+           FROM grid a JOIN grid n ON abs(n.row - a.row) <= 1 AND abs(n.col - a.col) <= 1 GROUP BY a.row, a.col, a.elevation),
+near AS (SELECT a.row, a.col, a.e AS z, max(n.e) FILTER (n.row = a.row - 1 AND n.col = a.col) AS zn, max(n.e) FILTER (n.row = a.row + 1 AND n.col = a.col) AS zs,
+                max(n.e) FILTER (n.row = a.row AND n.col = a.col - 1) AS zw, max(n.e) FILTER (n.row = a.row AND n.col = a.col + 1) AS ze,
+                avg(n.e) AS mean, count(*) AS n49, sum(pow(n.e - a.e, 2)) FILTER (abs(n.row - a.row) <= 1 AND abs(n.col - a.col) <= 1) AS sq,
+                count(*) FILTER (abs(n.row - a.row) <= 1 AND abs(n.col - a.col) <= 1) AS n9
+         FROM filled a JOIN filled n ON abs(n.row - a.row) <= 3 AND abs(n.col - a.col) <= 3 GROUP BY a.row, a.col, a.e),
+g AS (SELECT *, CASE WHEN zs IS NOT NULL AND zn IS NOT NULL THEN (zs - zn) / 60 WHEN zs IS NOT NULL THEN (zs - z) / 30 ELSE (z - zn) / 30 END AS dr,
+             CASE WHEN ze IS NOT NULL AND zw IS NOT NULL THEN (ze - zw) / 60 WHEN ze IS NOT NULL THEN (ze - z) / 30 ELSE (z - zw) / 30 END AS dc FROM near),
+s AS (SELECT *, degrees(atan(sqrt(dr * dr + dc * dc))) AS slope FROM g),
+uncut AS (SELECT *, CASE WHEN slope >= 0.5 THEN ((90 - degrees(atan2(dr, -dc))) % 360 + 360) % 360 END AS aspect, CASE WHEN n49 = 49 THEN z - mean END AS tpi,
+                 CASE WHEN n9 = 9 THEN sqrt(sq) END AS tri, (zn + zs + zw + ze - 4 * z) / 900 AS curvature FROM s)"""
+
+TILED_SQL = f"""
+WITH {UNCUT}, a AS (SELECT *, radians(abs((row - 25) * 1.5)) AS north FROM uncut)
+SELECT row, col, round(z, 6) AS elevation, round(slope, 6) AS slope, round(aspect, 6) AS aspect, round(cos(radians(aspect)), 6) AS northness, round(sin(radians(aspect)), 6) AS eastness,
+       round(0.339::DOUBLE + 0.808::DOUBLE * cos(north) * cos(radians(slope)) - 0.196::DOUBLE * sin(north) * sin(radians(slope))
+             - 0.482::DOUBLE * cos(radians(abs(180 - abs(aspect - 315)))) * sin(radians(slope)), 6) AS heat_load,
+       round(tpi, 6) AS tpi, round(tri, 6) AS tri, round(curvature, 6) AS curvature FROM a"""
+
+
+def _tiled_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sites, _ = _sites(spark, sf_dir)
+    row = F.col("tile_id") * (TILE_PARTS // GRID_COLS) + F.col("row")
+    return sites.select(
+        "site_id", F.floor(row / SHAPE[0]).cast("int").alias("tile_row"), F.floor(F.col("col") / SHAPE[1]).cast("int").alias("tile_col"),
+        (row % SHAPE[0]).cast("int").alias("row"), (F.col("col") % SHAPE[1]).cast("int").alias("col"), "lat",
+    )
+
+
+def tiled_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of patches at customers' cells, across the borders of tiles."""
+    out = extract_topography(_blocks_of_grid(spark, sf_dir), _tiled_sites(spark, sf_dir), 30.0, shape=SHAPE, halo=7)
+    return rounded(out.select("site_id", "elevation", "elevation_mean", "slope_mean", "northness_std", "tpi", "tpi_mean", "tri_mean", "curvature_mean"), 5)
+
+
+TILED_SITES_SQL = f"""
+WITH {UNCUT}, p AS (SELECT c_custkey AS site_id, c_custkey * 13 % (SELECT count(*) FROM part) + 1 AS p FROM customer),
+t AS (SELECT site_id, CAST(p // {GRID_COLS} AS INT) AS r, CAST(p % {GRID_COLS} AS INT) AS q FROM p)
+SELECT site_id, round(max(z) FILTER (row = r AND col = q), 5) AS elevation, round(avg(z), 5) AS elevation_mean, round(avg(slope), 5) AS slope_mean,
+       round(stddev_pop(cos(radians(aspect))), 5) AS northness_std, round(max(tpi) FILTER (row = r AND col = q), 5) AS tpi, round(avg(tpi), 5) AS tpi_mean,
+       round(avg(tri), 5) AS tri_mean, round(avg(curvature), 5) AS curvature_mean
+FROM t JOIN uncut ON abs(row - r) <= 2 AND abs(col - q) <= 2 GROUP BY site_id"""
+
+
 def terrain_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Elevation over 5 x 5 cells around each part, cut at the edge."""
     g = elevation_grid(spark, sf_dir).withColumn("elevation", terrain.valid_elevation(F.col("elevation")))
@@ -379,6 +452,38 @@ SELECT 't' || CAST(p_partkey // 2000 AS VARCHAR) AS tile_id, CAST(y.year AS INT)
 FROM part CROSS JOIN (SELECT unnest({list(YEARS)}) AS year) y LEFT JOIN p ON p.px = p_partkey AND p.year = y.year LEFT JOIN c ON c.px = p_partkey AND c.year = y.year"""
 
 
+def isolated_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status of all blocks of 100 parts by year: series of a block with a saturated
+    band raise in their Arrow step and leave its error row, the others their layers."""
+    obs = observations(spark, sf_dir)
+    key = ["tile_id", "year"]
+    series = obs.select((F.floor(F.col("px") / 100)).cast("long").alias("tile_id"), F.year("ts").alias("year"), "px", "nir").groupBy(*key, "px").agg(F.sort_array(F.collect_list("nir")).alias("nir"))
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        size = batch.column(3).value_lengths().to_numpy()
+        value = batch.column(3).flatten().to_numpy().astype(float)
+        first = np.cumsum(size) - size
+        for at in np.flatnonzero(np.maximum.reduceat(value, first) >= SATURATED):
+            raise ValueError(f"saturated band in tile {batch.column(0)[at]} of {batch.column(1)[at]}")
+        return pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(3)), pa.array(np.add.reduceat(value, first) / size)], names=[*key, "px", "level"])
+
+    rows = map_isolated(series, work, "tile_id long, year int, px long, level double", key)
+    good, errors = split_failures(rows, key)
+    layers = good.groupBy(*key).agg(F.count("*").alias("n_px"), F.avg("level").alias("level"))
+    planned = read(spark, sf_dir, "part").select(F.floor(F.col("p_partkey") / 100).cast("long").alias("tile_id")).distinct().select("tile_id", F.explode(F.array(*map(F.lit, YEARS))).alias("year"))
+    return rounded(status_rows(planned, layers, errors))
+
+
+SATURATED = 16_980
+ISOLATED_SQL = f"""
+WITH {OBS}, s AS (SELECT px // 100 AS tile_id, year(ts) AS year, px, max(nir) AS top, avg(nir) AS level FROM obs GROUP BY ALL),
+t AS (SELECT tile_id, year, max(top) >= {SATURATED} AS bad, count(*) AS n_px, avg(level) AS level FROM s GROUP BY ALL),
+p AS (SELECT DISTINCT p_partkey // 100 AS tile_id, CAST(y AS INT) AS year FROM part, (SELECT unnest({list(YEARS)}) AS y))
+SELECT p.tile_id, p.year, CASE WHEN bad THEN 'error' WHEN bad IS NULL THEN 'no_data' ELSE 'ok' END AS status, CASE WHEN NOT bad THEN n_px END AS n_px,
+       CASE WHEN NOT bad THEN round(level, 6) END AS level, CASE WHEN bad THEN 'ValueError: saturated band in tile ' || p.tile_id || ' of ' || p.year END AS error
+FROM p LEFT JOIN t ON t.tile_id = p.tile_id AND t.year = p.year"""
+
+
 def rf_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forest of order prices on keys of their customer; predictions of all orders."""
     o = read(spark, sf_dir, "orders").select("o_orderkey", F.dayofyear("o_orderdate").cast("double").alias("doy"), F.year("o_orderdate").cast("double").alias("year"), (F.col("o_custkey") % 25).cast("double").alias("group"), F.log("o_totalprice").alias("price"))
@@ -434,19 +539,22 @@ SELECT target, n, round(lo, 3) AS lo, round(hi, 3) AS hi, round(best / pow(10, f
 
 def streaming_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a stream through daily windows until all is read (extension).  A row of
-    each type far in the future closes all windows, so that all are written."""
+    each type far in the future closes all windows, so that all are written; the rows of
+    days after the last event are theirs."""
     from gridflux.streaming.events import read_events, windowed_stats
 
     events = read(spark, sf_dir, "events")
     base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder(spark)
     out = f"{base}/stream-{uuid.uuid4().hex}"
-    last = events.groupBy("event_type").agg(F.max("ts").alias("ts")).select("event_type", (F.col("ts") + F.expr("INTERVAL 30 DAYS")).alias("ts"))
-    last.unionByName(last.withColumn("ts", F.col("ts") + F.expr("INTERVAL 30 DAYS"))).select(*(F.col(c) if c in ("event_type", "ts") else F.lit(None).cast(k).alias(c) for c, k in events.dtypes)).coalesce(1).write.parquet(f"{out}/last")
-    stream = read_events(spark, sf_dir, events.schema, "events.parquet").unionByName(read_events(spark, f"{out}/last", events.schema))
+    newest = events.agg(F.max("ts").alias("newest"))
+    types = events.select("event_type").distinct().join(newest, F.lit(True))  # one row
+    last = types.select("event_type", F.explode(F.array(*(F.col("newest") + F.expr(f"INTERVAL {d} DAYS") for d in (30, 60)))).alias("ts"))
+    last.select(*(F.col(c) if c in ("event_type", "ts") else F.lit(None).cast(k).alias(c) for c, k in events.dtypes)).coalesce(1).write.parquet(f"{out}/last")
+    stream = read_events(spark, f"{sf_dir}/events.parquet", events.schema).unionByName(read_events(spark, f"{out}/last", events.schema))
     stats = windowed_stats(stream)
     query = stats.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start()
     query.awaitTermination()
-    rows = spark.read.schema(stats.schema).parquet(f"{out}/rows").where("mean IS NOT NULL")
+    rows = spark.read.schema(stats.schema).parquet(f"{out}/rows").join(newest, F.col("start") <= F.col("newest"))  # one row
     return rounded(rows.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n", "mean", "low", "high"))
 
 
@@ -468,10 +576,12 @@ QUERIES = {
     "spectrogram_image": spectrogram_image, "terrain_derivatives": terrain_derivatives, "terrain_patches": terrain_patches, "site_topography": site_topography,
     "cnn_ensemble": cnn_ensemble, "map_pipeline": map_pipeline, "rf_regression": rf_regression, "fit_yeo_johnson": fit_yeo_johnson,
     "streaming_windows": streaming_windows, "map_rows": map_rows, "site_patches": site_patches, "topography_summary": topography_summary, "site_extents": site_extents,
+    "tiled_terrain": tiled_terrain, "tiled_sites": tiled_sites, "isolated_tiles": isolated_tiles,
 }
 ORACLE_SQL = {
     "reshape_image": RESHAPE_SQL, "serpentine_image": SERPENTINE_SQL, "hilbert_image": HILBERT_SQL, "wrapped_image": WRAPPED_SQL,
     "ndi_field": NDI_SQL, "gaf_field": GAF_SQL, "mtf_field": MTF_SQL, "cos2d_image": _cos2d_sql(), "spectrogram_image": _spectrogram_sql(),
     "terrain_derivatives": _terrain_sql(), "terrain_patches": PATCH_SQL, "site_topography": _topography_sql(), "streaming_windows": STREAM_SQL,
     "cwt_image": _cwt_sql(), "map_rows": _map_sql(), "fit_yeo_johnson": _fit_sql(), "site_patches": _site_patches_sql(), "topography_summary": _summary_sql(), "site_extents": EXTENT_SQL,
+    "tiled_terrain": TILED_SQL, "tiled_sites": TILED_SITES_SQL, "isolated_tiles": ISOLATED_SQL,
 }

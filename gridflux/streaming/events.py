@@ -7,9 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def read_events(spark: SparkSession, folder: str, schema: StructType, pattern: str = "*.parquet") -> DataFrame:
-    """A folder of Parquet files as a stream; ``ts`` becomes a timestamp for watermarks."""
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+def read_events(spark: SparkSession, path: str, schema: StructType, pattern: str = "*.parquet") -> DataFrame:
+    """A Parquet table, one file or a folder of them as Spark writes it, as a stream; new
+    files of a folder are read as they come.  ``ts`` becomes a timestamp for watermarks.
+    A path that isn't there is an error."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop).isDirectory():
+        path, pattern = str(hadoop.getParent()), hadoop.getName()
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(path)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
