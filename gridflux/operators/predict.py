@@ -9,13 +9,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from gridflux.functions.power import Power
-from gridflux.functions.semantics import clip
 from gridflux.operators.isolation import map_isolated
 from gridflux.operators.nn import Net, forward
-from gridflux.operators.targets import smeared
+from gridflux.operators.targets import Smear, smear_batches
 
 BATCH = 8192
 
@@ -123,16 +121,11 @@ def predict(rows: DataFrame, model: Ensemble, keep: list[str], image: str = "ima
 def back_transform(preds: DataFrame, model: Ensemble, keep: list[str], draws: list[dict[str, list[float]]] | None = None,
                    bounds: list[dict] | None = None, limits: dict | None = None) -> DataFrame:
     """Inverse per seed (smeared by the seed's draws, inside its bounds), then the
-    mean over seeds that have a value, inside the training range: one projection."""
-
-    def mean(t: str):
-        seeds = []
-        for seed, m in enumerate(model.members):
-            d = draws[seed].get(t) if draws else None
-            b = bounds[seed][t] if bounds else None
-            seeds.append(smeared(F.col(f"{t}__{seed}"), m.scalers[t], d, b, limits[t] if limits else None))
-        there = F.array_compact(F.array(*seeds))
-        out = F.when(F.size(there) > 0, F.aggregate(there, F.lit(0.0), lambda s, x: s + x) / F.size(there))
-        return clip(out, *limits[t]) if limits else out
-
-    return preds.select(*keep, *(mean(t).alias(t) for t in model.targets))
+    mean over seeds that have a value, inside the training range: one pass over Arrow
+    batches."""
+
+    def how(seed: int, t: str) -> Smear:
+        d = draws[seed].get(t) if draws else None
+        return Smear(model.members[seed].scalers[t], tuple(d or ()), tuple(bounds[seed][t]) if bounds else None, tuple(limits[t]) if limits else None)
+
+    return smear_batches(preds, {t: [(f"{t}__{seed}", how(seed, t)) for seed in range(len(model.members))] for t in model.targets}, keep)

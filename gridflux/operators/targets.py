@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -11,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridflux.functions.power import Power, np_yeo_johnson, scaled, unscaled
+from gridflux.functions.power import Power, np_inverse, np_yeo_johnson, scaled, unscaled
 from gridflux.functions.semantics import clip
 from gridflux.operators.ranks import percentiles
 from gridflux.operators.staging import fixed
@@ -254,3 +255,50 @@ def smeared(pred: Column, p: Power, draws: list[float] | None, bounds: tuple[flo
     else:
         out = unscaled(base, p)
     return clip(out, *limits) if limits else out
+
+
+@dataclass(frozen=True)
+class Smear:
+    """How predictions of one target and seed go back to the original scale."""
+
+    power: Power
+    draws: tuple[float, ...] = ()
+    bounds: tuple[float, float] | None = None
+    limits: tuple[float, float] | None = None
+
+    def values(self, pred: np.ndarray, rows: int = 4096) -> np.ndarray:
+        """As ``smeared``, for an array; NaN where there is no value."""
+        inside = (lambda z: np.clip(z, *self.bounds)) if self.bounds else (lambda z: z)
+        d, lam = np.sort(np.asarray(self.draws or (0.0,), np.float64)), self.power.lam
+        out = np.full(len(pred), np.nan)
+        there = np.flatnonzero(np.isfinite(pred))
+        for i in range(0, len(there), rows):
+            at = there[i : i + rows]
+            y = inside(inside(pred[at])[:, None] + d) * self.power.scale + self.power.mean
+            bad = np.where(y >= 0, (abs(lam) >= 1e-12) & (y * lam <= -1), (abs(lam - 2) >= 1e-12) & (y * (lam - 2) <= -1))
+            out[at] = np.where(bad, np.nan, np_inverse(np.where(bad, 0.0, y), lam)).mean(axis=1)
+        return np.clip(out, *self.limits) if self.limits else out
+
+
+def smear_batches(df: DataFrame, outputs: dict[str, list[tuple[str, Smear]]], keep: list[str]) -> DataFrame:
+    """``keep`` and for each output the mean over its columns that have a value, each taken
+    back by its ``Smear``: one inverse of rows by draws in each Arrow batch.  The draws are
+    broadcast (some hundred numbers a column), so the plan doesn't grow with them."""
+    shared = df.sparkSession.sparkContext.broadcast(outputs)
+    inputs = list(dict.fromkeys(c for parts in outputs.values() for c, _ in parts))
+    place = {c: len(keep) + k for k, c in enumerate(inputs)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(k) for k in range(len(keep))]
+            for parts in shared.value.values():
+                seeds = np.stack([s.values(batch.column(place[c]).to_numpy(zero_copy_only=False).astype(np.float64)) for c, s in parts])
+                there = np.isfinite(seeds)
+                n = there.sum(axis=0)
+                mean = np.where(there, seeds, 0.0).sum(axis=0) / np.maximum(n, 1)
+                columns.append(pa.array(mean, pa.float64(), mask=n == 0))
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *outputs])
+
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), *(f"`{o}` double" for o in outputs)])
+    return df.select(*keep, *(F.col(c).cast("double").alias(c) for c in inputs)).mapInArrow(run, schema)

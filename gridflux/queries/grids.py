@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 import numpy as np
@@ -17,6 +16,7 @@ from gridflux.operators import forest, predict, terrain
 from gridflux.operators.isolation import map_isolated, split_failures
 from gridflux.operators.joins import status_rows
 from gridflux.operators.nn import forward, random_weights
+from gridflux.operators.staging import shared_folder
 from gridflux.operators.stats import describe, patch_stats
 from gridflux.operators.targets import fit_scalers, oof_residuals, winsor_bounds
 from gridflux.plans import map_inference
@@ -544,8 +544,7 @@ def streaming_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridflux.streaming.events import read_events, windowed_stats
 
     events = read(spark, sf_dir, "events")
-    base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder(spark)
-    out = f"{base}/stream-{uuid.uuid4().hex}"
+    out = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     newest = events.agg(F.max("ts").alias("newest"))
     types = events.select("event_type").distinct().join(newest, F.lit(True))  # one row
     last = types.select("event_type", F.explode(F.array(*(F.col("newest") + F.expr(f"INTERVAL {d} DAYS") for d in (30, 60)))).alias("ts"))
@@ -558,14 +557,6 @@ def streaming_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rows.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n", "mean", "low", "high"))
 
 
-def _local_folder(spark: SparkSession) -> str:
-    """A temporary folder, in plain local mode only: on a cluster nobody else reads it."""
-    master = spark.sparkContext.master
-    if master.startswith("local-cluster") or not master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="gridflux-")
-
-
 STREAM_SQL = """
 SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, event_type, count(*) AS n, round(avg(value), 6) AS mean, min(value) AS low, max(value) AS high
 FROM events GROUP BY CAST(ts AS DATE), event_type"""

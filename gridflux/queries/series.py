@@ -11,7 +11,7 @@ from gridflux.operators import joins, regularize, stats, windows
 from gridflux.queries.inputs import (
     EVENT, EVENT_TYPES, OBS, PART, YEARS, event_series, observations, part_series, read, rounded,
 )
-from gridflux.sources.observations import in_years, operating, sensor_dimension, solar_day, unite_sensors
+from gridflux.sources.observations import in_years, operating, place_nearest, sensor_dimension, solar_day, solar_mosaic, unite_sensors
 
 STEPS = 20
 
@@ -82,6 +82,30 @@ SELECT px, sensor, CAST(solar_day AS VARCHAR) AS solar_day, event_id, value FROM
 QUALIFY row_number() OVER (PARTITION BY px, sensor, solar_day ORDER BY ts, event_id) = 1"""
 
 
+def day_mosaics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scenes of one hour and type, each on its own shifted grid, placed on 8 x 8 cells and
+    mosaicked by solar day; low values are clouds, which the day's next scene fills."""
+    e = read(spark, sf_dir, "events").select(
+        F.concat_ws(" ", "event_type", F.date_trunc("hour", "ts")).alias("scene"), F.date_trunc("hour", "ts").alias("ts"), F.col("event_type").alias("sensor"),
+        F.floor(F.col("user_id") % 64 / 8).cast("int").alias("row"), (F.col("user_id") % 8).cast("int").alias("col"), "value",
+    )
+    pixels = e.groupBy("scene", "row", "col").agg(F.max("value").alias("top")).select("scene", "row", "col", F.when(F.col("top") >= CLOUD, F.col("top")).alias("v"))
+    shift = F.hour("ts") % 3 * 0.4 - 0.4
+    scenes = e.select("scene", F.lit(0).alias("tile_id"), "ts", "sensor", shift.alias("west"), (-shift).alias("north"), F.lit(1.0).alias("size")).distinct()
+    cells = spark.range(64).select(F.lit(0).alias("tile_id"), F.col("id").alias("px"), (F.col("id") % 8 + 0.5).alias("x"), (-F.floor(F.col("id") / 8) - 0.5).alias("y"))
+    days = solar_mosaic(place_nearest(cells, scenes, pixels), ["px"], F.lit(-70.5), ["v"], ["ts"])
+    return rounded(days.select("px", "sensor", F.col("solar_day").cast("string").alias("solar_day"), F.date_format("ts", "yyyy-MM-dd HH").alias("first_hour"), "v"))
+
+
+CLOUD = 20.0
+MOSAIC_SQL = f"""
+WITH e AS (SELECT event_type AS sensor, date_trunc('hour', ts) AS ts, CAST(user_id % 64 // 8 AS INT) AS row, CAST(user_id % 8 AS INT) AS col, max(value) AS top FROM events GROUP BY ALL),
+s AS (SELECT DISTINCT sensor, ts, hour(ts) % 3 * 0.4::DOUBLE - 0.4::DOUBLE AS shift FROM e),
+p AS (SELECT c AS px, sensor, ts, CAST(floor(-shift + c // 8 + 0.5) AS INT) AS row, CAST(floor(c % 8 + 0.5 - shift) AS INT) AS col FROM range(0, 64) r(c), s),
+v AS (SELECT px, sensor, ts, CAST(ts + to_seconds(-16920) AS DATE) AS day, CASE WHEN top >= {CLOUD} THEN top END AS v FROM p JOIN e USING (sensor, ts, row, col))
+SELECT px, sensor, CAST(day AS VARCHAR) AS solar_day, strftime(min(ts), '%Y-%m-%d %H') AS first_hour, round(arg_min(v, ts) FILTER (v IS NOT NULL), 6) AS v FROM v GROUP BY px, sensor, day"""
+
+
 def _windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = part_series(spark, sf_dir)
     return windows.explode_target_years(rows.where(in_years(F.col("ts"), min(YEARS) - windows.SPAN + 1, max(YEARS))), list(YEARS), name="year")
@@ -293,12 +317,12 @@ FROM part WINDOW w AS (PARTITION BY p_brand ORDER BY p_partkey)"""
 
 QUERIES = {
     "index_projection": index_projection, "qa_clear_filter": qa_clear_filter, "sensor_union": sensor_union, "sensor_years": sensor_years,
-    "solar_days": solar_days, "causal_window_counts": causal_window_counts, "regularize_series": regularize_series, "regularize_curves": regularize_curves, "raw_series": raw_series,
+    "solar_days": solar_days, "day_mosaics": day_mosaics, "causal_window_counts": causal_window_counts, "regularize_series": regularize_series, "regularize_curves": regularize_curves, "raw_series": raw_series,
     "causal_curve_stats": causal_curve_stats, "causal_curve_arrays": causal_curve_arrays, "shrinking_mean": shrinking_mean, "fill_series": fill_series,
     "observation_gaps": observation_gaps, "contrast_block": contrast, "circular_doy": circular_doy, "json_props": json_props, "chunk_assignment": chunk_assignment,
 }
 ORACLE_SQL = {
-    "index_projection": INDEX_SQL, "qa_clear_filter": QA_SQL, "sensor_union": UNION_SQL, "sensor_years": SENSOR_SQL, "solar_days": SOLAR_SQL,
+    "index_projection": INDEX_SQL, "qa_clear_filter": QA_SQL, "sensor_union": UNION_SQL, "sensor_years": SENSOR_SQL, "solar_days": SOLAR_SQL, "day_mosaics": MOSAIC_SQL,
     "causal_window_counts": WINDOW_SQL, "regularize_series": REGULAR_SQL, "regularize_curves": CURVES_SQL, "raw_series": RAW_SQL, "causal_curve_stats": CAUSAL_SQL,
     "causal_curve_arrays": CAUSAL_SQL, "shrinking_mean": SHRINK_SQL, "fill_series": FILL_SQL, "observation_gaps": GAPS_SQL, "contrast_block": _contrast_sql(),
     "circular_doy": DOY_SQL, "json_props": JSON_SQL, "chunk_assignment": CHUNK_SQL,

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridflux.functions import geo
 from gridflux.functions.power import Power
 from gridflux.operators import design, joins, landcover, preprocess, stats, targets, terrain, verify
+from gridflux.operators.staging import shared_folder
 from gridflux.queries.inputs import TILE_PARTS, YEARS, curves, read, rounded
+from gridflux.sources import blocks
 
 NATIVE_SQL = "(3, 59, 60, 61, 11, 12, 63, 66)"
 
@@ -38,6 +42,13 @@ COVER = """cover AS (
          max(CAST(floor(o_totalprice % 70) AS INT)) AS class FROM orders GROUP BY ALL)"""
 
 
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same raster as a block store in the shared folder."""
+    path = f"{shared_folder(spark)}/blocks-{uuid.uuid4().hex}"
+    blocks.write_blocks(blocks.encode_blocks(_cover(spark, sf_dir)), path)
+    return blocks.read_blocks(spark, path)
+
+
 def window_and_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landcover.window_native(_cover(spark, sf_dir), 1999)
 
@@ -48,7 +59,7 @@ MASK_SQL = f"WITH {COVER} SELECT row, col, bool_and(class IN {NATIVE_SQL}) AS na
 def cover_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A rectangle that reaches beyond the raster, with names."""
     legend = read(spark, sf_dir, "nation").select((F.col("n_nationkey") * 2).cast("int").alias("code"), F.col("n_name").alias("name"))
-    return landcover.class_names(landcover.read_window(_cover(spark, sf_dir), 1999, -2, 12, 40, 55), legend)
+    return landcover.class_names(blocks.read_rectangle(_stored(spark, sf_dir), 1999, -2, 12, 40, 55), legend)
 
 
 COVER_SQL = f"""
@@ -61,7 +72,7 @@ def cover_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class under each customer's point."""
     c = read(spark, sf_dir, "customer")
     points = c.select("c_custkey", F.lit(1998).alias("year"), (F.col("c_custkey") % 53 + 0.25).alias("lon"), (F.lit(-0.25) - F.floor(F.col("c_custkey") / 50)).alias("lat"))
-    return landcover.sample_at(points, _cover(spark, sf_dir), 0.0, 0.0, 1.0).select("c_custkey", "row", "col", "class")
+    return blocks.sample_blocks(points, _stored(spark, sf_dir), 0.0, 0.0, 1.0).select("c_custkey", "row", "col", "class")
 
 
 SAMPLE_SQL = f"""
@@ -401,8 +412,9 @@ def smear_inverse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Back-transformed predictions with literal residual draws, inside ranges."""
     p = POWERS["a"]
     x = F.when(F.col("c_custkey") % 11 != 0, F.col("c_acctbal") / 2500.0)
-    c = read(spark, sf_dir, "customer").select("c_custkey", targets.smeared(x, p, DRAWN, (-2.0, 3.0), (-1.0, 40.0)).alias("smeared"), targets.smeared(x, p, None, (-2.0, 3.0), None).alias("plain"))
-    return rounded(c)
+    c = read(spark, sf_dir, "customer").select("c_custkey", x.alias("x"))
+    how = {"smeared": targets.Smear(p, tuple(DRAWN), (-2.0, 3.0), (-1.0, 40.0)), "plain": targets.Smear(p, (), (-2.0, 3.0))}
+    return rounded(targets.smear_batches(c, {k: [("x", s)] for k, s in how.items()}, ["c_custkey"]))
 
 
 def _inverse_sql(z: str, p: Power) -> str:

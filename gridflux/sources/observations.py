@@ -54,9 +54,34 @@ def operating(obs: DataFrame, dimension: DataFrame) -> DataFrame:
     return obs.join(F.broadcast(dimension), "sensor").where(F.year("ts").between(F.col("year_start"), F.col("year_end"))).drop("year_start", "year_end")
 
 
+def _local_day(lon: Column) -> Column:
+    """Calendar day of ``ts`` in the sun's time at a longitude."""
+    return F.to_date(F.col("ts").cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), lon * 240))
+
+
 def solar_day(obs: DataFrame, key: list[str], lon: Column, order: str = "ts") -> DataFrame:
     """One row for each key, sensor and local solar day: the first acquisition."""
-    day = F.to_date(F.col("ts").cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), lon * 240))
     rest = [c for c in obs.columns if c not in (*key, "sensor")]
     first = F.min_by(F.struct(*rest), F.col(order)).alias("s")
-    return obs.withColumn("solar_day", day).groupBy(*key, "sensor", "solar_day").agg(first).select(*key, "sensor", "solar_day", "s.*")
+    return obs.withColumn("solar_day", _local_day(lon)).groupBy(*key, "sensor", "solar_day").agg(first).select(*key, "sensor", "solar_day", "s.*")
+
+
+def solar_mosaic(obs: DataFrame, key: list[str], lon: Column, bands: list[str], order: list[str]) -> DataFrame:
+    """One row for each key, sensor and local solar day that mosaics the day's scenes: of
+    each band the first value that isn't null in ``order``, so that a scene that is empty
+    or masked at a cell leaves it to the next one; ``ts`` is the first acquisition's.
+    Partial minima per task: no cell's scenes are gathered."""
+    first = [F.min(F.when(F.col(b).isNotNull(), F.struct(*order, F.col(b).alias("_v"))))["_v"].alias(b) for b in bands]
+    return obs.withColumn("solar_day", _local_day(lon)).groupBy(*key, "sensor", "solar_day").agg(F.min("ts").alias("ts"), *first)
+
+
+def place_nearest(targets: DataFrame, scenes: DataFrame, pixels: DataFrame, tile: str = "tile_id") -> DataFrame:
+    """Each target cell with the nearest cell of each scene of its tile.
+
+    ``targets``: tile, x, y (cell centres) and more.  ``scenes``: scene, tile, west,
+    north, size (a scene has a grid of its own), ts, sensor.  ``pixels``: scene, row,
+    col and bands.  Cells outside a scene are left out.
+    """
+    met = targets.join(scenes, tile)  # a tile's scenes are a list of dates
+    at = met.withColumns({"row": F.floor((F.col("north") - F.col("y")) / F.col("size")).cast("int"), "col": F.floor((F.col("x") - F.col("west")) / F.col("size")).cast("int")})
+    return at.join(pixels, ["scene", "row", "col"]).drop("row", "col", "west", "north", "size")
