@@ -112,9 +112,13 @@ def polar(curve: Column) -> Column:
 
 def gaf(angles: Column) -> tuple[Column, Column]:
     """Summation and difference fields of ``polar`` angles."""
-    plus = F.transform(angles, lambda a: F.transform(angles, lambda b: F.cos(a + b)))
-    minus = F.transform(angles, lambda a: F.transform(angles, lambda b: F.sin(a - b)))
-    return plus, minus
+    plus = F.transform(angles, lambda a: gaf_line(a, angles)[0])
+    return plus, F.transform(angles, lambda a: gaf_line(a, angles)[1])
+
+
+def gaf_line(own: Column, angles: Column) -> tuple[Column, Column]:
+    """One angle's lines of both fields: what a row of lines needs, without the fields."""
+    return F.transform(angles, lambda b: F.cos(own + b)), F.transform(angles, lambda b: F.sin(own - b))
 
 
 def _array_udf(make: Callable[[np.ndarray], np.ndarray]):
