@@ -40,8 +40,12 @@ class Ensemble:
                 raise ValueError("members differ in their targets")
 
     def run(self, images: np.ndarray, ctx: np.ndarray) -> np.ndarray:
-        """(member, row, target) on the transformed scale, in single precision."""
-        images, ctx = images.astype(np.float32), ctx.astype(np.float32)
+        """(member, row, target) on the transformed scale, in single precision; an input
+        beyond its range is an error."""
+        with np.errstate(over="ignore"):
+            images, ctx = images.astype(np.float32), ctx.astype(np.float32)
+        if not (np.isfinite(images).all() and np.isfinite(ctx).all()):
+            raise OverflowError("an input is beyond single precision")
         nets = [Net(dict(m.weights)).single() for m in self.members]
         return np.stack([forward(net, "C2D", images, len(self.targets), self.width, ctx) for net in nets]).astype(np.float64)
 

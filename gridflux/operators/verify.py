@@ -6,10 +6,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridflux.functions.power import Power, scaled, unscaled
+from gridflux.operators.joins import backlog
 
 LEAST_VALID, ROUND_TRIP = 0.05, 1e-6
 
 
+def requested(rows: DataFrame, tiles: list[str] | None = None, years: list[int] | None = None) -> DataFrame:
+    """Rows of the tiles and years asked for; all if none are named.  Both are bounds on
+    the partition columns of written maps, so other files aren't read."""
+    if tiles:
+        rows = rows.where(F.col("tile_id").isin(*tiles))
+    return rows.where(F.col("year").isin(*years)) if years else rows
+
+
+def missing_outputs(rows: DataFrame, tiles: list[str], years: list[int]) -> DataFrame:
+    """(tile_id, year) asked for by name and without any row."""
+    asked = rows.sparkSession.createDataFrame([(t,) for t in sorted(set(tiles))], rows.select("tile_id").schema)
+    return backlog(asked, years, requested(rows, tiles, years))
+
+
 def band_checks(pixels: DataFrame, group: list[str], bands: list[str]) -> DataFrame:
     """(group, band, valid_frac, sd): share of native cells with a value, and the
     population deviation of the values."""

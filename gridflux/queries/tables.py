@@ -449,6 +449,23 @@ c AS (SELECT l_returnflag, band, avg(CASE WHEN value IS NULL THEN 0.0::DOUBLE EL
 SELECT l_returnflag, band, round(f, 6) AS valid_frac, round(s, 6) AS sd, CAST((f < 0.05)::INT + (s = 0)::INT AS BIGINT) AS n_problems FROM c"""
 
 
+ASKED_TILES, ASKED_YEARS = ["7", "19", "250", "999"], [1996, 1997]
+
+
+def requested_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verification of a request: rows of each tile and year asked for, 0 where none came."""
+    o = read(spark, sf_dir, "orders").select((F.col("o_custkey") % 300).cast("string").alias("tile_id"), F.year("o_orderdate").alias("year"), "o_totalprice")
+    found = verify.requested(o, ASKED_TILES, ASKED_YEARS).groupBy("tile_id", "year").agg(F.count("*").alias("n"), F.max("o_totalprice").alias("top"))
+    lost = verify.missing_outputs(o, ASKED_TILES, ASKED_YEARS).select("tile_id", "year", F.lit(0).cast("long").alias("n"), F.lit(None).cast("double").alias("top"))
+    return rounded(found.unionByName(lost))
+
+
+REQUESTED_SQL = f"""
+WITH o AS (SELECT CAST(o_custkey % 300 AS VARCHAR) AS tile_id, CAST(year(o_orderdate) AS INT) AS year, o_totalprice FROM orders)
+SELECT t AS tile_id, CAST(y AS INT) AS year, count(o_totalprice) AS n, round(max(o_totalprice), 6) AS top
+FROM (SELECT unnest({ASKED_TILES}) AS t), (SELECT unnest({ASKED_YEARS}) AS y) LEFT JOIN o ON tile_id = t AND year = y GROUP BY t, y"""
+
+
 def seed_ensemble_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean of five seeds (line numbers), some of which give nothing."""
     li = read(spark, sf_dir, "lineitem").select("l_partkey", *(F.when(F.col("l_linenumber") % k != 0, F.log("l_extendedprice")).alias(f"t{k}") for k in (2, 3)))
@@ -490,7 +507,7 @@ QUERIES = {
     "tile_grid": tile_grid, "tile_backlog": tile_backlog, "resume_filter": resume_filter, "manifest_reconcile": manifest_reconcile, "status_rows": status_rows,
     "manifest_progress": manifest_progress, "design_matrix": design_matrix, "composite_block": composite_block, "target_join": target_join,
     "impute_standardise": impute_standardise, "yeo_johnson": yeo_johnson, "scaler_round_trip": scaler_round_trip, "winsor_bounds": winsor_bounds,
-    "smear_inverse": smear_inverse, "valid_fraction": valid_fraction, "seed_ensemble_mean": seed_ensemble_mean, "facet_report": facet_report,
+    "smear_inverse": smear_inverse, "valid_fraction": valid_fraction, "seed_ensemble_mean": seed_ensemble_mean, "requested_outputs": requested_outputs, "facet_report": facet_report,
     "tile_counts": tile_counts, "target_ranges": range_of_targets, "feature_blocks": feature_blocks, "centre_blocks": centre_blocks, "context_rows": context_rows,
     "median_predicted": median_predicted, "first_tiles": first_tiles,
 }
@@ -499,7 +516,7 @@ ORACLE_SQL = {
     "tile_grid": TILE_SQL, "tile_backlog": BACKLOG_SQL, "resume_filter": RESUME_SQL, "manifest_reconcile": RECONCILE_SQL, "status_rows": STATUS_SQL,
     "manifest_progress": PROGRESS_SQL, "design_matrix": _design_sql(), "composite_block": _composite_sql(), "target_join": TARGET_SQL,
     "impute_standardise": IMPUTE_SQL, "yeo_johnson": POWER_SQL, "scaler_round_trip": TRIP_SQL, "winsor_bounds": WINSOR_SQL,
-    "smear_inverse": _smear_sql(), "valid_fraction": VALID_SQL, "seed_ensemble_mean": SEED_SQL, "facet_report": FACET_SQL,
+    "smear_inverse": _smear_sql(), "valid_fraction": VALID_SQL, "seed_ensemble_mean": SEED_SQL, "requested_outputs": REQUESTED_SQL, "facet_report": FACET_SQL,
     "tile_counts": COUNTS_SQL, "target_ranges": RANGE_SQL, "feature_blocks": _feature_sql(), "centre_blocks": _centre_sql(), "context_rows": _context_sql(),
     "median_predicted": MEDIAN_SQL, "first_tiles": FIRST_SQL,
 }
