@@ -10,9 +10,10 @@ scored in batches by two matrix products (presence x landmarks x weights).
 Learning uses a sample of about ``per_lang`` texts of each language (a documented
 bound; rows that repeat an id and text are one); every whole text is scored.
 
-``keep_known`` rejects texts that look like none of the languages: those whose best
-ridge score stays far below what nearly all learning texts outside the sample
-reach, by classes of length, since short texts say less.
+``keep_known`` rejects texts that look like none of the languages: those of which a
+smaller share of n-grams is usual in the predicted language (``COMMON`` of its learning
+texts hold them) than in nearly all passages of their length from learning texts
+outside the sample.  Texts of fewer than 31 characters are too short to tell.
 
 Defined cases: a text that is null or has no letter (Unicode category L) is ``und`` with score 0;
 with no learning rows every text is; ties go to the language first in
@@ -35,6 +36,8 @@ from gridflux.llm.common import LOWER, byte_slices, stage, text_buffers, tucked
 
 NGRAMS = (2, 3, 4)
 WIDTH = 1 << 14
+#: Share of a language's learning texts that hold a usual n-gram.
+COMMON = 0.03
 #: Languages whose shares are broadcast.
 MOST_LANGS = 100_000
 LETTER = regex.compile(r"\p{L}")
@@ -72,6 +75,14 @@ class LanguageModel:
     langs: list[str]
     weights: np.ndarray  # (width, languages): landmarks times ridge weights
     bias: np.ndarray
+    usual: np.ndarray | None = None  # (width, languages): 1 for the usual cells
+
+    def known(self, cells: np.ndarray, best: np.ndarray) -> np.ndarray:
+        """Share of each presence row's cells that is usual in the language ``best``."""
+        if self.usual is None:
+            return np.ones(len(cells))
+        shared = cells.astype(np.float32) @ self.usual
+        return shared[np.arange(len(cells)), best] / np.maximum(cells.sum(axis=1), 1)
 
     def score(self, cells: np.ndarray) -> np.ndarray:
         """One-versus-rest scores of presence rows."""
@@ -134,13 +145,14 @@ def fit(cells: np.ndarray, lang_of: list[str], landmarks_per_lang: int = 64, rid
     f = features - centre
     solved = np.linalg.solve(f.T @ f + ridge * len(f) * np.eye(f.shape[1]), f.T @ (targets - mean))
     weights = land.T @ (root @ solved)
-    return LanguageModel(langs, weights.astype(np.float32), (mean - centre @ solved).astype(np.float32))
+    usual = np.stack([cells[y == k].mean(axis=0) >= COMMON for k in range(len(langs))], axis=1).astype(np.float32)
+    return LanguageModel(langs, weights.astype(np.float32), (mean - centre @ solved).astype(np.float32), usual)
 
 
 def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` (softmax share of the best language) and
-    ``raw`` (its ridge score: about 1 for its texts, 0 for others)."""
-    keep = [c for c in docs.columns if c not in ("lang_pred", "score", "raw")]
+    ``known`` (share of the text's n-grams that are usual in it)."""
+    keep = [c for c in docs.columns if c not in ("lang_pred", "score", "known")]
     at = keep.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -148,7 +160,7 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> Da
         m = shared.value
         for batch in batches:
             data, bounds = text_buffers(batch.column(at))
-            pred, score, raw = [], [], []
+            pred, score, known = [], [], []
             for i, j in byte_slices(bounds, 1 << 18):
                 letters = [LETTER.search(str(data[a:b].tobytes(), "utf-8")) is not None for a, b in zip(bounds[i:j], bounds[i + 1 : j + 1], strict=True)]
                 for a in range(i, j, 64):  # rows of a presence matrix
@@ -156,51 +168,58 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> Da
                     if not m.langs:
                         pred += ["und"] * (b - a)
                         score += [0.0] * (b - a)
-                        raw += [0.0] * (b - a)
+                        known += [0.0] * (b - a)
                         continue
-                    s = m.score(presence(data, bounds[a : b + 1])).astype(np.float64)
+                    cells = presence(data, bounds[a : b + 1])
+                    s = m.score(cells).astype(np.float64)
                     best = s.argmax(axis=1)
+                    share = m.known(cells, best)
                     e = np.exp(4 * (s - s.max(axis=1, keepdims=True)))
                     for k in range(b - a):
                         seen = letters[a - i + k]
                         pred.append(m.langs[best[k]] if seen else "und")
                         score.append(float(1 / e[k].sum()) if seen else 0.0)
-                        raw.append(float(s[k, best[k]]) if seen else 0.0)
+                        known.append(float(share[k]) if seen else 0.0)
             kept = [batch.column(k) for k in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(raw, pa.float64())], names=[*keep, "lang_pred", "score", "raw"])
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(known, pa.float64())], names=[*keep, "lang_pred", "score", "known"])
 
     fields = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    schema = ", ".join(f"`{c}` {fields[c]}" for c in keep) + ", lang_pred string, score double, raw double"
+    schema = ", ".join(f"`{c}` {fields[c]}" for c in keep) + ", lang_pred string, score double, known double"
     return docs.select(*keep).mapInArrow(run, schema)
 
 
+SHORTEST, LONGEST = 4, 12
+
+
 def length_class(n: Column) -> Column:
-    """Powers of two of a text's length, 32 and fewer characters in one class, 4,096 and
+    """Powers of two of a text's length, up to 30 characters in one class, 4,096 and
     more in one."""
-    return F.least(F.greatest(F.floor(F.log2(n + 1.0)), F.lit(5)), F.lit(12)).cast("int")
+    return F.least(F.greatest(F.floor(F.log2(n + 1.0)), F.lit(SHORTEST)), F.lit(LONGEST)).cast("int")
 
 
-def least_scores(docs: DataFrame, model: LanguageModel, per_lang: int, most: float, low: float = 0.01, share: float = 0.3) -> dict[int, float]:
-    """By class of length the ridge score that a text of a known language reaches.  It
-    lies ``share`` of the way from what a text scores that has nothing of any language
-    to the ``low`` quantile over a sample of learning texts.  A class of fewer
-    than 20 of these, or whose quantile is less than 0.2 above, asks for nothing:
-    such texts are too short to tell."""
-    scored = predict(learning_rows(docs, per_lang, most, after=True), model).select("raw", length_class(F.length("text")).alias("size"))
-    rows = scored.groupBy("size").agg(F.count("*").alias("n"), F.percentile("raw", F.lit(low)).alias("q")).collect()  # eight classes
-    base = float(model.bias.max()) if len(model.bias) else 0.0
-    return {r["size"]: base + share * (r["q"] - base) for r in rows if r["n"] >= 20 and r["q"] >= base + 0.2}
+def least_known(docs: DataFrame, model: LanguageModel, per_lang: int, most: float, low: float = 0.01, share: float = 0.92) -> dict[int, float]:
+    """By class of length the share of usual n-grams that a text of a known language
+    reaches: ``share`` of the ``low`` quantile over passages of the class's least length,
+    one from each learning text outside the sample that is so long.  The class of the
+    shortest, and one of fewer than 20 passages, ask for nothing."""
+    rows = learning_rows(docs, per_lang, most, after=True)
+    sizes = F.explode(F.array(*(F.lit(1 << k) for k in range(SHORTEST + 1, LONGEST + 1)))).alias("n")
+    rows = rows.select("text", F.xxhash64("text").alias("h"), sizes).where(F.length("text") >= F.col("n"))
+    start = F.pmod("h", F.length("text") - F.col("n") + 1) + 1
+    passages = rows.select(F.col("text").substr(start.cast("int"), F.col("n")).alias("text"))
+    scored = predict(passages, model).where("lang_pred <> 'und'").select("known", length_class(F.length("text")).alias("size"))
+    found = scored.groupBy("size").agg(F.count("*").alias("n"), F.percentile("known", F.lit(low)).alias("q")).collect()  # eight classes of a bounded sample
+    return {r["size"]: share * r["q"] for r in found if r["n"] >= 20}
 
 
 def keep_known(docs: DataFrame, per_lang: int = 500, most: float = 0.75, **params) -> DataFrame:
     """Rows with a language that the model knows; their own columns."""
     inner, back = tucked(docs, ["doc_id", "text", "lang"])
     model = learn(inner, per_lang, most=most)
-    least = least_scores(inner, model, per_lang, most, **params)
-    asked = F.lit(float("-inf"))
-    for size, score in least.items():
-        asked = F.when(length_class(F.length("text")) == size, score).otherwise(asked)
-    return back(predict(inner, model).where((F.col("lang_pred") != "und") & (F.col("raw") >= asked)))
+    asked = F.lit(0.0)
+    for size, least in least_known(inner, model, per_lang, most, **params).items():
+        asked = F.when(length_class(F.length("text")) == size, least).otherwise(asked)
+    return back(predict(inner, model).where((F.col("lang_pred") != "und") & (F.col("known") >= asked)))
 
 
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -170,6 +170,54 @@ def test_decontamination_recall_of_short_items():
         assert {(r, i) for r, i, *_ in hits} >= {(i, i) for i in range(60)}
 
 
+def plain_edits(text, kind, rng):
+    """Written apart from the operator's own simulation."""
+    w = text.split()
+    if kind.startswith("typo"):
+        for i in range(0, len(w), int(kind[-1])):
+            at = rng.randrange(len(w[i]))
+            w[i] = w[i][:at] + rng.choice("qxz") + w[i][at + 1 :]
+    elif kind == "glued":
+        w = [("" if j % 3 == 0 else " ").join(w[i : i + 2]) for j, i in enumerate(range(0, len(w), 2))]
+    elif kind == "all glued":
+        w = ["".join(w)]
+    elif kind == "torn":
+        w = [v[:2] + " " + v[2:] if i % 3 == 0 and len(v) > 3 else v for i, v in enumerate(w)]
+    return " ".join(w)
+
+
+@pytest.mark.parametrize("kind", ["typo2", "typo3", "glued", "all glued", "torn"])
+def test_decontamination_of_edited_characters(kind, recwarn):
+    """Copies of benchmark items, and of random ones of each size, after edits of characters."""
+    rng = random.Random(kind)
+    import pyarrow.parquet as pq
+
+    real = pq.read_table("/root/testdata/sf0.01/benchmark.parquet").to_pydict()["text"]
+    groups = [real] + [[" ".join(f"w{rng.randrange(10**6)}" for _ in range(n)) for _ in range(40)] for n in (4, 7, 9, 16, 32, 60)]
+    for group in groups:
+        index = decontam.Index(list(range(len(group))), group)
+        texts, wanted = [], []
+        for k, item in enumerate(group):
+            new = plain_edits(item, kind, rng)
+            if decontam.fit_distance(decontam.plain(item), decontam.plain(new)) <= 0.2 * len(decontam.plain(item)):
+                lead = " ".join(f"n{rng.randrange(10**5)}" for _ in range(rng.randrange(30)))
+                texts.append(f"{lead} {new} the end".encode())
+                wanted.append(k)
+        hits = index.hits(np.frombuffer(b"".join(texts), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in texts]))))
+        got = {(row, item) for row, item, *_ in hits}
+        assert len(wanted) >= 20 and sum((r, k) in got for r, k in enumerate(wanted)) >= 0.95 * len(wanted), (kind, len(group[0].split()))
+    assert not [w for w in recwarn if "walks" in str(w.message)]
+
+
+def test_decontamination_of_glued_items_of_few_words():
+    index = decontam.Index([1, 2], ["yes no yes no yes no yes no yes no", " ".join("ab"[i % 2] for i in range(32))])
+    for text, item in (("so yesno yesno yesno yesno yesno there", 0), ("so " + "ab" * 16 + " there", 1)):
+        raw = text.encode()
+        found = index.hits(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        accepted = decontam.fit_distance(index.plain[item], decontam.plain(text)) <= 0.2 * len(index.plain[item])
+        assert (item in {i for _, i, *_ in found}) == accepted
+
+
 def test_decontamination_equals_all_pairs(spark):
     """All documents against all items by edit distance, edited passages among them."""
     rng = random.Random(12)
@@ -468,6 +516,27 @@ def test_langid_letters_and_unknown_languages(spark):
     assert langid.learning_rows(rows.crossJoin(spark.range(500).select()), 10**6).count() <= 1  # repeats are one row
 
 
+UNKNOWN = {
+    "turkish": "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler. ",
+    "greek": "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα. Είναι προικισμένοι με λογική και συνείδηση. ",
+}
+
+
+@pytest.mark.parametrize("size", [40, 160, 1600])
+def test_language_stage_rejects_unknown_languages_of_any_length(spark, size):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rng = random.Random(size)
+    junk = [(text * 20)[i * 7 : i * 7 + size] for text in UNKNOWN.values() for i in range(10)]
+    junk += [base64.b64encode(rng.randbytes(size)).decode()[:size] for _ in range(10)]
+    junk += [" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 9))) for _ in range(size))[:size] for _ in range(10)]
+    known = [(r.doc_id, r.text[len(r.text) // 3 :][:size]) for r in docs.where(F.length("text") > 3000).orderBy("doc_id").limit(60).collect()]
+    more = [(10**7 + i, t, None) for i, t in enumerate(junk)] + [(10**8 + d, t, None) for d, t in known]
+    kept = {r.doc_id for r in langid.keep_known(docs.union(spark.createDataFrame(more, docs.schema))).collect()}
+    assert len([d for d in kept if 10**7 <= d < 10**8]) <= 0.05 * len(junk)
+    assert len([d for d in kept if d >= 10**8]) >= 0.95 * len(known)
+    assert len([d for d in kept if d < 10**7]) >= 0.98 * docs.where("text IS NOT NULL").count()
+
+
 # 6 media
 
 
