@@ -49,6 +49,8 @@ PER_BUCKET = 400_000
 BROADCAST_ROWS = 500_000
 FIRST = "doc_id long, n int, class long, parity binary, slice int, task int, cells binary"
 POSTING = "list long, class long, n int, cost int"
+#: Classes that a task remembers, so that copies near each other are dealt once.
+MOST_SEEN = 1 << 18
 #: Blobs of a sketch slice that one group adds up.
 FAN_IN = 256
 #: Rounds in which each list has so many hubs of its own before lists are expanded.
@@ -226,6 +228,8 @@ def prefix_postings(docs: DataFrame, levels: np.ndarray, buckets: int, size: int
                 name = _class(s)
                 if name in seen:
                     continue
+                if len(seen) >= MOST_SEEN:  # ``lists`` drops what comes again after this
+                    seen.clear()
                 seen.add(name)
                 n = len(s)
                 take = n - -(-percent * n // 100) + 1

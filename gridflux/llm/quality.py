@@ -242,12 +242,13 @@ def judge(scored: DataFrame, sites: DataFrame, threshold: float = 0.5) -> DataFr
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Accepted rows; their own columns.  The evidence is written once with the
-    rows; the sites' statistics read only its narrow columns."""
+    """Accepted rows; their own columns.  Only the narrow evidence of all rows is written,
+    for the sites' statistics; texts are scored again as they are judged."""
     inner, back = tucked(docs, ["doc_id", "text", "source", "lang"])
-    scored = stage(with_evidence(inner, fit_evidence(inner, labels)), "quality")
-    sites = stage(site_posteriors(scored, labels), "sites")
-    return back(judge(scored, sites).where("accepted"))
+    model = fit_evidence(inner, labels)
+    narrow = with_evidence(inner.select("doc_id", "text", "source", "lang"), model).drop("text")
+    sites = stage(site_posteriors(stage(narrow, "quality"), labels), "sites")
+    return back(judge(with_evidence(inner, model), sites).where("accepted"))
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
