@@ -275,7 +275,7 @@ class Whitener:
 def fit(vectors: DataFrame, column: str = "embedding", most: int = 8) -> Whitener:
     """Components of all vectors of ``column``."""
     centre = sums_of(vectors, column)
-    if not centre.n:
+    if not centre.n or not centre.sums:
         return Whitener(centre, np.zeros(0), np.zeros((0, 0)), np.zeros(0))
     values, z, every = directions(triangle(vectors, column, centre), most)
     return Whitener(centre, values / centre.n, z, values / every.sum() if len(values) else values)
