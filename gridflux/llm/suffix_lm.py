@@ -6,7 +6,8 @@ contexts of the last two words, of the last word, and the root:
 * root: a known word has its share of the learning tokens, less the Good-Turing
   mass of unseen words; an unseen word has that mass times the probability of its
   spelling, by a byte model with contexts of two bytes, one or none, fitted on the
-  distinct words of blocks;
+  distinct learning words, of which each is spelled by the one block that its hash
+  range picks;
 * one word: kept where it occurs ``LEAST`` times, smoothed towards the root;
 * two words: kept where they occur ``LEAST`` times and their next-word distribution
   diverges from that of their suffix: the mean log ratio of both, each occurrence
@@ -20,7 +21,8 @@ words, hash ranges add them up and answer to the block; then blocks ask by conte
 of two words, whose hash range has all their next words, makes the divergence test
 and answers with the change that the longer context makes to a token's log10
 (in steps of 1/2048, as the probabilities it is asked with).  A context that occurs
-``HOT`` times is kept without the test and dealt by its next words.
+``HOT`` times is dealt by its next words instead; its test is summed up in two steps,
+by next word and then by context, and comes out as it would in one.
 
 Defined cases: a null or empty text is the end symbol alone; without learning
 documents no word is known and words have the probability of their spelling;
@@ -42,7 +44,7 @@ from pyspark.sql import functions as F
 from gridflux.llm.common import LOWER, byte_slices, find_words, mix64, stage, table, text_buffers
 from gridflux.llm.langid import remainder
 
-#: Occurrences that a kept context has, and those that keep it without a test.
+#: Occurrences that a kept context has, and those from which it is dealt by next words.
 LEAST, HOT = 4, 1 << 20
 #: Weights of the suffix in a context's smoothing: one word, two words, bytes.
 MU_ONE, MU_TWO, MU_BYTE = 200.0, 6.0, 8.0
@@ -54,9 +56,9 @@ KEY = np.uint64((1 << 40) - 1)
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 END_HASH = mix64(np.array([0x7E57ED], np.uint64))[0]
 
-BLOCKS = "chunk long, docs binary, held binary, sizes binary, tokens binary, vocab binary, rare binary, codes binary, n_tokens long, n_docs long"
+BLOCKS = "chunk long, docs binary, held binary, sizes binary, tokens binary, vocab binary, rare binary, spell binary, n_tokens long, n_docs long"
 REQUESTS = "bucket int, chunk long, words binary, pairs binary"
-ANSWERS = "bucket int, chunk long, words binary, pairs binary, types long, singles long"
+ANSWERS = "bucket int, chunk long, words binary, pairs binary, spells binary, types long, singles long, top long"
 SECOND = "chunk long, docs binary, rows binary, at binary, bucket int, ask binary"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_long long"
 
@@ -141,14 +143,14 @@ def gather(docs: DataFrame) -> DataFrame:
                 known = np.bincount(tokens[own], minlength=len(vocab))
                 rare = np.flatnonzero(known == 0)  # perhaps unseen: their spelling is needed
                 codes, first = spelled(data, start[at[rare]], end[at[rare]])
-                grams, times = np.unique(spelled(data, start[at[known > 0]], end[at[known > 0]])[0], return_counts=True)
+                long = np.where(known > 0, end[at] - start[at], 0)
+                letters = np.repeat(start[at] - (np.cumsum(long) - long), long) + np.arange(int(long.sum()))
                 null = np.array([x is None for x in ids[i:j]], bool)
                 yield batch_of(BLOCKS, [
                     {"chunk": serial, "docs": pack(np.array([x or 0 for x in ids[i:j]], np.int64), null.view(np.uint8)), "held": pack(held[i:j].view(np.uint8)),
                      "sizes": pack(size.astype(np.uint32)), "tokens": pack(tokens), "vocab": pack(vocab),
                      "rare": pack(rare.astype(np.uint32), np.diff(first).astype(np.uint32), codes.astype(np.uint32)),
-                     "n_tokens": int(own.sum()), "n_docs": int((~held[i:j]).sum())},
-                    {"codes": pack(grams.astype(np.uint32), times.astype(np.uint32))},
+                     "spell": pack(long.astype(np.uint32), data[letters]), "n_tokens": int(own.sum()), "n_docs": int((~held[i:j]).sum())},
                 ])
                 serial += 1
 
@@ -178,17 +180,33 @@ class Spelling:
         return np.log((look(self.codes, self.counts, codes) + MU_BYTE * shorter) / (look(self.contexts, self.totals, codes // BYTES) + MU_BYTE))
 
 
-def spelling(blocks: DataFrame, least_share: float = 1e-5) -> Spelling:
-    """The byte model.  Contexts of two bytes below ``least_share`` are left to those of
-    one, so at most 1 / least_share of them reach the driver."""
+def word_keys(vocab: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, keys) of a block's words and the end, by hash range."""
+    keys = bucketed(mix64(np.append(vocab, END_HASH) + _C), buckets)
+    order = np.argsort(keys, kind="stable")
+    return order, keys[order]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for blob in batch.column(0):
-                codes, n = unpack(blob.as_py())
-                yield pa.RecordBatch.from_arrays([pa.array(codes.astype(np.int64)), pa.array(n.astype(np.int64))], names=["code", "n"])
 
-    codes = blocks.where("codes IS NOT NULL").select("codes").mapInArrow(run, "code long, n long")
+def spelling(blocks: DataFrame, answers: DataFrame, buckets: int, least_share: float = 1e-5) -> Spelling:
+    """The byte model of the words that blocks were picked to spell.  Contexts of two bytes below ``least_share`` are left to those of
+    one, so at most 1 / least_share of them reach the driver."""
+
+    def run(body: pa.Table, answer: pa.Table) -> pa.Table:
+        mine = list(zip(answer.column("bucket").to_pylist(), answer.column("spells").to_pylist(), strict=True))
+        found = []
+        for row in body.to_pylist():
+            (vocab,), (long, letters) = unpack(row["vocab"]), unpack(row["spell"])
+            order, _ = word_keys(vocab, buckets)
+            own = np.zeros(len(vocab) + 1, bool)
+            own[order] = joined(mine) > 0
+            end = np.cumsum(long.astype(np.int64))
+            pick = np.flatnonzero(own[:-1] & (long > 0))
+            found.append(spelled(letters, end[pick] - long[pick], end[pick])[0])
+        codes, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.int64),) * 2
+        return pa.table({"code": pa.array(codes.astype(np.int64)), "n": pa.array(n.astype(np.int64))})
+
+    bodies = blocks.select("chunk", "vocab", "spell").groupBy("chunk")
+    codes = bodies.cogroup(answers.select("chunk", "bucket", "spells").groupBy("chunk")).applyInArrow(run, "code long, n long")
     codes = stage(codes.groupBy("code").agg(F.sum("n").alias("n")), "lm-bytes").withColumn("context", F.floor(F.col("code") / BYTES))
     one = np.zeros((BYTES, BYTES))
     for r in codes.groupBy((F.col("code") % (BYTES * BYTES)).alias("pair")).agg(F.sum("n").alias("n")).collect():  # 257 x 257 at most
@@ -225,8 +243,7 @@ class Block:
         self.pairs, inverse = np.unique(pair, return_inverse=True)
         self.pair_at = np.full(len(self.token), -1, np.int64)  # number of the pair that ends here
         self.pair_at[later] = inverse
-        self.word_order = np.argsort(bucketed(mix64(self.hash + _C), buckets), kind="stable")
-        self.words = bucketed(mix64(self.hash + _C), buckets)[self.word_order]
+        self.word_order, self.words = word_keys(vocab, buckets)
 
     def counts(self) -> tuple[np.ndarray, np.ndarray]:
         """The block's own learning counts of words and pairs, in the order of their keys."""
@@ -251,27 +268,33 @@ def ask_counts(blocks: DataFrame, buckets: int) -> DataFrame:
     return blocks.select("chunk", "sizes", "tokens", "vocab", "held").mapInArrow(run, REQUESTS)
 
 
-def summed(blobs: list[bytes | None]) -> tuple[list[bytes | None], np.ndarray]:
-    """For each blob of keys and counts its keys' totals, and all keys' totals."""
+def summed(blobs: list[bytes | None]) -> tuple[list[bytes | None], list[bytes | None], np.ndarray]:
+    """For each blob of keys and counts its keys' totals, which of its keys it is picked for
+    (each key that counts has one blob of those that count it), and all keys' totals."""
     parts = [unpack(x) if x is not None else None for x in blobs]
     some = [p for p in parts if p is not None]
     if not some:
-        return [None] * len(parts), np.zeros(0, np.int64)
-    keys = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in some])
+        return [None] * len(parts), [None] * len(parts), np.zeros(0, np.int64)
+    keys, counts = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in some]), np.concatenate([p[1] for p in some])
     distinct, inverse = np.unique(keys, return_inverse=True)
-    total = np.bincount(inverse, np.concatenate([p[1] for p in some]), minlength=len(distinct)).astype(np.int64)
-    each = iter(np.split(total[inverse], np.cumsum([len(p[0]) for p in some])[:-1]))
-    return [pack(next(each).astype(np.uint64)) if p is not None else None for p in parts], total
+    total = np.bincount(inverse, counts, minlength=len(distinct)).astype(np.int64)
+    at = np.flatnonzero(counts)
+    pick = np.zeros(len(keys), np.uint8)
+    pick[at[np.unique(inverse[at], return_index=True)[1]]] = 1
+    cuts = np.cumsum([len(p[0]) for p in some])[:-1]
+    each, picked = iter(np.split(total[inverse], cuts)), iter(np.split(pick, cuts))
+    return [pack(next(each).astype(np.uint64)) if p is not None else None for p in parts], [pack(next(picked)) if p is not None else None for p in parts], total
 
 
 def answer_counts(requests: DataFrame) -> DataFrame:
     def answer(group: pa.Table) -> pa.Table:
-        words, total = summed(group.column("words").to_pylist())
-        pairs, _ = summed(group.column("pairs").to_pylist())
+        words, spells, total = summed(group.column("words").to_pylist())
+        pairs, _, of_pairs = summed(group.column("pairs").to_pylist())
         n = group.num_rows
         return pa.table({
-            "bucket": group.column("bucket"), "chunk": group.column("chunk"), "words": pa.array(words, pa.binary()), "pairs": pa.array(pairs, pa.binary()),
+            "bucket": group.column("bucket"), "chunk": group.column("chunk"), "words": pa.array(words, pa.binary()), "pairs": pa.array(pairs, pa.binary()), "spells": pa.array(spells, pa.binary()),
             "types": pa.array([int((total > 0).sum())] * n, pa.int64()), "singles": pa.array([int((total == 1).sum())] * n, pa.int64()),
+            "top": pa.array([int(of_pairs.max(initial=0))] * n, pa.int64()),
         })
 
     return stage(requests.groupBy("bucket").applyInArrow(answer, ANSWERS), "lm-counts")
@@ -318,9 +341,10 @@ def shorter_states(block: Block, row: dict, c1: np.ndarray, c2: np.ndarray, tota
     return p
 
 
-def longer_states(block: Block, c2: np.ndarray, p: np.ndarray, buckets: int, hot: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, bytes]]]:
-    """(token, number of its gram) where a context of two words may be kept, and the
-    requests by bucket, whose grams' numbers follow each other."""
+def longer_states(block: Block, c2: np.ndarray, p: np.ndarray, buckets: int, hot: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, bytes]]]:
+    """(token, number of its gram) where a context of two words may be kept, the hot
+    context of each gram (0: none), and the requests by bucket, whose grams' numbers
+    follow each other."""
     at = np.flatnonzero(block.place >= 2)
     n = c2[block.pair_at[at - 1]]
     at, n = at[n >= LEAST], n[n >= LEAST].astype(np.int64)
@@ -336,14 +360,15 @@ def longer_states(block: Block, c2: np.ndarray, p: np.ndarray, buckets: int, hot
     number[order] = np.cumsum(fresh) - 1
     heads = order[fresh]
     own = np.bincount(number[block.learns[at]], minlength=len(heads))
+    owner = np.where(n[heads] >= hot, mix64(context[heads] * _B + _C) | np.uint64(1), np.uint64(0))
     k, g, n, q = key[heads], low[heads].astype(np.uint32), n[heads], np.round(-p[at[heads]] / np.log(10) * STEP).clip(0, 65535).astype(np.uint16)
     cuts, asks = bucket_cuts(k, buckets), []
     for b in np.flatnonzero(np.diff(cuts)):
         part = slice(cuts[b], cuts[b + 1])
         new = np.flatnonzero(np.diff(k[part], prepend=np.uint64(0)) != 0)
         new = np.union1d(new, [0])
-        asks.append((int(b), pack(steps_of(k[part][new]), n[part][new].astype(np.uint64), np.diff(np.append(new, len(k[part]))).astype(np.uint32), g[part], own[part].astype(np.uint32), q[part])))
-    return at, number, asks
+        asks.append((int(b), pack(steps_of(k[part][new]), n[part][new].astype(np.uint64), np.diff(np.append(new, len(k[part]))).astype(np.uint32), g[part], own[part].astype(np.uint32), q[part], owner[part][new])))
+    return at, number, owner, asks
 
 
 def second_pass(blocks: DataFrame, answers: DataFrame, totals: Totals, model: Spelling, buckets: int, hot: int) -> DataFrame:
@@ -360,34 +385,37 @@ def second_pass(blocks: DataFrame, answers: DataFrame, totals: Totals, model: Sp
             c1[block.word_order] = joined(list(zip(number, words, strict=True)))
             c2 = joined(list(zip(number, pairs, strict=True)))
             p = shorter_states(block, row, c1, c2, totals, model)
-            at, gram, asks = longer_states(block, c2, p, buckets, hot)
+            at, gram, owner, asks = longer_states(block, c2, p, buckets, hot)
             own = c1[block.token]
             base = np.log10(own + 1.0) - np.log10(totals.tokens + 1.0 * (totals.types + 1))
             add = [np.add.reduceat(x, block.first) for x in (base, p / np.log(10), (own > 0).astype(np.float64))] if len(block.first) else [np.zeros(0)] * 3
             longer = np.bincount(np.searchsorted(block.stop, at, side="right"), minlength=len(block.first)).astype(np.uint32)
-            rows.append({"chunk": row["chunk"], "docs": row["docs"], "rows": pack(block.held.view(np.uint8), block.length.astype(np.uint32), *(x.astype(np.float64) for x in add), longer), "at": pack(gram.astype(np.uint32))})
+            rows.append({"chunk": row["chunk"], "docs": row["docs"], "rows": pack(block.held.view(np.uint8), block.length.astype(np.uint32), *(x.astype(np.float64) for x in add), longer), "at": pack(gram.astype(np.uint32), np.flatnonzero(owner).astype(np.uint32), owner[owner != 0])})
             rows += [{"chunk": row["chunk"], "bucket": b, "ask": blob} for b, blob in asks]
         return pa.Table.from_batches([batch_of(SECOND, rows)])
 
-    bodies = blocks.where("chunk IS NOT NULL").drop("codes", "n_tokens", "n_docs")
+    bodies = blocks.drop("spell", "n_tokens", "n_docs")
     return bodies.groupBy("chunk").cogroup(answers.select("chunk", "bucket", "words", "pairs").groupBy("chunk")).applyInArrow(run, SECOND)
 
 
-def judged(count: np.ndarray, n: np.ndarray, p: np.ndarray, context: np.ndarray, least_divergence: float, hot: int) -> tuple[np.ndarray, np.ndarray]:
+def judged(count: np.ndarray, n: np.ndarray, p: np.ndarray, context: np.ndarray, least_divergence: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of grams (context numbers in ``context``): log10 of their probability over that in
-    the suffix, and whether their context is kept."""
+    the suffix, whether their context is kept, and its summed gain."""
     deleted = count * np.log((np.maximum(count - 1, 0) + MU_TWO * p) / ((n - 1 + MU_TWO) * p))
     gain = np.bincount(context, deleted)
     kept = (gain >= least_divergence * np.maximum.reduceat(n, np.flatnonzero(np.diff(context, prepend=-1)))) if len(context) else np.zeros(0, bool)
-    kept = kept[context] | (n >= hot)
-    return np.where(kept, np.log10((count + MU_TWO * p) / ((n + MU_TWO) * p)), 0.0), kept
+    return np.log10((count + MU_TWO * p) / ((n + MU_TWO) * p)), kept[context], gain
+
 
+def answer_states(asks: DataFrame, least_divergence: float) -> DataFrame:
+    """(bucket, chunk, change, owner, gain, n): changes of each block's grams, and for grams
+    of hot contexts, whose changes are given in any case, rows with their gain alone."""
 
-def answer_states(asks: DataFrame, least_divergence: float, hot: int) -> DataFrame:
     def answer(group: pa.Table) -> pa.Table:
         parts = [unpack(x) for x in group.column("ask").to_pylist()]
         context = np.concatenate([np.repeat(np.cumsum(p[0], dtype=np.uint64), p[2]) for p in parts])
         n = np.concatenate([np.repeat(p[1].astype(np.int64), p[2]) for p in parts])
+        owner = np.concatenate([np.repeat(p[6], p[2]) for p in parts])
         gram, own, q = (np.concatenate([p[k] for p in parts]) for k in (3, 4, 5))
         order = np.lexsort((gram, context))
         k, g = context[order], gram[order]
@@ -398,24 +426,44 @@ def answer_states(asks: DataFrame, least_divergence: float, hot: int) -> DataFra
         new = np.ones(len(heads), bool)
         new[1:] = k[heads][1:] != k[heads][:-1]
         p = 10.0 ** (q[order][heads] / -STEP)
-        change, kept = judged(count, n[order][heads].astype(np.float64), p, np.cumsum(new) - 1, least_divergence, hot)
-        coded = np.where(kept, np.round(change * STEP).clip(-32767, 32767), -32768).astype(np.int16)
+        n, owner = n[order][heads], owner[order][heads]
+        change, kept, gain = judged(count, n.astype(np.float64), p, np.cumsum(new) - 1, least_divergence)
+        coded = np.where(kept | (owner != 0), np.round(change * STEP).clip(-32767, 32767), -32768).astype(np.int16)
         back = np.empty(len(k), np.int16)
         back[order] = coded[np.cumsum(fresh) - 1]
         each = np.split(back, np.cumsum([len(x[3]) for x in parts])[:-1])
-        return pa.table({"bucket": group.column("bucket"), "chunk": group.column("chunk"), "change": pa.array([pack(x) for x in each], pa.binary())})
+        hot = np.flatnonzero(new & (owner != 0))
+        m = len(parts)
+        columns = {
+            "bucket": [*group.column("bucket").to_pylist(), *[None] * len(hot)], "chunk": [*group.column("chunk").to_pylist(), *[None] * len(hot)],
+            "change": [*(pack(x) for x in each), *[None] * len(hot)], "owner": [*[None] * m, *owner[hot].view(np.int64).tolist()],
+            "gain": [*[None] * m, *gain[(np.cumsum(new) - 1)[hot]].tolist()], "n": [*[None] * m, *n[hot].tolist()],
+        }
+        kinds = (pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.float64(), pa.int64())
+        return pa.table({c: pa.array(v, t) for (c, v), t in zip(columns.items(), kinds, strict=True)})
+
+    return asks.groupBy("bucket").applyInArrow(answer, "bucket int, chunk long, change binary, owner long, gain double, n long")
+
+
+def dropped_contexts(answers: DataFrame, least_divergence: float) -> np.ndarray:
+    """Hot contexts that fail the test.  There are at most learning tokens / hot of them."""
+    sums = answers.where("owner IS NOT NULL").groupBy("owner").agg(F.sum("gain").alias("gain"), F.max("n").alias("n"))
+    rows = sums.where(F.col("gain") < least_divergence * F.col("n")).select("owner").collect()
+    return np.sort(np.array([r["owner"] for r in rows], np.int64).view(np.uint64))
 
-    return asks.groupBy("bucket").applyInArrow(answer, "bucket int, chunk long, change binary")
 
+def finish(bodies: DataFrame, answers: DataFrame, train_tokens: int, dropped: np.ndarray) -> DataFrame:
+    shared = bodies.sparkSession.sparkContext.broadcast(dropped)
 
-def finish(bodies: DataFrame, answers: DataFrame, train_tokens: int) -> DataFrame:
     def run(body: pa.Table, answer: pa.Table) -> pa.Table:
         change = joined(list(zip(answer.column("bucket").to_pylist(), answer.column("change").to_pylist(), strict=True)))
         out = []
         for row in body.to_pylist():
             ids, null = unpack(row["docs"])
             held, length, base, score, known, longer = unpack(row["rows"])
-            (gram,) = unpack(row["at"])
+            gram, hot, owner = unpack(row["at"])
+            if len(hot) and len(shared.value):
+                change[hot[np.isin(owner, shared.value)]] = -32768
             kept = change[gram] > -32768
             cuts = np.concatenate(([0], np.cumsum(longer.astype(np.int64))))
             more, states = (np.concatenate(([0.0], np.cumsum(x)))[cuts] for x in (np.where(kept, change[gram], 0) / STEP, kept))
@@ -437,14 +485,17 @@ def score_texts(docs: DataFrame, least_divergence: float = LEAST_DIVERGENCE, hot
     sums = blocks.agg(F.sum("n_tokens"), F.sum("n_docs")).first()
     tokens, n_docs = (x or 0 for x in sums)
     buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")), tokens // PER_BUCKET)
-    bodies = blocks.where("chunk IS NOT NULL")
-    counts = answer_counts(ask_counts(bodies, buckets))
-    of_bucket = counts.groupBy("bucket").agg(F.max("types").alias("types"), F.max("singles").alias("singles"))
-    types, singles = (x or 0 for x in of_bucket.agg(F.sum("types"), F.sum("singles")).first())
+    counts = answer_counts(ask_counts(blocks, buckets))
+    of_bucket = counts.groupBy("bucket").agg(F.max("types").alias("types"), F.max("singles").alias("singles"), F.max("top").alias("top"))
+    types, singles, top = (x or 0 for x in of_bucket.agg(F.sum("types"), F.sum("singles"), F.max("top")).first())
     totals = Totals(tokens + n_docs, types, singles)
-    second = second_pass(bodies, counts, totals, spelling(blocks), buckets, hot)
-    changes = answer_states(second.where("ask IS NOT NULL").select("bucket", "chunk", "ask"), least_divergence, hot)
-    return finish(second.where("docs IS NOT NULL"), changes, totals.tokens)
+    second = second_pass(blocks, counts, totals, spelling(blocks, counts, buckets), buckets, hot)
+    changes = answer_states(second.where("ask IS NOT NULL").select("bucket", "chunk", "ask"), least_divergence)
+    dropped = np.zeros(0, np.uint64)
+    if top >= hot:  # else no context was dealt by its next words
+        changes = stage(changes, "lm-changes")
+        dropped = dropped_contexts(changes, least_divergence)
+    return finish(second.where("docs IS NOT NULL"), changes.where("chunk IS NOT NULL").select("bucket", "chunk", "change"), totals.tokens, dropped)
 
 
 def op7_suffix_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

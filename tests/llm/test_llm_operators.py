@@ -763,6 +763,18 @@ def test_suffix_lm_of_hot_contexts_and_blocks(spark, documents, monkeypatch):
         assert got and all(math.isclose(r.score, plain[r.doc_id].score, abs_tol=1e-6 + 5e-4 * r.n_long) and r.n_long == plain[r.doc_id].n_long for r in got)
 
 
+def test_suffix_lm_is_a_function_of_the_table(spark, documents):
+    """Whatever the blocks, and whether contexts are dealt by their next words, every text,
+    those with unseen words too, has the same score in the same states."""
+    want = {r.doc_id: r for r in suffix_lm.score_texts(documents.coalesce(1)).collect()}
+    assert any(r.n_known < r.n_tokens for r in want.values()) and any(r.n_long for r in want.values())
+    for docs, hot in ((documents.repartition(9), suffix_lm.HOT), (documents.repartition(3), 8), (documents.coalesce(1), 4)):
+        got = suffix_lm.score_texts(docs, hot=hot).collect()
+        assert len(got) == len(want)
+        for r in got:
+            assert r.n_long == want[r.doc_id].n_long and math.isclose(r.score, want[r.doc_id].score, rel_tol=1e-9, abs_tol=1e-6), (r, want[r.doc_id])
+
+
 def test_spelling_is_a_distribution():
     """Probabilities of the next byte sum to 1 in each context; blobs come back."""
     data = np.frombuffer(b"ab abc b", np.uint8)
