@@ -156,15 +156,20 @@ def dominates(one: tuple[int, ...], other: tuple[int, ...]) -> bool:
 
 def fillings(counts: np.ndarray, room: int, most_waste: int, most: int) -> list[tuple[int, ...]]:
     """Undominated fillings of ``room``, least waste first, ``most`` at most."""
+    return some_fillings(counts, room, most_waste, most)[0]
+
+
+def some_fillings(counts: np.ndarray, room: int, most_waste: int, most: int) -> tuple[list[tuple[int, ...]], bool]:
+    """``fillings``, and whether there may be more."""
     lengths = (np.flatnonzero(counts[1 : room + 1])[::-1] + 1).tolist()
     if not lengths:
-        return [()]
+        return [()], False
     if lengths[0] == room:
-        return [(room,)]  # dominates every other filling
+        return [(room,)], False  # dominates every other filling
     sums = _sums(lengths, counts, room)
     out: list[tuple[int, ...]] = []
     tried, goal = 0, sums[0].bit_length() - 1
-    while goal > 0 and room - goal <= most_waste and len(out) < most and tried < 4 * most:
+    while goal > 0 and room - goal <= most_waste:
         if _bits(sums[0], goal):
             for filling in _with_sum(lengths, counts, sums, 0, goal):
                 tried += 1
@@ -172,9 +177,9 @@ def fillings(counts: np.ndarray, room: int, most_waste: int, most: int) -> list[
                 if not fits and not any(dominates(f, filling) for f in out):
                     out.append(filling)
                 if len(out) == most or tried >= 4 * most:
-                    break
+                    return out, True
         goal -= 1
-    return out
+    return out, False
 
 
 def lower_bound(counts: np.ndarray, capacity: int) -> int:
@@ -224,7 +229,7 @@ class _Search:
     def __init__(self, counts: np.ndarray, capacity: int, plan: list, bins: int, work: int, most: int):
         self.counts, self.capacity, self.best, self.bins, self.work, self.most = counts, capacity, plan, bins, work, most
         self.tokens = int((counts * np.arange(capacity + 1)).sum())
-        self.cut = False  # whether a branch was left out for its discrepancies
+        self.cut = False  # whether a branch was left out for its discrepancies, or a filling for the limit
 
     def may_waste(self) -> int:
         return (self.bins - 1) * self.capacity - self.tokens
@@ -236,7 +241,8 @@ class _Search:
         self.work -= len(left) + NODE
         top = int(left[-1])
         self.counts[top] -= 1
-        some = fillings(self.counts, self.capacity - top, self.may_waste() - waste, self.most)
+        some, more = some_fillings(self.counts, self.capacity - top, self.may_waste() - waste, self.most)
+        self.cut |= more
         self.counts[top] += 1
         options = []
         for f in some:
@@ -284,7 +290,8 @@ def complete_bins(histogram: dict[int, int], capacity: int = CAPACITY, work: int
     """(filling, times) that hold every piece of the histogram, in few sequences.
 
     ``work`` bounds the search: a node costs NODE and the number of lengths left,
-    about a microsecond each; ``most`` bounds the fillings of a node.
+    about a microsecond each; ``most`` bounds the fillings of a node and grows with the
+    choices that a branch may take.
     """
     counts = np.zeros(capacity + 1, np.int64)
     for n, c in histogram.items():
@@ -293,7 +300,7 @@ def complete_bins(histogram: dict[int, int], capacity: int = CAPACITY, work: int
     plan, bins = _descend(counts, capacity, _best_fit)
     search, spare = _Search(counts, capacity, plan, bins, work, most), 0
     while search.bins > bound and search.work > 0:
-        search.cut = False
+        search.cut, search.most = False, most * (spare + 1)
         search.descend(spare, bound)
         if not search.cut:
             break  # all branches were tried

@@ -63,12 +63,13 @@ def hashed_rules(rules: DataFrame) -> DataFrame:
 
 def filter_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str = "allow") -> DataFrame:
     """``pages`` with host, path, rule and verdict.  Columns of these names in
-    ``pages`` are replaced."""
+    ``pages`` are replaced; others keep their names, whatever these are."""
     hashed = hashed_rules(rules)
     # Distinct path lengths of the rules: an expression of another length can fit none.
     lengths = [r[0] for r in hashed.select("rule_path_len").distinct().collect()]
-    out = pages.drop("host", "path", "rule", "verdict")
-    out = out.withColumn("host", url_host(out[url_col])).withColumn("path", url_path(out[url_col]))
+    own = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    rest = {c: f"_c{i}" for i, c in enumerate(own)}
+    out = pages.select(*(pages[f"`{c}`"].alias(k) for c, k in rest.items()), url_host(pages[f"`{url_col}`"]).alias("host"), url_path(pages[f"`{url_col}`"]).alias("path"))
     distinct = out.select("host", "path").where("host <> ''").distinct()
     labels = F.split("host", "\\.")
     suffixes = F.transform(
@@ -87,11 +88,9 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", defaul
     best = hits.groupBy("host", "path").agg(
         F.max_by("rule", rank).alias("rule"), F.max_by("rule_verdict", rank).alias("rule_verdict")
     )
-    return (
-        out.join(best, ["host", "path"], "left")
-        .withColumn("verdict", F.coalesce("rule_verdict", F.lit(default)))
-        .drop("rule_verdict")
-    )
+    joined = out.join(best, ["host", "path"], "left")
+    verdict = F.coalesce("rule_verdict", F.lit(default)).alias("verdict")
+    return joined.select(*(F.col(k).alias(c) for c, k in rest.items()), "host", "path", "rule", verdict)
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

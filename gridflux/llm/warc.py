@@ -42,13 +42,14 @@ def base32_sha1(payload: bytes) -> str:
 
 
 def mark_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Adds ``sha1``, ``record_type`` and ``refers_to``.
+    """(page_id, url, payload, sha1, record_type, refers_to) of each page; other columns of
+    ``pages`` are left out.
 
     Digests that occur more than once are found on narrow rows and written.  Their
     hashes set bits of a map of fixed size, which is broadcast; only payloads
     whose bit is set join the digests (Spark broadcasts these while they are few),
     so the others, which surely occur once, are never shuffled."""
-    keyed = pages.withColumn("payload", F.encode(F.coalesce("html", F.lit("")), "UTF-8"))
+    keyed = pages.select("page_id", "url", "html").withColumn("payload", F.encode(F.coalesce("html", F.lit("")), "UTF-8"))
     keyed = keyed.withColumn("sha1", F.sha1("payload"))
     repeated = (
         keyed.where(F.length("payload") >= min_bytes)

@@ -788,6 +788,28 @@ def test_spelling_is_a_distribution():
     assert all(np.array_equal(a, b) and a.dtype == b.dtype for a, b in zip(arrays, suffix_lm.unpack(suffix_lm.pack(*arrays)), strict=True))
 
 
+def test_url_and_warc_columns_that_clash(spark):
+    """Columns named as working ones are no obstacle, and are kept where rows are."""
+    pages = spark.createDataFrame([(1, "http://a.example.com/en/x", "<p>", "mine", 7, "h"), (2, None, None, None, 8, None)], "page_id long, url string, html string, rule_verdict string, keep int, host string")
+    pages = pages.withColumns({c: F.lit(c) for c in ("digest", "short", "expression", "rule_digest", "copies", "word", "bit", "bits", "sha1", "a.b")})
+    judged = url_filter.filter_urls(pages, url_filter.rules_frame(spark))
+    got = {r.page_id: r for r in judged.collect()}
+    assert judged.columns == [c for c in pages.columns if c != "host"] + ["host", "path", "rule", "verdict"]
+    assert (got[1].rule_verdict, got[1].verdict, got[1].host, got[1].digest) == ("mine", "block", "a.example.com", "digest") and got[2].verdict == "allow"
+    marked = warc.mark_revisits(pages)
+    assert marked.columns == ["page_id", "url", "payload", "sha1", "record_type", "refers_to"] and marked.count() == 2
+
+
+def test_packing_says_when_fillings_were_left_out():
+    counts = np.zeros(2049, np.int64)
+    counts[list(range(300, 420))] = 3
+    few, more = packing.some_fillings(counts, 1500, 600, 3)
+    assert len(few) == 3 and more
+    counts[:] = 0
+    counts[[700, 500]] = 1
+    assert packing.some_fillings(counts, 1300, 2048, 12) == ([(700, 500)], False)
+
+
 # 8 Jaccard join
 
 
