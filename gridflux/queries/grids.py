@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from gridflux.functions import images
 from gridflux.functions.power import Power
-from gridflux.operators import forest, predict, terrain
+from gridflux.operators import bagging, forest, predict, terrain
 from gridflux.operators.isolation import map_isolated, split_failures
 from gridflux.operators.joins import status_rows
 from gridflux.operators.nn import forward, random_weights
@@ -534,6 +534,16 @@ def rf_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(forest.predict_forest(model, o, features, "price").select("o_orderkey", "price_pred"))
 
 
+def forest_out_of_bag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A joint forest of customers' spending and number of orders, and its out-of-bag
+    predictions of all customers with orders."""
+    o = read(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.log(F.sum("o_totalprice")).alias("spent"), F.count("*").cast("double").alias("n"), F.avg(F.dayofyear("o_orderdate")).alias("doy"), F.max("o_totalprice").alias("top"))
+    c = read(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", F.col("c_nationkey").cast("double").alias("nation"), F.length("c_mktsegment").cast("double").alias("segment"))
+    rows = c.join(o, "c_custkey", "left")
+    model = bagging.fit(rows, "c_custkey", ["c_acctbal", "nation", "segment", "doy", "top"], ["spent", "n"])
+    return rounded(bagging.out_of_bag(model, rows, "c_custkey"), 5)
+
+
 def _skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Balances, squares, and values of a narrow range next to 0, whose lambda is thousands below 0."""
     bal = (F.col("c_acctbal") + 1000) / 11000
@@ -609,7 +619,7 @@ QUERIES = {
     "spectrogram_image": spectrogram_image, "terrain_derivatives": terrain_derivatives, "terrain_patches": terrain_patches, "site_topography": site_topography,
     "cnn_ensemble": cnn_ensemble, "map_pipeline": map_pipeline, "rf_regression": rf_regression, "fit_yeo_johnson": fit_yeo_johnson,
     "streaming_windows": streaming_windows, "map_rows": map_rows, "site_patches": site_patches, "topography_summary": topography_summary, "site_extents": site_extents,
-    "tiled_terrain": tiled_terrain, "tiled_sites": tiled_sites, "isolated_tiles": isolated_tiles, "transparent_cnn": transparent_cnn,
+    "tiled_terrain": tiled_terrain, "tiled_sites": tiled_sites, "isolated_tiles": isolated_tiles, "transparent_cnn": transparent_cnn, "forest_out_of_bag": forest_out_of_bag,
 }
 ORACLE_SQL = {
     "reshape_image": RESHAPE_SQL, "serpentine_image": SERPENTINE_SQL, "hilbert_image": HILBERT_SQL, "wrapped_image": WRAPPED_SQL,
