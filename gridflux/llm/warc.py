@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from gridflux.llm.common import shared_dir, stage
 
 DATE = "2026-01-01T00:00:00Z"
-#: Bits of the map of repeated digests: 2 MB.
-MAP_BITS = 1 << 24
+#: Bits of the map of repeated digests.
+LEAST_BITS, MOST_BITS = 1 << 16, 1 << 28
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = "page_id long, url string, digest string, record_type string, refers_to long, file string, offset long, length long"
 RECORD = "page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long"
@@ -41,12 +41,18 @@ def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+def map_bits(repeated: int) -> int:
+    """Bits of the map: some thirty for each repeated digest, so that few others hit it; at
+    most those of 50 MB of rows."""
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (32 * max(repeated, 1) - 1).bit_length()))
+
+
 def mark_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """(page_id, url, payload, sha1, record_type, refers_to) of each page; other columns of
     ``pages`` are left out.
 
     Digests that occur more than once are found on narrow rows and written.  Their
-    hashes set bits of a map of fixed size, which is broadcast; only payloads
+    hashes set bits of a map of bounded size, which is broadcast; only payloads
     whose bit is set join the digests (Spark broadcasts these while they are few),
     so the others, which surely occur once, are never shuffled."""
     keyed = pages.select("page_id", "url", "html").withColumn("payload", F.encode(F.coalesce("html", F.lit("")), "UTF-8"))
@@ -59,10 +65,11 @@ def mark_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
         .select("sha1", "keep")
     )
     repeated = stage(repeated, "warc-repeats")
-    slot = F.pmod(F.xxhash64("sha1"), F.lit(MAP_BITS))
+    bits = map_bits(repeated.count())
+    slot = F.pmod(F.xxhash64("sha1"), F.lit(bits))
     word, bit = F.floor(slot / 64).cast("int"), F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))
-    bits = repeated.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))  # MAP_BITS / 64 rows at most
-    looked = keyed.withColumns({"word": word, "bit": bit}).join(F.broadcast(bits), "word", "left")
+    words = repeated.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))  # MOST_BITS / 64 rows at most
+    looked = keyed.withColumns({"word": word, "bit": bit}).join(F.broadcast(words), "word", "left")
     set_ = F.coalesce(F.col("bits").bitwiseAND(F.col("bit")) != 0, F.lit(False))
     alone = looked.where(~set_).withColumn("keep", F.lit(None).cast("long"))
     marked = looked.where(set_).join(repeated, "sha1", "left").unionByName(alone)
