@@ -66,8 +66,3 @@ def to_indices(obs: DataFrame) -> DataFrame:
         "doy": F.dayofyear("ts"), "year": F.year("ts"),
     })
     return first.withColumn("kndvi", kndvi(F.col("ndvi")))
-
-
-def products_for(first_year: int, last_year: int) -> list[str]:
-    """Sensors that operated in the years."""
-    return [s for s, (a, b) in SENSOR_YEARS.items() if a <= last_year and b >= first_year]

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridflux.functions.indices import SENSOR_YEARS, kndvi, ndvi, products_for, reflectance, with_clear
+from gridflux.functions.indices import SENSOR_YEARS, kndvi, ndvi, reflectance, with_clear
 
 KNDVI_BANDS = ("red", "nir")
 
@@ -20,7 +20,7 @@ def in_years(ts: Column, first: int, last: int) -> Column:
 def load_window(spark: SparkSession, path: str, first: int, last: int, box: tuple[int, int, int, int] | None = None) -> DataFrame | None:
     """Observations of all sensors that operated in the years, with a clear mask
     (made by sensor before anything is united); None if no sensor did."""
-    sensors = products_for(first, last)
+    sensors = operating_sensors(spark, first, last)
     if not sensors:
         return None
     obs = spark.read.parquet(path).where(F.col("sensor").isin(*sensors) & in_years(F.col("ts"), first, last))
@@ -49,6 +49,12 @@ def sensor_dimension(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(s, a, b) for s, (a, b) in SENSOR_YEARS.items()], "sensor string, year_start int, year_end int")
 
 
+def operating_sensors(spark: SparkSession, first: int, last: int) -> list[str]:
+    """Sensors that operated in any year from ``first`` to ``last`` (of four)."""
+    there = sensor_dimension(spark).where((F.col("year_start") <= last) & (F.col("year_end") >= first))
+    return sorted(r["sensor"] for r in there.collect())
+
+
 def operating(obs: DataFrame, dimension: DataFrame) -> DataFrame:
     """Observations in the operating years of their sensor (four rows, broadcast)."""
     return obs.join(F.broadcast(dimension), "sensor").where(F.year("ts").between(F.col("year_start"), F.col("year_end"))).drop("year_start", "year_end")

@@ -15,7 +15,7 @@ from gridflux.functions.semantics import clean, clip, ieee_div
 from gridflux.operators import design, forest, joins, nn, preprocess, regularize, stats, targets, terrain, verify, windows
 from gridflux.plans import map_inference
 from gridflux.queries.grids import stand_in_ensemble
-from gridflux.sources import sinks, tables
+from gridflux.sources import observations, sinks, tables
 from gridflux.streaming.events import resume_sink
 
 
@@ -44,7 +44,7 @@ def test_mask_and_reflectance(spark):
     df = spark.createDataFrame(rows, "sensor string, qa int, dn int")
     got = df.select(indices.reflectance(F.col("dn"), indices.clear_mask(F.col("qa"), F.col("sensor"))).alias("r")).collect()
     assert [None if r.r is None else round(r.r, 6) for r in got] == [None, 0.0475, None, None, None]
-    assert indices.products_for(1985, 1990) == ["L5"] and indices.products_for(1970, 1980) == []
+    assert observations.operating_sensors(spark, 1985, 1990) == ["L5"] and observations.operating_sensors(spark, 1970, 1980) == []
 
 
 def reference_curve(t, v, lo, hi, steps, roll):
@@ -362,7 +362,6 @@ def test_geometry_helpers(spark):
 
 def test_scans_of_files(spark, tmp_path):
     """Archive by years and box, land cover by file name, outputs by object name, forests on disk."""
-    from gridflux.sources import observations
 
     root = str(tmp_path)
     rows = [("t0", i, i, 0, dt.datetime(1999 + i, 6, 1), s, 8000, 9000, 0) for i in range(6) for s in ("L5", "L8")]
