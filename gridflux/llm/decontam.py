@@ -210,8 +210,8 @@ def edited(text: str, most: int, kind: str, rng: np.random.Generator) -> str:
         at, how = int(rng.integers(len(w))), int(rng.integers(3))
         return w[:at] + ("" if how == 0 and len(w) > 1 else letter() + (w[at:] if how == 1 else w[at + 1 :])) if how else w[:at] + w[at + 1 :] or letter()
 
-    if kind == "typos":  # one in each word, or in each second or third
-        step = int(rng.integers(1, 4))
+    if kind == "typos":  # one in each second or third word
+        step = int(rng.integers(2, 4))
         for i in range(int(rng.integers(step)), len(words), step)[:most]:
             words[i] = typo(words[i])
         return " ".join(words)
