@@ -188,11 +188,18 @@ CURVES_SQL = _regular_sql(
 
 def causal_curve_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: a curve for each part and causal window, pinned to the window's
-    first and last slice, and its statistics."""
-    rows = _windowed(spark, sf_dir)
-    spans = windows.window_spans(rows, ["year"]).select("year", "lo", "hi")
-    keys = rows.select("year", "px").distinct().join(spans, "year")
-    grid = regularize.regularize(rows, keys, ["year", "px"], STEPS)
+    first and last slice, and its statistics.  The archive is read and dealt once, as
+    panes of a part and year; spans, keys and windows all come from these."""
+    rows = part_series(spark, sf_dir).where(in_years(F.col("ts"), min(YEARS) - windows.SPAN + 1, max(YEARS)))
+    dealt = rows.select("px", F.year("ts").alias("pane"), F.struct("t", "tie", "v", "sensor", "ts").alias("o")).repartition("px")
+    panes = dealt.groupBy("px", "pane").agg(F.sort_array(F.collect_list("o")).alias("s"))
+    slices = panes.select(F.explode("s").alias("o")).select("o.*")
+    spans = windows.merge_panes(windows.slice_panes(slices, []), [], list(YEARS)).select("year", "lo", "hi")
+    mine = F.filter(F.sequence(F.col("pane"), F.col("pane") + windows.SPAN - 1), lambda y: y.isin(*YEARS))
+    held = panes.select("px", "s", F.explode(mine).alias("year"))
+    keys = held.where(F.size("s") > 0).select("year", "px").distinct().join(spans, "year")  # of whole panes, whose exchange is reused
+    obs = held.select("year", "px", F.explode("s").alias("o")).select("year", "px", "o.t", "o.tie", "o.v")
+    grid = regularize.regularize(obs, keys, ["year", "px"], STEPS)
     return rounded(stats.curve_stats(grid.where("value IS NOT NULL"), ["year", "px"]), 6)
 
 
