@@ -35,7 +35,7 @@ def by_definition(score):
 def test_maximal_segments():
     rng = np.random.default_rng(0)
     for _ in range(400):
-        score = np.round(rng.normal(-0.3, 1, rng.integers(0, 25)), 2)
+        score = rng.normal(-0.3, 1, rng.integers(0, 25))
         total, first, stop = toxicity.maximal_segments(score)
         assert np.allclose(total, by_definition(score)) and np.allclose(total, [score[a:b].sum() for a, b in zip(first, stop, strict=True)])
         assert (first[1:] >= stop[:-1]).all()
@@ -80,14 +80,14 @@ def planted(spark):
     """Invented prose with insults, some of them with an unseen ending of a seen stem."""
     rng = random.Random(5)
     calm = ["".join(rng.choice("aeiou") + rng.choice("lmnrst") for _ in range(rng.randrange(1, 4))) for _ in range(300)]
-    insult = [f"grmpf{x}" for x in ("", "o", "ak", "ist", "el", "und")]
+    insult = [f"grmpf{a}{b}" for a in "aeiou" for b in ("", "k", "st", "nz", "rd", "lb")]
     rows, marks = [], []
     for i in range(900):
         text = [rng.choice(calm) for _ in range(rng.randrange(20, 200))]
         bad = i % 6 == 0
         if bad:
             at = rng.randrange(len(text))
-            text[at:at] = [x for _ in range(4) for x in (rng.choice(insult[:4]), rng.choice(calm))]
+            text[at:at] = [x for _ in range(4) for x in (rng.choice(insult), rng.choice(calm))]
         rows.append((i, " ".join(text).capitalize() + "."))
         marks.append((i, int(bad)))
     return spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, toxic int"), calm
@@ -96,9 +96,9 @@ def planted(spark):
 def test_planted_passages_and_stems(spark, planted):
     docs, labels, calm = planted
     model = toxicity.fit(docs, labels)
-    text = "é " + " ".join(calm[:80]) + ". Grmpfel you grmpfund, GRMPFEL! " + " ".join(calm[80:160])
+    text = "é " + " ".join(calm[:80]) + ". Grmpfel you grmpfund, GRMPFYX! " + " ".join(calm[80:160])
     clean = " ".join(calm[:160]) + " 12 ### " + " ".join([calm[0]] * 400)
-    got = {r.k: r for r in toxicity.find_passages(spark.createDataFrame([(1, text), (2, clean), (3, text + clean * 30)], "k int, text string"), model, ["k"]).collect()}
+    got = {r.k: r for r in toxicity.find_passages(spark.createDataFrame([(1, text), (2, clean), (3, text.replace("Grmpfel", "Grmpfel grmpfa grmpfok grmpfist grmpfunz grmpferd") + clean * 30)], "k int, text string"), model, ["k"]).collect()}
     (passage,) = got[1].passages
     found = text.encode()[passage.start : passage.stop].decode()
     assert found.startswith("Grmpfel") and "grmpfund" in found and passage.e_value <= toxicity.E_VALUE and got[1].score >= 0.3
@@ -109,14 +109,14 @@ def test_planted_passages_and_stems(spark, planted):
 def test_every_passage_is_found(spark, planted):
     docs, labels, calm = planted
     model = toxicity.fit(docs, labels)
-    text = " ".join(w for k in range(5) for w in [*calm[k * 50 : k * 50 + 50], "grmpf", "grmpfo", "grmpfak"])
+    text = " ".join(w for k in range(5) for w in [*calm[k * 50 : k * 50 + 50], "grmpfa", "grmpfok", "grmpfist"])
     (r,) = toxicity.find_passages(spark.createDataFrame([(1, text)], "k int, text string"), model, ["k"]).collect()
     assert len(r.passages) == 5
 
 
 def test_toxicity_edges(spark, planted):
     docs, labels, _ = planted
-    rows = [(1, None, "a"), (2, "", "b"), (3, " 12 ## ", "c"), (None, "grmpf grmpfo grmpfak", None), (5, "grmpf " * 50_000, "d"), (5, "grmpf " * 50_000, "d")]
+    rows = [(1, None, "a"), (2, "", "b"), (3, " 12 ## ", "c"), (None, "grmpfa grmpfok grmpfist", None), (5, "grmpfa " * 50_000, "d"), (5, "grmpfa " * 50_000, "d")]
     edge = spark.createDataFrame(rows, "doc_id long, text string, passages string")
     model = toxicity.fit(docs.union(edge.select("doc_id", "text")), labels.union(spark.createDataFrame([(None, 1), (1, None), (6, 1), (6, 0)], labels.schema)))
     got = toxicity.find_passages(edge, model, ["doc_id"]).collect()
