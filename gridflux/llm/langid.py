@@ -197,7 +197,7 @@ def length_class(n: Column) -> Column:
     return F.least(F.greatest(F.floor(F.log2(n + 1.0)), F.lit(SHORTEST)), F.lit(LONGEST)).cast("int")
 
 
-def least_known(docs: DataFrame, model: LanguageModel, per_lang: int, most: float, low: float = 0.01, share: float = 0.85) -> dict[int, float]:
+def least_known(docs: DataFrame, model: LanguageModel, per_lang: int, most: float, low: float = 0.01, share: float = 0.88) -> dict[int, float]:
     """By class of length the share of usual n-grams that a text of a known language
     reaches: ``share`` of the ``low`` quantile over passages of the class's least length,
     one from each learning text outside the sample that is so long.  The class of the
