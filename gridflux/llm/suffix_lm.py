@@ -191,22 +191,31 @@ def spelling(blocks: DataFrame, answers: DataFrame, buckets: int, least_share: f
     """The byte model of the words that blocks were picked to spell.  Contexts of two bytes below ``least_share`` are left to those of
     one, so at most 1 / least_share of them reach the driver."""
 
+    def by_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Spellings in the order of the words' keys: their hashes aren't shuffled again."""
+        for batch in batches:
+            for row in batch.to_pylist():
+                (vocab,), (long, letters) = unpack(row["vocab"]), unpack(row["spell"])
+                order, _ = word_keys(vocab, buckets)
+                long = np.append(long, 0).astype(np.int64)
+                first = (np.cumsum(long) - long)[order]
+                long = long[order]
+                at = np.repeat(first - (np.cumsum(long) - long), long) + np.arange(int(long.sum()))
+                yield pa.RecordBatch.from_arrays([pa.array([row["chunk"]], pa.int64()), pa.array([pack(long.astype(np.uint32), letters[at])], pa.binary())], names=["chunk", "spell"])
+
     def run(body: pa.Table, answer: pa.Table) -> pa.Table:
-        mine = list(zip(answer.column("bucket").to_pylist(), answer.column("spells").to_pylist(), strict=True))
+        own = joined(list(zip(answer.column("bucket").to_pylist(), answer.column("spells").to_pylist(), strict=True))) > 0
         found = []
-        for row in body.to_pylist():
-            (vocab,), (long, letters) = unpack(row["vocab"]), unpack(row["spell"])
-            order, _ = word_keys(vocab, buckets)
-            own = np.zeros(len(vocab) + 1, bool)
-            own[order] = joined(mine) > 0
+        for blob in body.column("spell").to_pylist():
+            long, letters = unpack(blob)
             end = np.cumsum(long.astype(np.int64))
-            pick = np.flatnonzero(own[:-1] & (long > 0))
+            pick = np.flatnonzero(own & (long > 0))
             found.append(spelled(letters, end[pick] - long[pick], end[pick])[0])
         codes, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.int64),) * 2
         return pa.table({"code": pa.array(codes.astype(np.int64)), "n": pa.array(n.astype(np.int64))})
 
-    bodies = blocks.select("chunk", "vocab", "spell").groupBy("chunk")
-    codes = bodies.cogroup(answers.select("chunk", "bucket", "spells").groupBy("chunk")).applyInArrow(run, "code long, n long")
+    bodies = blocks.select("chunk", "vocab", "spell").mapInArrow(by_range, "chunk long, spell binary").groupBy("chunk")
+    codes = bodies.cogroup(answers.where("spells IS NOT NULL").select("chunk", "bucket", "spells").groupBy("chunk")).applyInArrow(run, "code long, n long")
     codes = stage(codes.groupBy("code").agg(F.sum("n").alias("n")), "lm-bytes").withColumn("context", F.floor(F.col("code") / BYTES))
     one = np.zeros((BYTES, BYTES))
     for r in codes.groupBy((F.col("code") % (BYTES * BYTES)).alias("pair")).agg(F.sum("n").alias("n")).collect():  # 257 x 257 at most
