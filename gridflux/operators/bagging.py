@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from gridflux.operators.ranks import percentiles
 from gridflux.operators.staging import fixed
 
-BINS, CELLS = 64, 4 << 20  # bins of a feature; numbers in a task's histograms
+BINS, CELLS, TASK_ROWS = 64, 4 << 20, 10_000  # bins of a feature; numbers in a task's histograms; its rows
 _GOLD, _A, _B = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Distribution function of Poisson draws with mean 1, up to where it is 1 in double precision.
 _POISSON = np.cumsum(np.exp(-1.0) / np.cumprod(np.concatenate(([1.0], np.arange(1.0, 20)))))
@@ -124,6 +124,7 @@ def fit(df: DataFrame, key: str, features: list[str], targets: list[str], trees:
     """A forest of ``targets`` jointly; ``key`` is a whole number that names a row."""
     complete = df.dropna(subset=targets).select(F.col(key).cast("long").alias("key"), *(F.col(f).cast("double").alias(f) for f in features), *(F.col(t).cast("double").alias(t) for t in targets))
     rows = fixed(complete)
+    rows = rows.coalesce(1 + rows.count() // TASK_ROWS)  # each task walks all trees, so few rows are few tasks
     edges = cut_points(rows, features, bins)
     model = Forest(features, targets, edges, seed, [Tree() for _ in range(trees)])
     width, k = max((len(e) + 1 for e in edges), default=1), 1 + len(targets)
