@@ -537,6 +537,48 @@ def test_language_stage_rejects_unknown_languages_of_any_length(spark, size):
     assert len([d for d in kept if d < 10**7]) >= 0.98 * docs.where("text IS NOT NULL").count()
 
 
+def test_language_counts_and_thresholds_are_of_all_learning_rows(spark):
+    """Usual n-grams and thresholds recounted over every learning row, of which there are
+    many times more than landmarks; what is usual for a passage, other texts say."""
+    rng = random.Random(12)
+    syllables = {"aa": ["ba", "co", "di", "fu", "le", "my"], "bb": ["ze", "xu", "di", "po", "le", "qa"]}
+    rows = []
+    for i in range(9000):
+        lang = rng.choice(["aa", "aa", "bb"])
+        rare = [f"{rng.choice('bcdfghjkl')}{rng.choice('aeiou')}{rng.choice('mnpqrstvwz')}" for _ in range(rng.randrange(3))]
+        rows.append((i, " ".join(rng.choice(syllables[lang]) + rng.choice(syllables[lang]) for _ in range(rng.randrange(4, 30))) + " " + " ".join(rare), lang))
+    docs = spark.createDataFrame(rows + rows[:500], "doc_id long, text string, lang string").repartition(5)
+    own = [(t, lang) for i, t, lang in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+
+    def cells(some):
+        return langid.presence(np.frombuffer("".join(some).encode(), np.uint8), np.cumsum([0, *(len(t.encode()) for t in some)]))
+
+    learned = langid.stage(langid.learning_rows(docs), "test-language")
+    assert learned.count() == len(own)
+    model = langid.learn(docs)
+    held, texts = np.zeros((2, langid.WIDTH), int), np.zeros(2, int)
+    for k, lang in enumerate(model.langs):
+        mine = [t for t, x in own if x == lang]
+        texts[k], held[k] = len(mine), sum(cells(mine[i : i + 500]).sum(axis=0) for i in range(0, len(mine), 500))
+    assert (model.usual.T == (held >= langid.COMMON * texts[:, None])).all()
+    again = langid.learn_rows(learned.repartition(3))  # sums don't depend on the table's parts
+    assert (again.weights == model.weights).all() and (again.bias == model.bias).all() and (again.usual == model.usual).all()
+
+    start = {r.text: r.h for r in learned.select("text", F.xxhash64("text").alias("h")).collect()}
+    least = langid.least_known(learned, model)
+    assert set(least) == {5, 6, 7}
+    for size, got in least.items():
+        known, n = [], 1 << size
+        for t, lang in own:
+            if len(t) >= n:
+                at = start[t] % (len(t) - n + 1)
+                c = cells([t[at : at + n]])
+                best = int(model.score(c).argmax())
+                less = int(model.langs[best] == lang)
+                known.append(math.floor(langid.STEPS * ((held[best] - less >= langid.COMMON * (texts[best] - less)) & (held[best] > less))[c[0]].mean() + 1e-9))
+        assert len(known) > 1000 and math.isclose(got, 0.88 * np.quantile(known, 0.01) / langid.STEPS, abs_tol=2e-4)
+
+
 # 6 media
 
 
