@@ -12,8 +12,9 @@ evidence plus the logit of its path's posterior mean; documents below the
 threshold are rejected.
 
 A document is good if its label says quality 1 and not toxic.  The classifier
-is fitted on a sample of about ``sample`` labelled documents (twice as many at most,
-of each id one row; a documented bound); site statistics and scores cover all documents.
+is fitted on all labelled documents (of each id one row): words are counted by Spark,
+and Spark ML's logistic regression adds up its gradients over all of them; site
+statistics and scores cover all documents.
 
 Defined cases: a null or empty text has the evidence of a text without words
 and is rejected; a null source or language is a site of its own; repeated rows
@@ -29,12 +30,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridflux.llm.common import byte_slices, find_words, stage, table, text_buffers, tucked
 
 SHAPE, PREFIX = 14, 4
+#: Labelled ids that are broadcast to find their texts.
+MOST_MARKS = 2_000_000
 
 
 def _classes() -> np.ndarray:
@@ -53,16 +58,14 @@ CLASSES = _classes()
 
 @dataclass
 class Evidence:
-    """Standardised logistic regression; ``vocabulary`` holds word hashes, sorted."""
+    """Logistic regression; ``vocabulary`` holds word hashes, sorted."""
 
     vocabulary: np.ndarray
-    centre: np.ndarray
-    scale: np.ndarray
     weights: np.ndarray
     bias: float
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        return ((x - self.centre) / self.scale) @ self.weights + self.bias
+        return x @ self.weights + self.bias
 
 
 def features(data: np.ndarray, bounds: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
@@ -106,19 +109,23 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return known.groupBy("doc_id").agg(F.min(good.cast("int")).alias("good"))
 
 
-def fit_evidence(docs: DataFrame, labels: DataFrame, sample: int = 4000, words: int = 600, steps: int = 300, ridge: float = 1e-3) -> Evidence | None:
+def fit_evidence(docs: DataFrame, labels: DataFrame, sample: int | None = None, words: int = 600, steps: int = 300, ridge: float = 1e-3) -> Evidence | None:
+    """The classifier from all labelled documents, or from about ``sample`` of them."""
     marks = labelled(docs, labels)
-    total = marks.count()
-    pick = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample / max(1, total))))
-    pick = pick.orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(pick), "doc_id")
-    # Of several rows with one id one counts, so that the sample bounds them too.
+    if sample is not None:
+        total = marks.count()
+        marks = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample / max(1, total))))
+    marks = stage(marks, "quality-marks")
+    if marks.count() <= MOST_MARKS:  # else Spark shuffles the texts
+        marks = F.broadcast(marks)
+    rows = docs.select("doc_id", "text").join(marks, "doc_id")
+    # Of several rows with one id one counts.
     rows = rows.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.max("good").alias("good"))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Distinct hashes of words and their beginnings of each text, and its shape."""
         for batch in batches:
-            data, bounds = text_buffers(batch.column(1))
+            data, bounds = text_buffers(batch.column(0))
             shapes, vocab = [], []
             for i, j in byte_slices(bounds):
                 shapes += [x.tobytes() for x in features(data, bounds[i : j + 1], np.zeros(0, np.uint64))]
@@ -126,42 +133,49 @@ def fit_evidence(docs: DataFrame, labels: DataFrame, sample: int = 4000, words:
                 for a, b in zip(w.first[:-1], w.first[1:], strict=True):
                     both = np.unique(np.concatenate((w.hash[a:b], w.prefix[a:b])))
                     vocab.append(both[both != 0].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shapes, pa.binary()), pa.array(vocab, pa.binary()), batch.column(2)], names=["doc_id", "shape", "vocab", "good"])
+            yield pa.RecordBatch.from_arrays([pa.array(shapes, pa.binary()), pa.array(vocab, pa.binary()), batch.column(1)], names=["shape", "vocab", "good"])
 
-    got = sorted(rows.mapInArrow(gather, "doc_id long, shape binary, vocab binary, good int").collect(), key=lambda r: (r["doc_id"], r["vocab"]))
-    y = np.array([r["good"] for r in got], np.float64)
-    if len(set(y.tolist())) < 2:
+    got = stage(rows.select("text", "good").mapInArrow(gather, "shape binary, vocab binary, good int"), "quality-rows")
+    n1, n0 = got.agg(F.count_if(F.col("good") == 1), F.count_if(F.col("good") == 0)).first()
+    if not n1 or not n0:
         return None
-    # Words whose document frequency differs most between the two kinds.
-    hashes = [np.frombuffer(r["vocab"], np.uint64) for r in got]
-    flat = np.concatenate(hashes)
-    distinct, inverse, df = np.unique(flat, return_inverse=True, return_counts=True)
-    good_df = np.bincount(inverse, np.repeat(y, [len(h) for h in hashes]), minlength=len(distinct))
-    n1, n0 = y.sum(), len(y) - y.sum()
-    p1, p0 = (good_df + 0.5) / (n1 + 1), (df - good_df + 0.5) / (n0 + 1)
-    telling = np.abs(p1 - p0) / np.sqrt(p1 * (1 - p1) / n1 + p0 * (1 - p0) / n0)
-    telling[df < 5] = 0
-    vocabulary = np.sort(distinct[np.argsort(-telling, kind="stable")[: min(words, int((telling > 3).sum()))]])
-    x = np.zeros((len(y), SHAPE + len(vocabulary)))
-    for k, r in enumerate(got):
-        x[k, :SHAPE] = np.frombuffer(r["shape"], np.float64)
-        if len(vocabulary) and len(hashes[k]):
-            at = np.minimum(np.searchsorted(vocabulary, hashes[k]), len(vocabulary) - 1)
-            hit = vocabulary[at] == hashes[k]
-            x[k, SHAPE + at[hit]] = 1.0
-    centre, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-6)
-    z = np.column_stack(((x - centre) / scale, np.ones(len(y))))
-    weight = np.where(y == 1, 0.5 / n1, 0.5 / n0)  # balanced: the prior enters through the sites
-    w = np.zeros(z.shape[1])
-    for _ in range(min(steps, 25)):  # Newton steps
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        slope = z.T @ (weight * (p - y)) + ridge * np.append(w[:-1], 0)
-        curve = (z * (weight * np.maximum(p * (1 - p), 1e-9))[:, None]).T @ z + ridge * np.eye(len(w))
-        step = np.linalg.solve(curve, slope)
-        w -= step
-        if np.abs(step).max() < 1e-6:
-            break
-    return Evidence(vocabulary, centre, scale, w[:-1], float(w[-1]))
+    vocabulary = telling_words(got, n1, n0, words)
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 1024):
+                some = batch.slice(i, 1024)
+                x = np.zeros((some.num_rows, SHAPE + len(vocabulary)))
+                for k, (shape, vocab) in enumerate(zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True)):
+                    x[k, :SHAPE] = np.frombuffer(shape, np.float64)
+                    x[k, SHAPE:] = np.isin(vocabulary, np.frombuffer(vocab, np.uint64))
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
+                yield pa.RecordBatch.from_arrays([lists, some.column(2)], names=["x", "good"])
+
+    # Balanced: the prior enters through the sites.
+    weight = F.when(F.col("good") == 1, 0.5 * (n1 + n0) / n1).otherwise(0.5 * (n1 + n0) / n0)
+    data = got.mapInArrow(vectors, "x array<double>, good int").select(array_to_vector("x").alias("x"), F.col("good").cast("double").alias("good"), weight.alias("weight"))
+    model = LogisticRegression(featuresCol="x", labelCol="good", weightCol="weight", regParam=ridge, maxIter=steps, tol=1e-8).fit(data)
+    return Evidence(vocabulary, model.coefficients.toArray(), float(model.intercept))
+
+
+def telling_words(got: DataFrame, n1: int, n0: int, most: int) -> np.ndarray:
+    """Hashes of the words whose document frequency differs most between the kinds."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = [np.frombuffer(x, np.uint64) for x in batch.column(0).to_pylist()]
+            good = np.repeat(np.array(batch.column(1).to_pylist(), np.int64), [len(h) for h in hashes])
+            distinct, inverse, df = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+            of_good = np.bincount(inverse, good, minlength=len(distinct)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(of_good), pa.array(df.astype(np.int64) - of_good)], names=["word", "a", "b"])
+
+    counts = got.select("vocab", "good").mapInArrow(count, "word long, a long, b long").groupBy("word").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    p1, p0 = (F.col("a") + 0.5) / (n1 + 1), (F.col("b") + 0.5) / (n0 + 1)
+    telling = F.abs(p1 - p0) / F.sqrt(p1 * (1 - p1) / n1 + p0 * (1 - p0) / n0)
+    found = counts.where(F.col("a") + F.col("b") >= 5).select("word", telling.alias("telling")).where("telling > 3")
+    picked = found.orderBy(F.desc("telling"), "word").limit(most).collect()
+    return np.sort(np.array([r["word"] for r in picked], np.int64).view(np.uint64))
 
 
 def with_evidence(docs: DataFrame, model: Evidence | None) -> DataFrame:

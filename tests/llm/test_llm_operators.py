@@ -449,6 +449,42 @@ def test_quality_of_repeated_label_ids(spark):
     assert quality.fit_evidence(docs, labels, sample=10**6) is not None
 
 
+def test_quality_evidence_is_of_all_labelled_documents(spark):
+    """Word counts and the regression over 9,500 labelled documents, held against numpy."""
+    rng = random.Random(4)
+    rows, marks = [], []
+    for i in range(9500):
+        good = rng.random() < 0.7
+        picked = [rng.choice(["river", "stone", "meadow", "winter"] if rng.random() < (0.6 if good else 0.4) else ["casino", "bonus", "click", "prize"]) for _ in range(8)]
+        rows.append((i, " ".join(picked + [f"w{rng.randrange(3000)}"]), "s", "en"))
+        marks.append((i, int(good), 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    model = quality.fit_evidence(docs, spark.createDataFrame(marks, "doc_id long, quality int, toxic int"))
+    raw = [r[1].encode() for r in rows]
+    x = quality.features(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), model.vocabulary)
+    y = np.array([m[1] for m in marks], float)
+    weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
+    mean = weight @ x
+    scale = np.sqrt(weight @ (x - mean) ** 2)
+    live = scale > 1e-9
+    z = np.column_stack(((x - mean)[:, live] / scale[live], np.ones(len(y))))
+    w = np.append(model.weights[live] * scale[live], model.bias + model.weights @ mean)
+    # At the minimum over all rows the gradient is 0; a sample's minimum leaves some.
+    slope = z.T @ (weight * (1 / (1 + np.exp(-z @ w)) - y)) + 1e-3 * np.append(w[:-1], 0)
+    assert len(model.vocabulary) >= 8 and np.abs(slope).max() < 1e-4
+    counts = {}
+    for text, good in zip(raw, y, strict=True):
+        for word in set(text.split()):
+            counts.setdefault(word, np.zeros(2))[int(good)] += 1
+    n0, n1 = len(y) - y.sum(), y.sum()
+    want = set()
+    for word, (b, a) in counts.items():
+        p1, p0 = (a + 0.5) / (n1 + 1), (b + 0.5) / (n0 + 1)
+        if a + b >= 5 and abs(p1 - p0) / math.sqrt(p1 * (1 - p1) / n1 + p0 * (1 - p0) / n0) > 3:
+            want |= set(common.find_words(np.frombuffer(word, np.uint8), np.array([0, len(word)])).hash.tolist())
+    assert want <= set(model.vocabulary.tolist())
+
+
 # 5 language ID
 
 
