@@ -79,7 +79,8 @@ def tile_counts(pixels: DataFrame, group: list[str]) -> DataFrame:
 
 
 def _near(sites: DataFrame, half: int) -> DataFrame:
-    """(site_id, dr, dc, row, col) of the cells around each site."""
+    """(site_id, dr, dc, row, col) of the cells around each site.  Spark's size estimate
+    leaves out that there are 25 of them: join them by ``hint("merge")``, never by broadcast."""
     step = F.explode(F.sequence(F.lit(-half), F.lit(half)))
     near = sites.select("site_id", F.col("row").alias("r0"), F.col("col").alias("c0"), step.alias("dr")).select("*", step.alias("dc"))
     return near.select("site_id", "dr", "dc", (F.col("r0") + F.col("dr")).alias("row"), (F.col("c0") + F.col("dc")).alias("col"))
@@ -88,7 +89,7 @@ def _near(sites: DataFrame, half: int) -> DataFrame:
 def patch_stats(grid: DataFrame, sites: DataFrame, names: list[str], half: int = 2) -> DataFrame:
     """Centre value, mean and population deviation over a square around each
     site's cell, cut at the grid's edge.  Sites bring (site_id, row, col)."""
-    joined = _near(sites, half).join(grid, ["row", "col"])
+    joined = _near(sites, half).join(grid.hint("merge"), ["row", "col"])
     centre = (F.col("dr") == 0) & (F.col("dc") == 0)
     aggs = []
     for n in names:
@@ -99,7 +100,7 @@ def patch_stats(grid: DataFrame, sites: DataFrame, names: list[str], half: int =
 def patch_arrays(grid: DataFrame, sites: DataFrame, names: list[str], half: int = 2) -> DataFrame:
     """(site_id, height, width, an array a layer): the square around each site's cell,
     row by row, cut at the grid's edge."""
-    cells = _near(sites, half).join(grid, ["row", "col"])
+    cells = _near(sites, half).join(grid.hint("merge"), ["row", "col"])
     ordered = F.sort_array(F.collect_list(F.struct("row", "col", *(F.col(n).alias(n) for n in names))))  # a patch has 25 cells
     out = cells.groupBy("site_id").agg(ordered.alias("p"), F.countDistinct("row").cast("int").alias("height"), F.countDistinct("col").cast("int").alias("width"))
     return out.select("site_id", "height", "width", *(F.col(f"p.{n}").alias(n) for n in names))

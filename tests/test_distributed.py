@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from gridflux.operators import isolation, joins, nn, ranks, targets, terrain, verify, windows
 from gridflux.operators.staging import fixed
+from gridflux.operators.stats import patch_arrays
 from gridflux.functions.power import Power
 from gridflux.plans import map_inference
 from gridflux.plans.topography import extract_patches, extract_topography
-from gridflux.queries.grids import stand_in_ensemble
+from gridflux.queries.grids import stand_in_ensemble, terrain_patches
 from gridflux.sources import blocks, observations, sinks
 from gridflux.streaming.events import read_events, windowed_stats
 
@@ -83,6 +84,16 @@ def test_patches_cross_the_borders_of_tiles(spark):
     assert math.isclose(means[1].elevation_mean, 4 * 20 + 7) and means[2].tpi is None
 
 
+def test_cells_around_sites_are_never_broadcast(spark, sf_dir):
+    """Spark's size estimate leaves out that each site has 25 cells."""
+    assert "BroadcastHashJoin" not in terrain_patches(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    grid = spark.createDataFrame([(r, c, 1.0) for r in range(6) for c in range(6)], "row int, col int, elevation double")
+    sites = spark.createDataFrame([(1, 0, 0), (2, 3, 3)], "site_id int, row int, col int")
+    found = patch_arrays(grid, sites, ["elevation"])
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {r.site_id: len(r.elevation) for r in found.collect()} == {1: 9, 2: 25}
+
+
 def test_panes_are_the_windows(spark):
     rng = np.random.default_rng(5)
     rows = [(int(t), dt.datetime(1996 + int(y), int(m), 4), "L5", float(d) if d > 0.3 else None) for t, y, m, d in zip(rng.integers(0, 3, 200), rng.integers(0, 7, 200), rng.integers(1, 13, 200), rng.random(200), strict=True)]
