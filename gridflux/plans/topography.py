@@ -48,8 +48,10 @@ def _placed(dem: DataFrame, sites: DataFrame, res: float, done: DataFrame | None
     if done is not None:
         sites = sites.join(done.select("site_id").distinct(), "site_id", "left_anti")
     asked = sites.select(*tile).distinct()
-    grid = with_halo(dem, shape, halo, asked) if shape else dem
-    grid = grid.join(lats.join(asked, tile, "left_semi"), tile).withColumn("elevation", valid_elevation(F.col("elevation")))
+    grid = with_halo(dem, shape, halo, asked) if shape else dem.join(asked, tile, "left_semi")
+    # All tiles asked for have a latitude.  Of a left join only the right side, a row a tile,
+    # can be broadcast; size estimates leave out a halo's copies of cells.
+    grid = grid.join(lats, tile, "left").withColumn("elevation", valid_elevation(F.col("elevation")))
     if shape:
         name = F.struct(*tile).alias("tile_id")
         grid, sites = grid.select(name, "row", "col", "elevation", "lat"), sites.select(name, *(c for c in sites.columns if c not in tile))

@@ -14,7 +14,7 @@ from gridflux.operators.stats import patch_arrays
 from gridflux.functions.power import Power
 from gridflux.plans import map_inference
 from gridflux.plans.topography import extract_patches, extract_topography
-from gridflux.queries.grids import stand_in_ensemble, terrain_patches
+from gridflux.queries.grids import stand_in_ensemble, terrain_patches, tiled_sites
 from gridflux.sources import blocks, observations, sinks
 from gridflux.streaming.events import read_events, windowed_stats
 
@@ -94,6 +94,21 @@ def test_cells_around_sites_are_never_broadcast(spark, sf_dir):
     assert {r.site_id: len(r.elevation) for r in found.collect()} == {1: 9, 2: 25}
 
 
+def test_cells_with_halo_are_never_broadcast(spark, sf_dir, tmp_path):
+    """Many sites on few tiles: estimates find the copied cells smaller than latitudes."""
+    cells = [(r // 4, c // 4, r % 4, c % 4, float(r * 20 + c)) for r in range(12) for c in range(12)]
+    spark.createDataFrame(cells, "tile_row int, tile_col int, row int, col int, elevation double").coalesce(1).write.parquet(f"{tmp_path}/grid")
+    sites = spark.range(20_000).select(F.col("id").alias("site_id"), *((F.xxhash64("id", F.lit(k)) % n).cast("int").alias(c) for k, (c, n) in enumerate((("tile_row", 3), ("tile_col", 3), ("row", 4), ("col", 4)))), F.rand(1).alias("lat"))
+    sites.withColumns({c: F.abs(c) for c in ("tile_row", "tile_col", "row", "col")}).coalesce(1).write.parquet(f"{tmp_path}/sites")
+    for name in ("grid", "sites"):
+        spark.read.parquet(f"{tmp_path}/{name}").createOrReplaceTempView(name)
+    found = extract_topography(spark.table("grid"), spark.table("sites"), 30.0, shape=(4, 4), halo=7)
+    for plan in (found, tiled_sites(spark, sf_dir)):
+        joins = [x for x in plan._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in x]
+        assert len(joins) >= 2 and not any("BuildLeft" in x or "BroadcastHashJoin [row" in x for x in joins)
+    assert found.count() == 20_000 and found.where("elevation <> elevation OR elevation IS NULL").count() == 0
+
+
 def test_panes_are_the_windows(spark):
     rng = np.random.default_rng(5)
     rows = [(int(t), dt.datetime(1996 + int(y), int(m), 4), "L5", float(d) if d > 0.3 else None) for t, y, m, d in zip(rng.integers(0, 3, 200), rng.integers(0, 7, 200), rng.integers(1, 13, 200), rng.random(200), strict=True)]
