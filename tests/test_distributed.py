@@ -8,13 +8,13 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from gridflux.operators import isolation, joins, nn, ranks, targets, terrain, verify, windows
+from gridflux.operators import isolation, joins, nn, ranks, stats, targets, terrain, verify, windows
 from gridflux.operators.staging import fixed
 from gridflux.operators.stats import patch_arrays
 from gridflux.functions.power import Power
 from gridflux.plans import map_inference
 from gridflux.plans.topography import extract_patches, extract_topography
-from gridflux.queries.grids import stand_in_ensemble, terrain_patches, tiled_sites
+from gridflux.queries.grids import stand_in_ensemble, terrain_patches, tiled_sites, topography_summary
 from gridflux.sources import blocks, observations, sinks
 from gridflux.streaming.events import read_events, windowed_stats
 
@@ -109,6 +109,16 @@ def test_cells_with_halo_are_never_broadcast(spark, sf_dir, tmp_path):
     assert found.count() == 20_000 and found.where("elevation <> elevation OR elevation IS NULL").count() == 0
 
 
+def test_summary_of_sites_sends_no_cells_through_the_driver(spark, sf_dir, monkeypatch):
+    """The plan that the summary fixes: its only broadcasts have a row a tile."""
+    plans = []
+    monkeypatch.setattr(stats, "fixed", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or fixed(df))
+    assert topography_summary(spark, sf_dir).count() == 4
+    joins = [x for x in plans[0].splitlines() if "Join" in x]
+    assert len(plans) == 1 and any("SortMergeJoin [row" in x for x in joins)
+    assert not any("BuildLeft" in x or "BroadcastHashJoin [row" in x for x in joins)
+
+
 def test_panes_are_the_windows(spark):
     rng = np.random.default_rng(5)
     rows = [(int(t), dt.datetime(1996 + int(y), int(m), 4), "L5", float(d) if d > 0.3 else None) for t, y, m, d in zip(rng.integers(0, 3, 200), rng.integers(0, 7, 200), rng.integers(1, 13, 200), rng.random(200), strict=True)]
