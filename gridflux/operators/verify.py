@@ -27,12 +27,14 @@ def missing_outputs(rows: DataFrame, tiles: list[str], years: list[int]) -> Data
 
 def band_checks(pixels: DataFrame, group: list[str], bands: list[str]) -> DataFrame:
     """(group, band, valid_frac, sd): share of native cells with a value, and the
-    population deviation of the values."""
+    population deviation of the values, exactly 0 where all are one finite value."""
     pairs = F.explode(F.array(*(F.struct(F.lit(b).alias("band"), F.col(b).cast("double").alias("value")) for b in bands)))
     long = pixels.select(*group, "native", pairs.alias("s")).select(*group, "native", "s.band", "s.value")
     native = F.col("native").cast("boolean")
+    # Deviations of parts are merged with rounding, so one value may get some 1e-16.
+    sd = F.when(F.max("value") - F.min("value") == 0, F.lit(0.0)).otherwise(F.stddev_pop("value"))
     return long.groupBy(*group, "band").agg(
-        F.avg(F.when(native, F.col("value").isNotNull().cast("double"))).alias("valid_frac"), F.stddev_pop("value").alias("sd")
+        F.avg(F.when(native, F.col("value").isNotNull().cast("double"))).alias("valid_frac"), sd.alias("sd")
     )
 
 

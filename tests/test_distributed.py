@@ -268,3 +268,13 @@ def test_verification_of_what_was_asked_for(spark):
     assert checks == {("t0", 2000): 1.0, ("t0", 2001): 0.0}
     lost = verify.missing_outputs(pixels, ["t0", "t2"], [2000])
     assert [(r.tile_id, r.year) for r in lost.collect()] == [("t2", 2000)]
+
+
+def test_a_constant_band_in_parts(spark):
+    """Means of 47 threes are merged as 3 / 47 * 47, which isn't 3."""
+    third = F.when(F.col("id") % 3 == 0, float("nan")).otherwise(F.lit(3.0))
+    pixels = spark.range(0, 94, 1, 2).select(F.lit("t0").alias("tile_id"), F.lit(1.0).alias("native"), F.lit(3.0).alias("flat"), F.when(F.col("id") < 47, 3.0).otherwise(3.5).alias("two"), third.alias("nan"), F.lit(float("inf")).alias("inf"), F.lit(None).cast("double").alias("none"))
+    checks = verify.band_checks(pixels, ["tile_id"], ["flat", "two", "nan", "inf", "none"])
+    sd = {r.band: r.sd for r in checks.collect()}
+    assert (sd["flat"], sd["none"]) == (0.0, None) and math.isclose(sd["two"], 0.25) and math.isnan(sd["nan"]) and math.isnan(sd["inf"])
+    assert sorted((r.band, r.problem) for r in verify.band_problems(checks, ["tile_id"]).collect()) == [("flat", "constant band"), ("none", "too few valid cells")]
