@@ -530,8 +530,11 @@ def rf_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forest of order prices on keys of their customer; predictions of all orders."""
     o = read(spark, sf_dir, "orders").select("o_orderkey", F.dayofyear("o_orderdate").cast("double").alias("doy"), F.year("o_orderdate").cast("double").alias("year"), (F.col("o_custkey") % 25).cast("double").alias("group"), F.log("o_totalprice").alias("price"))
     features = ["doy", "year", "group"]
-    model = forest.fit_forest(o, features, "price")
-    return rounded(forest.predict_forest(model, o, features, "price").select("o_orderkey", "price_pred"))
+    if o.where("price IS NOT NULL").limit(forest.LEAST_ROWS).count() < forest.LEAST_ROWS:
+        return o.select("o_orderkey", F.lit(None).cast("double").alias("price_pred"))
+    o = o.withColumn("_row", F.coalesce("o_orderkey", F.lit(0)))
+    model = bagging.fit(o, "_row", features, ["price"])
+    return rounded(bagging.predict(model, o, "_row", ["o_orderkey"]).select("o_orderkey", "price_pred"))
 
 
 def forest_out_of_bag(spark: SparkSession, sf_dir: str) -> DataFrame:

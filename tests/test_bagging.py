@@ -111,3 +111,45 @@ def test_forest_edges(spark):
     none = bagging.fit(df.where("false"), "id", ["x"], ["y"], trees=3)
     assert [r.y_pred for r in bagging.predict(none, df, "id", ["id"]).collect()] == [None] * 3
     assert bagging.out_of_bag(none, df.where("false"), "id").count() == 0
+
+
+@pytest.mark.parametrize("task_rows", [bagging.TASK_ROWS, 7])
+def test_trees_of_few_different_rows_grow_in_one_task(spark, monkeypatch, task_rows):
+    """Without a pass a level, and as the passes grow them; with bins of many rows in parts."""
+    monkeypatch.setattr(bagging, "TASK_ROWS", task_rows)
+    rng = np.random.default_rng(2)
+    rows = [(key, float(rng.integers(0, 3)), float(rng.integers(0, 4)), float(key % 2) if key % 9 else None, float(rng.normal()), 3.0) for key in range(300)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, y double, same double")
+    params = {"trees": 6, "depth": 4, "bins": 4}
+
+    def passes(*_):
+        raise AssertionError("a pass of a level")
+
+    with monkeypatch.context() as m:
+        m.setattr(bagging, "_splits", passes)
+        whole = bagging.fit(df, "id", ["a", "b", "c"], ["y", "same"], **params)
+    monkeypatch.setattr(bagging, "WHOLE", 0)
+    levels = bagging.fit(df, "id", ["a", "b", "c"], ["y", "same"], **params)
+    for x, y in zip(whole.trees, levels.trees, strict=True):
+        assert [list(getattr(x, n)) for n in ("feature", "cut", "child")] == [list(getattr(y, n)) for n in ("feature", "cut", "child")] and len(x.feature) > 1
+        assert np.allclose(np.asarray(x.value), np.asarray(y.value))
+    a, b = ({r.id: (r.y_pred, r.n_trees) for r in bagging.out_of_bag(m, df, "id").collect()} for m in (whole, levels))
+    assert len(a) == 300 and all(a[k][1] == b[k][1] and (a[k][0] is None or math.isclose(a[k][0], b[k][0], rel_tol=1e-9, abs_tol=1e-12)) for k in a)
+
+
+def test_regression_of_orders(spark, tmp_path, monkeypatch):
+    """All orders get a prediction of the stated forest; none with fewer than 20 prices."""
+    from gridflux.queries.grids import rf_regression
+
+    trees = []
+    monkeypatch.setattr(bagging, "fit", lambda *a, fit=bagging.fit, **p: trees.append(fit(*a, **p)) or trees[-1])
+    n = 400
+    orders = spark.range(n).select(F.when(F.col("id") > 0, F.col("id")).alias("o_orderkey"), (F.col("id") * 7 % 50).alias("o_custkey"), F.exp(F.col("id") * 7 % 25 / 5.0).alias("o_totalprice"), F.expr("timestamp_ntz '1995-01-01' + make_dt_interval(cast(id as int))").alias("o_orderdate"))
+    orders = orders.withColumn("o_totalprice", F.when(F.col("o_custkey") != 49, F.col("o_totalprice")))
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    got = rf_regression(spark, str(tmp_path)).join(orders, "o_orderkey").toPandas()
+    assert len(got) == n - 1 and got.price_pred.notna().all() and len(trees[0].trees) == 500 and max(len(t.feature) for t in trees[0].trees) > 50
+    known = got[got.o_totalprice.notna()]
+    assert np.corrcoef(known.price_pred, np.log(known.o_totalprice))[0, 1] > 0.9
+    orders.limit(19).write.parquet(f"{tmp_path}/few/orders.parquet")
+    assert [r.price_pred for r in rf_regression(spark, f"{tmp_path}/few").collect()] == [None] * 19
